@@ -40,7 +40,7 @@ def row_id(*key_cols, run_id: str | Column) -> Column:
     executor could write a different id than the one the audit counted.
     """
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    parts = [F.coalesce(_c(c).cast("string"), F.lit("\u0000")) for c in key_cols]
+    parts = [F.coalesce(_c(c).cast("string"), F.lit("\\N")) for c in key_cols]
     return F.upper(F.md5(F.concat_ws("|", run, *parts)))
 
 

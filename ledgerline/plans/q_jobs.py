@@ -1 +1,44 @@
-"""Queries."""
+"""End-to-end job queries (G1, G10-G13, G15, G18) on re-labelled tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.jobs import order_loader as g1
+from ledgerline.plans.catalog import Tables
+from ledgerline.plans.registry import query
+
+
+def _strip_upper_sql(x: str) -> str:
+    return f"upper(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'))"
+
+
+@query("job_order_loader", "G1 S18 J1 X20 F1 N1 X39 X1 C1 X44 J10", sql=f"""
+WITH landed AS (
+  SELECT l_orderkey AS cuenta, l_linenumber AS ot, l_returnflag AS codigo_servicio, l_shipdate AS fecha_creacion,
+         coalesce(CASE WHEN l_discount = 0 THEN NULL ELSE l_extendedprice END, 0) AS valor_servicio,
+         coalesce(chr(9) || lower(l_linestatus) || '  ' || chr(10), 'NO REGISTRA') AS estado,
+         coalesce(CASE WHEN l_quantity > 40 THEN NULL ELSE ' cliente ' || CAST(l_suppkey AS VARCHAR) END,
+                  'NO REGISTRA') AS nombres,
+         CASE WHEN l_tax = 0 THEN NULL ELSE l_shipdate END AS hora_creacion,
+         CASE WHEN l_quantity < 10 THEN '31/02/2001' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS fecha_permanencia
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01'),
+hist AS (SELECT l_orderkey AS cuenta, l_linenumber AS ot, l_returnflag AS codigo_servicio
+         FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-06-01'),
+fresh AS (SELECT * FROM landed b WHERE valor_servicio > 0 AND NOT EXISTS (
+  SELECT 1 FROM hist h WHERE h.cuenta IS NOT DISTINCT FROM b.cuenta AND h.ot IS NOT DISTINCT FROM b.ot
+    AND h.codigo_servicio IS NOT DISTINCT FROM b.codigo_servicio))
+SELECT upper(md5(concat_ws('|', 'RUN-ORDERS-0001', coalesce(CAST(cuenta AS VARCHAR), '\\N'),
+                 coalesce(CAST(ot AS VARCHAR), '\\N'), coalesce(codigo_servicio, '\\N')))) AS id,
+       'RUN-ORDERS-0001' AS id_ejecucion,
+       cuenta, ot, {_strip_upper_sql('codigo_servicio')} AS codigo_servicio, fecha_creacion, valor_servicio,
+       {_strip_upper_sql('estado')} AS estado, {_strip_upper_sql('nombres')} AS nombres,
+       coalesce(hora_creacion, TIMESTAMP '1899-12-30 00:00:00') AS hora_creacion,
+       coalesce(TRY_CAST(fecha_permanencia AS TIMESTAMP), TIMESTAMP '1900-01-01 00:00:00') AS fecha_permanencia,
+       TIMESTAMP '2024-01-01 00:00:00' AS fecha_procesamiento, 'CANCELADAS CORREOS' AS fuente, '1' AS id_estado
+FROM fresh
+""")
+def job_order_loader(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    batch = g1.demo_landed(li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
+    return g1.transform(batch, g1.demo_history(li), g1.DEMO_CONFIG, g1.DEMO_RUN)
