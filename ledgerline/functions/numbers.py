@@ -37,9 +37,18 @@ def coerce_number(c, to: str = "bigint", default=0) -> Column:
     return F.coalesce(d.try_cast(to), F.lit(default).cast(to))
 
 
+def round_like_pandas(x: Column, digits: int = 2) -> Column:
+    """pandas/numpy ``round``: ``rint(x * 10**d) / 10**d`` on the binary value.
+
+    ``bround`` rounds the decimal text instead (10.155 -> 10.16 where numpy
+    gives 10.15), so it is not used here."""
+    scale = float(10 ** digits)
+    return F.rint(x * F.lit(scale)) / F.lit(scale)
+
+
 def scale_thousands(c, digits: int = 2) -> Column:
-    """Value / 1000 rounded half-to-even (pandas ``round``)."""
-    return F.bround(F.coalesce(_c(c).try_cast("double"), F.lit(0.0)) / 1000.0, digits)
+    """Value / 1000 rounded half-to-even the way pandas does."""
+    return round_like_pandas(F.coalesce(_c(c).try_cast("double"), F.lit(0.0)) / 1000.0, digits)
 
 
 def clamp_int32(c) -> Column:
@@ -64,8 +73,10 @@ def coerce_by_type_map(df: DataFrame, types: dict[str, str], int_default=0) -> D
     return df.withColumns(out) if out else df
 
 
-def fill_blank_then_zero(df: DataFrame, numeric: list[str], text_blank: bool = False) -> DataFrame:
-    """Text nulls -> '' (optional), and ''/null -> 0 on the numeric columns."""
+def fill_blank_then_zero(df: DataFrame, numeric: list[str],
+                         text_blank: bool | list[str] = False) -> DataFrame:
+    """Text nulls -> '' (all text columns, or the listed ones), and
+    ''/null -> 0 on the numeric columns."""
     out = {}
     for f in df.schema.fields:
         if f.name in numeric:
@@ -73,7 +84,8 @@ def fill_blank_then_zero(df: DataFrame, numeric: list[str], text_blank: bool = F
             if isinstance(f.dataType, StringType):
                 x = F.when(F.trim(x) == "", None).otherwise(x).try_cast("double")
             out[f.name] = F.coalesce(x.cast("double"), F.lit(0.0))
-        elif text_blank and isinstance(f.dataType, StringType):
+        elif isinstance(f.dataType, StringType) and (
+                text_blank is True or (isinstance(text_blank, list) and f.name in text_blank)):
             out[f.name] = F.coalesce(F.col(f.name), F.lit(""))
     return df.withColumns(out) if out else df
 

@@ -98,8 +98,12 @@ def main():
             b = sorted(tuple(norm(row[i]) for i in dorder) for row in drows)
             if a != b:
                 ok = False
-                diff = [x for x in a if x not in set(b)][:2]
-                notes.append(f"values differ e.g. spark-only {diff}")
+                from collections import Counter
+                ca, cb = Counter(a), Counter(b)
+                only_s = list((ca - cb).elements())[:2]
+                only_d = list((cb - ca).elements())[:2]
+                notes.append(f"values differ ({sum((ca - cb).values())} rows) e.g. "
+                             f"spark-only {only_s} duck-only {only_d}")
         status = "OK" if ok and not notes else "MISMATCH"
         bad += status != "OK"
         print(f"{status} {name}: spark={len(srows)} duck={len(drows)} ({st:.1f}s) {' '.join(notes)}")
