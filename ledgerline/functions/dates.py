@@ -26,7 +26,7 @@ def excel_serial_to_timestamp(c) -> Column:
     """Excel serial (with fraction) -> TIMESTAMP_NTZ."""
     secs = F.round(_c(c).try_cast("double") * F.lit(86400.0)).cast("bigint")
     base = F.lit(EXCEL_EPOCH).cast("timestamp_ntz")
-    return F.timestampadd("SECOND", secs, base)
+    return F.timestamp_add("SECOND", secs, base)
 
 
 def date_to_excel_serial(c) -> Column:
@@ -36,7 +36,7 @@ def date_to_excel_serial(c) -> Column:
 
 def parse_date_text(c, fmt: str = "dd/MM/yyyy") -> Column:
     """Parse with a fixed pattern; unparsable -> null."""
-    return F.try_to_date(_c(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(_c(c).cast("string"), fmt)
 
 
 def iso_date_text(c, fmt: str = "dd/MM/yyyy") -> Column:
@@ -47,7 +47,7 @@ def iso_date_text(c, fmt: str = "dd/MM/yyyy") -> Column:
 def date_from_parts(day, month, year) -> Column:
     """day/month/year parts joined with '/' and parsed day-first, coercing."""
     txt = F.concat_ws("/", _c(day).cast("string"), _c(month).cast("string"), _c(year).cast("string"))
-    return F.try_to_date(txt, F.lit("d/M/yyyy"))
+    return F.try_to_date(txt, "d/M/yyyy")
 
 
 def date_text_two_digit_year(yy, mm, dd) -> Column:

@@ -1 +1,261 @@
-"""Queries."""
+"""Date and filter queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions import dates as D
+from ledgerline.functions import predicates as P
+from ledgerline.functions.constants import MONTH_NAMES
+from ledgerline.operators.setops import union_all
+from ledgerline.plans.catalog import Tables
+from ledgerline.plans.registry import query
+
+
+@query("excel_serial_round_trip", "X34", sql="""
+SELECT o_orderkey,
+  CAST(datediff('day', DATE '1900-01-01', CAST(o_orderdate AS DATE)) + 2 AS BIGINT) AS serial,
+  CAST(DATE '1899-12-30' + CAST(datediff('day', DATE '1900-01-01', CAST(o_orderdate AS DATE)) + 2 AS INTEGER) AS DATE) AS fecha,
+  TIMESTAMP '1899-12-30 00:00:00' + to_seconds(CAST(round((datediff('day', DATE '1900-01-01', CAST(o_orderdate AS DATE)) + 2 + 0.25) * 86400) AS BIGINT)) AS fecha_hora
+FROM orders
+""")
+def excel_serial_round_trip(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    s = o.select("o_orderkey", D.date_to_excel_serial("o_orderdate").alias("serial"))
+    return s.select("o_orderkey", "serial", D.excel_serial_to_date("serial").alias("fecha"),
+                    D.excel_serial_to_timestamp(F.col("serial") + F.lit(0.25)).alias("fecha_hora"))
+
+
+@query("date_parts_and_formats", "X35 X36 X37 X38 X39 X40", sql="""
+WITH t AS (SELECT o_orderkey, o_orderdate,
+             strftime(o_orderdate, '%d/%m/%Y') AS dmy,
+             CASE WHEN o_orderstatus = 'P' THEN '31/02/1999' ELSE strftime(o_orderdate, '%d/%m/%Y') END AS dmy_malo
+           FROM orders)
+SELECT o_orderkey,
+  strftime(TRY_STRPTIME(dmy, '%d/%m/%Y'), '%Y-%m-%d') AS iso,
+  CAST(TRY_STRPTIME(day(o_orderdate) || '/' || month(o_orderdate) || '/' || year(o_orderdate), '%-d/%-m/%Y') AS DATE) AS de_partes,
+  CAST(TRY_STRPTIME(dmy_malo, '%d/%m/%Y') AS DATE) AS coercida,
+  '20' || strftime(o_orderdate, '%y') || '-' || strftime(o_orderdate, '%m') || '-' || '20' AS instalacion,
+  strftime(o_orderdate, '%d/%m/%Y') AS texto,
+  coalesce(CAST(TRY_STRPTIME(dmy_malo, '%d/%m/%Y') AS TIMESTAMP), TIMESTAMP '1900-01-01 00:00:00') AS con_centinela,
+  CAST(year(o_orderdate) AS INTEGER) AS anio
+FROM t
+""")
+def date_parts_and_formats(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    t = o.select("o_orderkey", "o_orderdate",
+                 F.date_format("o_orderdate", "dd/MM/yyyy").alias("dmy"),
+                 F.when(F.col("o_orderstatus") == "P", F.lit("31/02/1999"))
+                  .otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("dmy_malo"))
+    coerced = D.parse_date_text("dmy_malo", "dd/MM/yyyy")
+    return t.select(
+        "o_orderkey",
+        D.iso_date_text("dmy", "dd/MM/yyyy").alias("iso"),
+        D.date_from_parts(F.dayofmonth("o_orderdate"), F.month("o_orderdate"), F.year("o_orderdate")).alias("de_partes"),
+        coerced.alias("coercida"),
+        D.date_text_two_digit_year(F.date_format("o_orderdate", "yy"), F.date_format("o_orderdate", "MM"),
+                                   F.lit("20")).alias("instalacion"),
+        F.date_format("o_orderdate", "dd/MM/yyyy").alias("texto"),
+        F.coalesce(coerced.cast("timestamp_ntz"), F.lit("1900-01-01 00:00:00").cast("timestamp_ntz"))
+         .alias("con_centinela"),
+        F.year("o_orderdate").alias("anio"))
+
+
+MONTHS_SQL = "[" + ", ".join(f"'{i:02d}.{n}'" for i, n in enumerate(MONTH_NAMES, 1)) + "]"
+UPPER_MONTHS_SQL = "[" + ", ".join(f"'{n.upper()}'" for n in MONTH_NAMES) + "]"
+
+
+@query("month_label", "X32", sql=f"""
+WITH t AS (SELECT o_orderkey, {UPPER_MONTHS_SQL}[month(o_orderdate)] AS mes_nombre,
+                  CASE WHEN o_orderstatus = 'P' THEN 'Brumario' ELSE
+                       lower({UPPER_MONTHS_SQL}[month(o_orderdate)]) END AS mes_texto
+           FROM orders)
+SELECT o_orderkey, mes_nombre, {MONTHS_SQL}[list_position({UPPER_MONTHS_SQL}, mes_nombre)] AS mes_gestion,
+       CAST(list_position({UPPER_MONTHS_SQL}, upper(mes_texto)) AS INTEGER) AS mes_num
+FROM t
+""")
+def month_label(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    names = F.array(*[F.lit(n.upper()) for n in MONTH_NAMES])
+    t = o.select("o_orderkey", F.element_at(names, F.month("o_orderdate")).alias("mes_nombre"),
+                 F.when(F.col("o_orderstatus") == "P", F.lit("Brumario"))
+                  .otherwise(F.lower(F.element_at(names, F.month("o_orderdate")))).alias("mes_texto"))
+    return t.select("o_orderkey", "mes_nombre",
+                    D.month_label(D.month_number("mes_nombre")).alias("mes_gestion"),
+                    D.month_number("mes_texto").alias("mes_num"))
+
+
+@query("business_day_window", "F15", sql="""
+WITH runs AS (SELECT * FROM (VALUES (DATE '2024-01-15'), (DATE '2024-01-17')) r(run_date))
+SELECT r.run_date, e.event_id, e.ts
+FROM runs r JOIN events e
+  ON CAST(e.ts AS DATE) BETWEEN (CASE WHEN isodow(r.run_date) = 1 THEN r.run_date - 3 ELSE r.run_date - 1 END)
+                            AND r.run_date - 1
+""")
+def business_day_window(spark, sf_dir):
+    e = Tables(spark, sf_dir).events.select("event_id", "ts")
+    parts = []
+    for run in ("2024-01-15", "2024-01-17"):
+        # The run date is a job parameter: the window bounds fold to
+        # literals and are pushed into the scan.
+        start, end = D.business_day_window(F.lit(run))
+        parts.append(e.filter(F.col("ts").cast("date").between(start, end))
+                      .select(F.lit(run).cast("date").alias("run_date"), "event_id", "ts"))
+    return union_all(parts)
+
+
+@query("calendar_join_optional", "N25", sql="""
+WITH bounds AS (SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM events),
+cal AS (SELECT CAST(d AS DATE) AS fecha FROM bounds, range(lo, hi + 1, INTERVAL 1 DAY) t(d)
+        WHERE NOT (CAST(d AS DATE) = lo + 3)),
+per_day AS (SELECT CAST(ts AS DATE) AS fecha, count(*) AS n FROM events GROUP BY 1)
+SELECT c.fecha, CAST(week(c.fecha) AS INTEGER) AS wk_year, CAST(isodow(c.fecha) AS INTEGER) AS wk_dia,
+       CASE WHEN isodow(c.fecha) <= 5 THEN 1 ELSE 0 END AS dia_habil, coalesce(p.n, 0) AS eventos
+FROM cal c LEFT JOIN per_day p ON p.fecha = c.fecha
+""")
+def calendar_join_optional(spark, sf_dir):
+    e = Tables(spark, sf_dir).events
+    # Calendar derived from the data's own date range (one row per day).
+    cal = (e.agg(F.min(F.col("ts").cast("date")).alias("lo"), F.max(F.col("ts").cast("date")).alias("hi"))
+             .select("lo", F.explode(F.sequence("lo", "hi")).alias("fecha"))
+             .filter(F.col("fecha") != F.date_add("lo", 3)).drop("lo"))
+    cal = cal.select("fecha", F.weekofyear("fecha").alias("wk_year"),
+                     (((F.dayofweek("fecha") + 5) % 7) + 1).alias("wk_dia"))
+    cal = cal.withColumn("dia_habil", F.when(F.col("wk_dia") <= 5, 1).otherwise(0))
+    per_day = e.groupBy(F.col("ts").cast("date").alias("fecha")).agg(F.count(F.lit(1)).alias("eventos"))
+    out = cal.join(F.broadcast(per_day), "fecha", "left")
+    return out.withColumn("eventos", F.coalesce(F.col("eventos"), F.lit(0)).cast("bigint"))
+
+
+@query("filters_null_semantics", "F8 F9 F10 P2 P3 P4 A7", sql="""
+WITH t AS (SELECT nullif(l_returnflag, 'N') AS flag, nullif(l_linestatus, 'O') AS estado,
+                  CASE WHEN l_quantity > 49 THEN NULL WHEN l_quantity < 2 THEN 'x**y' ELSE 'ok' END AS nota
+           FROM lineitem)
+SELECT 'P2' AS regla, count(*) FILTER (WHERE flag IS DISTINCT FROM 'R') AS filas FROM t
+UNION ALL SELECT 'P3', count(*) FILTER (WHERE coalesce(NOT (estado IN ('F')), true)) FROM t
+UNION ALL SELECT 'P4', count(*) FILTER (WHERE NOT coalesce(regexp_matches(nota, '\\*\\*'), false)) FROM t
+UNION ALL SELECT 'F8', count(*) FILTER (WHERE flag IS DISTINCT FROM 'R' AND estado IS DISTINCT FROM 'F'
+                                          AND nota IS DISTINCT FROM 'ok') FROM t
+UNION ALL SELECT 'ALL', count(*) FROM t
+""")
+def filters_null_semantics(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    t = li.select(F.nullif(F.col("l_returnflag"), F.lit("N")).alias("flag"),
+                  F.nullif(F.col("l_linestatus"), F.lit("O")).alias("estado"),
+                  F.when(F.col("l_quantity") > 49, F.lit(None)).when(F.col("l_quantity") < 2, F.lit("x**y"))
+                   .otherwise(F.lit("ok")).alias("nota"))
+    rules = {
+        "P2": P.not_equal_keep_null("flag", "R"),
+        "P3": P.not_in_keep_null("estado", ["F"]),
+        "P4": P.not_matches("nota", r"\*\*"),
+        "F8": P.exclude_all([P.not_equal_keep_null("flag", "R"), P.not_equal_keep_null("estado", "F"),
+                             P.not_equal_keep_null("nota", "ok")]),
+        "ALL": F.lit(True),
+    }
+    # Every rule counted in one pass over the data.
+    counts = t.agg(*[F.count_if(c).alias(k) for k, c in rules.items()])
+    return counts.unpivot(ids=[], values=list(rules), variableColumnName="regla", valueColumnName="filas")
+
+
+@query("sales_filters", "F2 F3 F5 F6 F7 F12 F18 F20 F21", sql="""
+SELECT 'F5' AS regla, p_partkey FROM part
+  WHERE p_name ILIKE '%RING%' AND p_type ILIKE '%s%' AND p_brand ILIKE '%#1%'
+UNION ALL SELECT 'F6', p_partkey FROM part WHERE p_name ILIKE '%BOLT%' OR p_name ILIKE '%widget%'
+UNION ALL SELECT 'F3', p_partkey FROM part WHERE p_size - 25 <> 0 AND p_size > 45
+UNION ALL SELECT 'F12', p_partkey FROM part WHERE nullif(p_type, 'PROMO') IS NULL
+UNION ALL SELECT 'F18', p_partkey FROM part
+  WHERE nullif(p_type, 'PROMO') IS NOT NULL AND NOT (p_type = 'NO APLICA') AND p_size < 3
+UNION ALL SELECT 'F20', p_partkey FROM part WHERE p_partkey IS NULL OR p_partkey = 0
+UNION ALL SELECT 'F21', p_partkey FROM part
+  WHERE (p_type LIKE 'SMALL%' OR p_type LIKE 'LARGE%') AND regexp_matches(CAST(p_size AS VARCHAR), '1')
+UNION ALL SELECT 'F7', o_orderkey FROM orders WHERE o_orderpriority ILIKE '%urgent%' AND o_totalprice > 500000
+""")
+def sales_filters(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    p = t.part
+    parts = [
+        ("F5", p.filter(P.icontains("p_name", "RING") & P.icontains("p_type", "s") & P.icontains("p_brand", "#1"))),
+        ("F6", p.filter(P.icontains("p_name", "BOLT") | P.icontains("p_name", "widget"))),
+        ("F3", p.filter(((F.col("p_size") - 25) != 0) & (F.col("p_size") > 45))),
+        ("F12", p.filter(F.nullif(F.col("p_type"), F.lit("PROMO")).isNull())),
+        ("F18", p.filter(F.nullif(F.col("p_type"), F.lit("PROMO")).isNotNull()
+                         & (F.col("p_type") != "NO APLICA") & (F.col("p_size") < 3))),
+        ("F20", p.filter(F.col("p_partkey").isNull() | (F.col("p_partkey") == 0))),
+        ("F21", p.filter((F.col("p_type").like("SMALL%") | F.col("p_type").like("LARGE%"))
+                         & P.matches(F.col("p_size").cast("string"), "1"))),
+    ]
+    frames = [df.select(F.lit(k).alias("regla"), "p_partkey") for k, df in parts]
+    o = t.orders.filter(P.icontains("o_orderpriority", "urgent") & (F.col("o_totalprice") > 500000))
+    frames.append(o.select(F.lit("F7").alias("regla"), F.col("o_orderkey").alias("p_partkey")))
+    return union_all(frames)
+
+
+@query("exclude_with_exception", "F4 F14", sql="""
+WITH t AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END AS saldo
+           FROM customer)
+SELECT 'CONSERVADO' AS grupo, c_custkey FROM t
+  WHERE saldo IS NOT NULL AND c_mktsegment IS NOT NULL
+    AND NOT coalesce(c_mktsegment = 'BUILDING' AND c_custkey <> 7, false)
+UNION ALL
+SELECT 'EXCLUIDO', c_custkey FROM t
+  WHERE saldo IS NOT NULL AND c_mktsegment IS NOT NULL
+    AND coalesce(c_mktsegment = 'BUILDING' AND c_custkey <> 7, false)
+""")
+def exclude_with_exception(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    t = c.select("c_custkey", "c_mktsegment",
+                 F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(F.col("c_acctbal")).alias("saldo"))
+    t = t.dropna(subset=["saldo", "c_mktsegment"])  # F4, before any text cast
+    keep = P.exclude_with_exception(F.col("c_mktsegment") == "BUILDING", F.col("c_custkey") != 7)
+    return union_all([t.filter(keep).select(F.lit("CONSERVADO").alias("grupo"), "c_custkey"),
+                      t.filter(~keep).select(F.lit("EXCLUIDO").alias("grupo"), "c_custkey")])
+
+
+@query("period_filter", "F11", sql="""
+SELECT o_orderkey, o_orderdate FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1998-03'
+""")
+def period_filter(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return o.filter(P.in_period("o_orderdate", "1998-03")).select("o_orderkey", "o_orderdate")
+
+
+@query("like_in_between", "F13 F19", sql="""
+SELECT o_orderkey, o_orderpriority, o_orderstatus FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus NOT IN ('P')
+  AND o_orderpriority LIKE '%-%' AND o_orderpriority NOT LIKE '%LOW%'
+  AND NOT (o_totalprice < 1000 OR o_totalprice > 400000)
+  AND o_orderdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31'
+  AND o_custkey <> 0
+""")
+def like_in_between(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return o.filter(F.expr(
+        "o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus NOT IN ('P') "
+        "AND o_orderpriority LIKE '%-%' AND o_orderpriority NOT LIKE '%LOW%' "
+        "AND NOT (o_totalprice < 1000 OR o_totalprice > 400000) "
+        "AND o_orderdate BETWEEN TIMESTAMP_NTZ '1996-01-01 00:00:00' AND TIMESTAMP_NTZ '1997-12-31 00:00:00' "
+        "AND o_custkey <> 0")).select("o_orderkey", "o_orderpriority", "o_orderstatus")
+
+
+@query("month_start_bound", "F16", sql="""
+SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderdate >= date_trunc('month', DATE '1998-07-15') AND o_orderdate < DATE '1998-07-15'
+""")
+def month_start_bound(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    run = F.lit("1998-07-15").cast("date")
+    return o.filter((F.col("o_orderdate") >= D.month_start(run).cast("timestamp_ntz"))
+                    & (F.col("o_orderdate") < run.cast("timestamp_ntz"))).select("o_orderkey", "o_orderdate")
+
+
+@query("top_n_latest", "O1 O3 A10", sql="""
+WITH top AS (SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 10)
+SELECT o_orderkey, o_orderdate, max(o_orderdate) OVER () AS marca_agua FROM top
+""")
+def top_n_latest(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    # O3: the limit is the feature (a top-10 probe); Spark plans TakeOrderedAndProject.
+    top = o.select("o_orderkey", "o_orderdate").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc()).limit(10)
+    # Window over the ten limited rows only (bounded), no join needed.
+    from pyspark.sql import Window
+    return top.withColumn("marca_agua", F.max("o_orderdate").over(Window.partitionBy()))
