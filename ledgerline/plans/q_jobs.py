@@ -42,3 +42,57 @@ def job_order_loader(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     batch = g1.demo_landed(li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
     return g1.transform(batch, g1.demo_history(li), g1.DEMO_CONFIG, g1.DEMO_RUN)
+
+
+WL_PACKAGES_SQL = """
+pk AS (SELECT o_orderkey, o_custkey AS nit, o_custkey AS co_id, o_orderpriority AS tel_num,
+         CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE CAST(o_custkey % 7 AS DOUBLE) END AS cod_paq_instalado,
+         o_orderpriority AS desc_serv_instalado,
+         CAST(floor(o_totalprice / 100000) * 100 + 100 AS DOUBLE) AS valor_paq,
+         o_orderdate AS fecha_act_paq,
+         CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) + 30 AS TIMESTAMP) END AS fecha_desact_paq,
+         strftime(o_orderdate, '%Y-%m') AS anio_mes_act_paq
+       FROM orders),
+comp AS (SELECT DISTINCT c_custkey AS nit FROM customer WHERE c_mktsegment = 'BUILDING'),
+churn_all AS (SELECT * FROM pk WHERE fecha_desact_paq IS NOT NULL AND strftime(fecha_desact_paq, '%Y-%m') = '1998-03'
+                AND anio_mes_act_paq IS DISTINCT FROM '1998-03'),
+adds_all AS (SELECT * FROM pk WHERE fecha_desact_paq IS NULL AND anio_mes_act_paq = '1998-03'),
+sides AS (
+  SELECT 'BAJAS' AS tipo, *, CAST(datediff('day', DATE '1900-01-01', CAST(fecha_desact_paq AS DATE)) + 2 AS BIGINT) AS fecha_excel
+  FROM churn_all WHERE valor_paq > 150 AND coalesce(desc_serv_instalado NOT IN ('1-URGENT'), true)
+  UNION ALL
+  SELECT 'ALTAS', *, CAST(datediff('day', DATE '1900-01-01', CAST(fecha_act_paq AS DATE)) + 2 AS BIGINT)
+  FROM adds_all WHERE valor_paq > 150 AND coalesce(desc_serv_instalado NOT IN ('1-URGENT'), true)),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY tipo, co_id, fecha_excel, valor_paq, desc_serv_instalado) > 1
+                       AS duplicado_por_servicio,
+                  row_number() OVER (PARTITION BY tipo, co_id, fecha_excel, valor_paq, desc_serv_instalado
+                                     ORDER BY co_id, tel_num, cod_paq_instalado NULLS LAST, o_orderkey, nit,
+                                              desc_serv_instalado, fecha_act_paq, fecha_desact_paq, anio_mes_act_paq) AS rn
+           FROM sides),
+keys_other AS (
+  SELECT 'BAJAS' AS tipo, nit, tel_num, coalesce(CAST(CAST(trunc(cod_paq_instalado) AS BIGINT) AS VARCHAR), '') AS paq, valor_paq
+  FROM adds_all WHERE valor_paq > 0
+  UNION ALL
+  SELECT 'ALTAS', nit, tel_num, coalesce(CAST(CAST(trunc(cod_paq_instalado) AS BIGINT) AS VARCHAR), ''), valor_paq
+  FROM churn_all WHERE valor_paq > 0)"""
+
+
+@query("churn_vs_additions", "G10 S19 F9 F11 W2 W3 N10 U1 X29 X34 X42", sql=f"""
+WITH {WL_PACKAGES_SQL}
+SELECT r.tipo, r.o_orderkey, r.nit, r.co_id, r.tel_num, r.cod_paq_instalado, r.valor_paq, r.fecha_excel,
+       r.duplicado_por_servicio,
+       CASE WHEN r.nit IN (SELECT nit FROM comp) THEN 'EMPRESAS' ELSE 'NEGOCIOS' END AS segmento,
+       CASE WHEN EXISTS (SELECT 1 FROM keys_other k WHERE k.tipo = r.tipo AND k.nit = r.nit
+                          AND k.tel_num = r.tel_num AND k.valor_paq = r.valor_paq
+                          AND k.paq = coalesce(CAST(CAST(trunc(r.cod_paq_instalado) AS BIGINT) AS VARCHAR), ''))
+            THEN 'Cruza' ELSE 'No cruza' END AS cruce_bajas_altas,
+       CASE WHEN r.tipo = 'ALTAS' THEN r.anio_mes_act_paq ELSE strftime(r.fecha_desact_paq, '%Y-%m') END AS periodo
+FROM ranked r WHERE rn = 1
+""")
+def churn_vs_additions(spark, sf_dir):
+    from ledgerline.jobs import white_label as g10
+    t = Tables(spark, sf_dir)
+    companies = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("nit"))
+    out = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies)
+    return out.select("tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado", "valor_paq",
+                      "fecha_excel", "duplicado_por_servicio", "segmento", "cruce_bajas_altas", "periodo")
