@@ -82,12 +82,13 @@ def differs_from(c, value) -> Column:
     return ~_c(c).eqNullSafe(F.lit(value))
 
 
-def net_value(category, service_value, current_charge, previous_charge) -> Column:
-    """X27 + X31: net value by category; 'A' is recoded first; no otherwise -> null."""
+def net_value(category, service_value, difference) -> Column:
+    """Net value by data origin ('A' is recoded to CROSS SELLING first):
+    NEW and CROSS SELLING take the service value, UP SELLING the difference;
+    anything else stays null (no ``otherwise``)."""
     cat = recode_category(category)
-    return (F.when(cat == F.lit(CROSS_SELLING), _c(service_value))
-             .when(cat.isin("UP SELLING", "DOWN SELLING"),
-                   _c(current_charge) - _c(previous_charge)))
+    return (F.when(cat.isin("NEW", CROSS_SELLING), _c(service_value))
+             .when(cat == F.lit("UP SELLING"), _c(difference)))
 
 
 def recode_category(category) -> Column:

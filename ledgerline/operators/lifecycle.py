@@ -30,17 +30,19 @@ class Run:
     started: _dt.datetime = field(default_factory=lambda: _dt.datetime.now().replace(microsecond=0))
 
 
-def stamp(df: DataFrame, run: Run, source: str, key_cols: list[str] | None = None,
+def stamp(df: DataFrame, run: Run, source: str | None, key_cols: list[str] | None = None,
           state: int | str = STATE_ACTIVE, processed_col: str = "fecha_procesamiento") -> DataFrame:
     """C1 + J10: id, run id, processed-at, source, state; control columns first."""
     keys = key_cols or df.columns
-    out = df.withColumns({
+    cols = {
         "id": row_id(*keys, run_id=run.run_id),
         "id_ejecucion": F.lit(run.run_id),
         processed_col: F.lit(run.started).cast("timestamp_ntz"),
-        "fuente": F.lit(source),
         "id_estado": F.lit(str(state)),
-    })
+    }
+    if source is not None:  # None keeps a per-row 'fuente' already present
+        cols["fuente"] = F.lit(source)
+    out = df.withColumns(cols)
     return out.select("id", "id_ejecucion", *[c for c in out.columns if c not in ("id", "id_ejecucion")])
 
 

@@ -96,3 +96,45 @@ def churn_vs_additions(spark, sf_dir):
     out = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies)
     return out.select("tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado", "valor_paq",
                       "fecha_excel", "duplicado_por_servicio", "segmento", "cruce_bajas_altas", "periodo")
+
+
+def _x3(x: str) -> str:
+    return f"upper(regexp_replace(regexp_replace({x}, '[|.*}}$@]', '', 'g'), '^\\s+|\\s+$', '', 'g'))"
+
+
+TRANSFER_SRC_SQL = """
+SELECT {src} AS __src, CAST(l_orderkey AS VARCHAR) AS ot, CAST(l_partkey AS VARCHAR) AS cod_serv,
+       CAST(trunc(l_extendedprice) AS BIGINT) AS valor, CAST(trunc(l_extendedprice * l_discount) AS BIGINT) AS dif,
+       {origen} AS origen, '{tipo}' AS tipo_v, 'FIJO' AS base, '{fuente}' AS fuente
+FROM lineitem WHERE l_returnflag = '{flag}'
+  AND l_shipdate > (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01')"""
+
+
+@query("multi_source_consolidation", "G11 C9 F17 X27 X3 J8 U1 X41 C1 A2", sql="""
+WITH raw AS (""" + "\nUNION ALL\n".join([
+    TRANSFER_SRC_SQL.format(src=0, origen="CASE WHEN l_linestatus = 'O' THEN 'A' ELSE ' up selling' END",
+                            tipo="ALTAS_F", fuente="INSTALADAS", flag="R"),
+    TRANSFER_SRC_SQL.format(src=1, origen="'NEW'", tipo="DIGITADAS", fuente="DIGITADAS", flag="A"),
+    TRANSFER_SRC_SQL.format(src=2, origen="CAST(NULL AS VARCHAR)", tipo="BAJAS_F", fuente="CANCELADAS", flag="N"),
+]) + """),
+mapped AS (
+  SELECT __src, """ + _x3("ot") + """ AS orden_trabajo, """ + _x3("cod_serv") + """ AS codigo_servicio,
+    """ + _x3("CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END") + """ AS origen_datos,
+    valor AS valor_servicio, dif AS val_dif_service,
+    CASE WHEN (CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END) IN ('NEW', 'CROSS SELLING') THEN valor
+         WHEN (CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END) = 'UP SELLING' THEN dif END AS valor_neto,
+    """ + _x3("tipo_v") + """ AS tipo_v, """ + _x3("base") + """ AS base, """ + _x3("fuente") + """ AS fuente
+  FROM raw),
+keyed AS (SELECT *, orden_trabajo || codigo_servicio || tipo_v AS llave_proceso FROM mapped),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY llave_proceso ORDER BY __src, orden_trabajo, codigo_servicio,
+             origen_datos, valor_servicio, val_dif_service, valor_neto, tipo_v, base, fuente) AS rn FROM keyed)
+SELECT upper(md5(concat_ws('|', 'RUN-TRANSFERS-0001', coalesce(llave_proceso, '\\N'), coalesce(fuente, '\\N')))) AS id,
+       'RUN-TRANSFERS-0001' AS id_ejecucion, orden_trabajo, codigo_servicio, origen_datos, valor_servicio,
+       val_dif_service, valor_neto, tipo_v, base, fuente, llave_proceso,
+       TIMESTAMP '2024-01-02 00:00:00' AS fecha_procesamiento, '1' AS id_estado
+FROM ranked WHERE rn = 1
+""")
+def multi_source_consolidation(spark, sf_dir):
+    from ledgerline.jobs import transfers as g11
+    li = Tables(spark, sf_dir).lineitem
+    return g11.consolidate(g11.demo_sources(li), g11.demo_target(li), g11.TRANSFERS_SCHEMA, g11.DEMO_RUN)

@@ -349,9 +349,10 @@ SELECT l_orderkey, l_linenumber,
   NOT (l_returnflag IS NOT DISTINCT FROM 'N') AS no_es_n,
   CASE WHEN l_returnflag = 'R' THEN 'DEVUELTO' WHEN l_returnflag = 'A' THEN 'ACEPTADO' ELSE 'NORMAL' END AS etiqueta,
   l_extendedprice - l_extendedprice * l_discount AS neto,
-  CASE WHEN (CASE WHEN categoria = 'A' THEN 'CROSS SELLING' ELSE categoria END) = 'CROSS SELLING' THEN l_extendedprice
-       WHEN (CASE WHEN categoria = 'A' THEN 'CROSS SELLING' ELSE categoria END) IN ('UP SELLING', 'DOWN SELLING')
-            THEN l_extendedprice - l_extendedprice * l_discount END AS valor_neto,
+  CASE WHEN (CASE WHEN categoria = 'A' THEN 'CROSS SELLING' ELSE categoria END) IN ('NEW', 'CROSS SELLING')
+            THEN l_extendedprice
+       WHEN (CASE WHEN categoria = 'A' THEN 'CROSS SELLING' ELSE categoria END) = 'UP SELLING'
+            THEN l_extendedprice * l_discount END AS valor_neto,
   coalesce(nullif(CASE WHEN contains(nombre, '(VACANTE)') OR doc IS NULL OR doc = 'None' THEN 'INACTIVO'
                        ELSE estado END, ''), 'PENDIENTE_ESTADO') AS estado_consultor
 FROM t
@@ -370,6 +371,6 @@ def case_and_flags(spark, sf_dir):
     return t.select("l_orderkey", "l_linenumber",
                     V.differs_from("l_returnflag", "N").alias("no_es_n"),
                     etiqueta.alias("etiqueta"), neto.alias("neto"),
-                    V.net_value("categoria", "l_extendedprice", "l_extendedprice",
+                    V.net_value("categoria", "l_extendedprice",
                                 F.col("l_extendedprice") * F.col("l_discount")).alias("valor_neto"),
                     V.consultant_state("nombre", "doc", "estado").alias("estado_consultor"))
