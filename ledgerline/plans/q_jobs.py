@@ -138,3 +138,66 @@ def multi_source_consolidation(spark, sf_dir):
     from ledgerline.jobs import transfers as g11
     li = Tables(spark, sf_dir).lineitem
     return g11.consolidate(g11.demo_sources(li), g11.demo_target(li), g11.TRANSFERS_SCHEMA, g11.DEMO_RUN)
+
+
+@query("job_fiber", "G12 J9 A9 N22 F21 N9 N13 X6 X25 X49 U1 N1 J5 J7", sql="""
+WITH eav AS (
+  SELECT user_id AS ot, CASE event_type WHEN 'view' THEN 'FLD198' WHEN 'click' THEN 'FLD189'
+           WHEN 'purchase' THEN 'FLD169' WHEN 'signup' THEN 'FLD300' WHEN 'error' THEN 'FLD147' END AS campo,
+         CASE WHEN value > 90 THEN 'x' || regexp_extract(props, '"k": (\\d+)', 1)
+              WHEN value < 1 THEN '123456789012345678901'
+              ELSE regexp_extract(props, '"k": (\\d+)', 1) END AS valor_txt,
+         ts, event_id FROM events),
+caps AS (SELECT * FROM (VALUES ('FLD198', 'Proyecto'), ('FLD189', 'Familia'), ('FLD169', 'Clases Producto'),
+                               ('FLD147', 'Tipo de Contrato'), ('FLD300', 'Sin uso')) v(campo, caption)),
+res AS (
+  SELECT e.ot, c.caption, p.c_mktsegment || ' ' || CAST(p.c_nationkey AS VARCHAR) AS dato, e.ts, e.event_id
+  FROM eav e
+  JOIN customer p ON CASE WHEN regexp_full_match(e.valor_txt, '[0-9]{1,19}') THEN TRY_CAST(e.valor_txt AS BIGINT) END = p.c_custkey
+  JOIN caps c ON c.campo = e.campo
+  WHERE e.campo LIKE '%198%' OR e.campo LIKE '%189%' OR e.campo LIKE '%169%' OR e.campo LIKE '%170%'
+     OR e.campo LIKE '%171%' OR e.campo LIKE '%147%'),
+ext AS (
+  SELECT ot,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Proyecto')) AS proyecto,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Dirección Comercial')) AS direccion_comercial,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Familia')) AS familia_1,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Clases Producto')) AS clase_producto,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Servicio/Componente')) AS servicio_componente,
+    upper(arg_max(dato, (ts, event_id)) FILTER (WHERE caption = 'Tipo de Contrato')) AS tipo_contrato
+  FROM res GROUP BY ot),
+base AS (
+  SELECT o_orderkey AS id, o_custkey AS id_orden_trabajo_padre, o_orderdate AS fecha_creacion,
+         o_orderpriority AS producto, o_totalprice AS valor, upper(lower(o_orderstatus)) AS estado_orden_trabajo,
+         upper(o_orderpriority) AS estado_venta, regexp_replace('$$' || o_orderstatus, '^\\$+', '') AS id_tipo,
+         CASE WHEN o_totalprice < 50000 THEN 'n/a' ELSE 'p' || CAST(o_orderkey AS VARCHAR) END AS cod
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice, upper(o_orderstatus),
+         upper(lower(o_orderpriority)), regexp_replace('$' || o_orderstatus, '^\\$+', ''),
+         CASE WHEN o_totalprice < 100000 THEN '0' ELSE 'PX' END
+  FROM orders WHERE o_orderstatus <> 'F'),
+ost AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, 'f'), (2, 'O'), (3, 'o')) v(id, estado) GROUP BY 1),
+vst AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, '1-urgent'), (2, '2-HIGH'), (3, '3-MEDIUM')) v(id, estado) GROUP BY 1),
+hist AS (SELECT o_orderkey AS id, o_custkey AS ot, o_orderpriority AS producto FROM orders
+         WHERE o_orderdate < TIMESTAMP '1997-01-01')
+SELECT upper(md5(concat_ws('|', 'RUN-FIBER-0001', CAST(b.id AS VARCHAR), CAST(b.id_orden_trabajo_padre AS VARCHAR),
+                           b.producto))) AS id_macrofo,
+       'RUN-FIBER-0001' AS id_ejecucion, b.id, b.id_orden_trabajo_padre,
+       CAST(coalesce(ost.id, 13) AS INTEGER) AS id_estado_orden_trabajo,
+       CAST(coalesce(vst.id, 6) AS INTEGER) AS id_estado_venta,
+       b.fecha_creacion, b.producto, b.valor, b.id_tipo,
+       CASE WHEN upper(b.cod) IN ('0', '.', 'NA', 'N/A', 'NO', 'n/a', '00', 'N', '..', 'N.A', '0.') THEN NULL
+            ELSE upper(b.cod) END AS cod_proyecto,
+       x.proyecto, x.direccion_comercial, x.familia_1, x.clase_producto, x.servicio_componente, x.tipo_contrato,
+       1 AS id_estado
+FROM base b
+LEFT JOIN ext x ON x.ot = b.id_orden_trabajo_padre
+LEFT JOIN ost ON ost.st = b.estado_orden_trabajo
+LEFT JOIN vst ON vst.st = b.estado_venta
+WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.id = b.id AND h.ot = b.id_orden_trabajo_padre
+                  AND h.producto = b.producto)
+""")
+def job_fiber(spark, sf_dir):
+    from ledgerline.jobs import fiber as g12
+    return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN)
