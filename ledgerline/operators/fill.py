@@ -39,3 +39,19 @@ def resolve_twins(left: DataFrame, right: DataFrame, on, how: str = "left",
     first, second = ("__l", "__r") if prefer == "left" else ("__r", "__l")
     j = j.withColumns({c: F.coalesce(F.col(c + first), F.col(c + second)) for c in shared})
     return j.drop(*[c + s for c in shared for s in ("__l", "__r")])
+
+
+def fill_across_sources(frames: list[DataFrame], key: str, order_cols: list[str]) -> DataFrame:
+    """W4 as used on concatenated sources: union in the given order, drop exact
+    duplicate rows (first occurrence wins), fill each key group forward then
+    backward in (source, ``order_cols``) order, then de-duplicate.
+
+    ``order_cols`` is the in-source row position (e.g. an ingest position)."""
+    from ledgerline.operators.dedupe import keep_first
+    from ledgerline.operators.setops import union_all
+    tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
+    allf = union_all(tagged)
+    data = [c for c in allf.columns if c not in ("__src", *order_cols)]
+    first = keep_first(allf, data, ["__src", *order_cols], total=False)
+    filled = group_fill(first, key, ["__src", *order_cols], [c for c in data if c != key], distinct=False)
+    return filled.select(*data).distinct()

@@ -201,3 +201,55 @@ WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.id = b.id AND h.ot = b.id_orden_t
 def job_fiber(spark, sf_dir):
     from ledgerline.jobs import fiber as g12
     return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN)
+
+
+@query("job_segment_report", "G13 W4 A2 A1 F14 N18 J12 X22 X18 X28 W5 J7", sql="""
+WITH src AS (
+  SELECT 0 AS s, o_orderkey AS pos, o_custkey AS ot, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
+         CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_totalprice END AS valor, o_orderpriority AS producto,
+         CAST(NULL AS VARCHAR) AS ciudad, CAST(NULL AS INTEGER) AS documento_consultor
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT 1, c_custkey, c_custkey, NULL, NULL, NULL, c_mktsegment, c_nationkey FROM customer),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ot, fecha, valor, producto, ciudad, documento_consultor
+                                                       ORDER BY s, pos) AS rn FROM src) WHERE rn = 1),
+filled AS (
+  SELECT DISTINCT ot,
+    coalesce(last_value(fecha IGNORE NULLS) OVER w1, first_value(fecha IGNORE NULLS) OVER w2) AS fecha,
+    coalesce(last_value(valor IGNORE NULLS) OVER w1, first_value(valor IGNORE NULLS) OVER w2) AS valor,
+    coalesce(last_value(producto IGNORE NULLS) OVER w1, first_value(producto IGNORE NULLS) OVER w2) AS producto,
+    coalesce(last_value(ciudad IGNORE NULLS) OVER w1, first_value(ciudad IGNORE NULLS) OVER w2) AS ciudad,
+    coalesce(last_value(documento_consultor IGNORE NULLS) OVER w1,
+             first_value(documento_consultor IGNORE NULLS) OVER w2) AS documento_consultor
+  FROM firsts WHERE ot IS NOT NULL
+  WINDOW w1 AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         w2 AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+staff AS (
+  SELECT s_nationkey AS documento_consultor, s_name AS nombre_consultor,
+         CASE WHEN s_acctbal < 0 THEN 'CONSULTOR IT' ELSE 'CONSULTOR' END AS cargo_actual,
+         CASE WHEN s_acctbal > 5000 THEN 'BOGOTA' END AS ciudad
+  FROM supplier),
+staff_ok AS (SELECT * FROM staff WHERE NOT coalesce(cargo_actual = 'CONSULTOR IT'
+                                                    AND nombre_consultor IS DISTINCT FROM 'Supplier#000000003', false)),
+joined AS (
+  SELECT DISTINCT f.documento_consultor, f.ot, f.fecha, f.valor, f.producto, coalesce(f.ciudad, s.ciudad) AS ciudad,
+         s.nombre_consultor, s.cargo_actual
+  FROM filled f LEFT JOIN staff_ok s ON s.documento_consultor = f.documento_consultor),
+norm AS (
+  SELECT documento_consultor, ot, fecha, producto, ciudad, cargo_actual,
+         CASE WHEN coalesce(nombre_consultor, '') = '' THEN 'SIN ASIGNACION' ELSE nombre_consultor END AS nombre_consultor,
+         round_even(coalesce(valor, 0.0) / 1000.0, 2) AS valor
+  FROM joined)
+SELECT 'ALT-MAR24-' || lpad(CAST(row_number() OVER (ORDER BY ot, fecha, producto, valor, ciudad, documento_consultor,
+                                                    nombre_consultor, cargo_actual) AS VARCHAR), 8, '0') AS nuv,
+       ot, fecha, producto, CAST(valor AS DOUBLE) AS valor, ciudad, documento_consultor, nombre_consultor, cargo_actual,
+       coalesce(nullif(CASE WHEN contains(nombre_consultor, '(VACANTE)') OR documento_consultor IS NULL
+                                 OR CAST(documento_consultor AS VARCHAR) = 'None' THEN 'INACTIVO' ELSE 'ACTIVO' END, ''),
+                'PENDIENTE_ESTADO') AS estado_consultor,
+       CAST(NULL AS VARCHAR) AS ot_reemplazada
+FROM norm
+""")
+def job_segment_report(spark, sf_dir):
+    from ledgerline.jobs import segment_report as g13
+    sources, staff = g13.demo_inputs(Tables(spark, sf_dir))
+    return g13.build(sources, staff, g13.DEMO_PARAMS)
