@@ -253,3 +253,46 @@ def job_segment_report(spark, sf_dir):
     from ledgerline.jobs import segment_report as g13
     sources, staff = g13.demo_inputs(Tables(spark, sf_dir))
     return g13.build(sources, staff, g13.DEMO_PARAMS)
+
+
+TARGET_SHEET_SQL = """
+SELECT '{s}' AS hoja_fuente, o_orderkey AS pos,
+  CASE WHEN o_totalprice < 20000 THEN NULL WHEN o_totalprice < 40000 THEN 'VACANTE'
+       WHEN o_totalprice > 450000 THEN CAST(o_custkey * 10000000 AS VARCHAR)
+       ELSE CAST(o_custkey AS VARCHAR) || ' ' END AS cc,
+  CASE WHEN o_orderstatus = 'P' THEN 'Vacante comercial' ELSE 'Consultor ' || CAST(o_custkey AS VARCHAR) END AS nombre,
+  CASE WHEN o_totalprice > 400000 THEN 'Brumario' ELSE
+    ['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre'][month(o_orderdate)] END AS mes_txt,
+  o_orderstatus AS tipo, o_totalprice AS couta_mes
+FROM orders WHERE o_orderpriority = '{s}'"""
+
+
+@query("job_targets", "G15 S2 U1 S17 X32 X33 N24 F19 N18 X19 C1", sql="""
+WITH sheets AS (""" + "\nUNION ALL\n".join(TARGET_SHEET_SQL.format(s=s) for s in
+                                            ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]) + """),
+org AS (
+  SELECT c_custkey AS identificacion, c_nationkey AS id_cargo, 1 AS version FROM customer
+  UNION ALL SELECT c_custkey, c_nationkey + 100, 2 FROM customer WHERE c_acctbal > 0
+  UNION ALL SELECT c_custkey, 999, 2 FROM customer WHERE c_mktsegment = 'BUILDING'
+  UNION ALL SELECT c_custkey, 0, 2 FROM customer WHERE c_mktsegment = 'MACHINERY'),
+roles AS (SELECT DISTINCT identificacion, id_cargo FROM org
+          WHERE version = (SELECT max(version) FROM org) AND identificacion <> 0 AND id_cargo <> 0),
+norm AS (
+  SELECT *, replace(coalesce(cc, '11'), ' ', '') AS doc0 FROM sheets),
+docs AS (
+  SELECT *, TRY_CAST(CASE WHEN contains(lower(doc0), 'vacante') OR contains(lower(nombre), 'vacante') THEN '11'
+                          ELSE doc0 END AS BIGINT) AS ident FROM norm)
+SELECT upper(md5(concat_ws('|', 'RUN-TARGETS-0001', hoja_fuente, CAST(pos AS VARCHAR)))) AS id,
+       'RUN-TARGETS-0001' AS id_ejecucion,
+       CASE WHEN d.ident > 2147483647 THEN -2147483648 ELSE d.ident END AS identificacion,
+       d.nombre, CAST(coalesce(r.id_cargo, 0) AS INTEGER) AS id_cargo, 2024 AS anio,
+       CAST(list_position(['ENERO','FEBRERO','MARZO','ABRIL','MAYO','JUNIO','JULIO','AGOSTO','SEPTIEMBRE',
+                           'OCTUBRE','NOVIEMBRE','DICIEMBRE'], upper(mes_txt)) AS INTEGER) AS mes,
+       d.hoja_fuente, d.tipo, d.couta_mes, TIMESTAMP '2024-02-01 00:00:00' AS fecha_procesamiento,
+       'METAS' AS fuente, 1 AS id_estado_registro, CAST(NULL AS VARCHAR) AS detalle
+FROM docs d LEFT JOIN roles r ON r.identificacion = d.ident
+""")
+def job_targets(spark, sf_dir):
+    from ledgerline.jobs import targets as g15
+    sheets, org = g15.demo_inputs(Tables(spark, sf_dir))
+    return g15.build(sheets, org, g15.DEMO_RUN, "METAS")
