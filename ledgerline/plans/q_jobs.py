@@ -296,3 +296,15 @@ def job_targets(spark, sf_dir):
     from ledgerline.jobs import targets as g15
     sheets, org = g15.demo_inputs(Tables(spark, sf_dir))
     return g15.build(sheets, org, g15.DEMO_RUN, "METAS")
+
+
+def _g18_sql() -> str:
+    import os
+    return open(os.path.join(os.path.dirname(__file__), "sql", "job_fixed_sales.sql"), encoding="utf-8").read()
+
+
+@query("job_fixed_sales", "G18 F15 J6 F8 X22 X23 X12 X32 X20 C1", sql=_g18_sql())
+def job_fixed_sales(spark, sf_dir):
+    from ledgerline.jobs import fixed_sales as g18
+    sales = g18.window(g18.demo_sales(Tables(spark, sf_dir).orders), g18.DEMO_RUN_DATE)
+    return g18.curate(sales, g18.DEMO_RUN, "VENTAS FIJO")
