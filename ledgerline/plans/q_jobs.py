@@ -308,3 +308,82 @@ def job_fixed_sales(spark, sf_dir):
     from ledgerline.jobs import fixed_sales as g18
     sales = g18.window(g18.demo_sales(Tables(spark, sf_dir).orders), g18.DEMO_RUN_DATE)
     return g18.curate(sales, g18.DEMO_RUN, "VENTAS FIJO")
+
+
+@query("job_warehouse_extracts", "G9 N21 N20 U2 X10 X11 X38 X30 N3 F13", sql="""
+WITH A AS (SELECT l_orderkey AS co_id, l_suppkey AS customer_id, l_suppkey AS cod_agente, l_linenumber AS cod_mercado,
+                  l_partkey AS cod_plan_origen, l_partkey + 1 AS cod_plan_destino, l_shipdate AS fe_creacion,
+                  CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS no_ejecutado FROM lineitem),
+plans AS (SELECT p_partkey AS cod_plan, p_name AS plan_desc, p_retailprice AS vlr_cfm,
+                 CASE WHEN p_size > 25 THEN 'S' ELSE 'N' END AS ban_pyme FROM part),
+agents AS (SELECT s_suppkey AS cod_agente, s_name AS region_comercial, CAST(s_nationkey AS VARCHAR) AS canal FROM supplier),
+regions AS (SELECT n_nationkey AS cod_mercado, n_name AS region_desc FROM nation),
+hist AS (SELECT l_orderkey AS co_id, l_partkey AS cod_plan_origen, l_partkey + 1 AS cod_plan_destino
+         FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'),
+ext AS (
+SELECT A.co_id, 'NEG_PLANES' AS flag, A.customer_id, D.region_comercial, D.canal, E.region_desc AS region_geografica,
+       strftime(A.fe_creacion, '%d/%m/%Y') AS fe_creacion,
+       I.cod_plan AS cod_plan_origen, I.plan_desc AS ds_plan_origen, CAST(I.vlr_cfm AS DOUBLE) AS cfm_plan_origen,
+       J.cod_plan AS cod_plan_destino, J.plan_desc AS ds_plan_destino, PN.ban_pyme AS plan_negocios,
+       CASE WHEN A.no_ejecutado = 1 THEN 'Cerrado' ELSE 'Abierto' END AS estado_tickler
+FROM A
+LEFT JOIN agents D ON A.cod_agente = D.cod_agente
+LEFT JOIN regions E ON A.cod_mercado = E.cod_mercado
+LEFT JOIN plans I ON A.cod_plan_origen = I.cod_plan
+LEFT JOIN plans J ON A.cod_plan_destino = J.cod_plan
+LEFT JOIN plans PN ON J.cod_plan = PN.cod_plan
+WHERE CAST(A.fe_creacion AS DATE) >= DATE '1998-01-01' AND PN.ban_pyme = 'S')
+SELECT * FROM ext e WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.co_id = e.co_id
+  AND h.cod_plan_origen IS NOT DISTINCT FROM e.cod_plan_origen AND h.cod_plan_destino IS NOT DISTINCT FROM e.cod_plan_destino)
+""")
+def job_warehouse_extracts(spark, sf_dir):
+    from ledgerline.jobs import warehouse as g9
+    t = Tables(spark, sf_dir)
+    li = t.lineitem
+    fact = li.select(F.col("l_orderkey").alias("co_id"), F.col("l_suppkey").alias("customer_id"),
+                     F.col("l_suppkey").alias("cod_agente"), F.col("l_linenumber").alias("cod_mercado"),
+                     F.col("l_partkey").alias("cod_plan_origen"), (F.col("l_partkey") + 1).alias("cod_plan_destino"),
+                     F.col("l_shipdate").alias("fe_creacion"),
+                     F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("no_ejecutado"))
+    views = {
+        "wh_fact": fact,
+        "wh_plans": t.part.select(F.col("p_partkey").alias("cod_plan"), F.col("p_name").alias("plan_desc"),
+                                  F.col("p_retailprice").alias("vlr_cfm"),
+                                  F.when(F.col("p_size") > 25, "S").otherwise("N").alias("ban_pyme")),
+        "wh_agents": t.supplier.select(F.col("s_suppkey").alias("cod_agente"), F.col("s_name").alias("region_comercial"),
+                                       F.col("s_nationkey").cast("string").alias("canal")),
+        "wh_regions": t.nation.select(F.col("n_nationkey").alias("cod_mercado"), F.col("n_name").alias("region_desc")),
+    }
+    sql = g9.PLAN_CHANGES_SQL.format(fact="wh_fact", agents="wh_agents", regions="wh_regions", plans="wh_plans",
+                                     since="1998-01-01")
+    hist = fact.filter(F.col("fe_creacion") < F.lit("1999-01-01").cast("timestamp_ntz"))
+    return g9.extract_new(spark, views, sql, hist, ["co_id", "cod_plan_origen", "cod_plan_destino"])
+
+
+@query("job_warehouse_activations", "G9 U2 X10 X11 F13", sql="""
+WITH M AS (SELECT o_orderkey AS co_id, o_orderpriority AS plan, o_custkey AS ssn,
+                  CASE WHEN o_orderstatus = 'F' THEN 'razón ' ELSE 'razon ' END || CAST(o_orderkey % 1000 AS VARCHAR) AS razon_inicial,
+                  o_orderpriority || ' - ' || o_orderstatus || 'CICLO' AS ciclo FROM orders),
+R5 AS (SELECT c_custkey AS identificacion, c_mktsegment AS segmento FROM customer WHERE c_acctbal > 0)
+SELECT 'NEGOCIOS' AS segmento, R5.segmento AS flag, M.co_id, M.plan, translate(M.razon_inicial, 'áéíóú', 'aeiou') AS razon_inicial,
+       substring(M.ciclo, position(' - ' IN M.ciclo) + 2, 3) AS ciclo
+FROM M JOIN R5 ON M.ssn = R5.identificacion
+WHERE (M.razon_inicial LIKE '%32%' OR M.razon_inicial LIKE '%57%' OR M.razon_inicial LIKE '%118%')
+UNION
+SELECT 'NEGOCIOS', R5.segmento, M.co_id, M.plan, translate(M.razon_inicial, 'áéíóú', 'aeiou'),
+       substring(M.ciclo, position(' - ' IN M.ciclo) + 2, 3)
+FROM M JOIN R5 ON M.ssn = R5.identificacion
+WHERE (M.razon_inicial LIKE '%333%' OR M.razon_inicial LIKE '%444%')
+""")
+def job_warehouse_activations(spark, sf_dir):
+    from ledgerline.jobs import warehouse as g9
+    t = Tables(spark, sf_dir)
+    m = t.orders.select(
+        F.col("o_orderkey").alias("co_id"), F.col("o_orderpriority").alias("plan"), F.col("o_custkey").alias("ssn"),
+        F.concat(F.when(F.col("o_orderstatus") == "F", F.lit("razón ")).otherwise(F.lit("razon ")),
+                 (F.col("o_orderkey") % 1000).cast("string")).alias("razon_inicial"),
+        F.concat_ws("", F.col("o_orderpriority"), F.lit(" - "), F.col("o_orderstatus"), F.lit("CICLO")).alias("ciclo"))
+    r5 = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("identificacion"),
+                                                         F.col("c_mktsegment").alias("segmento"))
+    sql = g9.activations_sql("wh_activations", "wh_segments", ["32", "57", "118"], ["333", "444"])
+    return g9.run_sql(spark, {"wh_activations": m, "wh_segments": r5}, sql)
