@@ -387,3 +387,86 @@ def job_warehouse_activations(spark, sf_dir):
                                                          F.col("c_mktsegment").alias("segmento"))
     sql = g9.activations_sql("wh_activations", "wh_segments", ["32", "57", "118"], ["333", "444"])
     return g9.run_sql(spark, {"wh_activations": m, "wh_segments": r5}, sql)
+
+
+def _org_sheet(t):
+    s, n, r = t.supplier, t.nation, t.region
+    sheet = s.join(n.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey") \
+             .join(r.withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    boss = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("__b"))
+    sheet = sheet.join(boss, "s_nationkey")
+    return sheet.select(
+        F.when(F.col("s_acctbal") < 0, F.concat(F.col("s_name"), F.lit(" (VACANTE)"))).otherwise(F.col("s_name"))
+         .alias("NOMBRE"),
+        (F.col("s_suppkey") * 1000003 + 10000000000).cast("string").alias("No DOCUMENTO"),
+        F.when(F.col("s_suppkey") == F.col("__b"), F.lit("Jefe de Ventas"))
+         .otherwise(F.concat(F.lit(" consultor  "), F.col("r_name"))).alias("CARGO ACTUAL"),
+        F.col("r_name").alias("SEGMENTO"), F.concat(F.lit("\t"), F.col("n_name")).alias("CANAL"),
+        F.concat(F.lit("Supplier#"), F.lpad(F.col("__b").cast("string"), 9, "0")).alias("NOMBRE JEFE"))
+
+
+@query("job_org_chart", "G14 A4 N6 W6 N7 X14 X13 A3 C7 N11 N12 X15 X8 C8 C10", sql="""
+WITH boss AS (SELECT s_nationkey, min(s_suppkey) AS b FROM supplier GROUP BY 1),
+sheet AS (
+  SELECT CASE WHEN s.s_acctbal < 0 THEN s.s_name || ' (VACANTE)' ELSE s.s_name END AS nombre_raw,
+         CAST(s.s_suppkey * 1000003 + 10000000000 AS VARCHAR) AS doc,
+         CASE WHEN s.s_suppkey = b.b THEN 'Jefe de Ventas' ELSE ' consultor  ' || r.r_name END AS cargo,
+         r.r_name AS segmento, chr(9) || n.n_name AS canal,
+         'Supplier#' || lpad(CAST(b.b AS VARCHAR), 9, '0') AS jefe
+  FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+  JOIN boss b ON b.s_nationkey = s.s_nationkey),
+clean AS (
+  SELECT *, regexp_replace(regexp_replace(regexp_replace(upper(cargo), '^\\s+|\\s+$', '', 'g'), '[\\n\\r\\t]', '', 'g'), '  ', '', 'g') AS c_cargo,
+            regexp_replace(regexp_replace(regexp_replace(upper(segmento), '^\\s+|\\s+$', '', 'g'), '[\\n\\r\\t]', '', 'g'), '  ', '', 'g') AS c_segmento,
+            regexp_replace(regexp_replace(regexp_replace(upper(canal), '^\\s+|\\s+$', '', 'g'), '[\\n\\r\\t]', '', 'g'), '  ', '', 'g') AS c_canal
+  FROM sheet),
+cands AS (SELECT DISTINCT 'cargo' AS dominio, c_cargo AS valor FROM clean
+          UNION SELECT 'segmento', c_segmento FROM clean UNION SELECT 'canal', c_canal FROM clean),
+existing AS (SELECT dominio, valor, row_number() OVER (PARTITION BY dominio ORDER BY valor) * 10 AS id
+             FROM cands WHERE valor < 'M'),
+fresh AS (SELECT c.* FROM cands c WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE e.dominio = c.dominio AND e.valor = c.valor)),
+newids AS (SELECT f.dominio, f.valor, coalesce((SELECT max(id) FROM existing e WHERE e.dominio = f.dominio), 0)
+                  + row_number() OVER (PARTITION BY f.dominio ORDER BY f.valor) AS id FROM fresh f),
+dom AS (SELECT dominio, valor, id FROM existing UNION ALL SELECT * FROM newids),
+people AS (SELECT upper(md5(concat_ws('|', 'PERSONA', 'jefe',
+                  regexp_replace(regexp_replace(nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g')))) AS id_persona,
+                  regexp_replace(regexp_replace(nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre
+           FROM sheet WHERE contains(lower(cargo), 'jefe')),
+fixed AS (SELECT *, CASE WHEN length(doc) IN (9, 11) AND starts_with(doc, '1') THEN substring(doc, 2) ELSE doc END AS ident
+          FROM clean)
+SELECT upper(md5(concat_ws('|', 'RUN-ORG-0001', f.ident, 'PLANTA COMERCIAL'))) AS id,
+       regexp_replace(regexp_replace(f.nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre_completo,
+       f.ident AS identificacion, right(f.doc, 8) AS codigo_dealer,
+       CAST(dc.id AS BIGINT) AS id_cargo, CAST(ds.id AS BIGINT) AS id_segmento, CAST(dn.id AS BIGINT) AS id_canal,
+       p.id_persona AS id_jefe,
+       CASE WHEN contains(f.nombre_raw, '(VACANTE)') THEN 4 ELSE 1 END AS id_estado_registro,
+       2 AS version, 'PLANTA COMERCIAL' AS fuente
+FROM fixed f
+LEFT JOIN dom dc ON dc.dominio = 'cargo' AND dc.valor = f.c_cargo
+LEFT JOIN dom ds ON ds.dominio = 'segmento' AND ds.valor = f.c_segmento
+LEFT JOIN dom dn ON dn.dominio = 'canal' AND dn.valor = f.c_canal
+LEFT JOIN people p ON p.nombre = regexp_replace(regexp_replace(f.jefe, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g')
+""")
+def job_org_chart(spark, sf_dir):
+    import datetime as _dt
+    from pyspark.sql import Window
+    from ledgerline.jobs import org_chart as g14
+    from ledgerline.operators.lifecycle import Run
+    t = Tables(spark, sf_dir)
+    sheet = _org_sheet(t)
+    run = Run(job="org_chart", run_id="RUN-ORG-0001", started=_dt.datetime(2024, 4, 1))
+    # Domain rows and persons already loaded (derived from the data itself).
+    cands = g14.domain_candidates(sheet, list(g14.ORG_DOMAINS), clean=g14.deep_clean)
+    names = F.create_map(*[x for k, v in g14.ORG_DOMAINS.items() for x in (F.lit(k), F.lit(v))])
+    cands = cands.withColumn("dominio", names[F.col("dominio")]).distinct()
+    w = Window.partitionBy("dominio").orderBy("valor")
+    existing = cands.filter(F.col("valor") < "M").withColumn("id", (F.row_number().over(w) * 10).cast("bigint"))
+    fresh = g14.domain_updates(sheet, existing, run)
+    domains = existing.unionByName(fresh.select("dominio", "valor", "id"))
+    people_existing = spark.createDataFrame([], "rol string, id_persona string, nombre string, "
+                                                "identificacion string, id_estado_registro int")
+    new_people, _ = g14.person_updates(sheet, people_existing.drop("rol", "id_persona"), run)
+    from ledgerline.operators.lifecycle import next_version
+    previous_fact = sheet.select(F.lit(1).alias("version"))  # the load before this one
+    version = next_version(previous_fact)                   # C8: max + 1
+    return g14.build_fact(sheet, domains, new_people, version, "PLANTA COMERCIAL", run)
