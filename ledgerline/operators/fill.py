@@ -6,22 +6,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def group_fill(df: DataFrame, key: str, order: list, cols: list[str] | None = None,
-               distinct: bool = True) -> DataFrame:
-    """Per key, forward-fill then back-fill every column, then de-duplicate.
+def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None = None,
+               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """Per key, forward-fill then back-fill every column (pandas
+    ``groupby(key).apply(ffill().bfill())``), then optionally de-duplicate.
 
-    Null keys are dropped first (pandas ``groupby`` drops them).  All columns
-    share two frames over one ordering, so Spark sorts once.
+    Null keys are dropped first (pandas ``groupby`` drops them).
+
+    Two-level scan, so a key holding a large share of the rows is neither
+    funnelled into one task nor rescanned per row:
+
+    1. rows are range-partitioned on (key, order) -- a hot key is cut into
+       several ordered chunks -- and checkpointed, so the chunking is fixed
+       even if a task is recomputed;
+    2. inside each (chunk, key) both fills are running windows (the
+       backward fill is a forward fill in reverse order): linear work;
+    3. a summary with one row per (key, chunk) holds each column's last and
+       first non-null value; a window over those few rows per key gives the
+       value carried in from earlier / later chunks;
+    4. filled = coalesce(fill within chunk, carried from before,
+       back-fill within chunk, carried from after).
     """
+    spark = df.sparkSession
     cols = cols or [c for c in df.columns if c != key]
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asc = [F.col(c).asc_nulls_last() for c in order]
+    desc = [F.col(c).desc_nulls_first() for c in order]
     base = df.filter(F.col(key).isNotNull())
-    spec = Window.partitionBy(key).orderBy(*[F.col(c) if isinstance(c, str) else c for c in order])
-    fwd = spec.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bwd = spec.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    filled = base.withColumns({
-        c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(fwd),
-                      F.first(F.col(c), ignorenulls=True).over(bwd))
-        for c in cols})
+    chunks = (base.repartitionByRange(n, F.col(key).asc(), *asc)
+                  .withColumn("__pid", F.spark_partition_id())
+                  .checkpoint(eager=True))
+    fwd = Window.partitionBy("__pid", key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rev = Window.partitionBy("__pid", key).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = chunks.withColumns({
+        **{f"__f_{i}": F.last(F.col(c), ignorenulls=True).over(fwd) for i, c in enumerate(cols)},
+        **{f"__b_{i}": F.last(F.col(c), ignorenulls=True).over(rev) for i, c in enumerate(cols)}})
+    pos = F.struct(*[F.col(c) for c in order])
+    summary = chunks.groupBy(key, "__pid").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__l_{i}") for i, c in enumerate(cols)],
+        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__h_{i}") for i, c in enumerate(cols)])
+    before = Window.partitionBy(key).orderBy(F.col("__pid").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(key).orderBy(F.col("__pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(
+        key, "__pid",
+        *[F.last(F.col(f"__l_{i}"), ignorenulls=True).over(before).alias(f"__cf_{i}") for i in range(len(cols))],
+        *[F.last(F.col(f"__h_{i}"), ignorenulls=True).over(after).alias(f"__cb_{i}") for i in range(len(cols))])
+    joined = local.join(carry, [key, "__pid"], "left")
+    filled = joined.withColumns({
+        c: F.coalesce(F.col(f"__f_{i}"), F.col(f"__cf_{i}"), F.col(f"__b_{i}"), F.col(f"__cb_{i}"))
+        for i, c in enumerate(cols)})
+    filled = filled.select(*df.columns)
     return filled.distinct() if distinct else filled
 
 

@@ -70,3 +70,22 @@ def test_numbering_spreads_a_hot_group(spark):
     o = Tables(spark, SF001).orders.select("o_orderkey", F.lit("HOT").alias("g"))
     out = number_rows(o, ["o_orderkey"], group=["g"], name="n", num_partitions=4)
     assert out.agg(F.max("n")).first()[0] == o.count()
+
+
+def test_group_fill_hot_key_split_across_chunks_matches_pandas(spark):
+    import pandas as pd
+    data = []
+    for i in range(400):
+        key = "HOT" if i % 4 else f"k{i % 5}"          # one key holds 3/4 of the rows
+        a = None if (i % 7 and i % 11) else float(i)    # sparse values, gaps across chunks
+        b = None if i < 150 or i % 5 else f"b{i}"       # leading nulls: needs back-fill
+        data.append((key, i, a, b))
+    df = spark.createDataFrame(data, "k string, o int, a double, b string")
+    got = group_fill(df, "k", ["o"], ["a", "b"], distinct=False, num_partitions=6)
+    got = {r["o"]: (r["a"], r["b"]) for r in got.collect()}
+    pdf = pd.DataFrame(data, columns=["k", "o", "a", "b"]).sort_values(["k", "o"])
+    exp = pdf.groupby("k", group_keys=False)[["o", "a", "b"]].apply(lambda g: g.ffill().bfill())
+    for _, r in exp.iterrows():
+        a = None if pd.isna(r["a"]) else r["a"]
+        b = None if pd.isna(r["b"]) else r["b"]
+        assert got[int(r["o"])] == (a, b)
