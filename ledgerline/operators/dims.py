@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.constants import NOT_APPLICABLE
 from ledgerline.functions.text import deep_clean
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.joins import small_side
+from ledgerline.operators.joins import small_side  # noqa: F401 (re-exported)
 from ledgerline.operators.numbering import number_rows
 
 

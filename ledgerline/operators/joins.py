@@ -17,10 +17,19 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when the probe proves it small; otherwise leave the
-    choice to the planner (sort-merge join, or AQE's runtime broadcast)."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, probe: bool = False) -> DataFrame:
+    """The lookup side of a dimension join.
+
+    Default: no hint.  Adaptive execution measures the side's real size
+    after its stage runs and switches to a broadcast join only under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- a measured bound,
+    at no extra pass.  ``probe=True`` adds an explicit bounded row-count
+    check (``limit(max_rows + 1).count()``) and hints the broadcast; use it
+    only for inputs that are cheap to count (materialised domain tables,
+    configuration frames), since the probe is a job of its own."""
+    if probe:
+        return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+    return df
 
 
 def _null_placeholder(dt: DataType) -> Column:

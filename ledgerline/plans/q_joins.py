@@ -79,7 +79,7 @@ def two_role_dimension(spark, sf_dir):
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nacion_cliente"))
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nacion_proveedor"),
                        F.col("n_regionkey").alias("sn_region"))
-    f = f.join(F.broadcast(cn), "c_nationkey", "left").join(F.broadcast(sn), "s_nationkey", "left")
+    f = f.join(dims.small_side(cn), "c_nationkey", "left").join(dims.small_side(sn), "s_nationkey", "left")
     # The WHERE on the second role turns its outer join into an inner one.
     f = f.filter(F.col("sn_region") == 3)
     tipo = F.when(F.col("c_nationkey") == F.col("s_nationkey"), "LOCAL").otherwise("EXTERIOR")
