@@ -54,11 +54,11 @@ CLOUD_NUMERIC = ["id_cliente", "valor_unitario_sin_iva", "cedula_comercial"]
 
 
 def cloud_sales(df: DataFrame, history: DataFrame, run: Run, source: str = "CLOUD CORREOS") -> DataFrame:
-    """F5 J2 X2 X16 X24 N2 C1."""
+    """J2 F5 X2 X16 X24 N2 C1."""
+    df = C.rename_by_rule(df)
     df = df.filter(P.icontains("segmento_de_alta", "negocios")
                    & P.icontains("estado_inicial", "Activo Parallels")
                    & P.icontains("estado_final", "Activo"))
-    df = C.rename_by_rule(df)
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name not in CLOUD_NUMERIC]
     df = df.withColumns({c: T.deep_clean(c) for c in text})
     df = df.withColumns({c: N.digits_or_zero(c) for c in CLOUD_NUMERIC if c in df.columns})
