@@ -60,7 +60,15 @@ def in_period(ts, period: str) -> Column:
 
 def watermark(c, mark, inclusive: bool = False) -> Column:
     """incremental bound; the engine default is strict ``>``."""
-    m = mark if isinstance(mark, Column) else F.lit(mark)
+    import datetime as _dt
     if mark is None:
         return F.lit(True)
+    if isinstance(mark, Column):
+        m = mark
+    elif isinstance(mark, _dt.datetime):  # naive wall-clock, never the driver's local zone
+        m = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
+    elif isinstance(mark, _dt.date):
+        m = F.lit(mark.isoformat()).cast("date")
+    else:
+        m = F.lit(mark)
     return (_c(c) >= m) if inclusive else (_c(c) > m)

@@ -34,8 +34,8 @@ def domain_updates(sheet: DataFrame, existing: DataFrame, run: Run, domains=ORG_
     cands = cands.withColumn("dominio", names[F.col("dominio")]).distinct()
     fresh = new_domain_values(cands, existing.select("dominio", "valor"))
     return (assign_ids(fresh, existing, "id", "valor", group=["dominio"])
-            .withColumns({"fecha_creacion": F.lit(run.started).cast("timestamp_ntz"),
-                          "fecha_modificacion": F.lit(run.started).cast("timestamp_ntz"),
+            .withColumns({"fecha_creacion": F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
+                          "fecha_modificacion": F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
                           "id_estado_registro": F.lit(STATE_ACTIVE)}))
 
 

@@ -38,7 +38,7 @@ def build(sheets: dict[str, DataFrame], org_chart: DataFrame, run: Run, source:
         F.lit(run.started.year).alias("anio"),
         month_number("Mes").alias("mes"),                                                               # X32
         "hoja_fuente", F.col("Tipo").alias("tipo"), F.col("Meta").alias("couta_mes"),
-        F.lit(run.started).cast("timestamp_ntz").alias("fecha_procesamiento"),
+        F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz").alias("fecha_procesamiento"),
         F.lit(source).alias("fuente"), F.lit(STATE_ACTIVE).alias("id_estado_registro"),
         (F.col("Detalle") if "Detalle" in tagged.columns else F.lit(None).cast("string")).alias("detalle"))
     roles = (latest_version(org_chart, "version")                                                       # N24

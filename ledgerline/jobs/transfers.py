@@ -18,7 +18,7 @@ from ledgerline.functions.text import clean_all_strings, remove_special
 from ledgerline.functions.values import net_value, recode_category
 from ledgerline.operators.columns import rename_map
 from ledgerline.operators.dedupe import keep_first
-from ledgerline.operators.incremental import max_value
+from ledgerline.operators.incremental import max_value, typed_literal
 from ledgerline.operators.lifecycle import Run, stamp
 from ledgerline.operators.setops import align_to_schema, union_all
 
@@ -39,7 +39,8 @@ def consolidate(sources: list[TransferSource], target: DataFrame | None, schema:
     for rank, src in enumerate(sources):
         df = src.table
         if mark is not None:                                                    # F17
-            cond = F.col(processed_col) >= F.lit(mark) if inclusive else F.col(processed_col) > F.lit(mark)
+            lit = typed_literal(mark, dict(df.dtypes)[processed_col])
+            cond = F.col(processed_col) >= lit if inclusive else F.col(processed_col) > lit
             df = df.filter(cond)
         df = rename_map(df.drop(processed_col), src.rename)
         df = df.withColumns({c: F.coalesce(F.col(c).try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))

@@ -81,6 +81,18 @@ def max_value(df: DataFrame, col: str):
     return df.agg(F.max(col).alias("m")).first()["m"]
 
 
+def typed_literal(value, data_type: str):
+    """A collected scalar back as a literal of the column's own type.
+
+    Date/time values go through ISO text: a naive Python ``datetime`` would
+    otherwise be read in the driver's local time zone and shift."""
+    import datetime as _dt
+    if isinstance(value, (_dt.datetime, _dt.date)):
+        text = value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else value.isoformat()
+        return F.lit(text).cast(data_type)
+    return F.lit(value).cast(data_type)
+
+
 def watermark_increment(source: DataFrame, target: DataFrame, col: str,
                         target_col: str | None = None, inclusive: bool = False) -> DataFrame:
     """Rows of ``source`` newer than the newest row already loaded.
@@ -92,7 +104,8 @@ def watermark_increment(source: DataFrame, target: DataFrame, col: str,
     mark = max_value(target, target_col or col)
     if mark is None:
         return source
-    cond = F.col(col) >= F.lit(mark) if inclusive else F.col(col) > F.lit(mark)
+    lit = typed_literal(mark, dict(source.dtypes)[col])
+    cond = F.col(col) >= lit if inclusive else F.col(col) > lit
     return source.filter(cond)
 
 

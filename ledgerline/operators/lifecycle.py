@@ -37,7 +37,7 @@ def stamp(df: DataFrame, run: Run, source: str | None, key_cols: list[str] | Non
     cols = {
         "id": row_id(*keys, run_id=run.run_id),
         "id_ejecucion": F.lit(run.run_id),
-        processed_col: F.lit(run.started).cast("timestamp_ntz"),
+        processed_col: F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
         "id_estado": F.lit(str(state)),
     }
     if source is not None:  # None keeps a per-row 'fuente' already present
@@ -130,8 +130,9 @@ def latest_version(df: DataFrame, version_col: str = "version",
     Global: the max is collected as a literal so it prunes partitions of a
     version-partitioned table.  Per source: a combinable max joined back."""
     if not per:
+        from ledgerline.operators.incremental import typed_literal
         m = df.agg(F.max(version_col).alias("m")).first()["m"]
-        return df.filter(F.col(version_col) == F.lit(m))
+        return df.filter(F.col(version_col) == typed_literal(m, dict(df.dtypes)[version_col]))
     mx = df.groupBy(*per).agg(F.max(version_col).alias("__mv"))
     return (df.join(mx, on=per, how="inner")
               .filter(F.col(version_col) == F.col("__mv")).drop("__mv"))

@@ -50,7 +50,10 @@ def main():
     sf_dir = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
     names = [a for a in args if not a.startswith("/")]
     reg = load_all()
-    spark = build_session("local[8]", shuffle_partitions=8)
+    extra = {}
+    if os.environ.get("CHECK_SESSION_TZ"):
+        extra["spark.sql.session.timeZone"] = os.environ["CHECK_SESSION_TZ"]
+    spark = build_session("local[8]", shuffle_partitions=8, extra=extra)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
