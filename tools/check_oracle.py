@@ -26,6 +26,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return (1, "nan")
+        if os.environ.get("CHECK_EXACT"):
+            return (1, repr(v))
         return (1, f"{v:.6g}" if abs(v) >= 1e15 else f"{round(v, 6):.6f}")
     if hasattr(v, "isoformat"):
         return (2, v.isoformat())
