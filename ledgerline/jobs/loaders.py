@@ -32,7 +32,7 @@ def upsell_csv(spark: SparkSession, path: str, history: DataFrame, run: Run, sou
                                                         for i, f in enumerate(contracts.UPSELL_CSV.fields)})
     df = readers.read_headerless_csv(spark, path, wide, keep=width)
     df = df.filter(P.positive_amount("monthly_rental_charge"))
-    df = new_rows(df, history, ["cuenta", "ot", "service_code"])
+    df = new_rows(df, history, ["cuenta", "ot", "service_code"], reduce_history=True)
     return stamp(T.clean_all_strings(df), run, source, ["cuenta", "ot", "service_code"])
 
 
@@ -45,7 +45,7 @@ def sales_csv(spark: SparkSession, path: str, history: DataFrame, run: Run, sour
     df = df.select(*[v[0] for _, v in sorted(contracts.SALES_CSV_POSITIONS.items())])
     df = df.withColumn("fecha", D.date_from_parts("dia", "mes", "anio_2"))
     df = df.withColumn("valor", F.col("valor").try_cast("double")).filter(P.positive_amount("valor"))
-    df = new_rows(df, history, ["cuenta", "ot", "codigo_servicio_ad"])
+    df = new_rows(df, history, ["cuenta", "ot", "codigo_servicio_ad"], reduce_history=True)
     return stamp(df, run, source, ["cuenta", "ot", "codigo_servicio_ad"])
 
 
@@ -66,7 +66,7 @@ def cloud_sales(df: DataFrame, history: DataFrame, run: Run, source: str = "CLOU
                        .otherwise(F.col("cedula_comercial")))
     df = df.withColumn("reto_estrategico", V.keep_if_in("reto_estrategico", ["SI", "NO"], "NO"))
     df = df.withColumn("tipo_red", F.lit("CLOUD"))
-    df = new_rows(df, history, ["llave"])
+    df = new_rows(df, history, ["llave"], reduce_history=True)
     return stamp(df, run, source, ["llave"])
 
 
@@ -77,7 +77,7 @@ def code_master(df: DataFrame, history: DataFrame, run: Run, source: str) -> Dat
     df = V.fill_by_map(df, {"clasificacion": NOT_RECORDED, "clas_planeacion": NOT_RECORDED})
     df = df.withColumns({"capacidad_navegacion": N.coerce_number("capacidad_navegacion", "bigint"),
                          "soporte_pc": V.differs_from("saname", "SOPORTE PC")})
-    df = new_rows(df, history, ["saserv"])
+    df = new_rows(df, history, ["saserv"], reduce_history=True)
     return stamp(df, run, source, ["saserv"])
 
 
@@ -87,7 +87,7 @@ def network_nodes(df: DataFrame, history: DataFrame, run: Run, source: str) -> D
                          "nombre_nodo": T.truncate("nombre_nodo", 50),
                          "largo": N.coerce_number("largo", "bigint")})
     df = V.fill_all(df, number=0, text="0")
-    df = new_rows(df, history, ["id_nodo"])
+    df = new_rows(df, history, ["id_nodo"], reduce_history=True)
     return stamp(df, run, source, ["id_nodo"])
 
 
@@ -99,7 +99,7 @@ def reference_list(df: DataFrame, history: DataFrame, run: Run, source: str, key
     df = C.rename_by_rule(df)
     df = keep_first(df, key, ["_ingest_pos"]).drop("_ingest_pos")
     df = df.withColumns({c: D.excel_serial_to_date(c) for c in serial_date_cols})
-    df = new_rows(df, history, key)
+    df = new_rows(df, history, key, reduce_history=True)
     return stamp(df, run, source, key)
 
 
@@ -118,7 +118,7 @@ def legalised(a: DataFrame, b: DataFrame, c: DataFrame, history: DataFrame, run:
     for i, f in enumerate((la, lb, lc)):
         f = f.dropna(subset=["ot"])                                  # F4 before any text cast
         f = keep_first(f, ["ot"], ["_ingest_pos"]).drop("_ingest_pos")
-        frames.append(new_rows(f, history, ["ot"]).withColumn("layout", F.lit(i + 1)))
+        frames.append(new_rows(f, history, ["ot"], reduce_history=True).withColumn("layout", F.lit(i + 1)))
     return stamp(union_all(frames), run, source, ["ot", "layout"])
 
 
@@ -132,7 +132,7 @@ def virtual_db_orders(df: DataFrame, history: DataFrame, run: Run, source: str,
                          "telefono": T.remove_dots("telefono"),
                          "estado": F.upper("estado")})
     df = df.filter(P.not_matches("observacion", r"\*\*"))
-    df = new_rows(df, history, key)
+    df = new_rows(df, history, key, reduce_history=True)
     return stamp(df, run, source, key)
 
 

@@ -16,14 +16,17 @@ from pyspark.sql import functions as F
 from ledgerline.operators.joins import key_projection, normalised_keys
 
 
-# A batch with at most this many rows has its keys broadcast to cut history
-# down before any shuffle (a few million keys are tens of MB).
+# With ``reduce_history=True`` a batch of at most this many rows has its keys
+# broadcast to cut history down before any shuffle (a few million keys are
+# tens of MB).  Worth it when the batch is a small slice of a large history
+# (daily loads); when batch and history are of similar size it only adds
+# a probe and a broadcast, so the generic operator leaves it off.
 BATCH_KEY_BOUND = 5_000_000
 
 
 def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
-                history_keys=None, null_safe: bool = True,
-                batch_key_bound: int | None = BATCH_KEY_BOUND) -> DataFrame:
+                history_keys=None, null_safe: bool = True, reduce_history: bool = False,
+                batch_key_bound: int | None = None) -> DataFrame:
     history_keys = list(history_keys or keys)
     if len(history_keys) != len(keys):
         raise ValueError("batch and history key lists differ in length")
@@ -31,7 +34,8 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
     h = h.select(*names)
-    if batch_key_bound and batch.limit(batch_key_bound + 1).count() <= batch_key_bound:
+    bound = BATCH_KEY_BOUND if batch_key_bound is None else batch_key_bound
+    if reduce_history and bound and batch.limit(bound + 1).count() <= bound:
         # Daily batch vs. years of history: only history keys that occur in
         # the batch can matter.  The batch keys (bounded by the probe above)
         # are broadcast and history is semi-joined map-side, so the bulk of
@@ -42,15 +46,17 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-             history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
+             history_keys: list[str] | None = None, null_safe: bool = True,
+             reduce_history: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``history``."""
-    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe)
+    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe, reduce_history)
 
 
 def existing_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-                  history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
+                  history_keys: list[str] | None = None, null_safe: bool = True,
+                  reduce_history: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is present in ``history``."""
-    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe)
+    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe, reduce_history)
 
 
 def split_new_existing(batch: DataFrame, history: DataFrame, keys: list[str],

@@ -49,3 +49,9 @@ def test_contains_match_is_an_equi_join(spark, reg):
 def test_watermark_reaches_the_scan(spark, reg):
     text = formatted(spark, reg["watermark_increment"].build(spark, SF001))
     assert "GreaterThan(o_orderdate" in text
+
+
+def test_daily_loader_filters_history_by_batch_keys(spark, reg):
+    text = formatted(spark, reg["job_order_loader"].build(spark, SF001))
+    assert "LeftSemi" in text and "BroadcastExchange" in text
+    assert "LeftAnti" in text
