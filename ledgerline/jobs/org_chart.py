@@ -95,3 +95,10 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     """Commit a table and continue from what was written."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def commit(df: DataFrame, path: str | None = None) -> DataFrame:
+    """C10 as a lineage cut: write to ``path`` (a shared table location) when
+    given, else checkpoint to the cluster's reliable checkpoint folder.  The
+    fact then reads fixed ids instead of recomputing them per lookup."""
+    return materialise(df, path) if path else df.checkpoint(eager=True)

@@ -453,7 +453,7 @@ def job_org_chart(spark, sf_dir):
     from ledgerline.jobs import org_chart as g14
     from ledgerline.operators.lifecycle import Run
     t = Tables(spark, sf_dir)
-    sheet = _org_sheet(t)
+    sheet = g14.commit(_org_sheet(t))  # the landed sheet: read once
     run = Run(job="org_chart", run_id="RUN-ORG-0001", started=_dt.datetime(2024, 4, 1))
     # Domain rows and persons already loaded (derived from the data itself).
     cands = g14.domain_candidates(sheet, list(g14.ORG_DOMAINS), clean=g14.deep_clean)
@@ -462,10 +462,11 @@ def job_org_chart(spark, sf_dir):
     w = Window.partitionBy("dominio").orderBy("valor")
     existing = cands.filter(F.col("valor") < "M").withColumn("id", (F.row_number().over(w) * 10).cast("bigint"))
     fresh = g14.domain_updates(sheet, existing, run)
-    domains = existing.unionByName(fresh.select("dominio", "valor", "id"))
+    domains = g14.commit(existing.unionByName(fresh.select("dominio", "valor", "id")))   # C10
     people_existing = spark.createDataFrame([], "rol string, id_persona string, nombre string, "
                                                 "identificacion string, id_estado_registro int")
     new_people, _ = g14.person_updates(sheet, people_existing.drop("rol", "id_persona"), run)
+    new_people = g14.commit(new_people)                                                    # C10
     from ledgerline.operators.lifecycle import next_version
     previous_fact = sheet.select(F.lit(1).alias("version"))  # the load before this one
     version = next_version(previous_fact)                   # C8: max + 1
