@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once the checkpointed data is no longer referenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Dimension tables are small; let Catalyst/AQE broadcast sides whose
     # measured size is under this bound (runtime-checked, not assumed).
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
