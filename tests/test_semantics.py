@@ -140,3 +140,17 @@ def test_contains_join_is_literal_and_first_by_order(spark):
     dim = spark.createDataFrame([("MARIANA", 2), ("ANA (VACANTE)", 1), ("JUANA", 3)], "name string, pos int")
     out = dims.contains_first_match(probe, "p", dim, "name", ["pos"], "hit", default="NO APLICA")
     assert rows(out) == [("(vacante)", "ANA (VACANTE)"), ("ana", "ANA (VACANTE)"), ("zz", "NO APLICA")]
+
+
+def test_contains_match_two_dimensions_priority(spark):
+    probe = spark.createDataFrame([("ana",), ("luis",), ("zoe",)], "p string")
+    spec = spark.createDataFrame([("MARIANA", 1)], "name string, pos int")
+    coord = spark.createDataFrame([("ANA MARIA", 1), ("LUISA", 2)], "name string, pos int")
+    ind = dims.contains_match_two(probe, "p", (spec, "name", ["pos"]), (coord, "name", ["pos"]),
+                                  "esp", "coord", exclusive=False, default="NO APLICA")
+    assert rows(ind) == [("ana", "MARIANA", "ANA MARIA"), ("luis", "NO APLICA", "LUISA"),
+                         ("zoe", "NO APLICA", "NO APLICA")]
+    exc = dims.contains_match_two(probe, "p", (spec, "name", ["pos"]), (coord, "name", ["pos"]),
+                                  "esp", "coord", exclusive=True, default="NO APLICA")
+    assert rows(exc) == [("ana", "MARIANA", "NO APLICA"), ("luis", "NO APLICA", "LUISA"),
+                         ("zoe", "NO APLICA", "NO APLICA")]
