@@ -65,12 +65,15 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_col: str | Column, dim_value_co
     """Left join on a value, keeping only the looked-up columns.
 
     ``take`` maps dimension column -> output name.  The dimension is
-    de-duplicated on the value first so the lookup cannot fan out, and it is
-    broadcast only after a bounded size probe."""
+    de-duplicated on the value first (one whole row per value, the greatest,
+    so fields never mix across duplicates) and the lookup cannot fan out.
+    The join carries no hint: adaptive execution broadcasts the dimension
+    when its measured size is under the threshold."""
     fcol = F.col(fact_col) if isinstance(fact_col, str) else fact_col
     d = (dim.groupBy(F.col(dim_value_col).alias("__lk"))
-            .agg(*[F.max(F.col(k)).alias(v) for k, v in take.items()])
-            .filter(F.col("__lk").isNotNull()))
+            .agg(F.max(F.struct(*[F.col(k).alias(v) for k, v in take.items()])).alias("__row"))
+            .filter(F.col("__lk").isNotNull())
+            .select("__lk", "__row.*"))
     out = fact.withColumn("__fk", fcol).join(small_side(d, max_broadcast_rows),
                                              F.col("__fk") == F.col("__lk"), "left")
     out = out.drop("__fk", "__lk")
