@@ -68,3 +68,20 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Path under the shared checkpoint folder for a materialised table."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tables/{name}"
+
+
+def sized_conf(shuffle_bytes: int, target_partition_bytes: int = 192 * 1024 * 1024,
+               scan_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings that scale with the data instead of fixed numbers.
+
+    ``shuffle_bytes`` is the largest expected shuffle of the job (for an
+    incremental load: the key columns of history that survive the batch-key
+    filter; for a consolidation: the joined row width times rows).  Adaptive
+    execution then coalesces small partitions and splits skewed ones."""
+    partitions = max(1, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
