@@ -59,10 +59,16 @@ def replace_list(c, values: list, target) -> Column:
     return F.when(x.isin(*values), F.lit(target)).otherwise(x)
 
 
-def normalise_unassigned(c, spellings: list[str], target: str = OTHERS) -> Column:
-    """Strip + remove newline/tab runs, then map the listed spellings to OTROS."""
+def normalise_unassigned(c, spellings: list[str], target: str = OTHERS,
+                         pattern: str | None = None) -> Column:
+    """Strip + remove newline/tab runs, then map the listed spellings to
+    OTROS.  ``pattern`` (e.g. ``'^SIN ASIGNACI.{0,4}N$'``) also maps any text
+    it matches, catching mis-encodings the list does not name."""
     x = F.regexp_replace(strip_ws(c), r"[\n\r\t]+", "")
-    return F.when(x.isin(*spellings), F.lit(target)).otherwise(x)
+    hit = x.isin(*spellings)
+    if pattern:
+        hit = hit | F.coalesce(x.rlike(pattern), F.lit(False))
+    return F.when(hit, F.lit(target)).otherwise(x)
 
 
 def keep_if_in(c, allowed: list, default="NO") -> Column:

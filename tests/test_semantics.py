@@ -154,3 +154,13 @@ def test_contains_match_two_dimensions_priority(spark):
                                   "esp", "coord", exclusive=True, default="NO APLICA")
     assert rows(exc) == [("ana", "MARIANA", "NO APLICA"), ("luis", "NO APLICA", "LUISA"),
                          ("zoe", "NO APLICA", "NO APLICA")]
+
+
+def test_unassigned_spellings_list_and_pattern(spark):
+    from ledgerline.functions.constants import UNASSIGNED_SPELLINGS
+    df = spark.createDataFrame([(" SIN ASIGNACIÓN\n",), ("SIN ASIGNACI#N",), ("NORTE",), (None,)], "g string")
+    plain = [r[0] for r in df.select(V.normalise_unassigned("g", UNASSIGNED_SPELLINGS)).collect()]
+    assert plain == ["OTROS", "SIN ASIGNACI#N", "NORTE", None]
+    pat = [r[0] for r in df.select(V.normalise_unassigned("g", UNASSIGNED_SPELLINGS,
+                                                          pattern="^SIN ASIGNACI.{0,4}N$")).collect()]
+    assert pat == ["OTROS", "OTROS", "NORTE", None]
