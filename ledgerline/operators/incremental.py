@@ -17,11 +17,11 @@ from ledgerline.operators.joins import key_projection, normalised_keys
 
 
 # With ``reduce_history=True`` a batch of at most this many rows has its keys
-# broadcast to cut history down before any shuffle (a few million keys are
+# broadcast to cut history down before any shuffle (two million keys are
 # tens of MB).  Worth it when the batch is a small slice of a large history
 # (daily loads); when batch and history are of similar size it only adds
 # a probe and a broadcast, so the generic operator leaves it off.
-BATCH_KEY_BOUND = 5_000_000
+BATCH_KEY_BOUND = 2_000_000
 
 
 def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
