@@ -40,7 +40,13 @@ def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams) -> D
     keep = exclude_with_exception(F.col("cargo_actual") == F.lit(params.excluded_role),
                                   ~F.col("nombre_consultor").eqNullSafe(F.lit(params.exempt_person)))
     staff_ok = staff.filter(keep)                                                           # F14
-    joined = resolve_twins(merged, staff_ok, "documento_consultor", how="left", prefer="left").distinct()  # N18 J12 A1
+    # The staffing join fans out (one order row meets every consultant of its
+    # document).  Adaptive execution sizes partitions by the small input, so
+    # the whole explosion would run in one task; spreading the input
+    # round-robin first (skew-proof, unlike hashing on the join key) keeps
+    # every core busy.
+    spread = merged.repartition(int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    joined = resolve_twins(spread, staff_ok, "documento_consultor", how="left", prefer="left").distinct()  # N18 J12 A1
     out = joined.withColumns({
         "nombre_consultor": F.when(F.coalesce(F.col("nombre_consultor"), F.lit("")) == "", F.lit(UNASSIGNED))
                              .otherwise(F.col("nombre_consultor")),                        # X22
