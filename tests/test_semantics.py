@@ -164,3 +164,19 @@ def test_unassigned_spellings_list_and_pattern(spark):
     pat = [r[0] for r in df.select(V.normalise_unassigned("g", UNASSIGNED_SPELLINGS,
                                                           pattern="^SIN ASIGNACI.{0,4}N$")).collect()]
     assert pat == ["OTROS", "OTROS", "NORTE", None]
+
+
+def test_operators_accept_empty_inputs(spark):
+    from ledgerline.operators.numbering import number_rows
+    empty = spark.createDataFrame([], "k string, o int, v int")
+    assert number_rows(empty, ["o"], group=["k"], name="n").count() == 0
+    assert number_rows(empty, ["o"], name="n").count() == 0
+    assert group_fill(empty, "k", ["o"], ["v"]).count() == 0
+    batch = spark.createDataFrame([("a", 1, 1)], "k string, o int, v int")
+    assert incremental.new_rows(batch, empty, ["k"]).count() == 1
+    assert incremental.new_rows(batch, empty, ["k"], reduce_history=True).count() == 1
+    assert incremental.new_rows(empty, batch, ["k"]).count() == 0
+    ids = dims.assign_ids(spark.createDataFrame([("d", "x")], "dominio string, valor string"),
+                          spark.createDataFrame([], "dominio string, valor string, id bigint"),
+                          group=["dominio"])
+    assert [tuple(r) for r in ids.select("valor", "id").collect()] == [("x", 1)]
