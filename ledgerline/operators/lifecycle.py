@@ -145,3 +145,13 @@ def retire(df: DataFrame, state_col: str = "id_estado", inactive=STATE_INACTIVE)
 
 
 STATE_FOR_ERROR = STATE_ERROR
+
+
+def assert_unique(df: DataFrame, cols: list[str], sample: int = 5) -> DataFrame:
+    """Deterministic ids need no repair loop, only a check.  One
+    aggregation finds duplicated keys; a few of them are reported."""
+    dups = df.groupBy(*cols).count().filter(F.col("count") > 1)
+    found = dups.limit(sample).collect()
+    if found:
+        raise ValueError(f"duplicate values of {cols}: {[tuple(r)[:-1] for r in found]}")
+    return df

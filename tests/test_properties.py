@@ -89,3 +89,12 @@ def test_group_fill_hot_key_split_across_chunks_matches_pandas(spark):
         a = None if pd.isna(r["a"]) else r["a"]
         b = None if pd.isna(r["b"]) else r["b"]
         assert got[int(r["o"])] == (a, b)
+
+
+def test_loader_ids_are_unique_or_reported(spark):
+    import pytest
+    from ledgerline.plans.registry import load_all
+    out = load_all()["job_org_chart"].build(spark, SF001)
+    lifecycle.assert_unique(out, ["id"])
+    with pytest.raises(ValueError, match="duplicate"):
+        lifecycle.assert_unique(out.unionByName(out.limit(1)), ["id"])
