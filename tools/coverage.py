@@ -57,7 +57,7 @@ IMPL = {
     "A8": f"{PR} `column_profile`", "A9": f"{PV} `eav_pivot`", "A10": "`agg(max)` of the top-n",
     "W1": f"{DD} `keep_first`", "W2": f"{DD} `duplicate_ordinal` ({NB})", "W3": f"{DD} `duplicate_flag`",
     "W4": f"{FL} `group_fill` (two-level scan)", "W5": f"{NB} `number_rows`", "W6": f"{DM} `assign_ids`",
-    "W7": "not needed: ids are deterministic", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
+    "W7": f"{LC} `assert_unique` (ids are deterministic; check, no repair loop)", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
     "O3": "`orderBy().limit()`", "O4": f"{DD} `keep_first`", "U1": f"{SO} `union_all`",
     "U2": f"{SO} `union_distinct`", "U3": f"{SO} `key_difference`", "U4": f"{SO} `key_intersection`",
     "X1": f"{T} `strip_upper`, `clean_all_strings`", "X2": f"{T} `deep_clean`", "X3": f"{T} `remove_special`",
@@ -96,7 +96,7 @@ TESTS = {
     "S6": "test_loaders", "S7": "test_sources", "S8": "test_sources (options only; no server)", "S9": "as S8",
     "S10": "as S8", "S11": "test_sources, test_streaming", "S12": "test_sources", "S13": "test_sources",
     "S14": "test_sources", "S15": "test_sources", "S16": "test_sources", "S18": "test_sources",
-    "C4": "test_sources", "C11": "test_org_chart", "G2": "test_loaders", "G3": "test_loaders",
+    "C4": "test_sources", "C11": "test_org_chart", "W7": "test_properties", "G2": "test_loaders", "G3": "test_loaders",
     "G17": "test_loaders", "W4": "test_properties (hot key vs pandas)", "W5": "test_properties",
     "P": "test_semantics",
 }
