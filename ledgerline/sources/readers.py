@@ -82,18 +82,20 @@ def newest_file(spark: SparkSession, path: str, pattern: str | None = None,
                 fmt: str = "parquet", schema: StructType | None = None, **options) -> DataFrame:
     """The rows of the newest matching file only.
 
-    The newest file is chosen from file metadata (one row per file), then
-    the scan is filtered on ``_metadata.file_path``."""
-    r = spark.read.format(fmt).options(**options)
+    Files are listed with the ``binaryFile`` source selecting only path and
+    modification time (the content column is pruned, so this is a listing,
+    not a scan); the newest one (ties broken by path) is then read."""
+    listing = spark.read.format("binaryFile")
     if pattern:
-        r = r.option("pathGlobFilter", pattern)
+        listing = listing.option("pathGlobFilter", pattern)
+    files = listing.load(path).select("path", "modificationTime")
+    row = files.agg(F.max_by("path", F.struct("modificationTime", "path")).alias("p")).first()
+    if row is None or row["p"] is None:
+        raise FileNotFoundError(f"no file matches {path} {pattern or ''}".strip())
+    r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
-    df = r.load(path)
-    files = df.select(F.col("_metadata.file_path").alias("p"),
-                      F.col("_metadata.file_modification_time").alias("t")).distinct()
-    newest = files.agg(F.max_by("p", F.struct("t", "p")).alias("p")).first()["p"]
-    return df.filter(F.col("_metadata.file_path") == F.lit(newest))
+    return r.load(row["p"])
 
 
 def jdbc_options(prefix: str) -> dict[str, str]:
