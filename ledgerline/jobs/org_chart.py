@@ -102,3 +102,25 @@ def commit(df: DataFrame, path: str | None = None) -> DataFrame:
     given, else checkpoint to the cluster's reliable checkpoint folder.  The
     fact then reads fixed ids instead of recomputing them per lookup."""
     return materialise(df, path) if path else df.checkpoint(eager=True)
+
+
+def assign_by_name(sheet: DataFrame, name_col: str, specialists: DataFrame, coordinators: DataFrame,
+                   exclusive: bool, out: tuple[str, str] = ("especialista", "coordinador_directo"),
+                   order_col: str = "orden") -> DataFrame:
+    """N16 for the retail / direct-channel sheets: a (partial) name is looked
+    up, case-insensitively and literally, inside the specialist and
+    coordinator dimensions.
+
+    * independent (retail): each slot gets the first dimension name that
+      contains the sheet's name;
+    * exclusive (direct channel): the sheet's name goes to the specialist
+      slot when a specialist name contains it, else to the coordinator slot.
+
+    Empty or missing names and misses give 'NO APLICA'."""
+    from ledgerline.functions.constants import NOT_APPLICABLE
+    from ledgerline.operators.dims import contains_match_two
+    probe = sheet.withColumn("__probe", F.when(strip_ws(name_col) == "", F.lit(None)).otherwise(F.col(name_col)))
+    res = contains_match_two(probe, "__probe", (specialists, "nombre", [order_col]),
+                             (coordinators, "nombre", [order_col]), out[0], out[1],
+                             exclusive=exclusive, default=NOT_APPLICABLE, return_probe=exclusive)
+    return res.drop("__probe")

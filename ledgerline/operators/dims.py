@@ -127,18 +127,22 @@ def contains_first_match(probe: DataFrame, probe_col: str, dim: DataFrame, dim_c
 
 
 def contains_match_two(probe: DataFrame, probe_col: str, first: tuple, second: tuple,
-                       out_first: str, out_second: str, exclusive: bool, default=None) -> DataFrame:
+                       out_first: str, out_second: str, exclusive: bool, default=None,
+                       return_probe: bool = False) -> DataFrame:
     """N16 with two dimensions, each given as ``(dim, dim_col, dim_order)``.
 
     ``exclusive=False``: both lookups are independent.  ``exclusive=True``:
     the second dimension is consulted only for probes the first one misses
-    (e.g. specialist first, else coordinator)."""
+    (e.g. specialist first, else coordinator).  ``return_probe=True`` puts
+    the probe text itself in the matching slot instead of the matched name."""
     d1, c1, o1 = first
     d2, c2, o2 = second
     out = contains_first_match(probe, probe_col, d1, c1, o1, out_first, None)
     out = contains_first_match(out, probe_col, d2, c2, o2, out_second, None)
     if exclusive:
         out = out.withColumn(out_second, F.when(F.col(out_first).isNull(), F.col(out_second)))
+    if return_probe:
+        out = out.withColumns({c: F.when(F.col(c).isNotNull(), F.col(probe_col)) for c in (out_first, out_second)})
     if default is not None:
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(default)) for c in (out_first, out_second)})
     return out

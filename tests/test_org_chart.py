@@ -53,3 +53,23 @@ def test_retired_sheet_marks_everyone_inactive(spark):
     per = spark.createDataFrame([], "rol string, id_persona string, nombre string")
     fact = g14.build_fact(s, dom, per, 1, "RETIRO", RUN, retired_sheet=True)
     assert {r["id_estado_registro"] for r in fact.collect()} == {4}
+
+
+def test_retail_and_direct_assignment_by_partial_name(spark):
+    specialists = spark.createDataFrame([("MARIA JOSE PEREZ", 1), ("ANA MARIA", 2)], "nombre string, orden int")
+    coordinators = spark.createDataFrame([("LUIS CARLOS ROJAS", 1), ("maria elena", 2)], "nombre string, orden int")
+    sheet = spark.createDataFrame([(1, "maria"), (2, "carlos"), (3, ""), (4, None), (5, "pedro")],
+                                  "fila int, NOMBRE_BUSCADO string")
+
+    def run(exclusive):
+        out = g14.assign_by_name(sheet, "NOMBRE_BUSCADO", specialists, coordinators, exclusive=exclusive)
+        return {r["fila"]: (r["especialista"], r["coordinador_directo"]) for r in out.collect()}
+
+    ind = run(False)
+    assert ind[1] == ("MARIA JOSE PEREZ", "maria elena")
+    assert ind[2] == ("NO APLICA", "LUIS CARLOS ROJAS")
+    assert ind[3] == ind[4] == ind[5] == ("NO APLICA", "NO APLICA")
+    exc = run(True)
+    assert exc[1] == ("maria", "NO APLICA")
+    assert exc[2] == ("NO APLICA", "carlos")
+    assert exc[3] == exc[5] == ("NO APLICA", "NO APLICA")
