@@ -217,3 +217,33 @@ def lookup_chain_people(spark, sf_dir):
     out = dims.lookup(out, t.nation, "__nk", "n_nationkey", {"n_name": "nacion"},
                       default={"nacion": NOT_APPLICABLE})
     return out.select("nombre", "id_persona", "nacion").distinct()
+
+
+@query("contains_two_dimensions", "N16", sql="""
+WITH probes AS (
+  SELECT s_suppkey, CASE WHEN s_acctbal < 0 THEN 'ECONOM' WHEN s_acctbal < 3000 THEN 'brand#' || CAST(s_nationkey AS VARCHAR)
+                         WHEN s_acctbal < 6000 THEN 'small' ELSE 'zz' END AS probe FROM supplier),
+brands AS (SELECT DISTINCT p_brand AS name FROM part),
+types AS (SELECT DISTINCT p_type AS name FROM part)
+SELECT s_suppkey, probe,
+  coalesce((SELECT min(name) FROM brands WHERE contains(lower(name), lower(probe))), 'NO APLICA') AS marca,
+  coalesce((SELECT min(name) FROM types WHERE contains(lower(name), lower(probe))), 'NO APLICA') AS tipo,
+  CASE WHEN EXISTS (SELECT 1 FROM brands WHERE contains(lower(name), lower(probe))) THEN probe ELSE 'NO APLICA' END AS marca_excl,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM brands WHERE contains(lower(name), lower(probe)))
+        AND EXISTS (SELECT 1 FROM types WHERE contains(lower(name), lower(probe))) THEN probe ELSE 'NO APLICA' END AS tipo_excl
+FROM probes
+""")
+def contains_two_dimensions(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    s = t.supplier
+    probes = s.select("s_suppkey", F.when(F.col("s_acctbal") < 0, F.lit("ECONOM"))
+                      .when(F.col("s_acctbal") < 3000, F.concat(F.lit("brand#"), F.col("s_nationkey").cast("string")))
+                      .when(F.col("s_acctbal") < 6000, F.lit("small")).otherwise(F.lit("zz")).alias("probe"))
+    brands = t.part.select(F.col("p_brand").alias("name")).distinct()
+    types = t.part.select(F.col("p_type").alias("name")).distinct()
+    ind = dims.contains_match_two(probes, "probe", (brands, "name", ["name"]), (types, "name", ["name"]),
+                                  "marca", "tipo", exclusive=False, default=NOT_APPLICABLE)
+    exc = dims.contains_match_two(probes, "probe", (brands, "name", ["name"]), (types, "name", ["name"]),
+                                  "marca_excl", "tipo_excl", exclusive=True, default=NOT_APPLICABLE,
+                                  return_probe=True)
+    return ind.join(exc.drop("probe"), "s_suppkey")
