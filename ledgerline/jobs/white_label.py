@@ -94,3 +94,19 @@ def demo_packages(orders: DataFrame) -> DataFrame:
 
 
 DEMO_RULES = WhiteLabelRules(period="1998-03", min_value=150.0, excluded=["1-URGENT"])
+
+
+SERVICE_KEY = ["co_id", "fecha_excel", "valor_paq", "desc_serv_instalado"]
+
+
+def load(result: DataFrame, history: DataFrame, run, key: list[str] = SERVICE_KEY) -> DataFrame:
+    """The load step: keep rows that do not cross, drop the working flags,
+    keep only (service key, reporting month) pairs history lacks (N4), stamp."""
+    from ledgerline.operators.incremental import new_rows
+    from ledgerline.operators.lifecycle import stamp
+    rows = (result.filter(F.col("cruce_bajas_altas") == "No cruza")
+                  .drop("duplicado_por_servicio", "cruce_bajas_altas")
+                  .withColumnRenamed("periodo", "mes_mb"))
+    fresh = new_rows(rows, history, [*key, "mes_mb"])
+    out = stamp(fresh, run, "MARCA BLANCA", key_cols=[*key, "mes_mb", "tipo"])
+    return out.withColumn("id_estado_registro", F.lit(1))

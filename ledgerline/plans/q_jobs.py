@@ -471,3 +471,41 @@ def job_org_chart(spark, sf_dir):
     previous_fact = sheet.select(F.lit(1).alias("version"))  # the load before this one
     version = next_version(previous_fact)                   # C8: max + 1
     return g14.build_fact(sheet, domains, new_people, version, "PLANTA COMERCIAL", run)
+
+
+@query("job_white_label", "G10 N4 U1 X29 C1", sql=f"""
+WITH {WL_PACKAGES_SQL},
+res AS (
+  SELECT r.tipo, r.o_orderkey, r.nit, r.co_id, r.tel_num, r.cod_paq_instalado, r.desc_serv_instalado, r.valor_paq,
+         r.fecha_excel, r.fecha_act_paq, r.fecha_desact_paq, r.anio_mes_act_paq,
+         CASE WHEN r.nit IN (SELECT nit FROM comp) THEN 'EMPRESAS' ELSE 'NEGOCIOS' END AS segmento,
+         CASE WHEN EXISTS (SELECT 1 FROM keys_other k WHERE k.tipo = r.tipo AND k.nit = r.nit
+                            AND k.tel_num = r.tel_num AND k.valor_paq = r.valor_paq
+                            AND k.paq = coalesce(CAST(CAST(trunc(r.cod_paq_instalado) AS BIGINT) AS VARCHAR), ''))
+              THEN 'Cruza' ELSE 'No cruza' END AS cruce_bajas_altas,
+         CASE WHEN r.tipo = 'ALTAS' THEN r.anio_mes_act_paq ELSE strftime(r.fecha_desact_paq, '%Y-%m') END AS mes_mb
+  FROM ranked r WHERE rn = 1),
+hist AS (SELECT co_id, fecha_excel, valor_paq, desc_serv_instalado, mes_mb FROM res WHERE valor_paq >= 400)
+SELECT upper(md5(concat_ws('|', 'RUN-WL-0001', CAST(co_id AS VARCHAR), CAST(fecha_excel AS VARCHAR),
+                           CAST(valor_paq AS VARCHAR), coalesce(desc_serv_instalado, '\\N'), mes_mb, tipo))) AS id,
+       'RUN-WL-0001' AS id_ejecucion, tipo, o_orderkey, nit, co_id, tel_num, cod_paq_instalado, desc_serv_instalado,
+       valor_paq, fecha_excel, fecha_act_paq, fecha_desact_paq, anio_mes_act_paq, segmento, mes_mb,
+       TIMESTAMP '2024-12-31 00:00:00' AS fecha_procesamiento, 'MARCA BLANCA' AS fuente, '1' AS id_estado,
+       1 AS id_estado_registro
+FROM res x WHERE cruce_bajas_altas = 'No cruza' AND NOT EXISTS (SELECT 1 FROM hist h
+  WHERE h.co_id = x.co_id AND h.fecha_excel = x.fecha_excel AND h.valor_paq = x.valor_paq
+    AND h.desc_serv_instalado IS NOT DISTINCT FROM x.desc_serv_instalado AND h.mes_mb = x.mes_mb)
+""")
+def job_white_label(spark, sf_dir):
+    import datetime as _dt
+    from ledgerline.jobs import white_label as g10
+    from ledgerline.operators.lifecycle import Run
+    t = Tables(spark, sf_dir)
+    companies = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("nit"))
+    res = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies)
+    history = res.filter(F.col("valor_paq") >= 400).select(*g10.SERVICE_KEY, F.col("periodo").alias("mes_mb"))
+    out = g10.load(res, history, Run(job="white_label", run_id="RUN-WL-0001", started=_dt.datetime(2024, 12, 31)))
+    return out.select("id", "id_ejecucion", "tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado",
+                      "desc_serv_instalado", "valor_paq", "fecha_excel", "fecha_act_paq", "fecha_desact_paq",
+                      "anio_mes_act_paq", "segmento", "mes_mb", "fecha_procesamiento", "fuente", "id_estado",
+                      "id_estado_registro")
