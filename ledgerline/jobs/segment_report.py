@@ -35,7 +35,18 @@ OUTPUT = ["nuv", "ot", "fecha", "producto", "valor", "ciudad", "documento_consul
           "cargo_actual", "estado_consultor", "ot_reemplazada"]
 
 
-def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams) -> DataFrame:
+def preferred_fiber_rows(fiber: DataFrame) -> DataFrame:
+    """One fiber row per work order -- rows with a real city first
+    (``SIN CIUDA%`` last), then the newest processing time."""
+    from ledgerline.operators.dedupe import keep_first
+    pref = F.when(F.coalesce(F.col("ciudad").like("SIN CIUDA%"), F.lit(False)), F.lit(2)).otherwise(F.lit(1))
+    return keep_first(fiber, ["ot"], [pref.asc(), F.col("fecha_inicio").desc_nulls_last()])
+
+
+def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams,
+          fiber: DataFrame | None = None) -> DataFrame:
+    if fiber is not None:
+        sources = [*sources, preferred_fiber_rows(fiber).drop("fecha_inicio")]
     merged = fill_across_sources(sources, "ot", ["pos"])                                    # W4
     keep = exclude_with_exception(F.col("cargo_actual") == F.lit(params.excluded_role),
                                   ~F.col("nombre_consultor").eqNullSafe(F.lit(params.exempt_person)))
@@ -62,6 +73,18 @@ def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams) -> D
     return pad_columns(numbered.drop("__n"), {c: types.get(c, "string") for c in OUTPUT})  # J7
 
 
+def demo_fiber(t) -> DataFrame:
+    """Fiber-order loads: several per work order, some without a city."""
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+    o = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    j = li.join(o, "l_orderkey")
+    return j.select(F.col("o_custkey").alias("ot"),
+                    (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"),
+                    F.when(F.col("l_returnflag") == "N", F.lit("SIN CIUDAD"))
+                     .otherwise(F.concat(F.lit("CIUDAD "), F.col("l_linestatus"))).alias("ciudad"),
+                    F.col("l_shipdate").alias("fecha_inicio"))
+
+
 def demo_inputs(t) -> tuple[list[DataFrame], DataFrame]:
     new = t.orders.filter(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("ot"),

@@ -203,14 +203,23 @@ def job_fiber(spark, sf_dir):
     return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN)
 
 
-@query("job_segment_report", "G13 W4 A2 A1 F14 N18 J12 X22 X18 X28 W5 J7", sql="""
+@query("job_segment_report", "G13 W4 W1 A2 A1 F14 N18 J12 X22 X18 X28 W5 J7", sql="""
 WITH src AS (
   SELECT 0 AS s, o_orderkey AS pos, o_custkey AS ot, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
          CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_totalprice END AS valor, o_orderpriority AS producto,
          CAST(NULL AS VARCHAR) AS ciudad, CAST(NULL AS INTEGER) AS documento_consultor
   FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
-  SELECT 1, c_custkey, c_custkey, NULL, NULL, NULL, c_mktsegment, c_nationkey FROM customer),
+  SELECT 1, c_custkey, c_custkey, NULL, NULL, NULL, c_mktsegment, c_nationkey FROM customer
+  UNION ALL
+  SELECT 2, pos, ot, NULL, NULL, NULL, ciudad, NULL FROM (
+    SELECT *, row_number() OVER (PARTITION BY ot ORDER BY CASE WHEN ciudad LIKE 'SIN CIUDA%' THEN 2 ELSE 1 END,
+                                 fecha_inicio DESC, pos, ciudad, fecha_inicio) AS rn
+    FROM (SELECT o.o_custkey AS ot, l.l_orderkey * 10 + l.l_linenumber AS pos,
+                 CASE WHEN l.l_returnflag = 'N' THEN 'SIN CIUDAD' ELSE 'CIUDAD ' || l.l_linestatus END AS ciudad,
+                 l.l_shipdate AS fecha_inicio
+          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'F'))
+  WHERE rn = 1),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ot, fecha, valor, producto, ciudad, documento_consultor
                                                        ORDER BY s, pos) AS rn FROM src) WHERE rn = 1),
 filled AS (
@@ -251,8 +260,9 @@ FROM norm
 """)
 def job_segment_report(spark, sf_dir):
     from ledgerline.jobs import segment_report as g13
-    sources, staff = g13.demo_inputs(Tables(spark, sf_dir))
-    return g13.build(sources, staff, g13.DEMO_PARAMS)
+    t = Tables(spark, sf_dir)
+    sources, staff = g13.demo_inputs(t)
+    return g13.build(sources, staff, g13.DEMO_PARAMS, fiber=g13.demo_fiber(t))
 
 
 TARGET_SHEET_SQL = """
