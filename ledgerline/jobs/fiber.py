@@ -83,7 +83,11 @@ def consolidate(inp: FiberInputs, run: Run) -> DataFrame:
         "id_tipo": lstrip_char("id_tipo", "$"),                                    # X6
         "cod_proyecto": null_if_in(F.upper("cod_proyecto"), PROJECT_SENTINELS),     # X25
     })
-    ext = pivot_extension(inp.eav, inp.params, inp.fields)
+    # Only orders present in the main extract need their extension
+    # data; a semi join trims the pivot's input (the left join below would
+    # drop the others anyway).
+    eav = inp.eav.join(base.select("id_orden_trabajo_padre").distinct(), "id_orden_trabajo_padre", "left_semi")
+    ext = pivot_extension(eav, inp.params, inp.fields)
     base = base.join(ext, "id_orden_trabajo_padre", "left")
     base = _state_lookup(base, "estado_orden_trabajo", inp.order_states, "id_estado_orden_trabajo",
                          DEFAULT_ORDER_STATE)                                      # N13
