@@ -96,3 +96,33 @@ def demo_inputs(t) -> tuple[dict[str, DataFrame], DataFrame]:
                                                              F.lit(0).alias("id_cargo"), F.lit(2).alias("version")),
     ])
     return sheets, org
+
+
+# --- fixed values: official-targets sheet header -> column ------------------
+OFFICIAL_COLUMNS = {
+    "ROL": "rol", "CÉDULA": "identificacion", "COMERCIAL": "nombre", "CARGO": "cargo", "CORREO": "correo",
+    "JEFE": "jefe", "CORREO JEFE": "correo_jefe", "RETO ESTRATÉGICO": "reto_estrategico",
+    "ALTAS FIJO": "altas_fijo", "BAJAS FIJO": "bajas_fijo", "NETO FIJO": "neto_fijo", "LÍNEAS": "lineas",
+    "META MÓVIL": "altas_movil", "BAJAS MÓVIL": "bajas_movil", "NETO MÓVIL": "neto_movil", "CP MÓVIL": "cp_movil",
+}
+
+
+def official(sheet: DataFrame, run: Run, source: str, columns: dict[str, str] = OFFICIAL_COLUMNS,
+             key: str = "identificacion") -> DataFrame:
+    """Official / company targets: headers normalised (strip + upper), the
+    contract columns selected and renamed (S18 J2 J4 J1), text cleaned (X2),
+    the document coerced to BIGINT with 0 for bad values (X17), stamped."""
+    from ledgerline.functions.numbers import coerce_number
+    from ledgerline.functions.text import deep_clean
+    from ledgerline.operators.columns import rename_by_rule, rename_map, select_required
+    from pyspark.sql.types import StringType
+    norm = rename_by_rule(sheet, rule=lambda c: c.strip().upper())
+    df = rename_map(select_required(norm, list(columns)), columns)
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != key]
+    df = df.withColumns({c: deep_clean(c) for c in text})
+    df = df.withColumn(key, coerce_number(key, "bigint"))
+    return df.select(
+        row_id(key, "nombre", "rol", run_id=run.run_id).alias("id"), F.lit(run.run_id).alias("id_ejecucion"),
+        *[F.col(c) for c in columns.values()],
+        F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz").alias("fecha_procesamiento"),
+        F.lit(source).alias("fuente"), F.lit(STATE_ACTIVE).alias("id_estado_registro"))

@@ -519,3 +519,46 @@ def job_white_label(spark, sf_dir):
                       "desc_serv_instalado", "valor_paq", "fecha_excel", "fecha_act_paq", "fecha_desact_paq",
                       "anio_mes_act_paq", "segmento", "mes_mb", "fecha_procesamiento", "fuente", "id_estado",
                       "id_estado_registro")
+
+
+def _deep_sql(x: str) -> str:
+    return (f"regexp_replace(regexp_replace(regexp_replace(upper(replace({x}, 'ß', 'SS')), '^\\s+|\\s+$', '', 'g'), "
+            f"'[\\n\\r\\t]', '', 'g'), '  ', '', 'g')")
+
+
+OFFICIAL_SRC = [  # (header as landed, source expression valid in Spark SQL and DuckDB)
+    (" rol ", "c_mktsegment"), ("Cédula", "CASE WHEN c_acctbal < 0 THEN 'n/d' ELSE CAST(c_custkey AS STRING) END"),
+    ("COMERCIAL", "lower(c_name) || chr(9)"), ("cargo ", "'  consultor'"), ("Correo", "lower(c_name) || '@x.co'"),
+    ("JEFE", "'jefe ' || CAST(c_nationkey AS STRING)"), ("Correo Jefe", "'jefe@x.co'"),
+    ("Reto Estratégico", "CASE WHEN c_acctbal > 5000 THEN 'si' ELSE 'no' END"),
+    ("ALTAS FIJO", "CAST(c_nationkey AS STRING)"), ("BAJAS FIJO", "'0'"), ("NETO FIJO", "CAST(c_nationkey AS STRING)"),
+    ("Líneas", "'1'"), ("META MÓVIL", "CAST(CAST(floor(c_acctbal) AS BIGINT) AS STRING)"), ("BAJAS MÓVIL", "'0'"),
+    ("NETO MÓVIL", "'1'"), ("CP MÓVIL", "'2'"), ("EXTRA", "'x'")]
+
+
+def _official_oracle() -> str:
+    from ledgerline.jobs.targets import OFFICIAL_COLUMNS
+    targets = list(OFFICIAL_COLUMNS.values())
+    exprs = dict(zip(targets, [e for _, e in OFFICIAL_SRC[:16]]))
+    cols = []
+    for c in targets:
+        if c == "identificacion":
+            cols.append(f"coalesce(CAST(trunc(TRY_CAST({exprs[c]} AS DOUBLE)) AS BIGINT), 0) AS identificacion")
+        else:
+            cols.append(f"{_deep_sql(exprs[c])} AS {c}")
+    base = "SELECT " + ", ".join(cols) + " FROM customer"
+    return (f"WITH b AS ({base})\nSELECT upper(md5(concat_ws('|', 'RUN-OFICIAL-0001', CAST(identificacion AS VARCHAR), "
+            "coalesce(nombre, '\\N'), coalesce(rol, '\\N')))) AS id, 'RUN-OFICIAL-0001' AS id_ejecucion, "
+            + ", ".join(targets) + ", TIMESTAMP '2024-03-01 00:00:00' AS fecha_procesamiento, "
+            "'METAS OFICIAL' AS fuente, 1 AS id_estado_registro FROM b")
+
+
+@query("job_targets_official", "G15 S18 J2 J4 J1 X2 X17 C1", sql=_official_oracle())
+def job_targets_official(spark, sf_dir):
+    import datetime as _dt
+    from ledgerline.jobs import targets as g15
+    from ledgerline.operators.lifecycle import Run
+    c = Tables(spark, sf_dir).customer
+    sheet = c.select(*[F.expr(e).alias(h) for h, e in OFFICIAL_SRC])
+    run = Run(job="targets_official", run_id="RUN-OFICIAL-0001", started=_dt.datetime(2024, 3, 1))
+    return g15.official(sheet, run, "METAS OFICIAL")
