@@ -224,3 +224,32 @@ def job_value_added(spark, sf_dir):
         F.col("o_orderdate").cast("date").alias("fecha"), "o_orderkey")
     cons = t.supplier.select(F.col("s_name").alias("nombre"), F.col("s_suppkey").alias("id"))
     return L.value_added(df, cons, None, RUN)
+
+
+@query("job_network_nodes", "G5 X7 X17 X21 N2", sql=f"""
+WITH b AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS id_nodo,
+         CASE WHEN s_nationkey % 4 = 0 THEN NULL ELSE upper(n.n_name) END AS departamento,
+         'COD-' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS codigo,
+         s_name || ' ' || n.n_name || ' ' || s_name || ' ' || n.n_name AS nombre_nodo,
+         CASE WHEN s_acctbal < 0 THEN 'n/a' ELSE CAST(s_acctbal AS VARCHAR) END AS largo,
+         CASE WHEN s_acctbal > 8000 THEN NULL ELSE s_nationkey END AS hogares
+  FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey)
+SELECT {_id('id_nodo')}, {STAMP_SQL}, id_nodo, coalesce(substring(departamento, 1, 2), '0') AS departamento,
+       substring(codigo, 1, 10) AS codigo, substring(nombre_nodo, 1, 50) AS nombre_nodo,
+       coalesce(CAST(trunc(TRY_CAST(largo AS DOUBLE)) AS BIGINT), 0) AS largo, coalesce(hogares, 0) AS hogares,
+       {TS_SQL}, 'RED FTTX' AS fuente, '1' AS id_estado
+FROM b WHERE id_nodo NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 9000)
+""")
+def job_network_nodes(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    s = t.supplier.join(t.nation.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey")
+    df = s.select(
+        F.col("s_suppkey").cast("string").alias("id_nodo"),
+        F.when(F.col("s_nationkey") % 4 == 0, F.lit(None)).otherwise(F.upper("n_name")).alias("departamento"),
+        F.concat(F.lit("COD-"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("codigo"),
+        F.concat_ws(" ", "s_name", "n_name", "s_name", "n_name").alias("nombre_nodo"),
+        F.when(F.col("s_acctbal") < 0, F.lit("n/a")).otherwise(F.col("s_acctbal").cast("string")).alias("largo"),
+        F.when(F.col("s_acctbal") > 8000, F.lit(None)).otherwise(F.col("s_nationkey")).alias("hogares"))
+    hist = t.supplier.filter(F.col("s_acctbal") > 9000).select(F.col("s_suppkey").cast("string").alias("id_nodo"))
+    return L.network_nodes(df, hist, RUN, "RED FTTX")
