@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import normalised_keys
+from ledgerline.operators.joins import join_back, normalised_keys
 from ledgerline.operators.numbering import number_rows
 
 
@@ -36,12 +36,11 @@ def keep_first(df: DataFrame, keys: list[str], order: list, total: bool = True)
 def duplicate_flag(df: DataFrame, keys: list[str], name: str = "duplicado") -> DataFrame:
     """True on every member of a key that occurs more than once.
 
-    Counted with a combinable aggregation, then joined back on the key; a
-    hot key costs one partial count per map task, and AQE splits its side
-    of the join."""
+    Counted with a combinable aggregation (a hot key costs one partial count
+    per map task), then joined back with hot keys salted (``join_back``)."""
     keyed, names = normalised_keys(df, keys, "__d")
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
-    return (keyed.join(counts, on=names, how="inner")
+    return (join_back(keyed, counts, names, "__cnt")
                  .withColumn(name, F.col("__cnt") > 1)
                  .drop("__cnt", *names))
 

@@ -133,9 +133,11 @@ def latest_version(df: DataFrame, version_col: str = "version",
         from ledgerline.operators.incremental import typed_literal
         m = df.agg(F.max(version_col).alias("m")).first()["m"]
         return df.filter(F.col(version_col) == typed_literal(m, dict(df.dtypes)[version_col]))
-    mx = df.groupBy(*per).agg(F.max(version_col).alias("__mv"))
-    return (df.join(mx, on=per, how="inner")
-              .filter(F.col(version_col) == F.col("__mv")).drop("__mv"))
+    from ledgerline.operators.joins import join_back
+    keyed, names = normalised_keys(df, per, "__s")
+    mx = keyed.groupBy(*names).agg(F.max(version_col).alias("__mv"), F.count(F.lit(1)).alias("__cnt"))
+    return (join_back(keyed, mx, names, "__cnt")
+              .filter(F.col(version_col) == F.col("__mv")).drop("__mv", "__cnt", *names))
 
 
 def retire(df: DataFrame, state_col: str = "id_estado", inactive=STATE_INACTIVE) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import normalised_keys
+from ledgerline.operators.joins import join_back, normalised_keys
 
 
 def _as_sort(c) -> Column:
@@ -55,7 +55,7 @@ def number_rows(df: DataFrame, order: list, group: list[str] | None = None,
     if not group:
         return pos.withColumn(name, F.col("__pos") + F.lit(start)).drop("__pos")
     keyed, names = normalised_keys(pos, group, "__g")
-    firsts = keyed.groupBy(*names).agg(F.min("__pos").alias("__first"))
-    return (keyed.join(firsts, on=names, how="inner")
+    firsts = keyed.groupBy(*names).agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
+    return (join_back(keyed, firsts, names, "__cnt")
                  .withColumn(name, F.col("__pos") - F.col("__first") + F.lit(start))
-                 .drop("__pos", "__first", *names))
+                 .drop("__pos", "__first", "__cnt", *names))
