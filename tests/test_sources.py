@@ -2,7 +2,6 @@
 
 import datetime as dt
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,14 +32,21 @@ def test_headered_csv_semicolon_latin1(spark, tmp_dir):
     assert sorted(r["Ciudad"] for r in df.collect()) == ["Bogotá", "Medellín"]
 
 
+def _set_mtime(folder, when):
+    ts = when.timestamp()
+    for root, _, files in os.walk(folder):
+        for f in files:
+            os.utime(os.path.join(root, f), (ts, ts))
+
+
 def test_freshness_gate_and_newest_file(spark, tmp_dir):
+    # Explicit modification times: the test must not depend on the wall clock.
     base = os.path.join(tmp_dir, "land")
     spark.createDataFrame([(1,)], "k int").write.parquet(os.path.join(base, "metas_old"))
-    time.sleep(1.2)  # the cut-off has second resolution
-    cut = dt.datetime.now().strftime("%Y-%m-%dT%H:%M:%S")
-    time.sleep(1.2)
     spark.createDataFrame([(2,)], "k int").write.parquet(os.path.join(base, "metas_new"))
-    fresh = readers.modified_since(spark, base + "/*", cut)
+    _set_mtime(os.path.join(base, "metas_old"), dt.datetime(2020, 1, 1))
+    _set_mtime(os.path.join(base, "metas_new"), dt.datetime(2030, 1, 1))
+    fresh = readers.modified_since(spark, base + "/*", "2025-01-01T00:00:00")
     assert [r["k"] for r in fresh.collect()] == [2]
     newest = readers.newest_file(spark, base + "/*", pattern="*.parquet")
     assert [r["k"] for r in newest.collect()] == [2]
