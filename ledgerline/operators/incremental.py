@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import key_projection, normalised_keys
+from ledgerline.operators.joins import hot_keys, key_projection, normalised_keys, salted_join
 
 
 # With ``reduce_history=True`` a batch of at most this many rows has its keys
@@ -23,10 +23,13 @@ from ledgerline.operators.joins import key_projection, normalised_keys
 # a probe and a broadcast, so the generic operator leaves it off.
 BATCH_KEY_BOUND = 2_000_000
 
+# Salt batch keys that hold more than 1/n of the batch (see joins.salted_join).
+SKEW_SAFE = True
+
 
 def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
                 history_keys=None, null_safe: bool = True, reduce_history: bool = False,
-                batch_key_bound: int | None = None) -> DataFrame:
+                batch_key_bound: int | None = None, skew_safe: bool | None = None) -> DataFrame:
     history_keys = list(history_keys or keys)
     if len(history_keys) != len(keys):
         raise ValueError("batch and history key lists differ in length")
@@ -34,6 +37,7 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
     h = h.select(*names)
+    skew_safe = SKEW_SAFE if skew_safe is None else skew_safe
     bound = BATCH_KEY_BOUND if batch_key_bound is None else batch_key_bound
     if reduce_history and bound and batch.limit(bound + 1).count() <= bound:
         # Daily batch vs. years of history: only history keys that occur in
@@ -42,7 +46,18 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
         # history is never shuffled.
         h = h.join(F.broadcast(b.select(*names).distinct()), on=names, how="left_semi")
     h = h.distinct()
-    return b.join(h, on=names, how=how).drop(*names)
+    if not skew_safe:
+        return b.join(h, on=names, how=how).drop(*names)
+    # A business key repeated across a large share of the batch would reach
+    # one task; count batch keys (map-side combined), salt the hot ones.
+    # The counts only decide which keys are hot (the result is collected, at
+    # most n keys), so a transient persist suffices; no lineage cut needed.
+    counts = b.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt")).persist()
+    try:
+        hot = hot_keys(counts, names, "__cnt")
+    finally:
+        counts.unpersist()
+    return salted_join(b, h, names, how, hot).drop(*names)
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],

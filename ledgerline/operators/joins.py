@@ -77,35 +77,51 @@ def key_projection(df: DataFrame, keys: list[str], prefix: str,
     return (out.distinct() if dedupe else out), names
 
 
+def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
+             num_partitions: int | None = None) -> DataFrame | None:
+    """Keys holding more than 1/n of all rows, from a (checkpointed) per-key
+    count table.  Fewer than n keys can qualify, so the result is a small,
+    bounded frame (or None when no key is hot)."""
+    spark = counts.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum(count_col).alias("t")).first()["t"] or 0
+    found = counts.filter(F.col(count_col) > F.lit(max(1, total // n))).select(*keys).collect()
+    if not found:
+        return None
+    return spark.createDataFrame(found, counts.select(*keys).schema)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
+                hot: DataFrame | None, num_partitions: int | None = None) -> DataFrame:
+    """Join on ``keys`` where ``right`` has one row per key and ``left`` may
+    hold hot keys: rows of hot keys get a deterministic salt
+    (``xxhash64(row) mod n``) and the right rows of hot keys are replicated
+    for every salt, so each hot key is spread over n tasks.  Works for inner,
+    left, left-semi and left-anti joins (every salt sees the right row)."""
+    if hot is None:
+        return left.join(right, keys, how)
+    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n))) \
+            .otherwise(F.lit(0)).cast("int")
+    lft = left.join(marks, keys, "left").withColumn("__salt", salt).drop("__hot")
+    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    rgt = right.join(marks, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
+    return lft.join(rgt, [*keys, "__salt"], how).drop("__salt")
+
+
 def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
               how: str = "inner", num_partitions: int | None = None) -> DataFrame:
     """Join one-row-per-key results (counts, first positions, maxima) back to
     the rows they were computed from, without sending a hot key to one task.
 
     Adaptive skew handling does not apply here (one side is an aggregate
-    that reuses its own shuffle), so hot keys are salted explicitly:
-
-    * ``per_key`` carries ``count_col`` (rows per key); it is checkpointed,
-      and keys holding more than 1/n of all rows are *hot*.  Fewer than n
-      keys can be hot (their counts would exceed the total otherwise), so
-      the hot-key table has a proven bound and is broadcast;
-    * rows of hot keys get a salt ``xxhash64(row) mod n`` (deterministic, so
-      a recomputed task salts the same way), other rows salt 0;
-    * per-key rows of hot keys are replicated for every salt (< n*n rows);
-    * the join on (keys, salt) spreads each hot key over n tasks.
-
+    that reuses its own shuffle), so hot keys are salted explicitly: the
+    per-key table (with ``count_col`` = rows per key) is checkpointed, keys
+    holding more than 1/n of all rows are found exactly (fewer than n, a
+    proven bound), and ``salted_join`` spreads each of them over n tasks.
     ``keys`` must be non-null columns (use normalised keys for nullable ones).
     """
-    spark = rows.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_key = per_key.checkpoint(eager=True)
-    total = per_key.agg(F.sum(count_col).alias("t")).first()["t"] or 0
-    hot = (per_key.filter(F.col(count_col) > F.lit(max(1, total // n)))
-                  .select(*keys).withColumn("__hot", F.lit(True)))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(n))) \
-            .otherwise(F.lit(0)).cast("int")
-    r = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__hot")
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    p = (per_key.join(F.broadcast(hot), keys, "left")
-                .withColumn("__salt", F.explode(salts)).drop("__hot"))
-    return r.join(p, [*keys, "__salt"], how).drop("__salt")
+    hot = hot_keys(per_key, keys, count_col, num_partitions)
+    return salted_join(rows, per_key, keys, how, hot, num_partitions)

@@ -15,6 +15,6 @@ def test_hot_key_is_spread_over_tasks():
     assert out.returncode == 0, out.stderr[-2000:]
     assert "hot key share of rows: 33" in out.stdout
     shares = dict(re.findall(r"^\| ([^|]+?) \| ([0-9.]+)% \|", out.stdout, re.M))
-    assert len(shares) == 5, out.stdout
+    assert len(shares) == 6, out.stdout
     for op, share in shares.items():
         assert float(share) < 25.0, (op, share, out.stdout)

@@ -60,6 +60,8 @@ def main():
                                          distinct=False),
         "new_rows (history with hot key)": lambda: incremental.new_rows(
             df.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp_ntz")), df, ["k", "l_partkey"]),
+        "new_rows (batch with hot key)": lambda: incremental.new_rows(
+            df, df.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")), ["k"]),
     }
     for name, build in runs.items():
         spark.sparkContext.setJobDescription(name)
