@@ -46,18 +46,23 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
         # history is never shuffled.
         h = h.join(F.broadcast(b.select(*names).distinct()), on=names, how="left_semi")
     h = h.distinct()
+    return _join_keyed(b, h, names, how, skew_safe).drop(*names)
+
+
+def _join_keyed(rows: DataFrame, per_key: DataFrame, names: list[str], how: str,
+                skew_safe: bool) -> DataFrame:
+    """Join rows to a one-row-per-key frame; with ``skew_safe`` a key repeated
+    across a large share of ``rows`` is salted instead of reaching one task.
+    Rows' keys are counted (map-side combined); the counts only decide which
+    keys are hot (at most n are collected), so a transient persist suffices."""
     if not skew_safe:
-        return b.join(h, on=names, how=how).drop(*names)
-    # A business key repeated across a large share of the batch would reach
-    # one task; count batch keys (map-side combined), salt the hot ones.
-    # The counts only decide which keys are hot (the result is collected, at
-    # most n keys), so a transient persist suffices; no lineage cut needed.
-    counts = b.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt")).persist()
+        return rows.join(per_key, on=names, how=how)
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt")).persist()
     try:
         hot = hot_keys(counts, names, "__cnt")
     finally:
         counts.unpersist()
-    return salted_join(b, h, names, how, hot).drop(*names)
+    return salted_join(rows, per_key, names, how, hot)
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],
@@ -96,14 +101,16 @@ def new_rows_by_day(batch: DataFrame, history: DataFrame, ts_col: str,
 
 
 def membership_flag(df: DataFrame, keys_df: DataFrame, keys: list[str], flag: str,
-                    yes="SI", no="NO", key_df_cols: list[str] | None = None) -> DataFrame:
-    """Label each row by whether its key appears in ``keys_df``."""
+                    yes="SI", no="NO", key_df_cols: list[str] | None = None,
+                    skew_safe: bool | None = None) -> DataFrame:
+    """Label each row by whether its key appears in ``keys_df``
+    (one left join to the distinct keys; hot keys of ``df`` are salted)."""
     kcols = key_df_cols or keys
     marks = keys_df.select(*[F.col(a).alias(b) for a, b in zip(kcols, keys)]).withColumn("__hit", F.lit(True))
     b, names = normalised_keys(df, keys, "__m")
     m, _ = normalised_keys(marks, keys, "__m")
     m = m.select(*names, "__hit").distinct()
-    out = b.join(m, on=names, how="left")
+    out = _join_keyed(b, m, names, "left", SKEW_SAFE if skew_safe is None else skew_safe)
     return (out.withColumn(flag, F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no)))
                .drop("__hit", *names))
 
