@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.constants import NOT_APPLICABLE
 from ledgerline.functions.text import deep_clean
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.joins import small_side  # noqa: F401 (re-exported)
+from ledgerline.operators.joins import fits_broadcast, small_side  # noqa: F401 (re-exported)
 from ledgerline.operators.numbering import number_rows
 
 
@@ -67,16 +67,24 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_col: str | Column, dim_value_co
     ``take`` maps dimension column -> output name.  The dimension is
     de-duplicated on the value first (one whole row per value, the greatest,
     so fields never mix across duplicates) and the lookup cannot fan out.
-    The join carries no hint: adaptive execution broadcasts the dimension
-    when its measured size is under the threshold."""
+    A bounded probe (at most ``max_broadcast_rows + 1`` dimension rows)
+    decides: a small dimension is broadcast; a large one is shuffle-joined
+    with hot fact values salted."""
+    from ledgerline.operators.incremental import _join_keyed, SKEW_SAFE
     fcol = F.col(fact_col) if isinstance(fact_col, str) else fact_col
     d = (dim.groupBy(F.col(dim_value_col).alias("__lk"))
             .agg(F.max(F.struct(*[F.col(k).alias(v) for k, v in take.items()])).alias("__row"))
             .filter(F.col("__lk").isNotNull())
             .select("__lk", "__row.*"))
-    out = fact.withColumn("__fk", fcol).join(small_side(d, max_broadcast_rows),
-                                             F.col("__fk") == F.col("__lk"), "left")
-    out = out.drop("__fk", "__lk")
+    keyed = fact.withColumn("__lk", fcol)
+    if fits_broadcast(d, max_broadcast_rows):
+        # Proven small: broadcast, the fact is never shuffled (so no skew).
+        out = keyed.join(F.broadcast(d), ["__lk"], "left")
+    else:
+        # Large dimension: shuffle join, with fact values that cover a large
+        # share of the fact salted (null values never match and stay as is).
+        out = _join_keyed(keyed, d, ["__lk"], "left", SKEW_SAFE)
+    out = out.drop("__lk")
     if default:
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in default.items()})
     return out

@@ -180,3 +180,12 @@ def test_operators_accept_empty_inputs(spark):
                           spark.createDataFrame([], "dominio string, valor string, id bigint"),
                           group=["dominio"])
     assert [tuple(r) for r in ids.select("valor", "id").collect()] == [("x", 1)]
+
+
+def test_lookup_broadcast_and_salted_paths_agree(spark):
+    fact = spark.createDataFrame([(1 if i % 3 == 0 else i, i) for i in range(300)] + [(None, -1)], "k int, v int")
+    dim = spark.createDataFrame([(i, f"n{i}") for i in range(300)], "k int, name string")
+    salted = dims.lookup(fact, dim, "k", "k", {"name": "name"}, max_broadcast_rows=10)  # too big: shuffle + salt
+    broadcast = dims.lookup(fact, dim, "k", "k", {"name": "name"})
+    assert rows(salted) == rows(broadcast)
+    assert salted.filter(F.col("name").isNull()).count() == 2   # key 0 absent, null key never matches
