@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import hot_keys, key_projection, normalised_keys, salted_join
+from ledgerline.operators.joins import count_stats, hot_keys, key_projection, normalised_keys, salted_join
 
 
 # With ``reduce_history=True`` a batch of at most this many rows has its keys
@@ -33,36 +33,38 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
     history_keys = list(history_keys or keys)
     if len(history_keys) != len(keys):
         raise ValueError("batch and history key lists differ in length")
+    skew_safe = SKEW_SAFE if skew_safe is None else skew_safe
+    bound = BATCH_KEY_BOUND if batch_key_bound is None else batch_key_bound
     b, names = normalised_keys(batch, list(keys), "__k", null_safe)
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
     h = h.select(*names)
-    skew_safe = SKEW_SAFE if skew_safe is None else skew_safe
-    bound = BATCH_KEY_BOUND if batch_key_bound is None else batch_key_bound
-    if reduce_history and bound and batch.limit(bound + 1).count() <= bound:
+    counts, stats = None, None
+    if skew_safe or (reduce_history and bound):
+        # One small job over the batch keys (map-side combined): batch size
+        # for the history reduction and largest key for the skew check.
+        counts = b.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
+        stats = count_stats(counts, "__cnt")
+    if reduce_history and bound and stats[0] <= bound:
         # Daily batch vs. years of history: only history keys that occur in
-        # the batch can matter.  The batch keys (bounded by the probe above)
-        # are broadcast and history is semi-joined map-side, so the bulk of
-        # history is never shuffled.
+        # the batch can matter.  The batch keys (bounded above) are broadcast
+        # and history is semi-joined map-side, so the bulk of history is
+        # never shuffled.
         h = h.join(F.broadcast(b.select(*names).distinct()), on=names, how="left_semi")
     h = h.distinct()
-    return _join_keyed(b, h, names, how, skew_safe).drop(*names)
+    hot = hot_keys(counts, names, "__cnt", stats=stats) if skew_safe else None
+    return salted_join(b, h, names, how, hot).drop(*names)
 
 
 def _join_keyed(rows: DataFrame, per_key: DataFrame, names: list[str], how: str,
                 skew_safe: bool) -> DataFrame:
     """Join rows to a one-row-per-key frame; with ``skew_safe`` a key repeated
-    across a large share of ``rows`` is salted instead of reaching one task.
-    Rows' keys are counted (map-side combined); the counts only decide which
-    keys are hot (at most n are collected), so a transient persist suffices."""
+    across a large share of ``rows`` is salted instead of reaching one task
+    (one small counting job; hot keys are collected only if one exists)."""
     if not skew_safe:
         return rows.join(per_key, on=names, how=how)
-    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt")).persist()
-    try:
-        hot = hot_keys(counts, names, "__cnt")
-    finally:
-        counts.unpersist()
-    return salted_join(rows, per_key, names, how, hot)
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
+    return salted_join(rows, per_key, names, how, hot_keys(counts, names, "__cnt"))
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],

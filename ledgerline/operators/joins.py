@@ -77,18 +77,27 @@ def key_projection(df: DataFrame, keys: list[str], prefix: str,
     return (out.distinct() if dedupe else out), names
 
 
+def count_stats(counts: DataFrame, count_col: str) -> tuple[int, int]:
+    """(total rows, largest per-key count) of a per-key count table: one job."""
+    st = counts.agg(F.sum(count_col).alias("t"), F.max(count_col).alias("m")).first()
+    return int(st["t"] or 0), int(st["m"] or 0)
+
+
 def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
-             num_partitions: int | None = None) -> DataFrame | None:
-    """Keys holding more than 1/n of all rows, from a (checkpointed) per-key
-    count table.  Fewer than n keys can qualify, so the result is a small,
-    bounded frame (or None when no key is hot)."""
+             num_partitions: int | None = None, stats: tuple[int, int] | None = None) -> DataFrame | None:
+    """Keys holding more than 1/n of all rows, from a per-key count table.
+
+    Fewer than n keys can qualify, so the result is a small, bounded frame
+    (or None).  The common case -- no key above the limit -- costs one small
+    job (total and largest count); only then are the hot keys collected."""
     spark = counts.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = counts.agg(F.sum(count_col).alias("t")).first()["t"] or 0
-    found = counts.filter(F.col(count_col) > F.lit(max(1, total // n))).select(*keys).collect()
-    if not found:
+    total, largest = stats or count_stats(counts, count_col)
+    limit = max(1, total // n)
+    if largest <= limit:
         return None
-    return spark.createDataFrame(found, counts.select(*keys).schema)
+    found = counts.filter(F.col(count_col) > F.lit(limit)).select(*keys).collect()
+    return spark.createDataFrame(found, counts.select(*keys).schema) if found else None
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,

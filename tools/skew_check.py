@@ -54,10 +54,12 @@ def main():
     runs = {
         "keep_first": lambda: dedupe.keep_first(df, ["k"], ["l_shipdate", "l_partkey"]),
         "duplicate_flag": lambda: dedupe.duplicate_flag(df, ["k"], "dup"),
+        # num_partitions forces the distributed paths (small inputs would
+        # otherwise take the proven-small window shortcut).
         "number_rows (per key)": lambda: number_rows(df, ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber"],
-                                                      group=["k"], name="n"),
+                                                      group=["k"], name="n", num_partitions=16),
         "group_fill": lambda: group_fill(df, "k", ["l_shipdate", "l_partkey", "l_suppkey", "l_linenumber"], ["v"],
-                                         distinct=False),
+                                         distinct=False, num_partitions=16),
         "new_rows (history with hot key)": lambda: incremental.new_rows(
             df.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp_ntz")), df, ["k", "l_partkey"]),
         "new_rows (batch with hot key)": lambda: incremental.new_rows(
