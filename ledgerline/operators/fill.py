@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None = None,
-               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
+               distinct: bool = True, num_partitions: int | None = None,
+               small_rows: int | None = None) -> DataFrame:
     """Per key, forward-fill then back-fill every column (pandas
     ``groupby(key).apply(ffill().bfill())``), then optionally de-duplicate.
 
@@ -27,15 +28,15 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
     4. filled = coalesce(fill within chunk, carried from before,
        back-fill within chunk, carried from after).
     """
-    from ledgerline.operators.numbering import SMALL_INPUT_ROWS, is_small
+    from ledgerline.operators.numbering import is_small
     spark = df.sparkSession
     cols = cols or [c for c in df.columns if c != key]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     asc = [F.col(c).asc_nulls_last() for c in order]
     desc = [F.col(c).desc_nulls_first() for c in order]
     base = df.filter(F.col(key).isNotNull())
-    if num_partitions is None and is_small(base, SMALL_INPUT_ROWS):
-        # Proven small: two running windows over the key, no chunking needed.
+    if num_partitions is None and small_rows and is_small(base, small_rows):
+        # Caller-requested and proven small: two running windows over the key.
         fwd = Window.partitionBy(key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         rev = Window.partitionBy(key).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         filled = base.withColumns({

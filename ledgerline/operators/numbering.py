@@ -46,9 +46,10 @@ def global_positions(df: DataFrame, order: list, num_partitions: int | None = No
                   .drop("__pid", "__mid", "__off"))
 
 
-# Inputs proven (by a bounded probe) to hold at most this many rows are
-# numbered with a plain window: one bounded sort beats the distributed path's
-# extra jobs.  Anything larger takes the range-partitioned path.
+# Callers that know their input is cheap to probe may pass ``small_rows``: an
+# input proven (bounded probe) to hold at most that many rows is numbered with
+# a plain window.  Not automatic: on a derived input the probe would compute
+# the whole upstream once more.
 SMALL_INPUT_ROWS = 100_000
 
 
@@ -62,7 +63,7 @@ def number_rows(df: DataFrame, order: list, group: list[str] | None = None,
                 num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
     """``row_number()`` over (partition by group order by order), skew-safe."""
     group = list(group or [])
-    if num_partitions is None and is_small(df, SMALL_INPUT_ROWS if small_rows is None else small_rows):
+    if num_partitions is None and small_rows and is_small(df, small_rows):
         w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*[_as_sort(c) for c in order])
         return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
     pos = global_positions(df, [*group, *order], num_partitions, "__pos")
