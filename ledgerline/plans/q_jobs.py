@@ -512,7 +512,9 @@ def job_white_label(spark, sf_dir):
     from ledgerline.operators.lifecycle import Run
     t = Tables(spark, sf_dir)
     companies = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias("nit"))
-    res = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies)
+    # The demo derives its "already loaded" history from this run's own result,
+    # so the result is committed once instead of being computed twice.
+    res = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies).checkpoint(eager=True)
     history = res.filter(F.col("valor_paq") >= 400).select(*g10.SERVICE_KEY, F.col("periodo").alias("mes_mb"))
     out = g10.load(res, history, Run(job="white_label", run_id="RUN-WL-0001", started=_dt.datetime(2024, 12, 31)))
     return out.select("id", "id_ejecucion", "tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado",
