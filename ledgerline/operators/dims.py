@@ -70,7 +70,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_col: str | Column, dim_value_co
     A bounded probe (at most ``max_broadcast_rows + 1`` dimension rows)
     decides: a small dimension is broadcast; a large one is shuffle-joined
     with hot fact values salted."""
-    from ledgerline.operators.incremental import _join_keyed, SKEW_SAFE
+    from ledgerline.operators.incremental import SKEW_SAFE, join_keyed
     fcol = F.col(fact_col) if isinstance(fact_col, str) else fact_col
     d = (dim.groupBy(F.col(dim_value_col).alias("__lk"))
             .agg(F.max(F.struct(*[F.col(k).alias(v) for k, v in take.items()])).alias("__row"))
@@ -83,7 +83,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_col: str | Column, dim_value_co
     else:
         # Large dimension: shuffle join, with fact values that cover a large
         # share of the fact salted (null values never match and stay as is).
-        out = _join_keyed(keyed, d, ["__lk"], "left", SKEW_SAFE)
+        out = join_keyed(keyed, d, ["__lk"], "left", SKEW_SAFE)
     out = out.drop("__lk")
     if default:
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in default.items()})

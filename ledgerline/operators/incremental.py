@@ -6,6 +6,11 @@ de-duplicated with a partial (map-side) aggregation before the shuffle, so
 a key repeated millions of times in history costs one row per map task and
 cannot skew the join.  The de-duplication and the join hash-partition on
 the same normalised expressions, so history is shuffled exactly once.
+
+Two more protections, both decided by one small job over the batch keys:
+a batch key holding more than 1/n of the batch is salted (``salted_join``),
+and for daily loads (``reduce_history=True``) a batch proven small has its
+keys broadcast so history is semi-joined map-side and never shuffled in bulk.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import count_stats, hot_keys, key_projection, normalised_keys, salted_join
+from ledgerline.operators.joins import count_stats, hot_keys, normalised_keys, salted_join
 
 
 # With ``reduce_history=True`` a batch of at most this many rows has its keys
@@ -56,7 +61,7 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
     return salted_join(b, h, names, how, hot).drop(*names)
 
 
-def _join_keyed(rows: DataFrame, per_key: DataFrame, names: list[str], how: str,
+def join_keyed(rows: DataFrame, per_key: DataFrame, names: list[str], how: str,
                 skew_safe: bool) -> DataFrame:
     """Join rows to a one-row-per-key frame; with ``skew_safe`` a key repeated
     across a large share of ``rows`` is salted instead of reaching one task
@@ -112,7 +117,7 @@ def membership_flag(df: DataFrame, keys_df: DataFrame, keys: list[str], flag: st
     b, names = normalised_keys(df, keys, "__m")
     m, _ = normalised_keys(marks, keys, "__m")
     m = m.select(*names, "__hit").distinct()
-    out = _join_keyed(b, m, names, "left", SKEW_SAFE if skew_safe is None else skew_safe)
+    out = join_keyed(b, m, names, "left", SKEW_SAFE if skew_safe is None else skew_safe)
     return (out.withColumn(flag, F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no)))
                .drop("__hit", *names))
 
