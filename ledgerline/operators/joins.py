@@ -69,14 +69,6 @@ def normalised_keys(df: DataFrame, keys: list[str], prefix: str,
     return df.withColumns(cols), names
 
 
-def key_projection(df: DataFrame, keys: list[str], prefix: str,
-                   null_safe: bool = True, dedupe: bool = True) -> tuple[DataFrame, list[str]]:
-    """Normalised key columns of ``df`` only, de-duplicated map-side first."""
-    with_keys, names = normalised_keys(df.select(*keys), keys, prefix, null_safe)
-    out = with_keys.select(*names)
-    return (out.distinct() if dedupe else out), names
-
-
 def count_stats(counts: DataFrame, count_col: str) -> tuple[int, int]:
     """(total rows, largest per-key count) of a per-key count table: one job."""
     st = counts.agg(F.sum(count_col).alias("t"), F.max(count_col).alias("m")).first()

@@ -64,12 +64,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """Path under the shared checkpoint folder for a materialised table."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tables/{name}"
-
-
 def sized_conf(shuffle_bytes: int, target_partition_bytes: int = 192 * 1024 * 1024,
                scan_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Settings that scale with the data instead of fixed numbers.

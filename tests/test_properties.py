@@ -98,3 +98,28 @@ def test_loader_ids_are_unique_or_reported(spark):
     lifecycle.assert_unique(out, ["id"])
     with pytest.raises(ValueError, match="duplicate"):
         lifecycle.assert_unique(out.unionByName(out.limit(1)), ["id"])
+
+
+def test_sized_conf_scales_with_shuffle_bytes():
+    from ledgerline.session import sized_conf
+    small, big = sized_conf(1), sized_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "1"
+    assert int(big["spark.sql.shuffle.partitions"]) > 500_000
+
+
+def test_targets_load_guard_and_soft_delete(spark):
+    import datetime as dt
+    from ledgerline.jobs import targets as g15
+    from ledgerline.operators.lifecycle import Run
+    t = Tables(spark, SF001)
+    sheets, org = g15.demo_inputs(t)
+    run1 = Run(job="t", run_id="R1", started=dt.datetime(2024, 2, 1))
+    first = g15.load(sheets, org, run1, "METAS", None, already_loaded_today=False)
+    day = first.select("fecha_procesamiento")
+    assert incremental.already_loaded(day, "fecha_procesamiento", "2024-02-01")
+    assert not incremental.already_loaded(day, "fecha_procesamiento", "2024-02-02")
+    assert g15.load(sheets, org, run1, "METAS", first, already_loaded_today=True) is None
+    run2 = Run(job="t", run_id="R2", started=dt.datetime(2024, 3, 1))
+    second = g15.load(sheets, org, run2, "METAS", first, already_loaded_today=False)
+    states = {(r["id_ejecucion"], r["id_estado_registro"]) for r in second.select("id_ejecucion", "id_estado_registro").distinct().collect()}
+    assert states == {("R1", 4), ("R2", 1)}
