@@ -94,10 +94,11 @@ IMPL = {
 TESTS = {
     "S1": "test_sources", "S2": "test_sources", "S3": "test_loaders", "S4": "test_loaders", "S5": "test_sources",
     "S6": "test_loaders", "S7": "test_sources", "S8": "test_sources (options only; no server)", "S9": "as S8",
-    "S10": "as S8", "S11": "test_sources, test_streaming", "S12": "test_sources", "S13": "test_sources",
-    "S14": "test_sources", "S15": "test_sources", "S16": "test_sources", "S18": "test_sources",
+    "S10": "as S8", "S11": "test_sources, test_streaming, test_runner", "S12": "test_sources", "S13": "test_sources",
+    "S14": "test_sources", "S15": "test_sources", "S16": "test_properties", "S18": "test_sources",
     "C4": "test_sources", "C11": "test_org_chart", "W7": "test_properties", "G2": "test_loaders", "G3": "test_loaders",
-    "G17": "test_loaders", "W4": "test_properties (hot key vs pandas)", "W5": "test_properties",
+    "G17": "test_loaders", "W4": "test_properties (hot key vs pandas), test_skew", "W5": "test_properties", "W2": "test_skew", "W3": "test_skew",
+    "N1": "test_bruteforce, test_skew", "N16": "test_bruteforce", "C5": "test_properties", "C8": "test_properties",
     "P": "test_semantics",
 }
 
