@@ -37,16 +37,20 @@ def new_domain_values(candidates: DataFrame, existing: DataFrame,
 def assign_ids(new_values: DataFrame, existing: DataFrame, id_col: str = "id",
                value_col: str = "valor", group: list[str] | None = None) -> DataFrame:
     """Surrogate ids ``max(existing id) + row_number()`` ordered by value,
-    per domain when ``group`` is given.  Numbering is range-partitioned, so a
-    large domain does not collapse to one task."""
+    per domain when ``group`` is given.  New domain values are usually few
+    (distinct values of categorical columns): when a bounded probe proves at
+    most 100k of them, a plain window numbers them; otherwise numbering is
+    range-partitioned, so a large domain does not collapse to one task."""
+    from ledgerline.operators.numbering import SMALL_INPUT_ROWS
     group = list(group or [])
+    order = [F.col(value_col).asc_nulls_last()]
     if group:
         maxes = existing.groupBy(*group).agg(F.max(id_col).alias("__max"))
-        numbered = number_rows(new_values, [F.col(value_col).asc_nulls_last()], group, "__rn")
+        numbered = number_rows(new_values, order, group, "__rn", small_rows=SMALL_INPUT_ROWS)
         out = numbered.join(maxes, on=group, how="left")
     else:
         mx = existing.agg(F.max(id_col).alias("m")).first()["m"]
-        out = number_rows(new_values, [F.col(value_col).asc_nulls_last()], None, "__rn") \
+        out = number_rows(new_values, order, None, "__rn", small_rows=SMALL_INPUT_ROWS) \
             .withColumn("__max", F.lit(mx))
     return (out.withColumn(id_col, (F.coalesce(F.col("__max"), F.lit(0)) + F.col("__rn")).cast("bigint"))
                .drop("__rn", "__max"))
