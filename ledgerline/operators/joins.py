@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DataType, DateType, NumericType, StringType,
+from pyspark.sql.types import (BooleanType, DataType, DateType, MapType, NumericType, StringType,
                                TimestampNTZType, TimestampType)
 
 # Dimensions above this many rows are joined with a shuffle instead of a
@@ -103,8 +103,10 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
         return left.join(right, keys, how)
     n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(n))) \
-            .otherwise(F.lit(0)).cast("int")
+    # Salt from the row's own values (deterministic across recomputation);
+    # map columns cannot be hashed and are left out.
+    hashable = [F.col(f.name) for f in left.schema.fields if not isinstance(f.dataType, MapType)]
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashable), F.lit(n))).otherwise(F.lit(0)).cast("int")
     lft = left.join(marks, keys, "left").withColumn("__salt", salt).drop("__hot")
     salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     rgt = right.join(marks, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")

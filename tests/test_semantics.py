@@ -189,3 +189,16 @@ def test_lookup_broadcast_and_salted_paths_agree(spark):
     broadcast = dims.lookup(fact, dim, "k", "k", {"name": "name"})
     assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, broadcast.collect()), key=repr)
     assert salted.filter(F.col("name").isNull()).count() == 1   # only the null key: it never matches
+
+
+def test_salted_join_with_hot_key_and_map_column(spark):
+    from ledgerline.operators.joins import hot_keys, salted_join
+    left = spark.createDataFrame([("h" if i % 2 else f"k{i}", i, {"a": i}) for i in range(64)],
+                                 "k string, v int, m map<string,int>")
+    right = spark.createDataFrame([("h", "HOT")] + [(f"k{i}", f"n{i}") for i in range(0, 64, 2)], "k string, name string")
+    counts = left.groupBy("k").count()
+    hot = hot_keys(counts, ["k"], "count", num_partitions=8)
+    assert [r["k"] for r in hot.collect()] == ["h"]
+    out = salted_join(left, right, ["k"], "left", hot, num_partitions=8)
+    assert out.count() == 64 and out.filter(F.col("name").isNull()).count() == 0
+    assert out.filter(F.col("k") == "h").select("name").distinct().collect()[0][0] == "HOT"
