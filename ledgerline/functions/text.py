@@ -33,9 +33,12 @@ def drop_double_spaces(c: ColumnOrName) -> Column:
 
 
 def deep_clean(c: ColumnOrName) -> Column:
-    """Upper -> strip -> remove \\n \\r \\t -> delete double spaces."""
-    x = strip_ws(F.upper(_c(c)))
-    x = F.regexp_replace(x, r"[\n\r\t]", "")
+    """Upper -> strip -> remove \\n \\r \\t -> delete double spaces.
+
+    Strip and the tab/newline removal run as one regex pass (leading run,
+    trailing run, or any tab/newline): same result, one scan of the text
+    fewer."""
+    x = F.regexp_replace(F.upper(_c(c)), r"^\s+|\s+$|[\n\r\t]", "")
     return drop_double_spaces(x)
 
 

@@ -93,3 +93,14 @@ def test_contains_first_match(spark, probes, names):
     for i, x in enumerate(probes):
         hits = [n for n in names if x.lower() in n.lower()]
         assert got[i] == (hits[0] if hits else "NONE")
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=" \t\n\rab\x0b\x0cÉ", max_size=12), min_size=1, max_size=20))
+def test_deep_clean_single_pass_equals_three_steps(spark, texts):
+    from pyspark.sql import functions as F
+    from ledgerline.functions.text import deep_clean, drop_double_spaces, strip_ws
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    three = drop_double_spaces(F.regexp_replace(strip_ws(F.upper("t")), r"[\n\r\t]", ""))
+    got = df.select(deep_clean("t").alias("a"), three.alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
