@@ -104,3 +104,41 @@ def test_deep_clean_single_pass_equals_three_steps(spark, texts):
     three = drop_double_spaces(F.regexp_replace(strip_ws(F.upper("t")), r"[\n\r\t]", ""))
     got = df.select(deep_clean("t").alias("a"), three.alias("b")).collect()
     assert all(r["a"] == r["b"] for r in got)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", None]), small_int, small_txt), max_size=12),
+       st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), small_int, small_txt), max_size=12))
+def test_fill_across_sources_matches_pandas(spark, first, second):
+    import pandas as pd
+    from ledgerline.operators.fill import fill_across_sources
+    schema = "ot string, x int, y string, pos int"
+    f1 = spark.createDataFrame([(*r, i) for i, r in enumerate(first)], schema)
+    f2 = spark.createDataFrame([(*r, i) for i, r in enumerate(second)], schema)
+    got = sorted((tuple(r) for r in fill_across_sources([f1, f2], "ot", ["pos"]).collect()), key=repr)
+    pdf = pd.concat([pd.DataFrame(first, columns=["ot", "x", "y"]),
+                     pd.DataFrame(second, columns=["ot", "x", "y"])], ignore_index=True).drop_duplicates()
+    parts = [g.ffill().bfill() for _, g in pdf.groupby("ot", sort=False)]
+    exp_df = pd.concat(parts).drop_duplicates() if parts else pdf.iloc[0:0]
+    exp = sorted((tuple(None if pd.isna(v) else (int(v) if isinstance(v, float) else v) for v in row)
+                  for row in exp_df[["ot", "x", "y"]].itertuples(index=False)), key=repr)
+    assert got == exp
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["f", "g"]), small_txt, st.integers(0, 5)),
+                max_size=25))
+def test_eav_pivot_latest_non_null(spark, data):
+    from ledgerline.operators.pivot import eav_pivot
+    rows_ = [(e, f, v, ts, i) for i, (e, f, v, ts) in enumerate(data)]
+    df = spark.createDataFrame(rows_, "e int, f string, v string, ts int, seq int")
+    got = {r["e"]: (r["f"], r["g"], r["h"]) for r in eav_pivot(df, "e", "f", "v", "ts", ["f", "g", "h"], ["seq"]).collect()}
+    exp = {}
+    for e, f, v, ts, seq in rows_:
+        if v is None:
+            continue
+        cur = exp.setdefault(e, {})
+        if f not in cur or (ts, seq) > cur[f][0]:
+            cur[f] = ((ts, seq), v)
+    exp = {e: (d.get("f", (0, None))[1], d.get("g", (0, None))[1], None) for e, d in exp.items()}
+    assert got == exp
