@@ -142,3 +142,28 @@ def test_eav_pivot_latest_non_null(spark, data):
             cur[f] = ((ts, seq), v)
     exp = {e: (d.get("f", (0, None))[1], d.get("g", (0, None))[1], None) for e, d in exp.items()}
     assert got == exp
+
+
+@SETTINGS
+@given(st.lists(st.tuples(small_int, small_txt, st.integers(0, 9)), max_size=30))
+def test_duplicate_flag_matches_pandas(spark, data):
+    import pandas as pd
+    rows_ = [(a, b, i) for i, (a, b, _) in enumerate(data)]
+    df = spark.createDataFrame(rows_, "a int, b string, i int")
+    got = {r["i"]: r["dup"] for r in dedupe.duplicate_flag(df, ["a", "b"], "dup").collect()}
+    pdf = pd.DataFrame(rows_, columns=["a", "b", "i"]).astype(object)
+    exp = dict(zip(pdf["i"], pdf.duplicated(subset=["a", "b"], keep=False)))
+    assert got == {k: bool(v) for k, v in exp.items()}
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2", None]), st.integers(1, 4), st.integers(0, 99)), max_size=30))
+def test_latest_version_per_source(spark, data):
+    from ledgerline.operators.lifecycle import latest_version
+    rows_ = [(s, v, i) for i, (s, v, _) in enumerate(data)]
+    df = spark.createDataFrame(rows_, "fuente string, version int, i int")
+    got = sorted(r["i"] for r in latest_version(df, "version", per=["fuente"]).collect())
+    best = {}
+    for s, v, _ in rows_:
+        best[s] = max(best.get(s, v), v)
+    assert got == sorted(i for s, v, i in rows_ if v == best[s])
