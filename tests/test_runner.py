@@ -29,3 +29,19 @@ def test_json_configured_loader(spark, tmp_dir):
     assert n2 == 0
     audit = sorted((r["id_ejecucion"], r["cantidad_registros"]) for r in spark.read.parquet(cfg["audit"]).collect())
     assert audit == [("R1", n1), ("R2", 0)]
+
+
+def test_json_configured_csv_loader(spark, tmp_dir):
+    landed = os.path.join(tmp_dir, "csv")
+    os.makedirs(landed)
+    with open(os.path.join(landed, "f.csv"), "w", encoding="latin-1") as fh:
+        fh.write("CUENTA;OT;CODIGO;VALOR;NOMBRE\n1;10;A;5.5; José \n1;10;A;5.5;dup\n2;20;B;0;cero\n3;30;C;;nulo\n")
+    cfg = {"source": "CSV", "input": landed, "format": "csv",
+           "read_options": {"header": "true", "sep": ";", "encoding": "ISO-8859-1"},
+           "schema": "CUENTA BIGINT, OT BIGINT, CODIGO STRING, VALOR DOUBLE, NOMBRE STRING",
+           "rename": {"CUENTA": "cuenta", "OT": "ot", "CODIGO": "codigo", "VALOR": "valor", "NOMBRE": "nombre"},
+           "key": ["cuenta", "ot", "codigo"], "amount": "valor", "required": ["CUENTA", "OT", "CODIGO"],
+           "target": os.path.join(tmp_dir, "t"), "audit": os.path.join(tmp_dir, "a")}
+    n = run_config(spark, cfg, Run(job="csv", run_id="C1", started=dt.datetime(2024, 1, 1)))
+    got = sorted((r["cuenta"], r["nombre"]) for r in spark.read.parquet(cfg["target"]).collect())
+    assert n == 2 and got == [(1, "DUP"), (1, "JOSÉ")]   # zero/null amounts dropped, in-batch duplicates kept
