@@ -97,7 +97,9 @@ TESTS = {
     "S10": "as S8", "S11": "test_sources, test_streaming, test_runner", "S12": "test_sources", "S13": "test_sources",
     "S14": "test_sources", "S15": "test_sources", "S16": "test_properties", "S18": "test_sources",
     "C4": "test_sources", "C11": "test_org_chart", "W7": "test_properties", "G2": "test_loaders", "G3": "test_loaders",
-    "G17": "test_loaders", "W4": "test_properties (hot key vs pandas), test_skew", "W5": "test_properties", "W2": "test_skew", "W3": "test_skew",
+    "G17": "test_loaders", "W4": "test_properties (hot key vs pandas), test_bruteforce (vs pandas), test_skew", "W5": "test_properties", "W2": "test_skew, test_bruteforce", "W3": "test_skew, test_bruteforce",
+    "A9": "test_bruteforce", "N24": "test_bruteforce", "A2": "test_bruteforce", "X2": "test_bruteforce",
+    "J12": "test_semantics", "N8": "test_bruteforce", "N9": "test_bruteforce",
     "N1": "test_bruteforce, test_skew", "N16": "test_bruteforce", "C5": "test_properties", "C8": "test_properties",
     "P": "test_semantics",
 }
