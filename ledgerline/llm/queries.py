@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe
+from ledgerline.llm import bpe, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_simhash": simhash.op8_simhash,
     "op10_bpe": bpe.op10_bpe,
 }
 
