@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, simhash
+from ledgerline.llm import bpe, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
+    "op9_sharding": sharding.op9_sharding,
     "op10_bpe": bpe.op10_bpe,
 }
 
