@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, sharding, simhash
+from ledgerline.llm import bpe, decontaminate, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_winnowing": decontaminate.op2_winnowing,
     "op8_simhash": simhash.op8_simhash,
     "op9_sharding": sharding.op9_sharding,
     "op10_bpe": bpe.op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_winnowing": decontaminate.OP2_SQL,
+}
