@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, sharding, simhash
+from ledgerline.llm import bpe, decontaminate, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing": decontaminate.op2_winnowing,
+    "op6_warc": warc.op6_warc,
     "op8_simhash": simhash.op8_simhash,
     "op9_sharding": sharding.op9_sharding,
     "op10_bpe": bpe.op10_bpe,
@@ -17,4 +18,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_winnowing": decontaminate.OP2_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
