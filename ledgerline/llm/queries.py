@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, sharding, simhash, warc
+from ledgerline.llm import bpe, decontaminate, language_id, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_winnowing": decontaminate.op2_winnowing,
+    "op3_language_id": language_id.op3_language_id,
     "op6_warc": warc.op6_warc,
     "op8_simhash": simhash.op8_simhash,
     "op9_sharding": sharding.op9_sharding,
