@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, edit_fingerprint, language_id, sharding, simhash, warc
+from ledgerline.llm import bpe, decontaminate, edit_fingerprint, language_id, pii, sharding, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_embedding": edit_fingerprint.op1_edit_embedding,
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_language_id": language_id.op3_language_id,
     "op6_warc": warc.op6_warc,
+    "op7_pii": pii.op7_pii,
     "op8_simhash": simhash.op8_simhash,
     "op9_sharding": sharding.op9_sharding,
     "op10_bpe": bpe.op10_bpe,
