@@ -42,6 +42,7 @@ from ledgerline.llm.runtime import doc_crc, saved, ship_code
 
 PER_CLASS = 1500
 TERMS = 4096
+MIN_SHARE = 0.01
 NEIGHBOURS = 15
 BLOCK = 64
 
@@ -151,7 +152,7 @@ def examples(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(doc_crc() % 5 != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     train = saved(spark, own.join(marked.distinct(), "doc_id").distinct(), "labelled")
     shares = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}  # two labels
-    ranked = train.withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
+    ranked = train.groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
     return saved(spark, ranked.filter(F.col("k") <= per_class).select("doc_id", "toxic", "h"), "examples"), shares
 
 
@@ -171,7 +172,8 @@ def fit_terms(docs: DataFrame, chosen: DataFrame, most: int = TERMS) -> list[str
     least = 2 * math.log(max(tried, 1) / 0.05) - math.log(math.pi * math.log(max(tried, 2) / 0.05))
     n, a, b = pos + neg, F.col("a"), F.col("b")
     chi = n * (a * neg - b * pos) ** 2 / (pos * neg * (a + b) * (n - a - b + F.lit(1e-9)))
-    kept = per_word.select("word", chi.alias("chi")).filter(F.col("chi") >= least).orderBy(F.desc("chi"), "word").limit(most)
+    often = (a >= max(3, MIN_SHARE * pos)) | (b >= max(3, MIN_SHARE * neg))
+    kept = per_word.filter(often).select("word", chi.alias("chi")).filter(F.col("chi") >= least).orderBy(F.desc("chi"), "word").limit(most)
     return sorted(r["word"] for r in kept.collect())
 
 
