@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, edit_fingerprint, language_id, pii, sharding, simhash, toxicity, warc
+from ledgerline.llm import bpe, decontaminate, edit_fingerprint, html_extract, language_id, pii, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_embedding": edit_fingerprint.op1_edit_embedding,
     "op2_winnowing": decontaminate.op2_winnowing,
     "op3_language_id": language_id.op3_language_id,
+    "op4_html_extract": html_extract.op4_html_extract,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_warc": warc.op6_warc,
     "op7_pii": pii.op7_pii,
