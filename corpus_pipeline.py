@@ -1,20 +1,89 @@
-"""Training-data pipeline over ``documents``: each stage calls one operator."""
+"""Training-data pipeline over ``documents``: each stage calls one operator.
+
+Every stage reads what its predecessor kept and returns the columns of
+``documents`` (the last returns tokens), all others passed through untouched.
+Nulls in any column are kept unless a stage's rule says otherwise; an empty
+table stays empty through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.llm import bpe, decontaminate, language_id, pii, simhash
+from ledgerline.llm.runtime import broadcast_if_small, saved
+
+#: A document whose best language has a smaller share than this is rejected.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a learned language; ``und`` and unsure ones go."""
+    model = language_id.fit(spark, docs.filter(~language_id.held_out()))
+    known = language_id.identify(docs, model, pred="_lang_pred", score="_lang_score")
+    return known.filter((F.col("_lang_pred") != language_id.UNDETERMINED) & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the smallest id (rows without an id last),
+    of rows that share it the one whose text has the smallest hash."""
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+    groups = simhash.near_groups(docs.select(key.alias("doc_id"), "text"))
+    kept = groups.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
+    kept = saved(spark, kept.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.text_key").alias("_key"), "_n"), "kept")
+    here = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+    def rows(which: str) -> DataFrame:
+        own = broadcast_if_small(kept.filter(which).select("_id", "_key"))
+        return here.join(own, here.doc_id.eqNullSafe(F.col("_id")) & (here["_text_key"] == F.col("_key")), "left_semi")
+
+    # Only rows repeated in full need to be brought together.
+    repeated = rows("_n > 1").dropDuplicates(["doc_id", "_text_key"])
+    return rows("_n = 1").unionByName(repeated).select(docs.columns)
 
-STAGES: list = []
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark window."""
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = decontaminate.contamination(spark, docs.select("doc_id", "text"), bench)
+    found = saved(spark, found.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "contaminated")
+    here = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = here.doc_id.eqNullSafe(F.col("_id")) & (here["_text_key"] == F.col("_key"))
+    return here.join(broadcast_if_small(found), same, "left_anti").select(docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, its personal data replaced by the kind's name."""
+    clean = pii.redact(docs, pii.fit(docs))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text")).cast(docs.schema["n_chars"].dataType))
+    return clean.select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, checked by decoding them again."""
+    own = [c for c in ("doc_id", "lang", "source", "text") if c in docs.columns]
+    return bpe.token_digests(docs.select(own), ids=True).drop("text")
+
+
+STAGES = [
+    ("language_id", language),
+    ("simhash_near_dedup", near_duplicates),
+    ("decontamination", decontamination),
+    ("pii", personal_data),
+    ("bpe", tokens),
+]
+
+#: Language model, LSTM and merges can't be put in SQL: tested by brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each one's rows written and read again."""
-    from ledgerline.llm.runtime import saved
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = saved(spark, docs, f"stage-{k}")
+            docs = saved(spark, docs, f"stage-{k}-{name}")
     return docs

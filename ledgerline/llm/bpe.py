@@ -175,6 +175,13 @@ def _codec(spec: str) -> Codec:
     return _CODECS[key]
 
 
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    """Packed ids of each row as an Arrow list array."""
+    offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int64).astype(np.int32)
+    flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+
+
 def vocabulary(spark: SparkSession, path: str):
     """Broadcast of a vocabulary file (a few MB at most; its size is checked)."""
     with open(path, encoding="utf-8") as f:
@@ -199,10 +206,7 @@ def encode(df: DataFrame, text: str = "text", out: str = "ids", path: str | None
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(spec.value)
         for texts in batches:
-            packed = [codec.encode_packed(t) for t in texts.to_pylist()]
-            offsets = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int64).astype(np.int32)
-            flat = np.frombuffer(b"".join(packed), "<u4").astype(np.int32)
-            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield _lists([codec.encode_packed(t) for t in texts.to_pylist()])
 
     return df.withColumn(out, ids(F.col(text)))
 
@@ -222,29 +226,35 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | No
     return df.withColumn(out, text(F.col(ids)))
 
 
-def token_digests(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
+def token_digests(df: DataFrame, text: str = "text", path: str | None = None, ids: bool = False) -> DataFrame:
     """Encode every whole text, decode the ids again, and add n_tokens,
-    ids_sha256 (ids as little-endian unsigned 32-bit integers) and
-    decoded_sha256 (decoded text in UTF-8)."""
+    ids_sha256 (ids as little-endian unsigned 32-bit integers), decoded_sha256
+    (decoded text in UTF-8) and, if asked for, the ids."""
     spark = df.sparkSession
     ship_code(spark)
     spec = vocabulary(spark, path or default_path())
 
-    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kind = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
+
+    @F.arrow_udf(kind)
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(spec.value)
         for texts in batches:
-            n, ids_hex, text_hex = [], [], []
+            n, ids_hex, text_hex, flat = [], [], [], []
             for t in texts.to_pylist():
                 packed = codec.encode_packed(t)
                 back = codec.decode(np.frombuffer(packed, "<u4").tolist())
                 n.append(len(packed) // 4)
                 ids_hex.append(hashlib.sha256(packed).hexdigest())
                 text_hex.append(hashlib.sha256(back.encode("utf-8")).hexdigest())
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())],
-                                             ["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    names = ("n_tokens", "ids_sha256", "decoded_sha256")
+                if ids:
+                    flat.append(packed)
+            made = [pa.array(n, pa.int64()), pa.array(ids_hex, pa.string()), pa.array(text_hex, pa.string())]
+            if ids:
+                made.append(_lists(flat))
+            yield pa.StructArray.from_arrays(made, list(names))
+
+    names = ("n_tokens", "ids_sha256", "decoded_sha256") + ("ids",) * ids
     kept = [F.col(f"`{c}`") for c in df.columns if c not in names]
     return df.select(*kept, digests(F.col(text)).alias("_d")).select(*kept, *(F.col(f"_d.{c}").alias(c) for c in names))
 

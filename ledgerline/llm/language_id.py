@@ -149,8 +149,8 @@ def _of_worker(handle) -> Model:
     return _MODELS[0]
 
 
-def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add lang_pred and score of the whole text."""
+def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Add ``pred`` and ``score`` of the whole text."""
     spark = df.sparkSession
     ship_code(spark)
     handle = spark.sparkContext.broadcast(model)
@@ -163,8 +163,9 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                                              ["lang_pred", "score"])
 
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("lang_pred", "score")]
-    return df.select(*kept, predict(F.col(text)).alias("_p")).select(*kept, "_p.lang_pred", "_p.score")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (pred, score)]
+    found = df.select(*kept, predict(F.col(text)).alias("_found"))
+    return found.select(*kept, F.col("_found.lang_pred").alias(pred), F.col("_found.score").alias(score))
 
 
 def held_out():
