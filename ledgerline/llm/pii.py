@@ -313,6 +313,6 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = F.array_join(F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
     base = F.filter("pii", lambda x: x["base"])
     found = found.select("doc_id", "pii", base.alias("own"), written.alias("spans"))
-    counts = [F.size(F.filter("own", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [F.expr(f"size(filter(own, x -> x.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in KINDS]
     digest = F.sha2(F.array_join(F.transform("own", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ","), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), "spans")
