@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,18 +32,13 @@ def id_text(c) -> Column:
 
 
 def row_id(*key_cols, run_id: str | Column) -> Column:
-    """Deterministic upper-case 32-hex id from the business key + run id.
+    """Deterministic upper-case 32-hex id of the given values and a run id.
 
-    ``uuid()`` would be re-drawn whenever a task is recomputed, so a lost
-    executor could write a different id than the one the audit counted.
-    """
+    Each part is written with its length (``3:abc``; null is ``N``), so no two
+    lists of values share a text.  As unique as the values are: ids of rows
+    come from ``lifecycle.with_row_ids``.  ``uuid()`` would be re-drawn whenever
+    a task is recomputed."""
     run = run_id if isinstance(run_id, Column) else F.lit(run_id)
-    parts = [F.coalesce(_c(c).cast("string"), F.lit("\\N")) for c in key_cols]
-    return F.upper(F.md5(F.concat_ws("|", run, *parts)))
-
-
-def null_safe_condition(left, right, keys: list[str] | list[tuple[str, str]]) -> Column:
-    """``l.k <=> r.k`` for every key (P1: pandas merge matches null to null)."""
-    pairs = [(k, k) if isinstance(k, str) else k for k in keys]
-    return reduce(lambda a, b: a & b,
-                  [left[lk].eqNullSafe(right[rk]) for lk, rk in pairs])
+    texts = [run, *[_c(c).cast("string") for c in key_cols]]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("N")) for t in texts]
+    return F.upper(F.md5(F.concat(*parts)))

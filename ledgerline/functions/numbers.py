@@ -90,15 +90,5 @@ def fill_blank_then_zero(df: DataFrame, numeric: list[str],
     return df.withColumns(out) if out else df
 
 
-def zero_for_type(dt: DataType):
-    if isinstance(dt, (ByteType, ShortType, IntegerType, LongType)):
-        return F.lit(0).cast(dt)
-    if isinstance(dt, (FloatType, DoubleType, DecimalType)):
-        return F.lit(0).cast(dt)
-    if isinstance(dt, StringType):
-        return F.lit("0")
-    return None
-
-
 def is_numeric_type(dt: DataType) -> bool:
     return isinstance(dt, NumericType)

@@ -13,8 +13,11 @@ def _c(c):
 
 
 def positive_amount(c) -> Column:
-    """keep rows whose amount, null filled with 0, is > 0."""
-    return F.coalesce(_c(c).cast("double"), F.lit(0.0)) > 0
+    """keep rows whose amount, null filled with 0, is > 0.
+
+    As a filter: null, and text that is no number, is dropped like 0.  Plain
+    ``> 0``, so the bound reaches the scan of a numeric column."""
+    return _c(c).try_cast("double") > 0
 
 
 def not_equal_keep_null(c, value) -> Column:
@@ -54,8 +57,14 @@ def exclude_with_exception(cond_a: Column, cond_b: Column) -> Column:
 
 
 def in_period(ts, period: str) -> Column:
-    """timestamp falls in month ``yyyy-MM``."""
-    return F.date_format(_c(ts), "yyyy-MM") == F.lit(period)
+    """timestamp falls in month ``yyyy-MM``.
+
+    A range with literal bounds, so it reaches the scan and prunes files."""
+    import datetime as _dt
+    first = _dt.date.fromisoformat(f"{period}-01")
+    after = (first.replace(day=28) + _dt.timedelta(days=4)).replace(day=1)
+    bound = lambda d: F.lit(d.isoformat()).cast("timestamp_ntz")
+    return (_c(ts) >= bound(first)) & (_c(ts) < bound(after))
 
 
 def watermark(c, mark, inclusive: bool = False) -> Column:

@@ -142,11 +142,3 @@ def list_literal_to_array(c) -> Column:
     """A Python list literal stored as text -> ARRAY<STRING>."""
     txt = F.regexp_replace(_c(c), "'", '"')
     return F.from_json(txt, "array<string>")
-
-
-def clean_columns(df: DataFrame, cols: list[str], fn=deep_clean) -> DataFrame:
-    return df.withColumns({c: fn(F.col(c)) for c in cols if c in df.columns})
-
-
-def fold_and(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conds, F.lit(True))

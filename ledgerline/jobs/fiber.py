@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from ledgerline.functions.text import lstrip_char
 from ledgerline.functions.values import null_if_in
 from ledgerline.operators.columns import apply_mapping, pad_columns, select_existing
+from ledgerline.operators.dims import lookup
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.joins import small_side
-from ledgerline.operators.lifecycle import Run
+from ledgerline.operators.lifecycle import Run, with_row_ids
 from ledgerline.operators.pivot import eav_pivot, guarded_bigint
 from ledgerline.operators.setops import union_all
-from ledgerline.functions.keys import row_id
 
 # --- fixed values: caption -> target column of the pivoted extension data --
 CAPTION_COLUMNS = {
@@ -60,7 +59,7 @@ def pivot_extension(eav: DataFrame, params: DataFrame, fields: DataFrame) -> Dat
     e = eav.filter(cond).withColumn("__pid", guarded_bigint("vchdatavalue"))
     p = params.select(F.col("iparameterid").alias("__pid"), F.col("vchparameterdesc").alias("dato_columna"))
     f = fields.select("chfieldname", F.col("vchfieldcaption").alias("nombre_columna"))
-    resolved = e.join(p, "__pid", "inner").join(small_side(f), "chfieldname", "inner")
+    resolved = e.join(p, "__pid", "inner").join(f, "chfieldname", "inner")
     wide = eav_pivot(resolved, "id_orden_trabajo_padre", "nombre_columna", "dato_columna",
                      "dtupdatedate", list(CAPTION_COLUMNS), tiebreak=["seq"])
     wide = wide.withColumnsRenamed(CAPTION_COLUMNS)
@@ -69,9 +68,9 @@ def pivot_extension(eav: DataFrame, params: DataFrame, fields: DataFrame) -> Dat
 
 def _state_lookup(df: DataFrame, col: str, states: DataFrame, out: str, default: int) -> DataFrame:
     # A repeated label keeps the last id; labels are matched upper-case.
-    d = states.groupBy(F.upper(F.col("estado")).alias("__st")).agg(F.max("id").alias(out))
-    j = df.join(small_side(d), F.col(col) == F.col("__st"), "left").drop("__st")
-    return j.withColumn(out, F.coalesce(F.col(out), F.lit(default)).cast("int"))
+    labels = states.select("id", F.upper("estado").alias("estado"))
+    j = lookup(df, labels, col, "estado", {"id": out}, {out: default}, order_col="id")
+    return j.withColumn(out, F.col(out).cast("int"))
 
 
 def consolidate(inp: FiberInputs, run: Run) -> DataFrame:
@@ -93,8 +92,7 @@ def consolidate(inp: FiberInputs, run: Run) -> DataFrame:
                          DEFAULT_ORDER_STATE)                                      # N13
     base = _state_lookup(base, "estado_venta", inp.sale_states, "id_estado_venta", DEFAULT_SALE_STATE)
     fresh = new_rows(base, inp.history, ["id", "id_orden_trabajo_padre", "producto"])   # N1
-    fresh = fresh.withColumns({
-        "id_macrofo": row_id("id", "id_orden_trabajo_padre", "producto", run_id=run.run_id),
+    fresh = with_row_ids(fresh, run.run_id, "id_macrofo").withColumns({
         "id_ejecucion": F.lit(run.run_id),
         "id_estado": F.lit(1),
     })

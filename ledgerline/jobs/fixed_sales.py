@@ -48,7 +48,7 @@ def curate(sales: DataFrame, run: Run, source: str) -> DataFrame:
         "mes_gestion_numero": month_label(month_number("mes_gestion")),                # X32
     })
     df = fill_by_map(df, FILLS)                                                        # X20
-    return stamp(df, run, source, key_cols=["id_venta"])                               # C1
+    return stamp(df, run, source)                               # C1
 
 
 def exclusion_counts(sales: DataFrame) -> DataFrame:

@@ -33,7 +33,6 @@ class LoaderConfig:
     time_columns: list[str] = field(default_factory=list)       # null -> 1899-12-30
     date_columns: list[str] = field(default_factory=list)       # bad/null -> 1900-01-01
     required: list[str] | None = None            # S18 contract (landed names)
-    reduce_history: bool = True                   # daily batch vs. large history
 
 
 def transform(batch: DataFrame, history: DataFrame, cfg: LoaderConfig, run: Run) -> DataFrame:
@@ -45,13 +44,13 @@ def transform(batch: DataFrame, history: DataFrame, cfg: LoaderConfig, run: Run)
     if cfg.amount:
         df = df.filter(positive_amount(cfg.amount))
     # Typed null-safe key; history is pruned to the key columns.
-    df = new_rows(df, history, cfg.key, reduce_history=cfg.reduce_history)
+    df = new_rows(df, history, cfg.key)
     for c in cfg.time_columns:
         df = df.withColumn(c, fill_null_timestamp(c, SENTINEL_TIME_BASE))
     for c in cfg.date_columns:
         df = df.withColumn(c, fill_null_timestamp(c, SENTINEL_DATE))
     df = clean_all_strings(df, strip_upper)
-    return stamp(df, run, cfg.source, key_cols=cfg.key)
+    return stamp(df, run, cfg.source)
 
 
 def run_loader(batch: DataFrame, history: DataFrame, cfg: LoaderConfig, run: Run,

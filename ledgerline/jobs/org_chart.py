@@ -16,10 +16,9 @@ from ledgerline.functions.keys import row_id
 from ledgerline.functions.text import (deep_clean, fix_document, remove_vacancy_marker, rightmost,
                                        strip_ws, vacancy_state)
 from ledgerline.operators.dedupe import keep_first
-from ledgerline.operators.dims import assign_ids, domain_candidates, new_domain_values
+from ledgerline.operators.dims import assign_ids, domain_candidates, lookup, new_domain_values
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.joins import fits_broadcast
-from ledgerline.operators.lifecycle import Run, targeted_state_update
+from ledgerline.operators.lifecycle import Run, targeted_state_update, with_row_ids
 
 # Sheet column -> domain name (configuration; extend per sheet layout).
 ORG_DOMAINS = {"CARGO ACTUAL": "cargo", "SEGMENTO": "segmento", "CANAL": "canal"}
@@ -58,15 +57,9 @@ def person_updates(sheet: DataFrame, existing: DataFrame, run: Run, role: str =
 
 
 def _lookup_domains(fact: DataFrame, domains: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """One left join per domain column, selecting only the id.  One
-    bounded probe decides whether the whole domain table is broadcast."""
-    small = fits_broadcast(domains, 200_000)
+    """One left join per domain column, selecting only the id."""
     for col, dom in mapping.items():
-        d = (domains.filter(F.col("dominio") == dom)
-                    .groupBy("valor").agg(F.max("id").alias(f"id_{dom}"))
-                    .withColumnRenamed("valor", f"__v_{dom}"))
-        d = F.broadcast(d) if small else d
-        fact = fact.join(d, deep_clean(col) == F.col(f"__v_{dom}"), "left").drop(f"__v_{dom}")
+        fact = lookup(fact, domains.filter(F.col("dominio") == dom), deep_clean(col), "valor", {"id": f"id_{dom}"})
     return fact
 
 
@@ -76,19 +69,17 @@ def build_fact(sheet: DataFrame, domains: DataFrame, persons: DataFrame, version
     fact = _lookup_domains(sheet, domains, ORG_DOMAINS)
     bosses = (persons.filter(F.col("rol") == "jefe").groupBy("nombre").agg(F.max("id_persona").alias("id_jefe"))
                      .withColumnRenamed("nombre", "__jefe"))
-    fact = fact.join(F.broadcast(bosses) if fits_broadcast(bosses) else bosses,
-                     remove_vacancy_marker("NOMBRE JEFE") == F.col("__jefe"), "left").drop("__jefe")   # N12
+    fact = lookup(fact, bosses, remove_vacancy_marker("NOMBRE JEFE"), "__jefe", {"id_jefe": "id_jefe"})  # N12
     state = F.lit(STATE_INACTIVE) if retired_sheet else vacancy_state("NOMBRE", F.lit(STATE_ACTIVE))   # X14, C11
     ident = fix_document("No DOCUMENTO")                                                        # X15
     out = fact.select(
-        row_id(ident, F.lit(source), run_id=run.run_id).alias("id"),
         remove_vacancy_marker("NOMBRE").alias("nombre_completo"),
         ident.alias("identificacion"),
         rightmost(strip_ws("No DOCUMENTO"), 8).alias("codigo_dealer"),                          # X8
         *[F.col(f"id_{d}") for d in ORG_DOMAINS.values()], "id_jefe",
         state.alias("id_estado_registro"),
         F.lit(version).alias("version"), F.lit(source).alias("fuente"))
-    return out
+    return with_row_ids(out, run.run_id)
 
 
 def materialise(df: DataFrame, path: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.jobs.order_loader import LoaderConfig, run_loader
 from ledgerline.operators.lifecycle import Run
+from ledgerline.sources.readers import read_existing
 
 
 def _read(spark: SparkSession, cfg: dict) -> DataFrame:
@@ -32,18 +33,18 @@ def _read(spark: SparkSession, cfg: dict) -> DataFrame:
 
 
 def _history(spark: SparkSession, path: str, batch: DataFrame, lc: LoaderConfig) -> DataFrame:
-    try:
-        return spark.read.parquet(path).select(*lc.key)
-    except Exception:  # noqa: BLE001 - first load: nothing loaded yet
-        from ledgerline.operators.columns import rename_map
-        return rename_map(batch, lc.rename).select(*lc.key).limit(0)
+    stored = read_existing(spark, path)
+    if stored is not None:
+        return stored.select(*lc.key)
+    from ledgerline.operators.columns import rename_map
+    return rename_map(batch, lc.rename).select(*lc.key).limit(0)
 
 
 def run_config(spark: SparkSession, cfg: dict, run: Run | None = None) -> int:
     lc = LoaderConfig(source=cfg["source"], rename=cfg.get("rename", {}), key=cfg["key"],
                       amount=cfg.get("amount"), defaults=cfg.get("defaults", {}),
                       time_columns=cfg.get("time_columns", []), date_columns=cfg.get("date_columns", []),
-                      required=cfg.get("required"), reduce_history=cfg.get("reduce_history", True))
+                      required=cfg.get("required"))
     run = run or Run(job=cfg.get("job", cfg["source"]))
     batch = _read(spark, cfg)
     history = _history(spark, cfg.get("history", cfg["target"]), batch, lc)

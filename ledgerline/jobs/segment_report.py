@@ -52,12 +52,13 @@ def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams,
                                   ~F.col("nombre_consultor").eqNullSafe(F.lit(params.exempt_person)))
     staff_ok = staff.filter(keep)                                                           # F14
     # The staffing join fans out (one order row meets every consultant of its
-    # document).  Adaptive execution sizes partitions by the small input, so
-    # the whole explosion would run in one task; spreading the input
-    # round-robin first (skew-proof, unlike hashing on the join key) keeps
-    # every core busy.
-    spread = merged.repartition(int(merged.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    joined = resolve_twins(spread, staff_ok, "documento_consultor", how="left", prefer="left").distinct()  # N18 J12 A1
+    # document): repeated staff rows would only be repeated results, and are
+    # dropped first.  Adaptive execution sizes partitions by the small input;
+    # dealing the input out round-robin keeps every core busy with the fan-out.
+    spark = merged.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    joined = resolve_twins(merged.repartition(tasks), staff_ok.distinct(), "documento_consultor",
+                           how="left", prefer="left").distinct()                           # N18 J12 A1
     out = joined.withColumns({
         "nombre_consultor": F.when(F.coalesce(F.col("nombre_consultor"), F.lit("")) == "", F.lit(UNASSIGNED))
                              .otherwise(F.col("nombre_consultor")),                        # X22
@@ -68,7 +69,7 @@ def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams,
     order = ["ot", "fecha", "producto", "valor", "ciudad", "documento_consultor", "nombre_consultor", "cargo_actual"]
     numbered = number_rows(out, order, None, "__n")                                         # W5
     prefix = f"ALT-{MONTH_ABBREVIATIONS[params.run_date.month - 1]}{params.run_date:%y}-"
-    numbered = numbered.withColumn("nuv", F.concat(F.lit(prefix), F.lpad(F.col("__n").cast("string"), 8, "0")))
+    numbered = numbered.withColumn("nuv", F.concat(F.lit(prefix), F.format_string("%08d", "__n")))
     types = dict(numbered.dtypes)
     return pad_columns(numbered.drop("__n"), {c: types.get(c, "string") for c in OUTPUT})  # J7
 

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.constants import STATE_ACTIVE
 from ledgerline.functions.dates import month_number
-from ledgerline.functions.keys import row_id
 from ledgerline.functions.numbers import clamp_int32
 from ledgerline.functions.values import vacancy_document
-from ledgerline.operators.lifecycle import Run, latest_version, soft_delete_append
+from ledgerline.operators.joins import spread_join
+from ledgerline.operators.lifecycle import Run, latest_version, with_row_ids
 from ledgerline.operators.setops import union_all
 
+# --- fixed values: columns of the monthly targets table ---------------------
 COLUMNS = ["id", "id_ejecucion", "identificacion", "nombre", "id_cargo", "anio", "mes", "hoja_fuente", "tipo",
            "couta_mes", "fecha_procesamiento", "fuente", "id_estado_registro", "detalle"]
 
@@ -31,8 +32,7 @@ def build(sheets: dict[str, DataFrame], org_chart: DataFrame, run: Run, source:
     tagged = union_all([df.withColumn("hoja_fuente", F.lit(name)) for name, df in sheets.items()])   # S2 U1 S17
     doc = vacancy_document("CC", "Nombre")                                                              # X33
     df = tagged.select(
-        row_id("hoja_fuente", "pos", run_id=run.run_id).alias("id"),
-        F.lit(run.run_id).alias("id_ejecucion"),
+        "pos", F.lit(run.run_id).alias("id_ejecucion"),
         doc.try_cast("bigint").alias("identificacion"),
         F.col("Nombre").alias("nombre"),
         F.lit(run.started.year).alias("anio"),
@@ -44,27 +44,21 @@ def build(sheets: dict[str, DataFrame], org_chart: DataFrame, run: Run, source:
     roles = (latest_version(org_chart, "version")                                                       # N24
              .filter((F.col("identificacion") != 0) & (F.col("id_cargo") != 0))                       # F19
              .select("identificacion", "id_cargo").distinct())
-    df = df.join(roles, "identificacion", "left")                                                       # N18
+    df = spread_join(df, roles, ["identificacion"], "left")                                             # N18
     df = df.withColumns({"id_cargo": F.coalesce(F.col("id_cargo"), F.lit(0)).cast("int"),
                          "identificacion": clamp_int32(F.col("identificacion"))})                       # X19
-    return df.select(*COLUMNS)
+    return with_row_ids(df, run.run_id).select(*COLUMNS)
 
 
-def load(sheets, org_chart, run: Run, source: str, current: DataFrame | None,
-         already_loaded_today: bool) -> DataFrame | None:
-    """S16 + C5: skip when today's load exists; else retire the previous load
-    and append the new one (returns the new snapshot, or None when skipped)."""
-    if already_loaded_today:
-        return None
-    new = build(sheets, org_chart, run, source)
-    if current is None:
-        return new
-    return soft_delete_append(current, new, state_col="id_estado_registro")
+def load(sheets, org_chart, run: Run, source: str, already_loaded_today: bool) -> DataFrame | None:
+    """The rows to append, or None when today's load exists.  Earlier
+    loads are retired at read time (C5, ``lifecycle.current_state``)."""
+    return None if already_loaded_today else build(sheets, org_chart, run, source)
 
 
 # --- demo inputs on the driver's tables ----------------------------------
 DEMO_RUN = Run(job="targets", run_id="RUN-TARGETS-0001", started=_dt.datetime(2024, 2, 1))
-SHEETS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+SHEETS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def demo_inputs(t) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -121,8 +115,28 @@ def official(sheet: DataFrame, run: Run, source: str, columns: dict[str, str] =
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != key]
     df = df.withColumns({c: deep_clean(c) for c in text})
     df = df.withColumn(key, coerce_number(key, "bigint"))
-    return df.select(
-        row_id(key, "nombre", "rol", run_id=run.run_id).alias("id"), F.lit(run.run_id).alias("id_ejecucion"),
-        *[F.col(c) for c in columns.values()],
+    return with_row_ids(df.select(*columns.values()), run.run_id).select(
+        "id", F.lit(run.run_id).alias("id_ejecucion"), *columns.values(),
+        F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz").alias("fecha_procesamiento"),
+        F.lit(source).alias("fuente"), F.lit(STATE_ACTIVE).alias("id_estado_registro"))
+
+
+# --- fixed values: company-targets sheet header -> column -------------------
+COMPANY_COLUMNS = {
+    "TIPO": "tipo", "CÉDULA": "identificacion", "NOMBRE": "nombre", "CARGO": "cargo", "NOMBRE GERENTE": "nombre_gerente",
+    "DIRECTOR": "director", "ALTAS MÓVIL": "altas_movil", "BAJAS MÓVIL": "bajas_movil", "CAMBIO DE PLAN": "cambio_plan",
+    "RETO ESTRATÉGICO MÓVIL": "reto_estrategico_movil", "NETO MÓVIL": "neto_movil",
+    "INCENTIVO UNIDADES MÓVIL": "incentivo_unidades_movil", "LÍNEAS BAJAS": "lineas_bajas", "LÍNEAS NETAS": "lineas_netas",
+}
+
+
+def company(sheet: DataFrame, run: Run, source: str) -> DataFrame:
+    """Company targets: headers normalised (strip + upper), the contract's
+    columns selected and renamed (S18 J2 J4 J1); values are loaded as they are."""
+    from ledgerline.operators.columns import rename_by_rule, rename_map, select_required
+    norm = rename_by_rule(sheet, rule=lambda c: c.strip().upper())
+    rows = rename_map(select_required(norm, list(COMPANY_COLUMNS)), COMPANY_COLUMNS)
+    return with_row_ids(rows, run.run_id).select(
+        "id", F.lit(run.run_id).alias("id_ejecucion"), *COMPANY_COLUMNS.values(),
         F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz").alias("fecha_procesamiento"),
         F.lit(source).alias("fuente"), F.lit(STATE_ACTIVE).alias("id_estado_registro"))

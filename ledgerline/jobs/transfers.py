@@ -57,7 +57,7 @@ def consolidate(sources: list[TransferSource], target: DataFrame | None, schema:
     out = union_all(aligned).withColumn(
         "llave_proceso", concat_strict("orden_trabajo", "codigo_servicio", "tipo_v"))     # X41
     out = keep_first(out, ["llave_proceso"], ["__src", "orden_trabajo", "codigo_servicio"]).drop("__src")
-    return stamp(out, run, None, key_cols=["llave_proceso", "fuente"])
+    return stamp(out, run, None)
 
 
 # --- demo configuration on the driver's lineitem table -------------------

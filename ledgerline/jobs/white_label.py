@@ -20,7 +20,7 @@ from ledgerline.functions.dates import date_to_excel_serial
 from ledgerline.functions.keys import int_text
 from ledgerline.functions.predicates import in_period, not_in_keep_null
 from ledgerline.functions.values import period_by_type
-from ledgerline.operators.dedupe import duplicate_flag, keep_first
+from ledgerline.operators.dedupe import keep_first_counted
 from ledgerline.operators.incremental import membership_flag
 from ledgerline.operators.setops import union_all
 
@@ -40,8 +40,7 @@ def _side(rows: DataFrame, kind: str, serial: Column, rules: WhiteLabelRules,
           other: DataFrame, companies: DataFrame) -> DataFrame:
     df = rows.withColumn("fecha_excel", serial).withColumn("__paq_txt", int_text("cod_paq_instalado"))
     svc_key = ["co_id", "fecha_excel", "valor_paq", "desc_serv_instalado"]
-    df = duplicate_flag(df, svc_key, "duplicado_por_servicio")            # W3
-    df = keep_first(df, svc_key, SORT)                                    # W2 keep 1 (A2)
+    df = keep_first_counted(df, svc_key, SORT, "duplicado_por_servicio")  # W3, W2 keep 1 (A2)
     df = membership_flag(df, companies, ["nit"], "segmento", yes="EMPRESAS", no="NEGOCIOS")  # N10
     other_keys = other.withColumn("__paq_txt", int_text("cod_paq_instalado")).select(*MATCH_KEY)
     df = membership_flag(df, other_keys, MATCH_KEY, "cruce_bajas_altas", yes="Cruza", no="No cruza")
@@ -108,5 +107,5 @@ def load(result: DataFrame, history: DataFrame, run, key: list[str] = SERVICE_KE
                   .drop("duplicado_por_servicio", "cruce_bajas_altas")
                   .withColumnRenamed("periodo", "mes_mb"))
     fresh = new_rows(rows, history, [*key, "mes_mb"])
-    out = stamp(fresh, run, "MARCA BLANCA", key_cols=[*key, "mes_mb", "tipo"])
+    out = stamp(fresh, run, "MARCA BLANCA")
     return out.withColumn("id_estado_registro", F.lit(1))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_back, normalised_keys
+from ledgerline.operators.joins import normalised_keys, spread_join
 from ledgerline.operators.numbering import number_rows
 
 
@@ -37,14 +37,26 @@ def duplicate_flag(df: DataFrame, keys: list[str], name: str = "duplicado") -> D
     """True on every member of a key that occurs more than once.
 
     Counted with a combinable aggregation (a hot key costs one partial count
-    per map task), then joined back with hot keys salted (``join_back``)."""
+    per map task), then joined back, hot keys spread (``spread_join``)."""
     keyed, names = normalised_keys(df, keys, "__d")
     counts = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
-    return (join_back(keyed, counts, names, "__cnt")
+    return (spread_join(keyed, counts, names, "inner")
                  .withColumn(name, F.col("__cnt") > 1)
                  .drop("__cnt", *names))
 
 
+def keep_first_counted(df: DataFrame, keys: list[str], order: list[str], name: str = "duplicado") -> DataFrame:
+    """A2 + W3 in one aggregation: the first row per key by ``order`` (then all
+    columns, nulls last), and whether the key occurs more than once.
+
+    Combined map-side, so a hot key is one row per task before the shuffle."""
+    rest = [c for c in df.columns if c not in order]
+    place = F.struct(*[x for i, c in enumerate([*order, *rest]) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    keyed, names = normalised_keys(df, keys, "__f")
+    first = keyed.groupBy(*names).agg(F.min_by(F.struct(*df.columns), place).alias("__row"), F.count(F.lit(1)).alias("__cnt"))
+    return first.select("__row.*", (F.col("__cnt") > 1).alias(name))
+
+
 def duplicate_ordinal(df: DataFrame, keys: list[str], order: list,
                       name: str = "ordinal") -> DataFrame:
     """``cumcount() + 1`` after a sort, for every row (skew-safe numbering)."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.constants import NOT_APPLICABLE
 from ledgerline.functions.text import deep_clean
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.joins import fits_broadcast, small_side  # noqa: F401 (re-exported)
+from ledgerline.operators.joins import spread_join
 from ledgerline.operators.numbering import number_rows
 
 
@@ -37,58 +37,38 @@ def new_domain_values(candidates: DataFrame, existing: DataFrame,
 def assign_ids(new_values: DataFrame, existing: DataFrame, id_col: str = "id",
                value_col: str = "valor", group: list[str] | None = None) -> DataFrame:
     """Surrogate ids ``max(existing id) + row_number()`` ordered by value,
-    per domain when ``group`` is given.  New domain values are usually few
-    (distinct values of categorical columns): when a bounded probe proves at
-    most 100k of them, a plain window numbers them; otherwise numbering is
-    range-partitioned, so a large domain does not collapse to one task."""
-    from ledgerline.operators.numbering import SMALL_INPUT_ROWS
+    per domain when ``group`` is given.  Numbering is range-partitioned, so a
+    large domain does not collapse to one task."""
     group = list(group or [])
     order = [F.col(value_col).asc_nulls_last()]
     if group:
         maxes = existing.groupBy(*group).agg(F.max(id_col).alias("__max"))
-        numbered = number_rows(new_values, order, group, "__rn", small_rows=SMALL_INPUT_ROWS)
-        out = numbered.join(maxes, on=group, how="left")
+        numbered = number_rows(new_values, order, group, "__rn")
+        out = spread_join(numbered, maxes, group, "left")
     else:
         mx = existing.agg(F.max(id_col).alias("m")).first()["m"]
-        out = number_rows(new_values, order, None, "__rn", small_rows=SMALL_INPUT_ROWS) \
-            .withColumn("__max", F.lit(mx))
+        out = number_rows(new_values, order, None, "__rn").withColumn("__max", F.lit(mx))
     return (out.withColumn(id_col, (F.coalesce(F.col("__max"), F.lit(0)) + F.col("__rn")).cast("bigint"))
                .drop("__rn", "__max"))
 
 
-def dedupe_dimension(dim: DataFrame, value_col: str, order_col: str) -> DataFrame:
-    """``dict(zip(k, v))``: for a repeated key the last entry wins."""
-    return dim.groupBy(value_col).agg(
-        F.max_by(F.struct(*[F.col(c) for c in dim.columns if c != value_col]),
-                 F.col(order_col)).alias("__v")).select(value_col, "__v.*")
-
-
 def lookup(fact: DataFrame, dim: DataFrame, fact_col: str | Column, dim_value_col: str,
-           take: dict[str, str], default: dict | None = None,
-           max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Left join on a value, keeping only the looked-up columns.
+           take: dict[str, str], default: dict | None = None, order_col: str | None = None,
+           how: str = "left") -> DataFrame:
+    """Join on a value, keeping only the looked-up columns.
 
     ``take`` maps dimension column -> output name.  The dimension is
-    de-duplicated on the value first (one whole row per value, the greatest,
-    so fields never mix across duplicates) and the lookup cannot fan out.
-    A bounded probe (at most ``max_broadcast_rows + 1`` dimension rows)
-    decides: a small dimension is broadcast; a large one is shuffle-joined
-    with hot fact values salted."""
-    from ledgerline.operators.incremental import SKEW_SAFE, join_keyed
+    de-duplicated on the value first (one whole row per value, so fields never
+    mix across duplicates) and the lookup cannot fan out: the last row by
+    ``order_col`` wins as in ``dict(zip(k, v))`` (P13), or the greatest row
+    where the dimension has no order.  ``how="inner"`` drops fact rows without
+    a match (N20).  Large fact values are spread (``spread_join``)."""
     fcol = F.col(fact_col) if isinstance(fact_col, str) else fact_col
-    d = (dim.groupBy(F.col(dim_value_col).alias("__lk"))
-            .agg(F.max(F.struct(*[F.col(k).alias(v) for k, v in take.items()])).alias("__row"))
-            .filter(F.col("__lk").isNotNull())
-            .select("__lk", "__row.*"))
-    keyed = fact.withColumn("__lk", fcol)
-    if fits_broadcast(d, max_broadcast_rows):
-        # Proven small: broadcast, the fact is never shuffled (so no skew).
-        out = keyed.join(F.broadcast(d), ["__lk"], "left")
-    else:
-        # Large dimension: shuffle join, with fact values that cover a large
-        # share of the fact salted (null values never match and stay as is).
-        out = join_keyed(keyed, d, ["__lk"], "left", SKEW_SAFE)
-    out = out.drop("__lk")
+    row = F.struct(*[F.col(k).alias(v) for k, v in take.items()])
+    last = F.max(row) if order_col is None else F.max_by(row, F.struct(F.col(order_col), row))
+    d = (dim.groupBy(F.col(dim_value_col).alias("__lk")).agg(last.alias("__row"))
+            .filter(F.col("__lk").isNotNull()).select("__lk", "__row.*"))
+    out = spread_join(fact.withColumn("__lk", fcol), d, ["__lk"], how).drop("__lk")
     if default:
         out = out.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in default.items()})
     return out
@@ -98,7 +78,7 @@ def keep_if_known(fact: DataFrame, col: str, dim: DataFrame, dim_col: str,
                   fallback: str = NOT_APPLICABLE) -> DataFrame:
     """Keep the value when the dimension holds it, else 'NO APLICA'."""
     known = dim.select(F.col(dim_col).alias("__kv")).distinct().withColumn("__ok", F.lit(True))
-    out = fact.join(small_side(known), F.col(col) == F.col("__kv"), "left")
+    out = spread_join(fact.withColumn("__kv", F.col(col)), known, ["__kv"], "left")
     return (out.withColumn(col, F.when(F.col("__ok"), F.col(col)).otherwise(F.lit(fallback)))
                .drop("__kv", "__ok"))
 
@@ -109,33 +89,25 @@ def contains_first_match(probe: DataFrame, probe_col: str, dim: DataFrame, dim_c
     text, case-insensitively and literally.
 
     Instead of a nested-loop join over every (probe, dimension) pair, each
-    dimension value is expanded into its substrings of exactly the lengths
-    that occur among the probes, and probes are matched with an equi-join;
-    the first hit per probe is a map-side-combined ``min_by``.  Exact: a
-    probe of length n is contained in v iff it equals one of v's length-n
-    substrings.  The probe-length list is bounded by the longest probe."""
-    probes = probe.select(F.lower(F.col(probe_col)).alias("__p")).filter(F.col("__p").isNotNull()).distinct()
-    lengths = sorted(r[0] for r in probes.select(F.length("__p").alias("n")).distinct().collect())
-    if not lengths:
-        return probe.withColumn(out_col, F.lit(default).cast("string"))
-    order_struct = F.struct(*[F.col(c) if isinstance(c, str) else c for c in dim_order],
-                            F.col(dim_col))
-    lens = F.array(*[F.lit(n) for n in lengths])
-    subs = F.expr(
-        "array_distinct(flatten(transform(filter(__lens, n -> n <= length(__v)), "
-        "n -> transform(sequence(1, length(__v) - n + 1), i -> substring(__v, i, n)))))")
-    d = (dim.select(F.col(dim_col).alias("__val"), order_struct.alias("__ord"))
-            .filter(F.col("__val").isNotNull())
-            .withColumn("__v", F.lower(F.col("__val")))
-            .withColumn("__lens", lens)
-            .select("__val", "__ord", F.explode(subs).alias("__p")))
-    hits = (probes.join(d, on="__p", how="inner")
-                  .groupBy("__p").agg(F.min_by("__val", "__ord").alias("__hit")))
-    out = (probe.withColumn("__p", F.lower(F.col(probe_col)))
-                .join(hits, on="__p", how="left")
-                .withColumn(out_col, F.coalesce(F.col("__hit"), F.lit(default).cast("string")))
-                .drop("__p", "__hit"))
-    return out
+    dimension value is expanded into its substrings of the lengths that occur
+    among the probes (an equi-join on the length), the first value of each
+    substring is taken by a map-side-combined ``min_by``, and probes join those
+    one to one: a short probe that is in nearly every value costs one row.
+    Exact: a probe of length n is contained in v iff it equals one of v's
+    length-n substrings."""
+    lengths = (probe.select(F.length(F.lower(F.col(probe_col))).alias("__n"))
+                    .filter(F.col("__n").isNotNull()).distinct())
+    order = F.struct(*[F.col(c) if isinstance(c, str) else c for c in dim_order], F.col(dim_col))
+    values = (dim.select(F.col(dim_col).alias("__val"), order.alias("__ord"))
+                 .filter(F.col("__val").isNotNull()).withColumn("__v", F.lower(F.col("__val")))
+                 .withColumn("__n", F.explode(F.sequence(F.lit(0), F.length("__v")))))
+    parts = F.expr("array_distinct(transform(sequence(1, length(__v) - __n + 1), i -> substring(__v, i, __n)))")
+    first = (spread_join(values, lengths, ["__n"], "left_semi")
+             .select("__val", "__ord", F.explode(parts).alias("__p"))
+             .groupBy("__p").agg(F.min_by("__val", "__ord").alias("__hit")))
+    out = spread_join(probe.withColumn("__p", F.lower(F.col(probe_col))), first, ["__p"], "left")
+    return (out.withColumn(out_col, F.coalesce(F.col("__hit"), F.lit(default).cast("string")))
+               .drop("__p", "__hit"))
 
 
 def contains_match_two(probe: DataFrame, probe_col: str, first: tuple, second: tuple,

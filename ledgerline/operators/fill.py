@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import spread_join
+
 
 def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None = None,
-               distinct: bool = True, num_partitions: int | None = None,
-               small_rows: int | None = None) -> DataFrame:
+               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Per key, forward-fill then back-fill every column (pandas
     ``groupby(key).apply(ffill().bfill())``), then optionally de-duplicate.
 
@@ -28,22 +29,12 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
     4. filled = coalesce(fill within chunk, carried from before,
        back-fill within chunk, carried from after).
     """
-    from ledgerline.operators.numbering import is_small
-    spark = df.sparkSession
+    from ledgerline.operators.numbering import ranges
     cols = cols or [c for c in df.columns if c != key]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     asc = [F.col(c).asc_nulls_last() for c in order]
     desc = [F.col(c).desc_nulls_first() for c in order]
     base = df.filter(F.col(key).isNotNull())
-    if num_partitions is None and small_rows and is_small(base, small_rows):
-        # Caller-requested and proven small: two running windows over the key.
-        fwd = Window.partitionBy(key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rev = Window.partitionBy(key).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        filled = base.withColumns({
-            c: F.coalesce(F.last(F.col(c), ignorenulls=True).over(fwd), F.last(F.col(c), ignorenulls=True).over(rev))
-            for c in cols})
-        return filled.distinct() if distinct else filled
-    chunks = (base.repartitionByRange(n, F.col(key).asc(), *asc)
+    chunks = (ranges(base, [F.col(key).asc(), *asc], num_partitions)
                   .withColumn("__pid", F.spark_partition_id())
                   .checkpoint(eager=True))
     fwd = Window.partitionBy("__pid", key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -61,7 +52,7 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
         key, "__pid",
         *[F.last(F.col(f"__l_{i}"), ignorenulls=True).over(before).alias(f"__cf_{i}") for i in range(len(cols))],
         *[F.last(F.col(f"__h_{i}"), ignorenulls=True).over(after).alias(f"__cb_{i}") for i in range(len(cols))])
-    joined = local.join(carry, [key, "__pid"], "left")
+    joined = spread_join(local, carry, [key, "__pid"], "left")
     filled = joined.withColumns({
         c: F.coalesce(F.col(f"__f_{i}"), F.col(f"__cf_{i}"), F.col(f"__b_{i}"), F.col(f"__cb_{i}"))
         for i, c in enumerate(cols)})
@@ -79,7 +70,7 @@ def resolve_twins(left: DataFrame, right: DataFrame, on, how: str = "left",
                              for c in left.columns if c not in keys])
     r = right.select(*keys, *[F.col(c).alias(f"{c}__r") if c in shared else F.col(c)
                               for c in right.columns if c not in keys])
-    j = l.join(r, on=keys, how=how)
+    j = spread_join(l, r, keys, how)
     first, second = ("__l", "__r") if prefer == "left" else ("__r", "__l")
     j = j.withColumns({c: F.coalesce(F.col(c + first), F.col(c + second)) for c in shared})
     return j.drop(*[c + s for c in shared for s in ("__l", "__r")])

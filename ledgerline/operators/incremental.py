@@ -4,13 +4,9 @@ N1-N9 are all the same Spark plan: a left anti (or semi) join on typed key
 columns with null-safe equality.  History is pruned to its key columns and
 de-duplicated with a partial (map-side) aggregation before the shuffle, so
 a key repeated millions of times in history costs one row per map task and
-cannot skew the join.  The de-duplication and the join hash-partition on
-the same normalised expressions, so history is shuffled exactly once.
-
-Two more protections, both decided by one small job over the batch keys:
-a batch key holding more than 1/n of the batch is salted (``salted_join``),
-and for daily loads (``reduce_history=True``) a batch proven small has its
-keys broadcast so history is semi-joined map-side and never shuffled in bulk.
+cannot skew the join.  Nothing is counted while the plan is built: whether
+history's keys are broadcast, and where a hot batch key is cut, is decided
+by adaptive execution on measured bytes (``joins.spread_join``).
 """
 
 from __future__ import annotations
@@ -18,72 +14,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import count_stats, hot_keys, normalised_keys, salted_join
-
-
-# With ``reduce_history=True`` a batch of at most this many rows has its keys
-# broadcast to cut history down before any shuffle (two million keys are
-# tens of MB).  Worth it when the batch is a small slice of a large history
-# (daily loads); when batch and history are of similar size it only adds
-# a probe and a broadcast, so the generic operator leaves it off.
-BATCH_KEY_BOUND = 2_000_000
-
-# Salt batch keys that hold more than 1/n of the batch (see joins.salted_join).
-SKEW_SAFE = True
+from ledgerline.operators.joins import normalised_keys, spread_join
 
 
 def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
-                history_keys=None, null_safe: bool = True, reduce_history: bool = False,
-                batch_key_bound: int | None = None, skew_safe: bool | None = None) -> DataFrame:
+                history_keys=None, null_safe: bool = True) -> DataFrame:
     history_keys = list(history_keys or keys)
     if len(history_keys) != len(keys):
         raise ValueError("batch and history key lists differ in length")
-    skew_safe = SKEW_SAFE if skew_safe is None else skew_safe
-    bound = BATCH_KEY_BOUND if batch_key_bound is None else batch_key_bound
     b, names = normalised_keys(batch, list(keys), "__k", null_safe)
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
-    h = h.select(*names)
-    counts, stats = None, None
-    if skew_safe or (reduce_history and bound):
-        # One small job over the batch keys (map-side combined): batch size
-        # for the history reduction and largest key for the skew check.
-        counts = b.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
-        stats = count_stats(counts, "__cnt")
-    if reduce_history and bound and stats[0] <= bound:
-        # Daily batch vs. years of history: only history keys that occur in
-        # the batch can matter.  The batch keys (bounded above) are broadcast
-        # and history is semi-joined map-side, so the bulk of history is
-        # never shuffled.
-        h = h.join(F.broadcast(b.select(*names).distinct()), on=names, how="left_semi")
-    h = h.distinct()
-    hot = hot_keys(counts, names, "__cnt", stats=stats) if skew_safe else None
-    return salted_join(b, h, names, how, hot).drop(*names)
-
-
-def join_keyed(rows: DataFrame, per_key: DataFrame, names: list[str], how: str,
-                skew_safe: bool) -> DataFrame:
-    """Join rows to a one-row-per-key frame; with ``skew_safe`` a key repeated
-    across a large share of ``rows`` is salted instead of reaching one task
-    (one small counting job; hot keys are collected only if one exists)."""
-    if not skew_safe:
-        return rows.join(per_key, on=names, how=how)
-    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("__cnt"))
-    return salted_join(rows, per_key, names, how, hot_keys(counts, names, "__cnt"))
+    return spread_join(b, h.select(*names).distinct(), names, how).drop(*names)
 
 
 def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-             history_keys: list[str] | None = None, null_safe: bool = True,
-             reduce_history: bool = False) -> DataFrame:
+             history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``history``."""
-    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe, reduce_history)
+    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe)
 
 
 def existing_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-                  history_keys: list[str] | None = None, null_safe: bool = True,
-                  reduce_history: bool = False) -> DataFrame:
+                  history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
     """Rows of ``batch`` whose key is present in ``history``."""
-    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe, reduce_history)
+    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe)
 
 
 def split_new_existing(batch: DataFrame, history: DataFrame, keys: list[str],
@@ -97,27 +51,24 @@ def new_rows_by_day(batch: DataFrame, history: DataFrame, ts_col: str,
                     history_ts_col: str | None = None) -> DataFrame:
     """Drop whole days already present in history.
 
-    The set of loaded days is bounded by the calendar (a few thousand rows
-    at most), so it is broadcast after a map-side distinct.
+    Loaded days are made distinct map-side; a day that holds much of the
+    batch is cut into several tasks (``spread_join``).
     """
     hcol = history_ts_col or ts_col
     days = history.select(F.to_date(F.col(hcol)).alias("__day")).distinct()
-    return (batch.withColumn("__day", F.to_date(F.col(ts_col)))
-                 .join(F.broadcast(days), on="__day", how="left_anti")
-                 .drop("__day"))
+    return spread_join(batch.withColumn("__day", F.to_date(F.col(ts_col))), days, ["__day"], "left_anti").drop("__day")
 
 
 def membership_flag(df: DataFrame, keys_df: DataFrame, keys: list[str], flag: str,
-                    yes="SI", no="NO", key_df_cols: list[str] | None = None,
-                    skew_safe: bool | None = None) -> DataFrame:
+                    yes="SI", no="NO", key_df_cols: list[str] | None = None) -> DataFrame:
     """Label each row by whether its key appears in ``keys_df``
-    (one left join to the distinct keys; hot keys of ``df`` are salted)."""
+    (one left join to the distinct keys)."""
     kcols = key_df_cols or keys
     marks = keys_df.select(*[F.col(a).alias(b) for a, b in zip(kcols, keys)]).withColumn("__hit", F.lit(True))
     b, names = normalised_keys(df, keys, "__m")
     m, _ = normalised_keys(marks, keys, "__m")
     m = m.select(*names, "__hit").distinct()
-    out = join_keyed(b, m, names, "left", SKEW_SAFE if skew_safe is None else skew_safe)
+    out = spread_join(b, m, names, "left")
     return (out.withColumn(flag, F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no)))
                .drop("__hit", *names))
 
@@ -155,6 +106,9 @@ def watermark_increment(source: DataFrame, target: DataFrame, col: str,
     return source.filter(cond)
 
 
-def already_loaded(history: DataFrame, day_col: str, day) -> bool:
-    """Has anything been loaded for ``day``?  Reads at most one row."""
-    return history.filter(F.to_date(F.col(day_col)) == F.lit(day).cast("date")).limit(1).count() > 0
+def already_loaded(history: DataFrame, day, day_col: str = "fecha_carga") -> bool:
+    """Has anything been loaded for ``day``?
+
+    ``day_col`` is the date the table is partitioned by (``append_table``), so
+    other days' files are not opened; one row of the day's is read at most."""
+    return not history.filter(F.col(day_col) == F.lit(str(day)).cast("date")).limit(1).isEmpty()

@@ -1,36 +1,12 @@
-"""Join helpers: size-checked broadcast and null-safe key normalisation."""
+"""Join helpers: null-safe keys, and joins that survive hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DataType, DateType, MapType, NumericType, StringType,
+from pyspark.sql.types import (BooleanType, DataType, DateType, NumericType, StringType,
                                TimestampNTZType, TimestampType)
 
-# Dimensions above this many rows are joined with a shuffle instead of a
-# broadcast.  100k narrow rows is a few MB per executor.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """Bounded size probe: reads at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, probe: bool = False) -> DataFrame:
-    """The lookup side of a dimension join.
-
-    Default: no hint.  Adaptive execution measures the side's real size
-    after its stage runs and switches to a broadcast join only under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- a measured bound,
-    at no extra pass.  ``probe=True`` adds an explicit bounded row-count
-    check (``limit(max_rows + 1).count()``) and hints the broadcast; use it
-    only for inputs that are cheap to count (materialised domain tables,
-    configuration frames), since the probe is a job of its own."""
-    if probe:
-        return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-    return df
-
 
 def _null_placeholder(dt: DataType) -> Column:
     if isinstance(dt, StringType):
@@ -51,9 +27,7 @@ def normalised_keys(df: DataFrame, keys: list[str], prefix: str,
     """Add plain-equality join columns that make ``<=>`` an ordinary equi-join.
 
     A nullable key ``k`` becomes ``(coalesce(k, placeholder), isnull(k))`` so
-    null matches null and never matches the placeholder value.  Both join
-    sides get the same expressions, so an aggregation on them and the join
-    share one hash partitioning (no second exchange).
+    null matches null and never matches the placeholder value.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols, names = {}, []
@@ -69,62 +43,21 @@ def normalised_keys(df: DataFrame, keys: list[str], prefix: str,
     return df.withColumns(cols), names
 
 
-def count_stats(counts: DataFrame, count_col: str) -> tuple[int, int]:
-    """(total rows, largest per-key count) of a per-key count table: one job."""
-    st = counts.agg(F.sum(count_col).alias("t"), F.max(count_col).alias("m")).first()
-    return int(st["t"] or 0), int(st["m"] or 0)
-
-
-def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
-             num_partitions: int | None = None, stats: tuple[int, int] | None = None) -> DataFrame | None:
-    """Keys holding more than 1/n of all rows, from a per-key count table.
-
-    Fewer than n keys can qualify, so the result is a small, bounded frame
-    (or None).  The common case -- no key above the limit -- costs one small
-    job (total and largest count); only then are the hot keys collected."""
-    spark = counts.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total, largest = stats or count_stats(counts, count_col)
-    limit = max(1, total // n)
-    if largest <= limit:
-        return None
-    found = counts.filter(F.col(count_col) > F.lit(limit)).select(*keys).collect()
-    return spark.createDataFrame(found, counts.select(*keys).schema) if found else None
-
-
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
-                hot: DataFrame | None, num_partitions: int | None = None) -> DataFrame:
-    """Join on ``keys`` where ``right`` has one row per key and ``left`` may
-    hold hot keys: rows of hot keys get a deterministic salt
-    (``xxhash64(row) mod n``) and the right rows of hot keys are replicated
-    for every salt, so each hot key is spread over n tasks.  Works for inner,
-    left, left-semi and left-anti joins (every salt sees the right row)."""
-    if hot is None:
-        return left.join(right, keys, how)
-    n = num_partitions or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    marks = F.broadcast(hot.withColumn("__hot", F.lit(True)))
-    # Salt from the row's own values (deterministic across recomputation);
-    # map columns cannot be hashed and are left out.
-    hashable = [F.col(f.name) for f in left.schema.fields if not isinstance(f.dataType, MapType)]
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*hashable), F.lit(n))).otherwise(F.lit(0)).cast("int")
-    lft = left.join(marks, keys, "left").withColumn("__salt", salt).drop("__hot")
-    salts = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    rgt = right.join(marks, keys, "left").withColumn("__salt", F.explode(salts)).drop("__hot")
-    return lft.join(rgt, [*keys, "__salt"], how).drop("__salt")
-
-
-def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str], count_col: str,
-              how: str = "inner", num_partitions: int | None = None) -> DataFrame:
-    """Join one-row-per-key results (counts, first positions, maxima) back to
-    the rows they were computed from, without sending a hot key to one task.
-
-    Adaptive skew handling does not apply here (one side is an aggregate
-    that reuses its own shuffle), so hot keys are salted explicitly: the
-    per-key table (with ``count_col`` = rows per key) is checkpointed, keys
-    holding more than 1/n of all rows are found exactly (fewer than n, a
-    proven bound), and ``salted_join`` spreads each of them over n tasks.
-    ``keys`` must be non-null columns (use normalised keys for nullable ones).
-    """
-    per_key = per_key.checkpoint(eager=True)
-    hot = hot_keys(per_key, keys, count_col, num_partitions)
-    return salted_join(rows, per_key, keys, how, hot, num_partitions)
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join whose ``left`` side may hold hot keys, null keys or identical rows.
+
+    Spark decides: a ``right`` whose measured size is under the broadcast
+    threshold is broadcast, and no row of ``left`` meets another.  Otherwise
+    both sides are shuffled and adaptive execution cuts an oversized partition
+    of ``left`` into several tasks by map output, which spreads equal rows and
+    nulls as well as distinct ones, and needs no counting job.
+
+    It can do so only where both sides come straight from a shuffle made for
+    this join.  A ``right`` that was aggregated on the same keys would bring
+    its own partitioning along, so a hash of the keys is joined on too: the
+    aggregate (one row per key) is shuffled once more, ``left`` not more often
+    than before."""
+    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    return (left.withColumn("__hash", hashed)
+                .join(right.withColumn("__hash", hashed), ["__hash", *keys], how)
+                .drop("__hash"))

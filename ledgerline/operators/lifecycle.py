@@ -14,12 +14,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (IntegerType, LongType, MapType, StringType, StructField, StructType,
                                TimestampNTZType)
 
-from ledgerline.functions.constants import STATE_ACTIVE, STATE_ERROR, STATE_INACTIVE
+from ledgerline.functions.constants import STATE_ACTIVE, STATE_INACTIVE
 from ledgerline.functions.keys import row_id
-from ledgerline.operators.joins import normalised_keys
+from ledgerline.operators.joins import normalised_keys, spread_join
 
 
 @dataclass(frozen=True)
@@ -30,20 +30,36 @@ class Run:
     started: _dt.datetime = field(default_factory=lambda: _dt.datetime.now().replace(microsecond=0))
 
 
-def stamp(df: DataFrame, run: Run, source: str | None, key_cols: list[str] | None = None,
+def with_row_ids(df: DataFrame, run_id: str, name: str = "id") -> DataFrame:
+    """A unique, deterministic id for every row, also of equal rows.
+
+    The id is taken from all of the row's values and its ordinal among rows
+    equal in all of them.  Equal rows are counted (map-side combined: a row
+    repeated millions of times is one partial count per task) and written out
+    again with 1..n, so no window gathers them.  Map columns can't be grouped
+    and are refused."""
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
+    if maps:
+        raise TypeError(f"map columns have no row identity: {maps}")
+    counted = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    each = counted.withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
+    ident = row_id(*df.columns, "__ordinal", run_id=run_id)
+    return each.select(ident.alias(name), *[c for c in df.columns if c != name])
+
+
+def stamp(df: DataFrame, run: Run, source: str | None,
           state: int | str = STATE_ACTIVE, processed_col: str = "fecha_procesamiento") -> DataFrame:
     """C1 + J10: id, run id, processed-at, source, state; control columns first."""
-    keys = key_cols or df.columns
-    cols = {
-        "id": row_id(*keys, run_id=run.run_id),
+    out = with_row_ids(df, run.run_id).withColumns({
         "id_ejecucion": F.lit(run.run_id),
         processed_col: F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
         "id_estado": F.lit(str(state)),
-    }
+    })
     if source is not None:  # None keeps a per-row 'fuente' already present
-        cols["fuente"] = F.lit(source)
-    out = df.withColumns(cols)
-    return out.select("id", "id_ejecucion", *[c for c in out.columns if c not in ("id", "id_ejecucion")])
+        out = out.withColumn("fuente", F.lit(source))
+    data = [c for c in df.columns if c != "id"]
+    control = [c for c in out.columns if c not in ("id", "id_ejecucion", *data)]
+    return out.select("id", "id_ejecucion", *data, *control)
 
 
 AUDIT_SCHEMA = StructType([
@@ -89,9 +105,24 @@ def audit_counts(df: DataFrame, rows_col: str = "cantidad_registros") -> DataFra
     return df.groupBy("id_ejecucion", "fuente").agg(F.count(F.lit(1)).cast("bigint").alias(rows_col))
 
 
+def current_state(table: DataFrame, load_col: str = "fecha_procesamiento", state_col: str = "id_estado",
+                  active=STATE_ACTIVE, inactive=STATE_INACTIVE) -> DataFrame:
+    """C5 at read time: rows of the newest load are active, active rows of
+    earlier loads read as inactive, other states stay.
+
+    Loads are only ever appended; nothing stored is rewritten.  The newest load
+    is one value, found from the footers of the files where they hold it."""
+    from ledgerline.operators.incremental import typed_literal
+    newest = table.agg(F.max(load_col).alias("m")).first()["m"]
+    t = dict(table.dtypes)[state_col]
+    old = ~F.col(load_col).eqNullSafe(typed_literal(newest, dict(table.dtypes)[load_col]))
+    return table.withColumn(state_col, F.when(old & (F.col(state_col) == F.lit(active).cast(t)), F.lit(inactive).cast(t))
+                            .otherwise(F.col(state_col)))
+
+
 def soft_delete_append(current: DataFrame, new: DataFrame, state_col: str = "id_estado",
                        active=STATE_ACTIVE, inactive=STATE_INACTIVE) -> DataFrame:
-    """Previous active rows become inactive; the new load is appended active."""
+    """C5 as one frame: what ``current_state`` reads once ``new`` is appended."""
     t = dict(current.dtypes)[state_col]
     old = current.withColumn(state_col, F.when(F.col(state_col) == F.lit(active).cast(t),
                                                F.lit(inactive).cast(t)).otherwise(F.col(state_col)))
@@ -108,7 +139,7 @@ def targeted_state_update(table: DataFrame, updates: DataFrame, keys: list[str],
     keyed, names = normalised_keys(table, keys, "__u")
     mk, _ = normalised_keys(marks, keys, "__u")
     mk = mk.select(*names, "__hit").distinct()
-    joined = keyed.join(mk, on=names, how="left")
+    joined = spread_join(keyed, mk, names, "left")
     target = F.lit(new_state).cast(t)
     cond = F.coalesce(F.col("__hit"), F.lit(False))
     if skip_if is not None:
@@ -133,11 +164,10 @@ def latest_version(df: DataFrame, version_col: str = "version",
         from ledgerline.operators.incremental import typed_literal
         m = df.agg(F.max(version_col).alias("m")).first()["m"]
         return df.filter(F.col(version_col) == typed_literal(m, dict(df.dtypes)[version_col]))
-    from ledgerline.operators.joins import join_back
     keyed, names = normalised_keys(df, per, "__s")
-    mx = keyed.groupBy(*names).agg(F.max(version_col).alias("__mv"), F.count(F.lit(1)).alias("__cnt"))
-    return (join_back(keyed, mx, names, "__cnt")
-              .filter(F.col(version_col) == F.col("__mv")).drop("__mv", "__cnt", *names))
+    mx = keyed.groupBy(*names).agg(F.max(version_col).alias("__mv"))
+    return (spread_join(keyed, mx, names, "inner")
+              .filter(F.col(version_col) == F.col("__mv")).drop("__mv", *names))
 
 
 def retire(df: DataFrame, state_col: str = "id_estado", inactive=STATE_INACTIVE) -> DataFrame:
@@ -146,9 +176,6 @@ def retire(df: DataFrame, state_col: str = "id_estado", inactive=STATE_INACTIVE)
     return df.withColumn(state_col, F.lit(inactive).cast(t))
 
 
-STATE_FOR_ERROR = STATE_ERROR
-
-
 def assert_unique(df: DataFrame, cols: list[str], sample: int = 5) -> DataFrame:
     """Deterministic ids need no repair loop, only a check.  One
     aggregation finds duplicated keys; a few of them are reported."""

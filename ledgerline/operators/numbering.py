@@ -18,26 +18,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_back, normalised_keys
+from ledgerline.operators.joins import normalised_keys, spread_join
 
 
 def _as_sort(c) -> Column:
     return F.col(c).asc_nulls_last() if isinstance(c, str) else c
 
 
+def ranges(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
+    """Rows dealt out by ranges of ``order``.  Without a number, adaptive
+    execution merges small ranges and uses at least the cluster's cores."""
+    if num_partitions:
+        return df.repartitionByRange(num_partitions, *order)
+    spark = df.sparkSession
+    least = spark.sparkContext.defaultParallelism
+    if int(spark.conf.get("spark.sql.shuffle.partitions")) < least:
+        return df.repartitionByRange(least, *order)
+    return df.repartitionByRange(*order)
+
+
 def global_positions(df: DataFrame, order: list, num_partitions: int | None = None,
                      pos_col: str = "__pos") -> DataFrame:
     """0-based dense position of every row in the total order ``order``."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_exprs = [_as_sort(c) for c in order]
-    ranged = (df.repartitionByRange(n, *sort_exprs)
+    ranged = (ranges(df, sort_exprs, num_partitions)
                 .sortWithinPartitions(*sort_exprs)
                 .withColumn("__pid", F.spark_partition_id())
                 .withColumn("__mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True))
     sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per range: cumulative offsets over at most n rows.
+    # One row per range: cumulative offsets, bounded by the number of tasks.
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
@@ -46,31 +56,16 @@ def global_positions(df: DataFrame, order: list, num_partitions: int | None = No
                   .drop("__pid", "__mid", "__off"))
 
 
-# Callers that know their input is cheap to probe may pass ``small_rows``: an
-# input proven (bounded probe) to hold at most that many rows is numbered with
-# a plain window.  Not automatic: on a derived input the probe would compute
-# the whole upstream once more.
-SMALL_INPUT_ROWS = 100_000
-
-
-def is_small(df: DataFrame, rows: int = SMALL_INPUT_ROWS) -> bool:
-    """Bounded probe: reads at most ``rows + 1`` rows."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def number_rows(df: DataFrame, order: list, group: list[str] | None = None,
                 name: str = "rn", start: int = 1,
-                num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """``row_number()`` over (partition by group order by order), skew-safe."""
     group = list(group or [])
-    if num_partitions is None and small_rows and is_small(df, small_rows):
-        w = Window.partitionBy(*[F.col(g) for g in group]).orderBy(*[_as_sort(c) for c in order])
-        return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
     pos = global_positions(df, [*group, *order], num_partitions, "__pos")
     if not group:
         return pos.withColumn(name, F.col("__pos") + F.lit(start)).drop("__pos")
     keyed, names = normalised_keys(pos, group, "__g")
-    firsts = keyed.groupBy(*names).agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__cnt"))
-    return (join_back(keyed, firsts, names, "__cnt")
+    firsts = keyed.groupBy(*names).agg(F.min("__pos").alias("__first"))
+    return (spread_join(keyed, firsts, names, "inner")
                  .withColumn(name, F.col("__pos") - F.col("__first") + F.lit(start))
-                 .drop("__pos", "__first", "__cnt", *names))
+                 .drop("__pos", "__first", *names))

@@ -123,8 +123,7 @@ def calendar_join_optional(spark, sf_dir):
                      (((F.dayofweek("fecha") + 5) % 7) + 1).alias("wk_dia"))
     cal = cal.withColumn("dia_habil", F.when(F.col("wk_dia") <= 5, 1).otherwise(0))
     per_day = e.groupBy(F.col("ts").cast("date").alias("fecha")).agg(F.count(F.lit(1)).alias("eventos"))
-    # One row per calendar day: bounded by the date range, not by the data volume.
-    out = cal.join(F.broadcast(per_day), "fecha", "left")
+    out = cal.join(per_day, "fecha", "left")
     return out.withColumn("eventos", F.coalesce(F.col("eventos"), F.lit(0)).cast("bigint"))
 
 

@@ -109,8 +109,8 @@ def group_fill_query(spark, sf_dir):
 SELECT o_orderkey,
   'ALT-' || ['ENE','FEB','MAR','ABR','MAY','JUN','JUL','AGO','SEP','OCT','NOV','DIC'][month(o_orderdate)]
   || strftime(o_orderdate, '%y') || '-'
-  || lpad(CAST(row_number() OVER (PARTITION BY date_trunc('month', o_orderdate)
-                                  ORDER BY o_orderdate, o_orderkey) AS VARCHAR), 8, '0') AS consecutivo
+  || printf('%08d', row_number() OVER (PARTITION BY date_trunc('month', o_orderdate)
+                                       ORDER BY o_orderdate, o_orderkey)) AS consecutivo
 FROM orders
 """)
 def sequence_number(spark, sf_dir):
@@ -119,7 +119,7 @@ def sequence_number(spark, sf_dir):
     numbered = number_rows(o, ["o_orderdate", "o_orderkey"], group=["__month"], name="__n")
     label = F.concat(F.lit("ALT-"), month_abbrev(F.month("o_orderdate")),
                      F.date_format("o_orderdate", "yy"), F.lit("-"),
-                     F.lpad(F.col("__n").cast("string"), 8, "0"))
+                     F.format_string("%08d", "__n"))
     return numbered.select("o_orderkey", label.alias("consecutivo"))
 
 

@@ -28,9 +28,7 @@ hist AS (SELECT l_orderkey AS cuenta, l_linenumber AS ot, l_returnflag AS codigo
 fresh AS (SELECT * FROM landed b WHERE valor_servicio > 0 AND NOT EXISTS (
   SELECT 1 FROM hist h WHERE h.cuenta IS NOT DISTINCT FROM b.cuenta AND h.ot IS NOT DISTINCT FROM b.ot
     AND h.codigo_servicio IS NOT DISTINCT FROM b.codigo_servicio))
-SELECT upper(md5(concat_ws('|', 'RUN-ORDERS-0001', coalesce(CAST(cuenta AS VARCHAR), '\\N'),
-                 coalesce(CAST(ot AS VARCHAR), '\\N'), coalesce(codigo_servicio, '\\N')))) AS id,
-       'RUN-ORDERS-0001' AS id_ejecucion,
+SELECT 'RUN-ORDERS-0001' AS id_ejecucion,
        cuenta, ot, {_strip_upper_sql('codigo_servicio')} AS codigo_servicio, fecha_creacion, valor_servicio,
        {_strip_upper_sql('estado')} AS estado, {_strip_upper_sql('nombres')} AS nombres,
        coalesce(hora_creacion, TIMESTAMP '1899-12-30 00:00:00') AS hora_creacion,
@@ -41,7 +39,7 @@ FROM fresh
 def job_order_loader(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     batch = g1.demo_landed(li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
-    return g1.transform(batch, g1.demo_history(li), g1.DEMO_CONFIG, g1.DEMO_RUN)
+    return g1.transform(batch, g1.demo_history(li), g1.DEMO_CONFIG, g1.DEMO_RUN).drop("id")
 
 
 WL_PACKAGES_SQL = """
@@ -128,8 +126,7 @@ mapped AS (
 keyed AS (SELECT *, orden_trabajo || codigo_servicio || tipo_v AS llave_proceso FROM mapped),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY llave_proceso ORDER BY __src, orden_trabajo, codigo_servicio,
              origen_datos, valor_servicio, val_dif_service, valor_neto, tipo_v, base, fuente) AS rn FROM keyed)
-SELECT upper(md5(concat_ws('|', 'RUN-TRANSFERS-0001', coalesce(llave_proceso, '\\N'), coalesce(fuente, '\\N')))) AS id,
-       'RUN-TRANSFERS-0001' AS id_ejecucion, orden_trabajo, codigo_servicio, origen_datos, valor_servicio,
+SELECT 'RUN-TRANSFERS-0001' AS id_ejecucion, orden_trabajo, codigo_servicio, origen_datos, valor_servicio,
        val_dif_service, valor_neto, tipo_v, base, fuente, llave_proceso,
        TIMESTAMP '2024-01-02 00:00:00' AS fecha_procesamiento, '1' AS id_estado
 FROM ranked WHERE rn = 1
@@ -137,7 +134,7 @@ FROM ranked WHERE rn = 1
 def multi_source_consolidation(spark, sf_dir):
     from ledgerline.jobs import transfers as g11
     li = Tables(spark, sf_dir).lineitem
-    return g11.consolidate(g11.demo_sources(li), g11.demo_target(li), g11.TRANSFERS_SCHEMA, g11.DEMO_RUN)
+    return g11.consolidate(g11.demo_sources(li), g11.demo_target(li), g11.TRANSFERS_SCHEMA, g11.DEMO_RUN).drop("id")
 
 
 @query("job_fiber", "G12 J9 A9 N22 F21 N9 N13 X6 X25 X49 U1 N1 J5 J7", sql="""
@@ -181,9 +178,7 @@ ost AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, 'f'), (2, 'O'
 vst AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, '1-urgent'), (2, '2-HIGH'), (3, '3-MEDIUM')) v(id, estado) GROUP BY 1),
 hist AS (SELECT o_orderkey AS id, o_custkey AS ot, o_orderpriority AS producto FROM orders
          WHERE o_orderdate < TIMESTAMP '1997-01-01')
-SELECT upper(md5(concat_ws('|', 'RUN-FIBER-0001', CAST(b.id AS VARCHAR), CAST(b.id_orden_trabajo_padre AS VARCHAR),
-                           b.producto))) AS id_macrofo,
-       'RUN-FIBER-0001' AS id_ejecucion, b.id, b.id_orden_trabajo_padre,
+SELECT 'RUN-FIBER-0001' AS id_ejecucion, b.id, b.id_orden_trabajo_padre,
        CAST(coalesce(ost.id, 13) AS INTEGER) AS id_estado_orden_trabajo,
        CAST(coalesce(vst.id, 6) AS INTEGER) AS id_estado_venta,
        b.fecha_creacion, b.producto, b.valor, b.id_tipo,
@@ -200,7 +195,7 @@ WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.id = b.id AND h.ot = b.id_orden_t
 """)
 def job_fiber(spark, sf_dir):
     from ledgerline.jobs import fiber as g12
-    return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN)
+    return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN).drop("id_macrofo")
 
 
 @query("job_segment_report", "G13 W4 W1 A2 A1 F14 N18 J12 X22 X18 X28 W5 J7", sql="""
@@ -249,8 +244,8 @@ norm AS (
          CASE WHEN coalesce(nombre_consultor, '') = '' THEN 'SIN ASIGNACION' ELSE nombre_consultor END AS nombre_consultor,
          round_even(coalesce(valor, 0.0) / 1000.0, 2) AS valor
   FROM joined)
-SELECT 'ALT-MAR24-' || lpad(CAST(row_number() OVER (ORDER BY ot, fecha, producto, valor, ciudad, documento_consultor,
-                                                    nombre_consultor, cargo_actual) AS VARCHAR), 8, '0') AS nuv,
+SELECT 'ALT-MAR24-' || printf('%08d', row_number() OVER (ORDER BY ot, fecha, producto, valor, ciudad, documento_consultor,
+                                                    nombre_consultor, cargo_actual)) AS nuv,
        ot, fecha, producto, CAST(valor AS DOUBLE) AS valor, ciudad, documento_consultor, nombre_consultor, cargo_actual,
        coalesce(nullif(CASE WHEN contains(nombre_consultor, '(VACANTE)') OR documento_consultor IS NULL
                                  OR CAST(documento_consultor AS VARCHAR) = 'None' THEN 'INACTIVO' ELSE 'ACTIVO' END, ''),
@@ -279,7 +274,7 @@ FROM orders WHERE o_orderpriority = '{s}'"""
 
 @query("job_targets", "G15 S2 U1 S17 X32 X33 N24 F19 N18 X19 C1", sql="""
 WITH sheets AS (""" + "\nUNION ALL\n".join(TARGET_SHEET_SQL.format(s=s) for s in
-                                            ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]) + """),
+                                            ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]) + """),
 org AS (
   SELECT c_custkey AS identificacion, c_nationkey AS id_cargo, 1 AS version FROM customer
   UNION ALL SELECT c_custkey, c_nationkey + 100, 2 FROM customer WHERE c_acctbal > 0
@@ -292,8 +287,7 @@ norm AS (
 docs AS (
   SELECT *, TRY_CAST(CASE WHEN contains(lower(doc0), 'vacante') OR contains(lower(nombre), 'vacante') THEN '11'
                           ELSE doc0 END AS BIGINT) AS ident FROM norm)
-SELECT upper(md5(concat_ws('|', 'RUN-TARGETS-0001', hoja_fuente, CAST(pos AS VARCHAR)))) AS id,
-       'RUN-TARGETS-0001' AS id_ejecucion,
+SELECT 'RUN-TARGETS-0001' AS id_ejecucion,
        CASE WHEN d.ident > 2147483647 THEN -2147483648 ELSE d.ident END AS identificacion,
        d.nombre, CAST(coalesce(r.id_cargo, 0) AS INTEGER) AS id_cargo, 2024 AS anio,
        CAST(list_position(['ENERO','FEBRERO','MARZO','ABRIL','MAYO','JUNIO','JULIO','AGOSTO','SEPTIEMBRE',
@@ -305,19 +299,26 @@ FROM docs d LEFT JOIN roles r ON r.identificacion = d.ident
 def job_targets(spark, sf_dir):
     from ledgerline.jobs import targets as g15
     sheets, org = g15.demo_inputs(Tables(spark, sf_dir))
-    return g15.build(sheets, org, g15.DEMO_RUN, "METAS")
+    return g15.build(sheets, org, g15.DEMO_RUN, "METAS").drop("id")
 
 
 def _g18_sql() -> str:
+    """The statement, its spelling list filled in from the constants."""
     import os
-    return open(os.path.join(os.path.dirname(__file__), "sql", "job_fixed_sales.sql"), encoding="utf-8").read()
+
+    from ledgerline.functions.constants import UNASSIGNED_SPELLINGS
+    path = os.path.join(os.path.dirname(__file__), "sql", "job_fixed_sales.sql")
+    # White space has been removed where the list is compared: spellings that hold any can't occur.
+    spellings = ", ".join(f"'{x}'" for x in UNASSIGNED_SPELLINGS if "\n" not in x)
+    with open(path, encoding="utf-8") as f:
+        return f.read().replace("{spellings}", spellings)
 
 
 @query("job_fixed_sales", "G18 F15 J6 F8 X22 X23 X12 X32 X20 C1", sql=_g18_sql())
 def job_fixed_sales(spark, sf_dir):
     from ledgerline.jobs import fixed_sales as g18
     sales = g18.window(g18.demo_sales(Tables(spark, sf_dir).orders), g18.DEMO_RUN_DATE)
-    return g18.curate(sales, g18.DEMO_RUN, "VENTAS FIJO")
+    return g18.curate(sales, g18.DEMO_RUN, "VENTAS FIJO").drop("id")
 
 
 @query("job_warehouse_extracts", "G9 N21 N20 U2 X10 X11 X38 X30 N3 F13", sql="""
@@ -412,7 +413,7 @@ def _org_sheet(t):
         F.when(F.col("s_suppkey") == F.col("__b"), F.lit("Jefe de Ventas"))
          .otherwise(F.concat(F.lit(" consultor  "), F.col("r_name"))).alias("CARGO ACTUAL"),
         F.col("r_name").alias("SEGMENTO"), F.concat(F.lit("\t"), F.col("n_name")).alias("CANAL"),
-        F.concat(F.lit("Supplier#"), F.lpad(F.col("__b").cast("string"), 9, "0")).alias("NOMBRE JEFE"))
+        F.concat(F.lit("Supplier#"), F.format_string("%09d", "__b")).alias("NOMBRE JEFE"))
 
 
 @query("job_org_chart", "G14 A4 N6 W6 N7 X14 X13 A3 C7 N11 N12 X15 X8 C8 C10", sql="""
@@ -422,7 +423,7 @@ sheet AS (
          CAST(s.s_suppkey * 1000003 + 10000000000 AS VARCHAR) AS doc,
          CASE WHEN s.s_suppkey = b.b THEN 'Jefe de Ventas' ELSE ' consultor  ' || r.r_name END AS cargo,
          r.r_name AS segmento, chr(9) || n.n_name AS canal,
-         'Supplier#' || lpad(CAST(b.b AS VARCHAR), 9, '0') AS jefe
+         'Supplier#' || printf('%09d', b.b) AS jefe
   FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
   JOIN boss b ON b.s_nationkey = s.s_nationkey),
 clean AS (
@@ -438,14 +439,12 @@ fresh AS (SELECT c.* FROM cands c WHERE NOT EXISTS (SELECT 1 FROM existing e WHE
 newids AS (SELECT f.dominio, f.valor, coalesce((SELECT max(id) FROM existing e WHERE e.dominio = f.dominio), 0)
                   + row_number() OVER (PARTITION BY f.dominio ORDER BY f.valor) AS id FROM fresh f),
 dom AS (SELECT dominio, valor, id FROM existing UNION ALL SELECT * FROM newids),
-people AS (SELECT upper(md5(concat_ws('|', 'PERSONA', 'jefe',
-                  regexp_replace(regexp_replace(nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g')))) AS id_persona,
-                  regexp_replace(regexp_replace(nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre
-           FROM sheet WHERE contains(lower(cargo), 'jefe')),
+people AS (SELECT upper(md5('7:PERSONA4:jefe' || CAST(length(nombre) AS VARCHAR) || ':' || nombre)) AS id_persona, nombre
+           FROM (SELECT regexp_replace(regexp_replace(nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre
+           FROM sheet WHERE contains(lower(cargo), 'jefe'))),
 fixed AS (SELECT *, CASE WHEN length(doc) IN (9, 11) AND starts_with(doc, '1') THEN substring(doc, 2) ELSE doc END AS ident
           FROM clean)
-SELECT upper(md5(concat_ws('|', 'RUN-ORG-0001', f.ident, 'PLANTA COMERCIAL'))) AS id,
-       regexp_replace(regexp_replace(f.nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre_completo,
+SELECT regexp_replace(regexp_replace(f.nombre_raw, '\\(VACANT[EA]\\)', '', 'g'), '^\\s+|\\s+$', '', 'g') AS nombre_completo,
        f.ident AS identificacion, right(f.doc, 8) AS codigo_dealer,
        CAST(dc.id AS BIGINT) AS id_cargo, CAST(ds.id AS BIGINT) AS id_segmento, CAST(dn.id AS BIGINT) AS id_canal,
        p.id_persona AS id_jefe,
@@ -480,7 +479,7 @@ def job_org_chart(spark, sf_dir):
     from ledgerline.operators.lifecycle import next_version
     previous_fact = sheet.select(F.lit(1).alias("version"))  # the load before this one
     version = next_version(previous_fact)                   # C8: max + 1
-    return g14.build_fact(sheet, domains, new_people, version, "PLANTA COMERCIAL", run)
+    return g14.build_fact(sheet, domains, new_people, version, "PLANTA COMERCIAL", run).drop("id")
 
 
 @query("job_white_label", "G10 N4 U1 X29 C1", sql=f"""
@@ -496,9 +495,7 @@ res AS (
          CASE WHEN r.tipo = 'ALTAS' THEN r.anio_mes_act_paq ELSE strftime(r.fecha_desact_paq, '%Y-%m') END AS mes_mb
   FROM ranked r WHERE rn = 1),
 hist AS (SELECT co_id, fecha_excel, valor_paq, desc_serv_instalado, mes_mb FROM res WHERE valor_paq >= 400)
-SELECT upper(md5(concat_ws('|', 'RUN-WL-0001', CAST(co_id AS VARCHAR), CAST(fecha_excel AS VARCHAR),
-                           CAST(valor_paq AS VARCHAR), coalesce(desc_serv_instalado, '\\N'), mes_mb, tipo))) AS id,
-       'RUN-WL-0001' AS id_ejecucion, tipo, o_orderkey, nit, co_id, tel_num, cod_paq_instalado, desc_serv_instalado,
+SELECT 'RUN-WL-0001' AS id_ejecucion, tipo, o_orderkey, nit, co_id, tel_num, cod_paq_instalado, desc_serv_instalado,
        valor_paq, fecha_excel, fecha_act_paq, fecha_desact_paq, anio_mes_act_paq, segmento, mes_mb,
        TIMESTAMP '2024-12-31 00:00:00' AS fecha_procesamiento, 'MARCA BLANCA' AS fuente, '1' AS id_estado,
        1 AS id_estado_registro
@@ -517,7 +514,7 @@ def job_white_label(spark, sf_dir):
     res = g10.churn_and_additions(g10.demo_packages(t.orders), g10.DEMO_RULES, companies).checkpoint(eager=True)
     history = res.filter(F.col("valor_paq") >= 400).select(*g10.SERVICE_KEY, F.col("periodo").alias("mes_mb"))
     out = g10.load(res, history, Run(job="white_label", run_id="RUN-WL-0001", started=_dt.datetime(2024, 12, 31)))
-    return out.select("id", "id_ejecucion", "tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado",
+    return out.select("id_ejecucion", "tipo", "o_orderkey", "nit", "co_id", "tel_num", "cod_paq_instalado",
                       "desc_serv_instalado", "valor_paq", "fecha_excel", "fecha_act_paq", "fecha_desact_paq",
                       "anio_mes_act_paq", "segmento", "mes_mb", "fecha_procesamiento", "fuente", "id_estado",
                       "id_estado_registro")
@@ -549,8 +546,7 @@ def _official_oracle() -> str:
         else:
             cols.append(f"{_deep_sql(exprs[c])} AS {c}")
     base = "SELECT " + ", ".join(cols) + " FROM customer"
-    return (f"WITH b AS ({base})\nSELECT upper(md5(concat_ws('|', 'RUN-OFICIAL-0001', CAST(identificacion AS VARCHAR), "
-            "coalesce(nombre, '\\N'), coalesce(rol, '\\N')))) AS id, 'RUN-OFICIAL-0001' AS id_ejecucion, "
+    return (f"WITH b AS ({base})\nSELECT 'RUN-OFICIAL-0001' AS id_ejecucion, "
             + ", ".join(targets) + ", TIMESTAMP '2024-03-01 00:00:00' AS fecha_procesamiento, "
             "'METAS OFICIAL' AS fuente, 1 AS id_estado_registro FROM b")
 
@@ -563,4 +559,29 @@ def job_targets_official(spark, sf_dir):
     c = Tables(spark, sf_dir).customer
     sheet = c.select(*[F.expr(e).alias(h) for h, e in OFFICIAL_SRC])
     run = Run(job="targets_official", run_id="RUN-OFICIAL-0001", started=_dt.datetime(2024, 3, 1))
-    return g15.official(sheet, run, "METAS OFICIAL")
+    return g15.official(sheet, run, "METAS OFICIAL").drop("id")
+
+
+def _company_values() -> dict[str, str]:
+    from ledgerline.jobs.targets import COMPANY_COLUMNS
+    kinds = ["c_mktsegment", "CAST(c_custkey AS STRING)", "lower(c_name)", "'  cargo'", "c_nationkey", "c_acctbal",
+             "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal END"]
+    return {header: kinds[i % len(kinds)] for i, header in enumerate(COMPANY_COLUMNS)}
+
+
+def _company_sql() -> str:
+    from ledgerline.jobs.targets import COMPANY_COLUMNS
+    cols = ", ".join(f"{e} AS {c}" for e, c in zip(_company_values().values(), COMPANY_COLUMNS.values()))
+    return (f"SELECT 'RUN-EMPRESAS-0001' AS id_ejecucion, {cols}, TIMESTAMP '2024-03-01 00:00:00' AS fecha_procesamiento, "
+            "'METAS EMPRESAS' AS fuente, 1 AS id_estado_registro FROM customer")
+
+
+@query("job_targets_company", "G15 S18 J2 J4 J1 C1", sql=_company_sql())
+def job_targets_company(spark, sf_dir):
+    import datetime as _dt
+    from ledgerline.jobs import targets as g15
+    from ledgerline.operators.lifecycle import Run
+    c = Tables(spark, sf_dir).customer
+    sheet = c.select(*[F.expr(e).alias(f" {h.capitalize()} ") for h, e in _company_values().items()], F.lit(0).alias("SOBRA"))
+    run = Run(job="targets_company", run_id="RUN-EMPRESAS-0001", started=_dt.datetime(2024, 3, 1))
+    return g15.company(sheet, run, "METAS EMPRESAS").drop("id")

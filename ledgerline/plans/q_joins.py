@@ -79,7 +79,7 @@ def two_role_dimension(spark, sf_dir):
     cn = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nacion_cliente"))
     sn = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("nacion_proveedor"),
                        F.col("n_regionkey").alias("sn_region"))
-    f = f.join(dims.small_side(cn), "c_nationkey", "left").join(dims.small_side(sn), "s_nationkey", "left")
+    f = f.join(cn, "c_nationkey", "left").join(sn, "s_nationkey", "left")
     # The WHERE on the second role turns its outer join into an inner one.
     f = f.filter(F.col("sn_region") == 3)
     tipo = F.when(F.col("c_nationkey") == F.col("s_nationkey"), "LOCAL").otherwise("EXTERIOR")
@@ -199,7 +199,7 @@ def union_distinct_query(spark, sf_dir):
 @query("lookup_chain_people", "N12 X51 A1 X2", sql="""
 WITH people AS (SELECT upper(regexp_replace(s_name, '^\\s+|\\s+$', '', 'g')) AS nombre, s_suppkey AS id_persona,
                        s_nationkey FROM supplier WHERE s_acctbal > 0),
-     raw AS (SELECT '  supplier#' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') || '\t' AS nombre_crudo FROM lineitem),
+     raw AS (SELECT '  supplier#' || printf('%09d', l_suppkey) || '\t' AS nombre_crudo FROM lineitem),
      clean AS (SELECT replace(replace(regexp_replace(regexp_replace(upper(nombre_crudo), '^\\s+|\\s+$', '', 'g'),
                        '[\\n\\r\\t]', '', 'g'), '  ', ''), '  ', '') AS nombre FROM raw)
 SELECT DISTINCT c.nombre, p.id_persona, coalesce(n.n_name, 'NO APLICA') AS nacion
@@ -210,7 +210,7 @@ def lookup_chain_people(spark, sf_dir):
     t = Tables(spark, sf_dir)
     people = t.supplier.filter(F.col("s_acctbal") > 0).select(
         strip_upper("s_name").alias("nombre_dim"), F.col("s_suppkey").alias("id_persona"), "s_nationkey")
-    raw = t.lineitem.select(F.concat(F.lit("  supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"),
+    raw = t.lineitem.select(F.concat(F.lit("  supplier#"), F.format_string("%09d", "l_suppkey"),
                                      F.lit("\t")).alias("nombre_crudo"))
     clean = raw.select(deep_clean("nombre_crudo").alias("nombre")).distinct()
     out = dims.lookup(clean, people, "nombre", "nombre_dim", {"id_persona": "id_persona", "s_nationkey": "__nk"})

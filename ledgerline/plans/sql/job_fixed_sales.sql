@@ -24,9 +24,9 @@ c AS (SELECT id_venta, fecha_estado, replace(red, chr(65533), 'ñ') AS red, repl
         replace(gerencia, chr(65533), 'ñ') AS gerencia, replace(jefatura, chr(65533), 'ñ') AS jefatura, replace(consultor, chr(65533), 'ñ') AS consultor,
         replace(coordinador, chr(65533), 'ñ') AS coordinador, replace(linea_1_pyme, chr(65533), 'ñ') AS linea_1_pyme, replace(mes_gestion, chr(65533), 'ñ') AS mes_gestion,
         replace(direccion, chr(65533), 'ñ') AS direccion, fecha_legalizacion FROM k)
-SELECT upper(md5(concat_ws('|', 'RUN-FIJO-0001', CAST(id_venta AS VARCHAR)))) AS id, 'RUN-FIJO-0001' AS id_ejecucion,
+SELECT 'RUN-FIJO-0001' AS id_ejecucion,
   id_venta, fecha_estado, red, tipo_v, tipo_venta, jefe,
-  CASE WHEN regexp_replace(regexp_replace(gerencia, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ('NO APLICA', 'NO REGISTRA', 'OTRO', 'OTRA', 'SIN ASIGNACION', 'SIN ASIGNACIÓN', 'SIN ASIGNACÍON', 'SIN ASIGNAción', 'SIN ASIGNACI�N', 'SIN ASIGNACI�@N', 'SIN ASIGNACIÓN' || chr(10) || '', 'SIN ASIGNACION' || chr(10) || '', 'SIN ASIGNACI�N' || chr(10) || '', 'SIN ASIGNACI?N', 'SIN ASIGNACI?N' || chr(10) || '', 'SIN ASIGNACIￜN', 'SIN ASIGNACIñN', 'SIN ASIGNACIï¿œN', 'SIN ASIGNACI”N') THEN 'OTROS' ELSE regexp_replace(regexp_replace(gerencia, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS gerencia, CASE WHEN regexp_replace(regexp_replace(jefatura, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ('NO APLICA', 'NO REGISTRA', 'OTRO', 'OTRA', 'SIN ASIGNACION', 'SIN ASIGNACIÓN', 'SIN ASIGNACÍON', 'SIN ASIGNAción', 'SIN ASIGNACI�N', 'SIN ASIGNACI�@N', 'SIN ASIGNACIÓN' || chr(10) || '', 'SIN ASIGNACION' || chr(10) || '', 'SIN ASIGNACI�N' || chr(10) || '', 'SIN ASIGNACI?N', 'SIN ASIGNACI?N' || chr(10) || '', 'SIN ASIGNACIￜN', 'SIN ASIGNACIñN', 'SIN ASIGNACIï¿œN', 'SIN ASIGNACI”N') THEN 'OTROS' ELSE regexp_replace(regexp_replace(jefatura, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS jefatura, CASE WHEN regexp_replace(regexp_replace(consultor, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ('NO APLICA', 'NO REGISTRA', 'OTRO', 'OTRA', 'SIN ASIGNACION', 'SIN ASIGNACIÓN', 'SIN ASIGNACÍON', 'SIN ASIGNAción', 'SIN ASIGNACI�N', 'SIN ASIGNACI�@N', 'SIN ASIGNACIÓN' || chr(10) || '', 'SIN ASIGNACION' || chr(10) || '', 'SIN ASIGNACI�N' || chr(10) || '', 'SIN ASIGNACI?N', 'SIN ASIGNACI?N' || chr(10) || '', 'SIN ASIGNACIￜN', 'SIN ASIGNACIñN', 'SIN ASIGNACIï¿œN', 'SIN ASIGNACI”N') THEN 'OTROS' ELSE regexp_replace(regexp_replace(consultor, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS consultor,
+  CASE WHEN regexp_replace(regexp_replace(gerencia, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ({spellings}) THEN 'OTROS' ELSE regexp_replace(regexp_replace(gerencia, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS gerencia, CASE WHEN regexp_replace(regexp_replace(jefatura, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ({spellings}) THEN 'OTROS' ELSE regexp_replace(regexp_replace(jefatura, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS jefatura, CASE WHEN regexp_replace(regexp_replace(consultor, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') IN ({spellings}) THEN 'OTROS' ELSE regexp_replace(regexp_replace(consultor, '^\s+|\s+$', '', 'g'), '[\n\r\t]+', '', 'g') END AS consultor,
   CASE WHEN coordinador = 'NO APLICA' THEN 'OTROS' ELSE coordinador END AS coordinador,
   CASE WHEN linea_1_pyme = 'NO REGISTRA' THEN 'OTROS' ELSE linea_1_pyme END AS linea_1_pyme,
   mes_gestion, ['01.Enero','02.Febrero','03.Marzo','04.Abril','05.Mayo','06.Junio','07.Julio','08.Agosto','09.Septiembre','10.Octubre','11.Noviembre','12.Diciembre'][list_position(['ENERO','FEBRERO','MARZO','ABRIL','MAYO','JUNIO','JULIO','AGOSTO','SEPTIEMBRE','OCTUBRE','NOVIEMBRE','DICIEMBRE'], upper(regexp_replace(mes_gestion, '^\s+|\s+$', '', 'g')))] AS mes_gestion_numero,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,20 +21,39 @@ def read_landed(spark: SparkSession, path: str, schema: StructType | None = None
                 with_position: bool = False, **options) -> DataFrame:
     """One landed sheet/table; optional source tag and file position.
 
-    ``with_position`` adds ``_ingest_pos`` (file path + row order inside the
-    file) so keep-first rules have an explicit, reproducible order."""
+    ``with_position`` adds ``_ingest_pos`` (file path, where its split starts,
+    row order inside the split): the order of the rows in the files, however
+    files are split or packed into tasks, so keep-first rules are reproducible."""
     r = spark.read.format(fmt).options(**options)
     if schema is not None:
         r = r.schema(schema)
     df = r.load(path)
     if with_position:
-        df = (df.withColumn("_ingest_file", F.col("_metadata.file_path"))
-                .withColumn("_ingest_pos", F.monotonically_increasing_id()))
+        df = df.withColumn("_ingest_pos", F.struct(F.col("_metadata.file_path").alias("file"),
+                                                   F.col("_metadata.file_block_start").alias("split"),
+                                                   F.monotonically_increasing_id().alias("row")))
     if source_tag is not None:
         df = df.withColumn("fuente", F.lit(source_tag))
     return df
 
 
+def read_existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """A loaded table, or None if nothing was ever loaded there.
+
+    Only a missing folder, or one without any data file, is "nothing": a table
+    that can't be read is an error, or its rows would all be loaded again."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        kind = exc.getCondition()
+        if kind == "PATH_NOT_FOUND":
+            return None
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "[!_.]*")
+        if kind == "UNABLE_TO_INFER_SCHEMA" and files.load(path).select("path").isEmpty():
+            return None
+        raise
+
+
 def read_headerless_csv(spark: SparkSession, path: str, schema: StructType,
                         sep: str = ",", encoding: str = "ISO-8859-1",
                         keep: int | None = None) -> DataFrame:
@@ -62,7 +82,9 @@ def read_csv_with_rejects(spark: SparkSession, path: str, schema: StructType,
     with_corrupt = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
     df = (spark.read.schema(with_corrupt).option("header", header).option("sep", sep)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-    df = df.cache()  # Spark forbids filtering on the corrupt column of an uncached scan
+    # Spark refuses a query on the corrupt column alone, so the parsed rows are
+    # written once, to the shared checkpoint folder, and both results read them.
+    df = df.checkpoint(eager=True)
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return good, bad
@@ -112,22 +134,33 @@ def jdbc_options(prefix: str) -> dict[str, str]:
 def read_jdbc(spark: SparkSession, options: dict[str, str], query: str | None = None,
               table: str | None = None, partition_column: str | None = None,
               lower: int | None = None, upper: int | None = None,
-              num_partitions: int | None = None, fetchsize: int = 10_000) -> DataFrame:
+              num_partitions: int | None = None, fetchsize: int = 10_000,
+              one_task: bool = False) -> DataFrame:
     """Warehouse / virtual-database / SQL Server reads over JDBC.
 
-    A partition column splits the read into parallel range queries instead
-    of one client ``fetchall``; filters and projections are pushed into the
-    remote SQL by Spark."""
-    r = spark.read.format("jdbc").options(**options).option("fetchsize", str(fetchsize))
-    if query is not None:
-        src = f"({query}) q" if partition_column else None
-        r = r.option("dbtable", src) if src else r.option("query", query)
-    elif table is not None:
-        r = r.option("dbtable", table)
-    if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", str(lower))
-              .option("upperBound", str(upper)).option("numPartitions", str(num_partitions or 8)))
-    return r.load()
+    The read is split into range queries on ``partition_column``; its bounds
+    are asked of the source (one row) where they are not given, and there are
+    as many ranges as the cluster has cores.  Without a column Spark would read
+    everything in one task, so that is refused unless ``one_task`` says that
+    the result is small.  Filters and projections are pushed into the remote
+    SQL by Spark."""
+    if not partition_column and not one_task:
+        raise ValueError("give partition_column, or one_task=True for a small result")
+    if (query is None) == (table is None):
+        raise ValueError("give either query or table")
+    reader = spark.read.format("jdbc").options(**options).option("fetchsize", str(fetchsize))
+    source = f"({query}) q" if query is not None else table
+    if not partition_column:
+        return reader.option("dbtable", source).load()
+    if lower is None or upper is None:
+        bounds = f"(SELECT min({partition_column}) AS lo, max({partition_column}) AS hi FROM {source}) b"
+        low, high = tuple(spark.read.format("jdbc").options(**options).option("dbtable", bounds).load().first())
+        lower, upper = (low if lower is None else lower), (high if upper is None else upper)
+        if lower is None or upper is None:  # no row, or no value to divide by
+            return reader.option("dbtable", source).load()
+    parts = num_partitions or spark.sparkContext.defaultParallelism
+    return (reader.option("dbtable", source).option("partitionColumn", partition_column)
+            .option("lowerBound", str(lower)).option("upperBound", str(upper)).option("numPartitions", str(parts)).load())
 
 
 def business_rules(params: DataFrame, name_col: str = "nombre", value_col: str = "valor") -> DataFrame:

@@ -22,23 +22,19 @@ from pyspark.sql.types import StructType
 from ledgerline.jobs.order_loader import LoaderConfig, transform
 from ledgerline.operators.columns import rename_map
 from ledgerline.operators.lifecycle import Run
-from ledgerline.session import ensure_checkpoint_dir
-
-
-def _read_target(spark: SparkSession, target_path: str, key: list[str]) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target_path).select(*key)
-    except Exception:  # noqa: BLE001 - first run: no target yet
-        return None
+from ledgerline.sources.readers import read_existing
 
 
 def start_landing_loader(spark: SparkSession, landing_dir: str, schema: StructType, cfg: LoaderConfig,
-                         target_path: str, job: str = "landing_loader", fmt: str = "parquet",
-                         checkpoint_location: str | None = None, available_now: bool = True,
+                         target_path: str, checkpoint_location: str, job: str = "landing_loader",
+                         fmt: str = "parquet", available_now: bool = True,
                          processing_time: str | None = None, max_files_per_trigger: int | None = None,
                          **read_options):
-    """Start the stream; returns the ``StreamingQuery``."""
-    ckpt = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{job}"
+    """Start the stream; returns the ``StreamingQuery``.
+
+    ``checkpoint_location`` (shared storage, the same for every start of this
+    stream) remembers which files were read; without it each session would
+    read the whole landing folder again."""
     reader = spark.readStream.schema(schema).format(fmt).options(**read_options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -46,14 +42,15 @@ def start_landing_loader(spark: SparkSession, landing_dir: str, schema: StructTy
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         from ledgerline.sources.sinks import append_table
-        history = _read_target(spark, target_path, cfg.key)
+        stored = read_existing(spark, target_path)
+        history = None if stored is None else stored.select(*cfg.key)
         if history is None:  # first load: an empty history with the key's types
             history = rename_map(batch, cfg.rename).select(*cfg.key).limit(0)
         run = Run(job=job, run_id=f"{job.upper()}-{epoch_id:08d}",
                   started=_dt.datetime.now().replace(microsecond=0))
         append_table(transform(batch, history, cfg, run), target_path)
 
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
+    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

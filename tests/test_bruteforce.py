@@ -26,12 +26,9 @@ def test_new_and_existing_rows(spark, batch, hist):
     seen = {_key(r) for r in hist}
     exp_new = sorted((r for r in batch if _key(r) not in seen), key=repr)
     exp_old = sorted((r for r in batch if _key(r) in seen), key=repr)
-    for reduce in (False, True):
-        got_new = sorted((tuple(x) for x in incremental.new_rows(b, h, ["k1", "k2"], reduce_history=reduce).collect()),
-                         key=repr)
-        got_old = sorted((tuple(x) for x in incremental.existing_rows(b, h, ["k1", "k2"],
-                                                                   reduce_history=reduce).collect()), key=repr)
-        assert got_new == exp_new and got_old == exp_old
+    got_new = sorted((tuple(x) for x in incremental.new_rows(b, h, ["k1", "k2"]).collect()), key=repr)
+    got_old = sorted((tuple(x) for x in incremental.existing_rows(b, h, ["k1", "k2"]).collect()), key=repr)
+    assert got_new == exp_new and got_old == exp_old
 
 
 def _nulls_last(v):

@@ -18,7 +18,7 @@ def _module():
 def test_entry_queries_and_oracles(spark):
     m = _module()
     df = m.entry(spark)
-    assert df.columns[:2] == ["id", "id_ejecucion"] and df.count() > 0
+    assert df.columns[:3] == ["id_ejecucion", "cuenta", "ot"] and df.count() > 0
     qs, sql = m.queries(), m.oracle_sql()
     own = set(load_all())
     assert own <= set(qs) and own <= set(sql) <= set(qs) and len(own) >= 88

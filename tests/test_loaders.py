@@ -109,18 +109,42 @@ def test_virtual_db_orders(spark):
     assert out[1]["email"] == "a@b.co" and out[1]["telefono"] == "312" and out[1]["estado"] == "ACT"
 
 
-def test_value_added_soft_delete(spark):
-    df = spark.createDataFrame([(" ana (VACANTE) ", dt.date(2024, 1, 5)), ("LUIS", dt.date(2024, 1, 6))],
-                               "consultor string, fecha date")
-    cons = spark.createDataFrame([("Ana", 7), ("PEDRO", 8)], "nombre string, id int")
-    first = L.value_added(df, cons, None, RUN)
-    got = {r["consultor"]: r["id_consultor"] for r in first.collect()}
-    assert got == {"ANA": 7, "LUIS": 0}
-    second = L.value_added(df, cons, first, Run(job="t", run_id="RUN-2", started=dt.datetime(2024, 5, 2)))
-    states = sorted((r["id_ejecucion"], r["id_estado"]) for r in second.collect())
+def test_value_added_roles_and_state_of_earlier_loads(spark):
+    from ledgerline.operators.lifecycle import current_state
+    roles = L.VALUE_ADDED_ROLES
+    df = spark.createDataFrame([tuple([" ana (VACANTE) "] * 5) + ("  x ", None, dt.date(2024, 1, 5)), tuple(["LUIS"] * 4 + [None]) + (None, 2.0, None)],
+                               ", ".join(f"{r} string" for r in roles) + ", producto string, cfm double, fecha date")
+    names = spark.createDataFrame([("ANA", 9, 1), ("ANA", 7, 2), ("PEDRO", 8, 3)], "nombre string, id int, orden int")
+    people = {r: names for r in roles}
+    first = L.value_added(df, people, RUN, ["cfm"], ["fecha"])
+    got = sorted((r["producto"], r["cfm"], r["fecha"], r["id_coordinador"], r["id_gerente"]) for r in first.collect())
+    assert got == [("", 2.0, None, None, None), ("X", 0.0, "2024-01-05", 7, 7)]  # the last of a repeated name; no default
+    second = L.value_added(df, people, Run(job="t", run_id="RUN-2", started=dt.datetime(2024, 5, 2)), ["cfm"], ["fecha"])
+    table = first.unionByName(second)
+    states = sorted((r["id_ejecucion"], r["id_estado"]) for r in current_state(table).collect())
     assert states == [("RUN-2", "1"), ("RUN-2", "1"), ("RUN-T", "4"), ("RUN-T", "4")]
 
 
+def test_bad_text_is_no_error(spark):
+    from ledgerline.functions.predicates import positive_amount
+    df = spark.createDataFrame([("1.5",), ("n/a",), ("0",), (None,), ("-2",)], "v string")
+    assert [r["v"] for r in df.filter(positive_amount("v")).collect()] == ["1.5"]
+    a = spark.createDataFrame([("c", "7", 45000.5, 1), ("c", "x7", 45000.5, 2)], "Cuenta string, OT string, `Fecha Ultimo Estado` double, _ingest_pos int")
+    b = spark.createDataFrame([("i", "8", "not a date", 1)], "ID string, OT string, `FECHA DE LEGALIZACION` string, _ingest_pos int")
+    c = spark.createDataFrame([("k", "n/a", "1/2/2024 10:00", 1)], "Cuenta string, `O.T.` string, `Fecha último estado` string, _ingest_pos int")
+    out = L.legalised(a, b, c, spark.createDataFrame([], "ot bigint"), RUN).collect()
+    assert sorted((r["layout"], r["ot"], r["fecha"]) for r in out) == [(1, 7, dt.date(2023, 3, 15)), (2, 8, None)]
+
+
+def test_cloud_document_zero_and_bad_documents(spark):
+    row = ("K", "Negocios", "Activo Parallels", "Activo", "1", "SI")
+    df = spark.createDataFrame([(*row, d) for d in ("0", "n/d", "12", None)],
+                               "llave string, segmento_de_alta string, estado_inicial string, estado_final string, "
+                               "valor_unitario_sin_iva string, reto_estrategico string, cedula_comercial string")
+    out = L.cloud_sales(df, spark.createDataFrame([], "llave string"), RUN).collect()
+    assert sorted(r["cedula_comercial"] for r in out) == [0, 0, 11, 12]
+
+
 def test_dashboard_csv_rejects_and_loaded_days(spark, tmp_dir):
     from pyspark.sql.types import StringType, StructField, StructType
     p = os.path.join(tmp_dir, "dash", "f.csv")

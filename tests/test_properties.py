@@ -91,13 +91,29 @@ def test_group_fill_hot_key_split_across_chunks_matches_pandas(spark):
         assert got[int(r["o"])] == (a, b)
 
 
-def test_loader_ids_are_unique_or_reported(spark):
+def test_row_ids_are_unique_also_for_equal_rows(spark):
     import pytest
-    from ledgerline.plans.registry import load_all
-    out = load_all()["job_org_chart"].build(spark, SF001)
+    df = spark.createDataFrame([("a|b", "c", 1)] * 3 + [("a", "b|c", 1), ("a", None, 1), (None, "a", 1), ("a", "N", 1), ("", None, 1)] * 2,
+                               "x string, y string, z int")
+    out = lifecycle.with_row_ids(df, "R")
+    assert out.count() == df.count() and out.select("id").distinct().count() == df.count()
+    assert sorted(map(repr, out.select("x", "y", "z").collect())) == sorted(map(repr, df.collect()))
+    again = lifecycle.with_row_ids(df.repartition(5), "R")  # the same ids from other partitions
+    assert {r["id"] for r in again.collect()} == {r["id"] for r in out.collect()}
+    assert not {r["id"] for r in lifecycle.with_row_ids(df, "R2").collect()} & {r["id"] for r in out.collect()}
     lifecycle.assert_unique(out, ["id"])
     with pytest.raises(ValueError, match="duplicate"):
         lifecycle.assert_unique(out.unionByName(out.limit(1)), ["id"])
+    with pytest.raises(TypeError, match="map"):
+        lifecycle.with_row_ids(spark.createDataFrame([({"a": 1},)], "m map<string,int>"), "R")
+
+
+def test_numbers_over_eight_digits_are_not_cut(spark):
+    from ledgerline.operators.numbering import number_rows
+    df = spark.range(6).withColumn("g", F.lit("x"))
+    out = number_rows(df, ["id"], group=["g"], name="n", start=99_999_998)
+    texts = [r[0] for r in out.orderBy("id").select(F.format_string("%08d", "n")).collect()]
+    assert texts == ["99999998", "99999999", "100000000", "100000001", "100000002", "100000003"]
 
 
 def test_sized_conf_scales_with_shuffle_bytes():
@@ -114,12 +130,11 @@ def test_targets_load_guard_and_soft_delete(spark):
     t = Tables(spark, SF001)
     sheets, org = g15.demo_inputs(t)
     run1 = Run(job="t", run_id="R1", started=dt.datetime(2024, 2, 1))
-    first = g15.load(sheets, org, run1, "METAS", None, already_loaded_today=False)
-    day = first.select("fecha_procesamiento")
-    assert incremental.already_loaded(day, "fecha_procesamiento", "2024-02-01")
-    assert not incremental.already_loaded(day, "fecha_procesamiento", "2024-02-02")
-    assert g15.load(sheets, org, run1, "METAS", first, already_loaded_today=True) is None
+    first = g15.load(sheets, org, run1, "METAS", already_loaded_today=False)
+    assert g15.load(sheets, org, run1, "METAS", already_loaded_today=True) is None
+    lifecycle.assert_unique(first, ["id"])  # also where the role join fans out
     run2 = Run(job="t", run_id="R2", started=dt.datetime(2024, 3, 1))
-    second = g15.load(sheets, org, run2, "METAS", first, already_loaded_today=False)
-    states = {(r["id_ejecucion"], r["id_estado_registro"]) for r in second.select("id_ejecucion", "id_estado_registro").distinct().collect()}
+    second = g15.load(sheets, org, run2, "METAS", already_loaded_today=False)
+    table = lifecycle.current_state(first.unionByName(second), state_col="id_estado_registro")
+    states = {(r["id_ejecucion"], r["id_estado_registro"]) for r in table.select("id_ejecucion", "id_estado_registro").distinct().collect()}
     assert states == {("R1", 4), ("R2", 1)}

@@ -45,3 +45,19 @@ def test_json_configured_csv_loader(spark, tmp_dir):
     n = run_config(spark, cfg, Run(job="csv", run_id="C1", started=dt.datetime(2024, 1, 1)))
     got = sorted((r["cuenta"], r["nombre"]) for r in spark.read.parquet(cfg["target"]).collect())
     assert n == 2 and got == [(1, "DUP"), (1, "JOSÉ")]   # zero/null amounts dropped, in-batch duplicates kept
+
+
+def test_an_unreadable_target_stops_the_load(spark, tmp_dir):
+    import pytest
+    landed = os.path.join(tmp_dir, "landed")
+    g1.demo_landed(Tables(spark, SF001).lineitem).limit(50).write.parquet(landed)
+    c = g1.DEMO_CONFIG
+    target = os.path.join(tmp_dir, "target")
+    os.makedirs(target)
+    with open(os.path.join(target, "part-0.parquet"), "wb") as fh:
+        fh.write(b"broken")
+    cfg = {"source": c.source, "input": landed, "rename": c.rename, "key": c.key, "amount": c.amount, "defaults": c.defaults,
+           "time_columns": c.time_columns, "date_columns": c.date_columns, "target": target, "audit": os.path.join(tmp_dir, "audit")}
+    with pytest.raises(Exception):
+        run_config(spark, cfg, Run(job="t", run_id="R1", started=dt.datetime(2024, 1, 1)))
+    assert os.listdir(target) == ["part-0.parquet"] and not os.path.exists(cfg["audit"])  # nothing was loaded

@@ -97,8 +97,10 @@ def test_p12_combine_first(spark):
 
 def test_p13_last_duplicate_wins(spark):
     dim = spark.createDataFrame([("A", 1, 0), ("A", 2, 1), ("B", 3, 2)], "valor string, id int, pos int")
-    out = dims.dedupe_dimension(dim, "valor", "pos")
-    assert rows(out, "valor", "id") == [("A", 2), ("B", 3)]
+    fact = spark.createDataFrame([("A",), ("B",), ("C",)], "v string")
+    out = dims.lookup(fact, dim, "v", "valor", {"id": "id"}, order_col="pos")
+    assert rows(out, "v", "id") == [("A", 2), ("B", 3), ("C", None)]
+    assert rows(dims.lookup(fact, dim, "v", "valor", {"id": "id"}, how="inner"), "v", "id") == [("A", 2), ("B", 3)]  # N20
 
 
 def test_p14_ids_as_text_without_float_tail(spark):
@@ -174,7 +176,6 @@ def test_operators_accept_empty_inputs(spark):
     assert group_fill(empty, "k", ["o"], ["v"]).count() == 0
     batch = spark.createDataFrame([("a", 1, 1)], "k string, o int, v int")
     assert incremental.new_rows(batch, empty, ["k"]).count() == 1
-    assert incremental.new_rows(batch, empty, ["k"], reduce_history=True).count() == 1
     assert incremental.new_rows(empty, batch, ["k"]).count() == 0
     ids = dims.assign_ids(spark.createDataFrame([("d", "x")], "dominio string, valor string"),
                           spark.createDataFrame([], "dominio string, valor string, id bigint"),
@@ -182,23 +183,36 @@ def test_operators_accept_empty_inputs(spark):
     assert [tuple(r) for r in ids.select("valor", "id").collect()] == [("x", 1)]
 
 
-def test_lookup_broadcast_and_salted_paths_agree(spark):
+def test_lookup_by_broadcast_and_by_shuffle_agree(spark):
     fact = spark.createDataFrame([(1 if i % 3 == 0 else i, i) for i in range(300)] + [(None, -1)], "k int, v int")
     dim = spark.createDataFrame([(i, f"n{i}") for i in range(300)], "k int, name string")
-    salted = dims.lookup(fact, dim, "k", "k", {"name": "name"}, max_broadcast_rows=10)  # too big: shuffle + salt
-    broadcast = dims.lookup(fact, dim, "k", "k", {"name": "name"})
-    assert sorted(map(tuple, salted.collect()), key=repr) == sorted(map(tuple, broadcast.collect()), key=repr)
-    assert salted.filter(F.col("name").isNull()).count() == 1   # only the null key: it never matches
-
-
-def test_salted_join_with_hot_key_and_map_column(spark):
-    from ledgerline.operators.joins import hot_keys, salted_join
+    small = sorted(map(tuple, dims.lookup(fact, dim, "k", "k", {"name": "name"}).collect()), key=repr)
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in keep:
+            spark.conf.set(k, "-1")
+        large = dims.lookup(fact, dim, "k", "k", {"name": "name"})
+        assert sorted(map(tuple, large.collect()), key=repr) == small
+        assert large.filter(F.col("name").isNull()).count() == 1   # only the null key: it never matches
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_spread_join_with_hot_key_and_map_column(spark):
+    from ledgerline.operators.joins import spread_join
     left = spark.createDataFrame([("h" if i % 2 else f"k{i}", i, {"a": i}) for i in range(64)],
                                  "k string, v int, m map<string,int>")
     right = spark.createDataFrame([("h", "HOT")] + [(f"k{i}", f"n{i}") for i in range(0, 64, 2)], "k string, name string")
-    counts = left.groupBy("k").count()
-    hot = hot_keys(counts, ["k"], "count", num_partitions=8)
-    assert [r["k"] for r in hot.collect()] == ["h"]
-    out = salted_join(left, right, ["k"], "left", hot, num_partitions=8)
+    out = spread_join(left, right, ["k"], "left")
+    assert out.columns == ["k", "v", "m", "name"]
     assert out.count() == 64 and out.filter(F.col("name").isNull()).count() == 0
     assert out.filter(F.col("k") == "h").select("name").distinct().collect()[0][0] == "HOT"
+
+
+def test_contains_match_of_one_letter_and_empty_probes(spark):
+    probe = spark.createDataFrame([("a",), ("",), (None,), ("zz",), ("AN",)], "p string")
+    dim = spark.createDataFrame([("Mariana", 2), ("Ana", 1), ("Pedro", 3), (None, 0)], "name string, pos int")
+    out = dims.contains_first_match(probe, "p", dim, "name", ["pos"], "hit", "NO")
+    assert sorted((r["p"], r["hit"]) for r in out.collect() if r["p"] is not None) == [("", "Ana"), ("AN", "Ana"), ("a", "Ana"), ("zz", "NO")]
+    assert out.filter("p IS NULL").first()["hit"] == "NO"

@@ -20,7 +20,7 @@ def test_landed_table_with_position_and_tag(spark, tmp_dir):
     df = readers.read_landed(spark, p, source_tag="HOJA 1", with_position=True)
     r = df.orderBy("_ingest_pos").collect()
     assert [x["k"] for x in r] == list(range(5))
-    assert {x["fuente"] for x in r} == {"HOJA 1"} and r[0]["_ingest_file"].endswith(".parquet")
+    assert {x["fuente"] for x in r} == {"HOJA 1"} and r[0]["_ingest_pos"]["file"].endswith(".parquet")
 
 
 def test_headered_csv_semicolon_latin1(spark, tmp_dir):
@@ -107,3 +107,70 @@ def test_csv_copy_and_snapshot(spark, tmp_dir):
     assert back.count() == df.count()
     sinks.write_snapshot(df, os.path.join(tmp_dir, "snap"), 3)
     assert spark.read.parquet(os.path.join(tmp_dir, "snap")).select("version").distinct().first()[0] == 3
+
+
+def test_position_is_file_order_however_files_are_split(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "c")
+    spark.range(20000).selectExpr("id AS k", "repeat('x', 40) AS pad").coalesce(1).write.csv(p)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("20000", keep):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            df = readers.read_landed(spark, p, fmt="csv", with_position=True)
+            assert df.rdd.getNumPartitions() > 4 or size == keep
+            assert [int(r[0]) for r in df.orderBy("_ingest_pos").select("_c0").collect()] == list(range(20000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+def test_missing_empty_and_unreadable_tables(spark, tmp_dir):
+    assert readers.read_existing(spark, os.path.join(tmp_dir, "none")) is None
+    os.makedirs(os.path.join(tmp_dir, "empty", "_temporary"))
+    assert readers.read_existing(spark, os.path.join(tmp_dir, "empty")) is None
+    bad = os.path.join(tmp_dir, "bad")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "part-0.parquet"), "wb") as fh:
+        fh.write(b"this is no parquet file")
+    with pytest.raises(Exception):
+        readers.read_existing(spark, bad).count()
+
+
+def test_jdbc_history_reads_are_split(spark):
+    with pytest.raises(ValueError, match="partition_column"):
+        readers.read_jdbc(spark, {"url": "jdbc:none"}, table="t")
+    with pytest.raises(ValueError, match="either"):
+        readers.read_jdbc(spark, {"url": "jdbc:none"}, partition_column="id")
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from ledgerline.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="share"):
+        ensure_checkpoint_dir(Session())
+
+
+def test_loaded_today_reads_one_partition(spark, tmp_dir):
+    import contextlib
+    import io
+    from ledgerline.operators.incremental import already_loaded
+    p = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (2, dt.datetime(2024, 1, 2, 5))], "k int, fecha_procesamiento timestamp_ntz")
+    sinks.append_table(df, p)
+    table = spark.read.parquet(p)
+    assert already_loaded(table, dt.date(2024, 1, 2)) and not already_loaded(table, "2024-01-03")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        table.filter(F.col("fecha_carga") == F.lit("2024-01-02").cast("date")).explain("formatted")
+    assert "PartitionFilters: [isnotnull(fecha_carga" in out.getvalue()

@@ -41,3 +41,15 @@ def test_available_now_loads_new_files_once(spark, tmp_dir):
                              checkpoint_location=os.path.join(tmp_dir, "ckpt2"))
     q.awaitTermination()
     assert spark.read.parquet(target).count() == total
+
+
+def test_a_restarted_stream_reads_no_file_again(spark, tmp_dir):
+    landing, target, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "target", "ckpt"))
+    landed = g1.demo_landed(Tables(spark, SF001).lineitem).limit(40)
+    landed.write.parquet(os.path.join(landing, "f1"))
+    seen = []
+    for session in (spark, spark.newSession()):
+        q = start_landing_loader(session, landing + "/*", landed.schema, g1.DEMO_CONFIG, target, checkpoint_location=ckpt)
+        q.awaitTermination()
+        seen.append(sum(p["numInputRows"] for p in q.recentProgress))
+    assert seen == [40, 0]

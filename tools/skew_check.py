@@ -19,6 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ledgerline.operators import dedupe, incremental  # noqa: E402
 from ledgerline.operators.fill import group_fill  # noqa: E402
+from ledgerline.operators.joins import spread_join  # noqa: E402
 from ledgerline.operators.numbering import number_rows  # noqa: E402
 from ledgerline.session import build_session  # noqa: E402
 from tools.stage_report import _lines  # noqa: E402
@@ -26,9 +27,6 @@ from tools.stage_report import _lines  # noqa: E402
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    scaled = "--scaled-skew-thresholds" in sys.argv
-    sf_dir = [a for a in sys.argv[1:] if not a.startswith("--")][0] if len(sys.argv) > 1 and \
-        [a for a in sys.argv[1:] if not a.startswith("--")] else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="skew-", dir="/tmp")
     # Coalescing is switched off so every stage shows its natural spread over
     # the shuffle partitions (AQE would otherwise merge small outputs into one
@@ -38,18 +36,21 @@ def main():
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false",
                                  "spark.sql.autoBroadcastJoinThreshold": "-1",
                                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-                                 # --scaled-skew-thresholds: AQE's skew-join limits scaled down
-                                 # to this data size (defaults: 256 MB, 5x the median).
-                                 **({"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
-                                     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-                                     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000"}
-                                    if scaled else {})})
+                                 # Adaptive execution's limits for cutting a partition, scaled
+                                 # down to this data size (defaults: 256 MB, 5x the median).
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400",
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "400"})
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     # One key ('HOT') holds every third row; the rest spread over orders.
     df = li.select(F.when(F.col("l_orderkey") % 3 == 0, F.lit("HOT"))
                     .otherwise(F.col("l_orderkey").cast("string")).alias("k"),
                    "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate",
                    F.when(F.col("l_discount") == 0, F.lit(None)).otherwise(F.col("l_quantity")).alias("v"))
+    df = df.repartition(24)  # as if read from many files: partitions are cut where map tasks meet
+    names = df.select("k").distinct().withColumn("name", F.upper("k"))
+    nulls = df.withColumn("k", F.when(F.col("k") != "HOT", F.col("k")))
+    equal = df.select("k").withColumn("k", F.when(F.col("k") == "HOT", "11").otherwise(F.col("k")))
     hot = df.filter(F.col("k") == "HOT").count() / df.count()
     runs = {
         "keep_first": lambda: dedupe.keep_first(df, ["k"], ["l_shipdate", "l_partkey"]),
@@ -64,6 +65,9 @@ def main():
             df.filter(F.col("l_shipdate") >= F.lit("1999-01-01").cast("timestamp_ntz")), df, ["k", "l_partkey"]),
         "new_rows (batch with hot key)": lambda: incremental.new_rows(
             df, df.filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz")), ["k"]),
+        "lookup (a third of the keys null)": lambda: spread_join(nulls, names, ["k"], "left"),
+        "lookup (a third of the rows equal, key 11)": lambda: spread_join(
+            equal, names.unionByName(names.limit(1).withColumn("k", F.lit("11"))), ["k"], "left"),
     }
     for name, build in runs.items():
         spark.sparkContext.setJobDescription(name)
