@@ -36,11 +36,13 @@ def main():
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false",
                                  "spark.sql.autoBroadcastJoinThreshold": "-1",
                                  "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                                 # Equal rows of a few KB pack into nothing; at scale they do not.
+                                 "spark.shuffle.compress": "false",
                                  # Adaptive execution's limits for cutting a partition, scaled
                                  # down to this data size (defaults: 256 MB, 5x the median).
-                                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400",
+                                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
                                  "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "400"})
+                                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000"})
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     # One key ('HOT') holds every third row; the rest spread over orders.
     df = li.select(F.when(F.col("l_orderkey") % 3 == 0, F.lit("HOT"))
