@@ -54,10 +54,15 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) ->
 
     It can do so only where both sides come straight from a shuffle made for
     this join.  A ``right`` that was aggregated on the same keys would bring
-    its own partitioning along, so a hash of the keys is joined on too: the
-    aggregate (one row per key) is shuffled once more, ``left`` not more often
-    than before."""
-    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    its own partitioning along, so a hash of the keys is joined on too (keys of
+    unlike types hashed as the type Spark compares them in): the aggregate (one
+    row per key) is shuffled once more, ``left`` not more often than before."""
+    keyed = []
+    for k in keys:
+        a, b = left.schema[k].dataType, right.schema[k].dataType
+        common = a if a == b else left.select(k).unionByName(right.select(k)).schema[k].dataType
+        keyed.append(F.col(k).cast(common))
+    hashed = F.xxhash64(*keyed)
     return (left.withColumn("__hash", hashed)
                 .join(right.withColumn("__hash", hashed), ["__hash", *keys], how)
                 .drop("__hash"))

@@ -321,83 +321,158 @@ def job_fixed_sales(spark, sf_dir):
     return g18.curate(sales, g18.DEMO_RUN, "VENTAS FIJO").drop("id")
 
 
-@query("job_warehouse_extracts", "G9 N21 N20 U2 X10 X11 X38 X30 N3 F13", sql="""
-WITH A AS (SELECT l_orderkey AS co_id, l_suppkey AS customer_id, l_suppkey AS cod_agente, l_linenumber AS cod_mercado,
-                  l_partkey AS cod_plan_origen, l_partkey + 1 AS cod_plan_destino, l_shipdate AS fe_creacion,
-                  CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END AS no_ejecutado FROM lineitem),
-plans AS (SELECT p_partkey AS cod_plan, p_name AS plan_desc, p_retailprice AS vlr_cfm,
-                 CASE WHEN p_size > 25 THEN 'S' ELSE 'N' END AS ban_pyme FROM part),
-agents AS (SELECT s_suppkey AS cod_agente, s_name AS region_comercial, CAST(s_nationkey AS VARCHAR) AS canal FROM supplier),
-regions AS (SELECT n_nationkey AS cod_mercado, n_name AS region_desc FROM nation),
-hist AS (SELECT l_orderkey AS co_id, l_partkey AS cod_plan_origen, l_partkey + 1 AS cod_plan_destino
-         FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01'),
-ext AS (
-SELECT A.co_id, 'NEG_PLANES' AS flag, A.customer_id, D.region_comercial, D.canal, E.region_desc AS region_geografica,
-       strftime(A.fe_creacion, '%d/%m/%Y') AS fe_creacion,
-       I.cod_plan AS cod_plan_origen, I.plan_desc AS ds_plan_origen, CAST(I.vlr_cfm AS DOUBLE) AS cfm_plan_origen,
-       J.cod_plan AS cod_plan_destino, J.plan_desc AS ds_plan_destino, PN.ban_pyme AS plan_negocios,
-       CASE WHEN A.no_ejecutado = 1 THEN 'Cerrado' ELSE 'Abierto' END AS estado_tickler
-FROM A
-LEFT JOIN agents D ON A.cod_agente = D.cod_agente
-LEFT JOIN regions E ON A.cod_mercado = E.cod_mercado
-LEFT JOIN plans I ON A.cod_plan_origen = I.cod_plan
-LEFT JOIN plans J ON A.cod_plan_destino = J.cod_plan
-LEFT JOIN plans PN ON J.cod_plan = PN.cod_plan
-WHERE CAST(A.fe_creacion AS DATE) >= DATE '1998-01-01' AND PN.ban_pyme = 'S')
-SELECT * FROM ext e WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.co_id = e.co_id
-  AND h.cod_plan_origen IS NOT DISTINCT FROM e.cod_plan_origen AND h.cod_plan_destino IS NOT DISTINCT FROM e.cod_plan_destino)
+def _warehouse(t):
+    """The driver's tables relabelled as the plan-change fact and its dimensions."""
+    li = t.lineitem
+    text = lambda c: F.col(c).cast("string")
+    fact = li.select(
+        F.col("l_orderkey").alias("co_id"), F.col("l_suppkey").alias("customer_id"), F.col("l_suppkey").alias("cod_agente"),
+        F.col("l_linenumber").alias("cod_mercado"), (F.col("l_linenumber") % 7).alias("tipo_identificacion"),
+        (F.col("l_linenumber") * 5).alias("cod_ciclo"), (F.col("l_suppkey") % 6).alias("sk_segmento_cliente"),
+        F.col("l_partkey").alias("cod_plan_origen"), (F.col("l_partkey") + 1).alias("cod_plan_destino"),
+        (F.col("l_partkey") % 5).alias("sk_tipo_grade"), (F.col("l_partkey") % 8).alias("sk_rango_antiguedad"),
+        (F.col("l_linenumber") - 1).alias("sk_gama_plan_origen"), F.col("l_linenumber").alias("sk_gama_plan_destino"),
+        F.col("l_suppkey").alias("sk_usuario_creacion"), (F.col("l_suppkey") + 1).alias("sk_usuario_cierre"),
+        F.col("l_shipdate").alias("fe_creacion"), F.col("l_extendedprice").alias("vl_cfm_neto"),
+        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("no_ejecutado"))
+    region = lambda key, name: t.region.select(F.col("r_regionkey").alias(key), F.col("r_name").alias(name))
+    dims = {
+        "agentes": t.supplier.select(F.col("s_suppkey").alias("cod_agente"), F.col("s_name").alias("custcode_agente"),
+                                     F.col("s_name").alias("region_comercial"), F.lit("G").alias("gerencia"), text("s_nationkey").alias("canal")),
+        "regiones": t.nation.select(F.col("n_nationkey").alias("cod_mercado"), F.col("n_name").alias("region_desc")),
+        "identificadores": region("tipo_identificacion", "tipo_identificador_desc"),
+        "ciclos": t.nation.select(F.col("n_nationkey").alias("cod_ciclo")),
+        "segmentos": t.region.select(F.col("r_regionkey").alias("sk_segmento_cliente"), text("r_regionkey").alias("cd_segmento_cliente"),
+                                     F.col("r_name").alias("ds_segmento_cliente"), F.lower("r_name").alias("ds_unidad_negocio")),
+        "planes": t.part.select(F.col("p_partkey").alias("cod_plan"), F.col("p_name").alias("plan_desc"), F.col("p_retailprice").alias("vlr_cfm"),
+                                F.col("p_type").alias("tipo_plan"), F.col("p_brand").alias("producto"),
+                                F.when(F.col("p_size") > 25, "S").otherwise("N").alias("ban_pyme")),
+        "grados": region("sk_tipo_grade", "ds_tipo_grade"), "antiguedades": region("sk_rango_antiguedad", "ds_rango_antiguedad"),
+        "gamas": region("sk_gama_plan", "ds_gama_plan"),
+        "usuarios": t.supplier.select(F.col("s_suppkey").alias("sk_usuario_ubicacion"), text("s_suppkey").alias("cd_usuario_red"),
+                                      F.col("s_name").alias("ds_nombre_usuario"), text("s_nationkey").alias("ds_ubicacion_usuario"), F.lit("C").alias("ds_canal_usuario")),
+        "clientes": t.customer.select(F.col("c_custkey").alias("co_id"), F.col("c_name").alias("identificacion"), F.col("c_mktsegment").alias("identificacion_mtr")),
+    }
+    return fact, dims
+
+
+def _at(column: str, table: str, key: str, value: str) -> str:
+    return f"(SELECT {column} FROM {table} WHERE {key} = {value})"
+
+
+@query("job_warehouse_extracts", "G9 N21 N20 X38 X30 N3", sql=f"""
+WITH cambios AS (
+  SELECT l.*, d.p_name AS d_name, d.p_retailprice AS d_price, d.p_type AS d_type, d.p_partkey AS d_key
+  FROM lineitem l JOIN part d ON d.p_partkey = l.l_partkey + 1 AND d.p_size > 25
+  WHERE l.l_shipdate >= TIMESTAMP '1998-01-01'),
+cargado AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_shipdate < TIMESTAMP '1999-01-01')
+SELECT l_orderkey AS co_id, l_suppkey AS customer_id, l_suppkey AS cod_agente,
+  {_at('n_nationkey', 'nation', 'n_nationkey', 'l_linenumber * 5')} AS cod_ciclo,
+  {_at('p_partkey', 'part', 'p_partkey', 'l_partkey')} AS cod_plan_origen, d_key AS cod_plan_destino,
+  strftime(l_shipdate, '%d/%m/%Y') AS fe_creacion, l_extendedprice AS vl_cfm_neto,
+  {_at('s_name', 'supplier', 's_suppkey', 'l_suppkey')} AS custcode_agente, {_at('s_name', 'supplier', 's_suppkey', 'l_suppkey')} AS region_comercial,
+  CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier) THEN 'G' END AS gerencia,
+  CAST({_at('s_nationkey', 'supplier', 's_suppkey', 'l_suppkey')} AS VARCHAR) AS canal,
+  {_at('n_name', 'nation', 'n_nationkey', 'l_linenumber')} AS region_geografica,
+  {_at('r_name', 'region', 'r_regionkey', 'l_linenumber % 7')} AS tipo_identificador_desc,
+  CAST({_at('r_regionkey', 'region', 'r_regionkey', 'l_suppkey % 6')} AS VARCHAR) AS codigo_segmento_cliente,
+  {_at('r_name', 'region', 'r_regionkey', 'l_suppkey % 6')} AS segmentacion, lower({_at('r_name', 'region', 'r_regionkey', 'l_suppkey % 6')}) AS ds_unidad_negocio,
+  {_at('r_name', 'region', 'r_regionkey', 'l_partkey % 5')} AS ds_tipo_grade, {_at('r_name', 'region', 'r_regionkey', 'l_partkey % 8')} AS ds_rango_antiguedad,
+  {_at('r_name', 'region', 'r_regionkey', 'l_linenumber - 1')} AS ds_gama_plan_origen, {_at('r_name', 'region', 'r_regionkey', 'l_linenumber')} AS ds_gama_plan_destino,
+  CAST({_at('s_suppkey', 'supplier', 's_suppkey', 'l_suppkey')} AS VARCHAR) AS cd_usuario_red_creacion,
+  {_at('s_name', 'supplier', 's_suppkey', 'l_suppkey')} AS ds_nombre_usuario_creacion,
+  CAST({_at('s_nationkey', 'supplier', 's_suppkey', 'l_suppkey')} AS VARCHAR) AS ds_ubicacion_usuario_creacion,
+  CASE WHEN l_suppkey IN (SELECT s_suppkey FROM supplier) THEN 'C' END AS ds_canal_usuario_creacion,
+  CAST({_at('s_suppkey', 'supplier', 's_suppkey', 'l_suppkey + 1')} AS VARCHAR) AS cd_usuario_red_cierre,
+  {_at('s_name', 'supplier', 's_suppkey', 'l_suppkey + 1')} AS ds_nombre_usuario_cierre,
+  CAST({_at('s_nationkey', 'supplier', 's_suppkey', 'l_suppkey + 1')} AS VARCHAR) AS ds_ubicacion_usuario_cierre,
+  CASE WHEN l_suppkey + 1 IN (SELECT s_suppkey FROM supplier) THEN 'C' END AS ds_canal_usuario_cierre,
+  {_at('c_name', 'customer', 'c_custkey', 'l_orderkey')} AS identificacion, {_at('c_mktsegment', 'customer', 'c_custkey', 'l_orderkey')} AS identificacion_mtr,
+  {_at('p_name', 'part', 'p_partkey', 'l_partkey')} AS ds_plan_origen, {_at('p_retailprice', 'part', 'p_partkey', 'l_partkey')} AS cfm_plan_origen,
+  {_at('p_type', 'part', 'p_partkey', 'l_partkey')} AS tipo_plan_origen, {_at('p_brand', 'part', 'p_partkey', 'l_partkey')} AS tipo_linea,
+  d_name AS ds_plan_destino, d_price AS cfm_plan_destino, d_type AS tipo_plan_destino, 'S' AS plan_negocios,
+  'NEG_PLANES' AS flag, CASE WHEN l_linestatus = 'F' THEN 'Cerrado' ELSE 'Abierto' END AS estado_tickler
+FROM cambios c WHERE NOT EXISTS (SELECT 1 FROM cargado h WHERE h.l_orderkey = c.l_orderkey AND h.l_partkey = c.l_partkey)
 """)
 def job_warehouse_extracts(spark, sf_dir):
     from ledgerline.jobs import warehouse as g9
-    t = Tables(spark, sf_dir)
-    li = t.lineitem
-    fact = li.select(F.col("l_orderkey").alias("co_id"), F.col("l_suppkey").alias("customer_id"),
-                     F.col("l_suppkey").alias("cod_agente"), F.col("l_linenumber").alias("cod_mercado"),
-                     F.col("l_partkey").alias("cod_plan_origen"), (F.col("l_partkey") + 1).alias("cod_plan_destino"),
-                     F.col("l_shipdate").alias("fe_creacion"),
-                     F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("no_ejecutado"))
-    views = {
-        "wh_fact": fact,
-        "wh_plans": t.part.select(F.col("p_partkey").alias("cod_plan"), F.col("p_name").alias("plan_desc"),
-                                  F.col("p_retailprice").alias("vlr_cfm"),
-                                  F.when(F.col("p_size") > 25, "S").otherwise("N").alias("ban_pyme")),
-        "wh_agents": t.supplier.select(F.col("s_suppkey").alias("cod_agente"), F.col("s_name").alias("region_comercial"),
-                                       F.col("s_nationkey").cast("string").alias("canal")),
-        "wh_regions": t.nation.select(F.col("n_nationkey").alias("cod_mercado"), F.col("n_name").alias("region_desc")),
-    }
-    sql = g9.PLAN_CHANGES_SQL.format(fact="wh_fact", agents="wh_agents", regions="wh_regions", plans="wh_plans",
-                                     since="1998-01-01")
+    fact, dims = _warehouse(Tables(spark, sf_dir))
+    changes = g9.plan_changes(fact, dims, "1998-01-01")
     hist = fact.filter(F.col("fe_creacion") < F.lit("1999-01-01").cast("timestamp_ntz"))
-    return g9.extract_new(spark, views, sql, hist, ["co_id", "cod_plan_origen", "cod_plan_destino"])
+    return g9.extract_new(changes, hist, ["co_id", "cod_plan_origen", "cod_plan_destino"])
 
 
 @query("job_warehouse_activations", "G9 U2 X10 X11 F13", sql="""
-WITH M AS (SELECT o_orderkey AS co_id, o_orderpriority AS plan, o_custkey AS ssn,
-                  CASE WHEN o_orderstatus = 'F' THEN 'razón ' ELSE 'razon ' END || CAST(o_orderkey % 1000 AS VARCHAR) AS razon_inicial,
-                  o_orderpriority || ' - ' || o_orderstatus || 'CICLO' AS ciclo FROM orders),
-R5 AS (SELECT c_custkey AS identificacion, c_mktsegment AS segmento FROM customer WHERE c_acctbal > 0)
-SELECT 'NEGOCIOS' AS segmento, R5.segmento AS flag, M.co_id, M.plan, translate(M.razon_inicial, 'áéíóú', 'aeiou') AS razon_inicial,
-       substring(M.ciclo, position(' - ' IN M.ciclo) + 2, 3) AS ciclo
-FROM M JOIN R5 ON M.ssn = R5.identificacion
-WHERE (M.razon_inicial LIKE '%32%' OR M.razon_inicial LIKE '%57%' OR M.razon_inicial LIKE '%118%')
-UNION
-SELECT 'NEGOCIOS', R5.segmento, M.co_id, M.plan, translate(M.razon_inicial, 'áéíóú', 'aeiou'),
-       substring(M.ciclo, position(' - ' IN M.ciclo) + 2, 3)
-FROM M JOIN R5 ON M.ssn = R5.identificacion
-WHERE (M.razon_inicial LIKE '%333%' OR M.razon_inicial LIKE '%444%')
+WITH ventas AS (
+  SELECT o_orderkey AS co_id, o_orderpriority AS plan, o_custkey AS ssn, o_totalprice AS cfm,
+         'razon ' || CAST(o_orderkey % 1000 AS VARCHAR) AS razon,
+         o_orderpriority || ' - ' || o_orderstatus || 'CICLO' AS texto
+  FROM orders)
+SELECT DISTINCT 'NEGOCIOS' AS segmento, c.c_mktsegment AS flag, v.ssn, v.co_id, v.plan, v.razon AS razon_inicial, 'final ' || v.razon AS razon_final,
+       CAST(trunc(v.cfm) AS INTEGER) AS cfm, substring(v.texto, position(' - ' IN v.texto) + 2, 3) AS ciclo
+FROM customer c JOIN ventas v ON v.ssn = c.c_custkey AND c.c_acctbal > 0
+WHERE regexp_matches(v.razon, '32|57|267|345|362|118|285|500|202|333|444|555|666|777')
 """)
 def job_warehouse_activations(spark, sf_dir):
     from ledgerline.jobs import warehouse as g9
     t = Tables(spark, sf_dir)
-    m = t.orders.select(
-        F.col("o_orderkey").alias("co_id"), F.col("o_orderpriority").alias("plan"), F.col("o_custkey").alias("ssn"),
-        F.concat(F.when(F.col("o_orderstatus") == "F", F.lit("razón ")).otherwise(F.lit("razon ")),
-                 (F.col("o_orderkey") % 1000).cast("string")).alias("razon_inicial"),
+    reason = F.concat(F.when(F.col("o_orderstatus") == "F", F.lit("razón ")).otherwise(F.lit("razon ")), (F.col("o_orderkey") % 1000).cast("string"))
+    sales = t.orders.select(
+        F.col("o_orderkey").alias("co_id"), F.col("o_orderpriority").alias("plan"), F.col("o_custkey").alias("ssn"), F.col("o_totalprice").alias("cfm"),
+        reason.alias("razon_inicial"), F.concat(F.lit("final "), reason).alias("razon_final"),
         F.concat_ws("", F.col("o_orderpriority"), F.lit(" - "), F.col("o_orderstatus"), F.lit("CICLO")).alias("ciclo"))
-    r5 = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("identificacion"),
-                                                         F.col("c_mktsegment").alias("segmento"))
-    sql = g9.activations_sql("wh_activations", "wh_segments", ["32", "57", "118"], ["333", "444"])
-    return g9.run_sql(spark, {"wh_activations": m, "wh_segments": r5}, sql)
+    segments = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("identificacion"), F.col("c_mktsegment").alias("segmento"))
+    return g9.activations(sales, segments)
+
+
+@query("job_warehouse_dimensions", "G9 N3", sql="""
+SELECT 'agentes' AS extracto, CAST(s_suppkey AS VARCHAR) AS clave, s_name AS direccion, CAST(s_nationkey AS VARCHAR) AS canal_comercial
+FROM supplier WHERE s_acctbal <= 5000
+UNION ALL SELECT 'planes', CAST(p_partkey AS VARCHAR), p_name, p_brand FROM part WHERE p_size > 10
+UNION ALL SELECT 'base_segmento', CAST(c_custkey AS VARCHAR), c_mktsegment, '' FROM customer WHERE c_acctbal > 0 AND c_custkey % 7 <> 0
+UNION ALL SELECT 'ciudades', CAST(c_custkey AS VARCHAR), c_name, ['D', 'T', 'MAY', 'C', 'X', 'Y'][1 + c_custkey % 6]
+FROM customer WHERE c_custkey % 6 < 4 AND c_nationkey <> 3
+""")
+def job_warehouse_dimensions(spark, sf_dir):
+    """The agent, plan, segment and city-code extracts, new rows of each."""
+    from ledgerline.jobs import warehouse as g9
+    from ledgerline.operators.setops import union_all
+    t = Tables(spark, sf_dir)
+    agents = t.supplier.select(F.col("s_suppkey").alias("cod_agente"), F.col("s_name").alias("region_comercial"),
+                               F.col("s_nationkey").cast("string").alias("canal"), "s_acctbal")
+    agents = g9.extract_new(g9.agents(agents), agents.filter("s_acctbal > 5000"), ["cod_agente"])
+    plans = g9.extract_new(g9.plans(t.part), t.part.filter("p_size <= 10"), ["p_partkey", "p_name"])
+    segments = t.customer.select(F.col("c_custkey").alias("identificacion"), F.col("c_mktsegment").alias("segmento"),
+                                 F.when(F.col("c_acctbal") > 0, "1").otherwise("0").alias("cb_esactual"))
+    loaded = segments.filter("identificacion % 7 = 0").select(F.col("identificacion").alias("cust_id"), F.col("segmento").alias("flag"))
+    base = g9.extract_new(g9.segment_base(segments), loaded, ["cust_id", "flag"])
+    kinds = F.array(*[F.lit(x) for x in ("D", "T", "MAY", "C", "X", "Y")])
+    shops = t.customer.withColumn("tipo_distribuidor", F.element_at(kinds, (F.col("c_custkey") % 6 + 1).cast("int")))
+    cities = g9.extract_new(g9.city_codes(shops), shops.filter("c_nationkey = 3"), ["c_custkey"])
+    row = lambda name, key, a, b: [F.lit(name).alias("extracto"), F.col(key).cast("string").alias("clave"), F.col(a).alias("direccion"), F.col(b).alias("canal_comercial")]
+    return union_all([agents.select(*row("agentes", "cod_agente", "direccion", "canal_comercial")), plans.select(*row("planes", "p_partkey", "p_name", "p_brand")),
+                      base.select(*row("base_segmento", "cust_id", "flag", "usuario")), cities.select(*row("ciudades", "c_custkey", "c_name", "tipo_distribuidor"))])
+
+
+@query("star_inner", "N20", sql="""
+SELECT l.l_orderkey, l.l_linenumber, p.p_brand, s.s_name, n.n_name, o.o_orderstatus
+FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey AND p.p_size > 20
+JOIN supplier s ON s.s_suppkey = l.l_suppkey AND s.s_acctbal > 0
+JOIN nation n ON n.n_nationkey = s.s_nationkey AND n.n_regionkey <> 2
+LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus = 'F'
+""")
+def star_inner(spark, sf_dir):
+    """Inner roles drop fact rows without a match, the left one keeps them."""
+    from ledgerline.jobs.warehouse import Role, star
+    t = Tables(spark, sf_dir)
+    dims = {"p": t.part.filter("p_size > 20"), "s": t.supplier.filter("s_acctbal > 0"), "n": t.nation.filter("n_regionkey <> 2"),
+            "o": t.orders.filter("o_orderstatus = 'F'")}
+    roles = [Role("p", "p_partkey", "l_partkey", {"p_brand": "p_brand"}, "inner"),
+             Role("s", "s_suppkey", "l_suppkey", {"s_name": "s_name", "s_nationkey": "__nation"}, "inner"),
+             Role("n", "n_nationkey", "__nation", {"n_name": "n_name"}, "inner"),
+             Role("o", "o_orderkey", "l_orderkey", {"o_orderstatus": "o_orderstatus"})]
+    fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return star(fact, dims, roles).select("l_orderkey", "l_linenumber", "p_brand", "s_name", "n_name", "o_orderstatus")
 
 
 def _org_sheet(t):

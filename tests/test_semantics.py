@@ -210,6 +210,15 @@ def test_spread_join_with_hot_key_and_map_column(spark):
     assert out.filter(F.col("k") == "h").select("name").distinct().collect()[0][0] == "HOT"
 
 
+def test_spread_join_of_keys_of_unlike_types(spark):
+    from ledgerline.operators.joins import spread_join
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k bigint, v string")
+    for kind in ("int", "double", "decimal(10,2)", "smallint"):
+        right = spark.createDataFrame([(1,), (2,)], "k int").select(F.col("k").cast(kind), F.lit("x").alias("hit"))
+        got = spread_join(left, right, ["k"], "left").select("v", "hit").collect()
+        assert sorted(map(tuple, got), key=repr) == sorted([("a", "x"), ("b", "x"), ("c", None)], key=repr), kind
+
+
 def test_contains_match_of_one_letter_and_empty_probes(spark):
     probe = spark.createDataFrame([("a",), ("",), (None,), ("zz",), ("AN",)], "p string")
     dim = spark.createDataFrame([("Mariana", 2), ("Ana", 1), ("Pedro", 3), (None, 0)], "name string, pos int")
