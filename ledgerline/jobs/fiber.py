@@ -14,9 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.numbers import coerce_number
 from ledgerline.functions.text import lstrip_char
 from ledgerline.functions.values import null_if_in
-from ledgerline.operators.columns import apply_mapping, pad_columns, select_existing
+from ledgerline.operators.columns import apply_mapping, pad_columns
 from ledgerline.operators.dims import lookup
 from ledgerline.operators.incremental import new_rows
 from ledgerline.operators.lifecycle import Run, with_row_ids
@@ -36,6 +37,32 @@ CAPTION_COLUMNS = {
 FIELD_PATTERNS = ["198", "189", "169", "170", "171", "147"]
 # Project codes that mean "none".
 PROJECT_SENTINELS = ["0", ".", "NA", "N/A", "NO", "n/a", "00", "N", "..", "N.A", "0."]
+# Columns of the target table, in order.
+LAYOUT = [
+    "id_macrofo", "id_ejecucion", "id", "id_orden_trabajo_padre", "otc_diferida",
+    "id_estado_orden_trabajo", "id_estado_venta", "fecha_creacion", "mes_creacion", "fecha_inicio_facturacion", "fecha_estado",
+    "mes_estado", "nit", "razon_social", "id_cliente", "consultor_base",
+    "usuario_grupo_consultor", "producto", "linea", "tipo_linea", "velocidad",
+    "ciudad_incidente", "proceso_tipo_venta", "num_servicios", "monto_moneda_local_activacion",
+    "monto_moneda_local_cargo_mensual", "soporte_pc", "monto_moneda_local_arriendo",
+    "duracion_contrato", "trm_creacion", "trm_cambio_estado", "monto_moneda_local_otros",
+    "variacion_monto_moneda_local_mensual", "variacion_monto_moneda_local_arriendo",
+    "variacion_cargo_arriendo", "variacion_total_moneda_local", "variacion_total",
+    "nro_contrato", "id_proceso_tipo_venta", "ciudad_destino", "tipo_venta",
+    "segmento", "segmento_mercado", "nodo", "descripcion", "id_enlace", "id_tipo",
+    "tipo_orden_trabajo", "resolucion1", "resolucion2", "resolucion3",
+    "resolucion4", "resolucion_venta", "familia", "ciudad_origen", "grupo_objetivo",
+    "nombre_consultor", "cod_proyecto", "clase_producto", "tipo_contrato", "servicio_componente",
+    "direccion_comercial", "proyecto", "familia_1", "id_estado", "fecha_inicio_procesamiento",
+]
+# Columns put in upper case, filled with 0, read as whole numbers (else 0), stripped of "$".
+UPPER_COLUMNS = ["estado_orden_trabajo", "estado_venta", "ciudad_incidente", "id_proceso_tipo_venta", "ciudad_destino", "tipo_venta",
+                 "segmento_mercado", "descripcion", "resolucion1", "resolucion2", "resolucion3", "resolucion4",
+                 "resolucion_venta", "familia", "ciudad_origen", "grupo_objetivo", "cod_proyecto"]
+ZERO_COLUMNS = ["monto_moneda_local_activacion", "monto_moneda_local_cargo_mensual", "monto_moneda_local_otros",
+                "variacion_monto_moneda_local_mensual", "variacion_monto_moneda_local_arriendo", "variacion_cargo_arriendo"]
+WHOLE_COLUMNS = ["variacion_total_moneda_local", "variacion_total"]
+DOLLAR_COLUMNS = ["id_tipo", "tipo_orden_trabajo"]
 DEFAULT_ORDER_STATE = 13
 DEFAULT_SALE_STATE = 6
 
@@ -75,13 +102,19 @@ def _state_lookup(df: DataFrame, col: str, states: DataFrame, out: str, default:
 
 def consolidate(inp: FiberInputs, run: Run) -> DataFrame:
     mapped = union_all([apply_mapping(df, m) for df, m in inp.layouts])            # J9 + U1
+    types = {c: "bigint" for c in [*WHOLE_COLUMNS, *ZERO_COLUMNS]}
+    state = ["estado_orden_trabajo", "estado_venta"]
+    wanted = [c for c in [*LAYOUT, *state] if c not in (*CAPTION_COLUMNS.values(), "id_macrofo", "id_ejecucion", "id_estado",
+                                                        "id_estado_orden_trabajo", "id_estado_venta", "fecha_inicio_procesamiento")]
+    mapped = pad_columns(mapped, {c: types.get(c, "string") for c in wanted})       # J7
     base = mapped.withColumns({
         "id": F.coalesce(F.col("id"), F.lit(0).cast("bigint")),
-        "estado_orden_trabajo": F.upper("estado_orden_trabajo"),                   # X49
-        "estado_venta": F.upper("estado_venta"),
-        "id_tipo": lstrip_char("id_tipo", "$"),                                    # X6
-        "cod_proyecto": null_if_in(F.upper("cod_proyecto"), PROJECT_SENTINELS),     # X25
+        **{c: F.upper(c) for c in UPPER_COLUMNS},                                  # X49
+        **{c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_COLUMNS},               # X20
+        **{c: coerce_number(c, "bigint") for c in WHOLE_COLUMNS},                  # X17
+        **{c: lstrip_char(c, "$") for c in DOLLAR_COLUMNS},                        # X6
     })
+    base = base.withColumn("cod_proyecto", null_if_in("cod_proyecto", PROJECT_SENTINELS))  # X25
     # Only orders present in the main extract need their extension
     # data; a semi join trims the pivot's input (the left join below would
     # drop the others anyway).
@@ -95,11 +128,9 @@ def consolidate(inp: FiberInputs, run: Run) -> DataFrame:
     fresh = with_row_ids(fresh, run.run_id, "id_macrofo").withColumns({
         "id_ejecucion": F.lit(run.run_id),
         "id_estado": F.lit(1),
+        "fecha_inicio_procesamiento": F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
     })
-    ordered = ["id_macrofo", "id_ejecucion", "id", "id_orden_trabajo_padre", "id_estado_orden_trabajo",
-               "id_estado_venta", "fecha_creacion", "producto", "valor", "id_tipo", "cod_proyecto",
-               *CAPTION_COLUMNS.values(), "id_estado"]
-    return select_existing(pad_columns(fresh, ordered), ordered)                    # J7 + J5
+    return fresh.select(*LAYOUT)
 
 
 # --- demo inputs on the driver's tables ----------------------------------
@@ -124,20 +155,26 @@ def demo_inputs(spark, t) -> FiberInputs:
     fields = spark.createDataFrame(FIELD_CAPTIONS, "chfieldname string, vchfieldcaption string")
     o = t.orders
     common = {"o_orderkey": "id", "o_custkey": "id_orden_trabajo_padre", "o_orderdate": "fecha_creacion",
-              "o_orderpriority": "producto", "o_totalprice": "valor"}
+              "o_orderpriority": "producto", "o_totalprice": "monto_moneda_local_arriendo"}
     a = o.filter(F.col("o_orderstatus") == "F").select(
         *common, F.lower("o_orderstatus").alias("est_ot"), F.col("o_orderpriority").alias("est_v"),
         F.concat(F.lit("$$"), F.col("o_orderstatus")).alias("tipo"),
         F.when(F.col("o_totalprice") < 50000, F.lit("n/a")).otherwise(
-            F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))).alias("proy"))
+            F.concat(F.lit("p"), F.col("o_orderkey").cast("string"))).alias("proy"),
+        F.concat(F.lit("$$"), F.col("o_orderstatus")).alias("tot"), F.lower("o_orderpriority").alias("res1"),
+        F.when(F.col("o_custkey") % 3 != 0, F.col("o_totalprice")).alias("act"),
+        F.when(F.col("o_custkey") % 5 == 0, F.lit("x")).otherwise(F.concat(F.col("o_custkey").cast("string"), F.lit(".7"))).alias("var"),
+        F.concat(F.lit("rs "), F.col("o_custkey").cast("string")).alias("rs"))
     b = o.filter(F.col("o_orderstatus") != "F").select(
         *common, F.col("o_orderstatus").alias("ESTADO_OT"), F.lower("o_orderpriority").alias("ESTADO_VENTA"),
         F.concat(F.lit("$"), F.col("o_orderstatus")).alias("ID_TIPO"),
-        F.when(F.col("o_totalprice") < 100000, F.lit("0")).otherwise(F.lit("PX")).alias("COD_PROYECTO"))
+        F.when(F.col("o_totalprice") < 100000, F.lit("0")).otherwise(F.lit("PX")).alias("COD_PROYECTO"),
+        F.concat(F.lit("$"), F.col("o_orderstatus")).alias("TOT"), F.lower("o_orderpriority").alias("RES1"))
     layouts = [(a, {**common, "est_ot": "estado_orden_trabajo", "est_v": "estado_venta", "tipo": "id_tipo",
-                    "proy": "cod_proyecto"}),
+                    "proy": "cod_proyecto", "tot": "tipo_orden_trabajo", "res1": "resolucion1",
+                    "act": "monto_moneda_local_activacion", "var": "variacion_total", "rs": "razon_social"}),
                (b, {**common, "ESTADO_OT": "estado_orden_trabajo", "ESTADO_VENTA": "estado_venta",
-                    "ID_TIPO": "id_tipo", "COD_PROYECTO": "cod_proyecto"})]
+                    "ID_TIPO": "id_tipo", "COD_PROYECTO": "cod_proyecto", "TOT": "tipo_orden_trabajo", "RES1": "resolucion1"})]
     order_states = spark.createDataFrame([(1, "f"), (2, "O"), (3, "o")], "id int, estado string")
     sale_states = spark.createDataFrame([(1, "1-urgent"), (2, "2-HIGH"), (3, "3-MEDIUM")], "id int, estado string")
     hist = o.filter(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(

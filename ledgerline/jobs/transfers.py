@@ -29,7 +29,37 @@ class TransferSource:
     table: DataFrame                           # raw table with fecha_procesamiento
     rename: dict[str, str]
     int_columns: list[str] = field(default_factory=list)
-    constants: dict[str, str] = field(default_factory=dict)
+    constants: dict[str, object] = field(default_factory=dict)
+    #: how the net value is made: by the category of the sale (X27), as the
+    #: difference of two charges (X31), or zero
+    net: str | tuple[str, str] = "category"
+    copies: dict[str, str] = field(default_factory=dict)      # new column -> column
+
+
+# --- fixed values: what each kind of source writes into its rows ----------------------
+INSTALLED = {"estado_2": "INSTALADA", "tipo_v": "ALTAS_F", "tipo": "ALTAS_F", "base": "FIJO"}
+KEYED = {"estado_2": "DIGITADA", "tipo_v": "VENTAS_F", "tipo": "DIGITADO", "base": "FIJO"}
+CANCELLED = {"estado_2": "CANCELADA", "tipo_v": "CANCELADAS_F", "tipo": "CANCELADAS_F", "base": "FIJO",
+             "val_dif_service": 0, "renta_wo_anterior": 0, "renta_wo_actual": 0, "diferencia_renta": 0}
+ORDER_INTS = ["val_dif_service", "valor_servicio", "renta_wo_anterior", "renta_wo_actual", "diferencia_renta"]
+UPSELL_INTS = ["monthly_rental_charge", "renta_mes_anterior"]
+
+
+def order_source(name: str, table: DataFrame, rename: dict[str, str], installed: bool) -> TransferSource:
+    """Installed or keyed orders: net value by category."""
+    extra = {"adicional_inf1": ""} if installed else {}
+    return TransferSource(name, table, rename, ORDER_INTS, {**(INSTALLED if installed else KEYED), **extra})
+
+
+def upsell_source(name: str, table: DataFrame, rename: dict[str, str], installed: bool) -> TransferSource:
+    """Up-sell orders: net value is the charge less the previous one."""
+    return TransferSource(name, table, rename, UPSELL_INTS, INSTALLED if installed else KEYED, ("monthly_rental_charge", "renta_mes_anterior"),
+                          {"renta_wo_actual": "monthly_rental_charge", "renta_wo_anterior": "renta_mes_anterior"})
+
+
+def cancelled_source(name: str, table: DataFrame, rename: dict[str, str]) -> TransferSource:
+    """Cancelled orders: no difference, no rent, no net value."""
+    return TransferSource(name, table, rename, ["valor_servicio"], CANCELLED, "zero")
 
 
 def consolidate(sources: list[TransferSource], target: DataFrame | None, schema: StructType,
@@ -45,10 +75,16 @@ def consolidate(sources: list[TransferSource], target: DataFrame | None, schema:
         df = rename_map(df.drop(processed_col), src.rename)
         df = df.withColumns({c: F.coalesce(F.col(c).try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
                              for c in src.int_columns if c in df.columns})
-        if "origen_datos" in df.columns:
+        df = df.withColumns({k: F.lit(v) for k, v in src.constants.items()})
+        df = df.withColumns({k: F.col(c) for k, c in src.copies.items()})
+        if src.net == "category" and "origen_datos" in df.columns:
             df = df.withColumn("valor_neto", net_value("origen_datos", "valor_servicio", "val_dif_service"))
+        elif src.net == "zero":
+            df = df.withColumn("valor_neto", F.lit(0).cast("bigint"))
+        elif src.net != "category":
+            df = df.withColumn("valor_neto", F.col(src.net[0]) - F.col(src.net[1]))
+        if "origen_datos" in df.columns:
             df = df.withColumn("origen_datos", recode_category("origen_datos"))
-        df = df.withColumns({k: F.lit(v) for k, v in src.constants.items()})
         df = df.withColumn("fuente", F.lit(src.name)).withColumn("__src", F.lit(rank))
         df = clean_all_strings(df, remove_special)                              # X3
         frames.append(df)
@@ -62,36 +98,38 @@ def consolidate(sources: list[TransferSource], target: DataFrame | None, schema:
 
 # --- demo configuration on the driver's lineitem table -------------------
 TRANSFERS_SCHEMA = StructType([
-    StructField("orden_trabajo", StringType()), StructField("codigo_servicio", StringType()),
+    StructField("cuenta", StringType()), StructField("orden_trabajo", StringType()), StructField("codigo_servicio", StringType()),
     StructField("origen_datos", StringType()), StructField("valor_servicio", LongType()),
-    StructField("val_dif_service", LongType()), StructField("valor_neto", LongType()),
-    StructField("tipo_v", StringType()), StructField("base", StringType()), StructField("fuente", StringType())])
+    StructField("val_dif_service", LongType()), StructField("renta_wo_anterior", LongType()),
+    StructField("renta_wo_actual", LongType()), StructField("valor_neto", LongType()), StructField("estado_2", StringType()),
+    StructField("tipo_v", StringType()), StructField("tipo", StringType()), StructField("base", StringType()),
+    StructField("fuente", StringType())])
 
 DEMO_RUN = Run(job="transfers", run_id="RUN-TRANSFERS-0001",
                started=__import__("datetime").datetime(2024, 1, 2, 0, 0, 0))
 
-_RENAME = {"ot": "orden_trabajo", "cod_serv": "codigo_servicio", "origen": "origen_datos",
-           "valor": "valor_servicio", "dif": "val_dif_service"}
+_RENAME = {"cta": "cuenta", "ot": "orden_trabajo", "cod_serv": "codigo_servicio", "origen": "origen_datos",
+           "valor": "valor_servicio", "dif": "val_dif_service", "cargo": "monthly_rental_charge", "previo": "renta_mes_anterior"}
 
 
 def demo_sources(lineitem: DataFrame) -> list[TransferSource]:
-    def raw(flag, origen):
-        df = lineitem.filter(F.col("l_returnflag") == flag)
-        cols = [F.col("l_orderkey").cast("string").alias("ot"), F.col("l_partkey").cast("string").alias("cod_serv"),
-                F.col("l_extendedprice").alias("valor"),
-                (F.col("l_extendedprice") * F.col("l_discount")).alias("dif"),
-                F.col("l_shipdate").alias("fecha_procesamiento")]
-        if origen is not None:
-            cols.append(origen.alias("origen"))
-        return df.select(*cols)
-    ints = ["valor_servicio", "val_dif_service"]
+    """Seven sources: lineitem by its line number, shaped as each raw table."""
+    money = F.col("l_extendedprice")
+    part = lambda n: lineitem.filter(F.col("l_linenumber") == n)
+    ids = [F.col("l_suppkey").cast("string").alias("cta"), F.col("l_orderkey").cast("string").alias("ot"),
+           F.col("l_partkey").cast("string").alias("cod_serv"), F.col("l_shipdate").alias("fecha_procesamiento")]
+    kind = (F.when(F.col("l_returnflag") == "R", F.lit("A")).when(F.col("l_returnflag") == "A", F.lit("NEW"))
+            .when(F.col("l_linestatus") == "O", F.lit("UP SELLING")))
+    orders = lambda n: part(n).select(*ids, kind.alias("origen"), money.alias("valor"), (money * F.col("l_discount")).alias("dif"),
+                                      F.col("l_quantity").alias("renta_wo_anterior"), (F.col("l_quantity") + 1).alias("renta_wo_actual"),
+                                      F.lit(1).alias("diferencia_renta"))
+    upsell = lambda n: part(n).select(*ids, money.alias("cargo"), F.when(F.col("l_tax") != 0, money * F.col("l_tax")).alias("previo"))
+    cancelled = lambda n: part(n).select(*ids, F.when(F.col("l_quantity") > 5, money).alias("valor"))
     return [
-        TransferSource("INSTALADAS", raw("R", F.when(F.col("l_linestatus") == "O", F.lit("A"))
-                                         .otherwise(F.lit(" up selling"))), _RENAME, ints,
-                       {"tipo_v": "ALTAS_F", "base": "FIJO"}),
-        TransferSource("DIGITADAS", raw("A", F.lit("NEW")), _RENAME, ints, {"tipo_v": "DIGITADAS", "base": "FIJO"}),
-        TransferSource("CANCELADAS", raw("N", None), _RENAME, ints, {"tipo_v": "BAJAS_F", "base": "FIJO"}),
-    ]
+        order_source("INSTALADAS", orders(1), _RENAME, True), order_source("INSTALADAS 999", orders(2), _RENAME, True),
+        upsell_source("INSTALADAS UP", upsell(3), _RENAME, True), order_source("DIGITADAS", orders(4), _RENAME, False),
+        upsell_source("DIGITADAS UP", upsell(5), _RENAME, False), cancelled_source("CANCELADAS", cancelled(6), _RENAME),
+        cancelled_source("CANCELADAS 999", cancelled(7), _RENAME)]
 
 
 def demo_target(lineitem: DataFrame) -> DataFrame:

@@ -96,38 +96,39 @@ def churn_vs_additions(spark, sf_dir):
                       "fecha_excel", "duplicado_por_servicio", "segmento", "cruce_bajas_altas", "periodo")
 
 
-def _x3(x: str) -> str:
-    return f"upper(regexp_replace(regexp_replace({x}, '[|.*}}$@]', '', 'g'), '^\\s+|\\s+$', '', 'g'))"
-
-
-TRANSFER_SRC_SQL = """
-SELECT {src} AS __src, CAST(l_orderkey AS VARCHAR) AS ot, CAST(l_partkey AS VARCHAR) AS cod_serv,
-       CAST(trunc(l_extendedprice) AS BIGINT) AS valor, CAST(trunc(l_extendedprice * l_discount) AS BIGINT) AS dif,
-       {origen} AS origen, '{tipo}' AS tipo_v, 'FIJO' AS base, '{fuente}' AS fuente
-FROM lineitem WHERE l_returnflag = '{flag}'
-  AND l_shipdate > (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01')"""
-
-
-@query("multi_source_consolidation", "G11 C9 F17 X27 X3 J8 U1 X41 C1 A2", sql="""
-WITH raw AS (""" + "\nUNION ALL\n".join([
-    TRANSFER_SRC_SQL.format(src=0, origen="CASE WHEN l_linestatus = 'O' THEN 'A' ELSE ' up selling' END",
-                            tipo="ALTAS_F", fuente="INSTALADAS", flag="R"),
-    TRANSFER_SRC_SQL.format(src=1, origen="'NEW'", tipo="DIGITADAS", fuente="DIGITADAS", flag="A"),
-    TRANSFER_SRC_SQL.format(src=2, origen="CAST(NULL AS VARCHAR)", tipo="BAJAS_F", fuente="CANCELADAS", flag="N"),
-]) + """),
-mapped AS (
-  SELECT __src, """ + _x3("ot") + """ AS orden_trabajo, """ + _x3("cod_serv") + """ AS codigo_servicio,
-    """ + _x3("CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END") + """ AS origen_datos,
-    valor AS valor_servicio, dif AS val_dif_service,
-    CASE WHEN (CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END) IN ('NEW', 'CROSS SELLING') THEN valor
-         WHEN (CASE WHEN origen = 'A' THEN 'CROSS SELLING' ELSE origen END) = 'UP SELLING' THEN dif END AS valor_neto,
-    """ + _x3("tipo_v") + """ AS tipo_v, """ + _x3("base") + """ AS base, """ + _x3("fuente") + """ AS fuente
-  FROM raw),
-keyed AS (SELECT *, orden_trabajo || codigo_servicio || tipo_v AS llave_proceso FROM mapped),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY llave_proceso ORDER BY __src, orden_trabajo, codigo_servicio,
-             origen_datos, valor_servicio, val_dif_service, valor_neto, tipo_v, base, fuente) AS rn FROM keyed)
-SELECT 'RUN-TRANSFERS-0001' AS id_ejecucion, orden_trabajo, codigo_servicio, origen_datos, valor_servicio,
-       val_dif_service, valor_neto, tipo_v, base, fuente, llave_proceso,
+def _transfer_sql(rank: int, name: str) -> str:
+    """One source's rows: ranks 0, 1 and 3 are orders, 2 and 4 up-sells, the rest cancelled."""
+    null = "CAST(NULL AS {})"
+    whole = lambda x: f"CAST(trunc({x}) AS BIGINT)"
+    state, kind, label = (("INSTALADA", "ALTAS_F", "ALTAS_F") if rank < 3 else ("DIGITADA", "VENTAS_F", "DIGITADO") if rank < 5
+                          else ("CANCELADA", "CANCELADAS_F", "CANCELADAS_F"))
+    price, dif, before = whole("l_extendedprice"), whole("l_extendedprice * l_discount"), f"coalesce({whole('l_extendedprice * l_tax')}, 0)"
+    if rank in (0, 1, 3):
+        origin = ("CASE WHEN l_returnflag = 'R' THEN 'CROSS SELLING' WHEN l_returnflag = 'A' THEN 'NEW' "
+                  "WHEN l_linestatus = 'O' THEN 'UP SELLING' END")
+        net = f"CASE WHEN l_returnflag IN ('R', 'A') THEN {price} WHEN l_linestatus = 'O' THEN {dif} END"
+        cols = [origin, price, dif, whole("l_quantity"), whole("l_quantity + 1"), net]
+    elif rank in (2, 4):
+        before = f"CASE WHEN l_tax <> 0 THEN {whole('l_extendedprice * l_tax')} ELSE 0 END"
+        cols = [null.format("VARCHAR"), null.format("BIGINT"), null.format("BIGINT"), before, price, f"{price} - {before}"]
+    else:
+        cols = [null.format("VARCHAR"), f"CASE WHEN l_quantity > 5 THEN {price} ELSE 0 END", "0", "0", "0", "0"]
+    names = ["origen_datos", "valor_servicio", "val_dif_service", "renta_wo_anterior", "renta_wo_actual", "valor_neto"]
+    body = ", ".join(f"{c} AS {n}" for c, n in zip(cols, names))
+    return (f"SELECT {rank} AS r, CAST(l_suppkey AS VARCHAR) AS cuenta, CAST(l_orderkey AS VARCHAR) AS orden_trabajo, CAST(l_partkey AS VARCHAR) AS codigo_servicio, "
+            f"{body}, '{state}' AS estado_2, '{kind}' AS tipo_v, '{label}' AS tipo, 'FIJO' AS base, '{name}' AS fuente "
+            f"FROM lineitem WHERE l_linenumber = {rank + 1} AND l_shipdate > (SELECT max(l_shipdate) FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01')")
+
+
+TRANSFER_NAMES = ["INSTALADAS", "INSTALADAS 999", "INSTALADAS UP", "DIGITADAS", "DIGITADAS UP", "CANCELADAS", "CANCELADAS 999"]
+
+
+@query("multi_source_consolidation", "G11 C9 F17 X27 X31 X3 J8 U1 X41 C1 A2", sql="""
+WITH mapped AS (""" + "\nUNION ALL\n".join(_transfer_sql(i, n) for i, n in enumerate(TRANSFER_NAMES)) + """),
+ranked AS (SELECT *, orden_trabajo || codigo_servicio || tipo_v AS llave_proceso,
+                  row_number() OVER (PARTITION BY orden_trabajo || codigo_servicio || tipo_v ORDER BY r, orden_trabajo, codigo_servicio, cuenta,
+                    origen_datos, valor_servicio, val_dif_service, renta_wo_anterior, renta_wo_actual, valor_neto) AS rn FROM mapped)
+SELECT 'RUN-TRANSFERS-0001' AS id_ejecucion, * EXCLUDE (r, rn),
        TIMESTAMP '2024-01-02 00:00:00' AS fecha_procesamiento, '1' AS id_estado
 FROM ranked WHERE rn = 1
 """)
@@ -137,6 +138,24 @@ def multi_source_consolidation(spark, sf_dir):
     return g11.consolidate(g11.demo_sources(li), g11.demo_target(li), g11.TRANSFERS_SCHEMA, g11.DEMO_RUN).drop("id")
 
 
+def _fiber_select() -> str:
+    """Every column of the target layout: those the demo has, null for the rest."""
+    from ledgerline.jobs.fiber import LAYOUT
+    have = {
+        "id_ejecucion": "'RUN-FIBER-0001'", "id": "b.id", "id_orden_trabajo_padre": "b.id_orden_trabajo_padre",
+        "id_estado_orden_trabajo": "CAST(coalesce(ost.id, 13) AS INTEGER)", "id_estado_venta": "CAST(coalesce(vst.id, 6) AS INTEGER)",
+        "fecha_creacion": "b.fecha_creacion", "producto": "b.producto", "monto_moneda_local_arriendo": "b.valor", "id_tipo": "b.id_tipo",
+        "tipo_orden_trabajo": "b.id_tipo", "resolucion1": "upper(b.producto)", "razon_social": "b.razon",
+        "monto_moneda_local_activacion": "coalesce(b.activacion, 0)",
+        "variacion_total": "coalesce(CAST(trunc(TRY_CAST(b.variacion AS DOUBLE)) AS BIGINT), 0)",
+        "cod_proyecto": "CASE WHEN upper(b.cod) IN ('0', '.', 'NA', 'N/A', 'NO', 'n/a', '00', 'N', '..', 'N.A', '0.') THEN NULL ELSE upper(b.cod) END",
+        **{c: f"x.{c}" for c in ("proyecto", "direccion_comercial", "familia_1", "clase_producto", "servicio_componente", "tipo_contrato")},
+        "id_estado": "1", "fecha_inicio_procesamiento": "TIMESTAMP '2024-01-03 00:00:00'"}
+    zero = {"monto_moneda_local_cargo_mensual", "monto_moneda_local_otros", "variacion_monto_moneda_local_mensual",
+            "variacion_monto_moneda_local_arriendo", "variacion_cargo_arriendo", "variacion_total_moneda_local"}
+    return ",\n       ".join(f"{have.get(c, 'CAST(0 AS BIGINT)' if c in zero else 'CAST(NULL AS VARCHAR)')} AS {c}" for c in LAYOUT if c != "id_macrofo")
+
+
 @query("job_fiber", "G12 J9 A9 N22 F21 N9 N13 X6 X25 X49 U1 N1 J5 J7", sql="""
 WITH eav AS (
   SELECT user_id AS ot, CASE event_type WHEN 'view' THEN 'FLD198' WHEN 'click' THEN 'FLD189'
@@ -167,25 +186,20 @@ base AS (
   SELECT o_orderkey AS id, o_custkey AS id_orden_trabajo_padre, o_orderdate AS fecha_creacion,
          o_orderpriority AS producto, o_totalprice AS valor, upper(lower(o_orderstatus)) AS estado_orden_trabajo,
          upper(o_orderpriority) AS estado_venta, regexp_replace('$$' || o_orderstatus, '^\\$+', '') AS id_tipo,
-         CASE WHEN o_totalprice < 50000 THEN 'n/a' ELSE 'p' || CAST(o_orderkey AS VARCHAR) END AS cod
+         CASE WHEN o_totalprice < 50000 THEN 'n/a' ELSE 'p' || CAST(o_orderkey AS VARCHAR) END AS cod,
+         CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE o_totalprice END AS activacion,
+         CASE WHEN o_custkey % 5 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) || '.7' END AS variacion, 'rs ' || CAST(o_custkey AS VARCHAR) AS razon
   FROM orders WHERE o_orderstatus = 'F'
   UNION ALL
   SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority, o_totalprice, upper(o_orderstatus),
          upper(lower(o_orderpriority)), regexp_replace('$' || o_orderstatus, '^\\$+', ''),
-         CASE WHEN o_totalprice < 100000 THEN '0' ELSE 'PX' END
+         CASE WHEN o_totalprice < 100000 THEN '0' ELSE 'PX' END, NULL, NULL, NULL
   FROM orders WHERE o_orderstatus <> 'F'),
 ost AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, 'f'), (2, 'O'), (3, 'o')) v(id, estado) GROUP BY 1),
 vst AS (SELECT upper(estado) AS st, max(id) AS id FROM (VALUES (1, '1-urgent'), (2, '2-HIGH'), (3, '3-MEDIUM')) v(id, estado) GROUP BY 1),
 hist AS (SELECT o_orderkey AS id, o_custkey AS ot, o_orderpriority AS producto FROM orders
          WHERE o_orderdate < TIMESTAMP '1997-01-01')
-SELECT 'RUN-FIBER-0001' AS id_ejecucion, b.id, b.id_orden_trabajo_padre,
-       CAST(coalesce(ost.id, 13) AS INTEGER) AS id_estado_orden_trabajo,
-       CAST(coalesce(vst.id, 6) AS INTEGER) AS id_estado_venta,
-       b.fecha_creacion, b.producto, b.valor, b.id_tipo,
-       CASE WHEN upper(b.cod) IN ('0', '.', 'NA', 'N/A', 'NO', 'n/a', '00', 'N', '..', 'N.A', '0.') THEN NULL
-            ELSE upper(b.cod) END AS cod_proyecto,
-       x.proyecto, x.direccion_comercial, x.familia_1, x.clase_producto, x.servicio_componente, x.tipo_contrato,
-       1 AS id_estado
+SELECT """ + _fiber_select() + """
 FROM base b
 LEFT JOIN ext x ON x.ot = b.id_orden_trabajo_padre
 LEFT JOIN ost ON ost.st = b.estado_orden_trabajo
