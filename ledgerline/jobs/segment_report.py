@@ -20,7 +20,8 @@ from ledgerline.functions.numbers import round_like_pandas
 from ledgerline.functions.predicates import exclude_with_exception
 from ledgerline.functions.values import consultant_state
 from ledgerline.operators.columns import pad_columns
-from ledgerline.operators.fill import fill_across_sources, resolve_twins
+from ledgerline.operators.fill import fill_across_sources
+from ledgerline.operators.joins import spread_join
 from ledgerline.operators.numbering import number_rows
 
 
@@ -31,7 +32,7 @@ class ReportParams:
     exempt_person: str | None = None
 
 
-OUTPUT = ["nuv", "ot", "fecha", "producto", "valor", "ciudad", "documento_consultor", "nombre_consultor",
+OUTPUT = ["nuv", "ot", "fecha", "producto", "valor", "ciudad", "nit", "razon_social", "documento_consultor", "nombre_consultor",
           "cargo_actual", "estado_consultor", "ot_reemplazada"]
 
 
@@ -43,22 +44,70 @@ def preferred_fiber_rows(fiber: DataFrame) -> DataFrame:
     return keep_first(fiber, ["ot"], [pref.asc(), F.col("fecha_inicio").desc_nulls_last()])
 
 
-def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams,
-          fiber: DataFrame | None = None) -> DataFrame:
-    if fiber is not None:
-        sources = [*sources, preferred_fiber_rows(fiber).drop("fecha_inicio")]
-    merged = fill_across_sources(sources, "ot", ["pos"])                                    # W4
+@dataclass
+class ReportInputs:
+    new: DataFrame            # new sales
+    upsell: DataFrame         # up-sell sales
+    hfc: DataFrame            # installed orders, with the consultant's document
+    cloud: DataFrame
+    staff: DataFrame          # (documento_consultor, nombre_consultor, cargo_actual, ciudad), may repeat a document
+    assignment: DataFrame     # (nit, razon_social) -> consultant of the fixed and of the mobile line
+    fiber: DataFrame | None = None
+
+
+DATA = ["ot", "fecha", "producto", "valor", "ciudad", "nit", "razon_social", "documento_consultor", "nombre_consultor", "cargo_actual"]
+TYPES = {"ot": "bigint", "valor": "double", "nit": "bigint", "documento_consultor": "bigint"}
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """All data columns, and the row's place in its source: as landed (``pos``),
+    or by its content for the result of an earlier stage."""
+    own = df.withColumns({c: (F.col(c) if c in df.columns else F.lit(None)).cast(TYPES.get(c, "string")) for c in DATA})
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in DATA])
+    place = F.format_string("%020d", "pos") if "pos" in df.columns else text
+    return own.withColumn("pos", place).select(*DATA, "pos")
+
+
+def stage(*frames: DataFrame) -> DataFrame:
+    """W4 + A1: sources coalesced per work order, in the given order."""
+    return fill_across_sources([_placed(f) for f in frames], "ot", ["pos"])
+
+
+def with_staff(df: DataFrame, staff: DataFrame, prefer: dict[str, str]) -> DataFrame:
+    """N18 + J12 + A1: every staff row of the document (the join may fan out).
+
+    Repeated staff rows would only be repeated results, and are dropped first.
+    Adaptive execution sizes partitions by the small input; dealing the input
+    out round-robin keeps every core busy with the fan-out."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    renamed = staff.select("documento_consultor", *[F.col(c).alias(f"__{c}") for c in prefer]).distinct()
+    out = spread_join(df.repartition(tasks), renamed, ["documento_consultor"], "left")
+    pick = {c: F.coalesce(F.col(c), F.col(f"__{c}")) if first == "left" else F.coalesce(F.col(f"__{c}"), F.col(c)) for c, first in prefer.items()}
+    return out.withColumns(pick).select(*DATA).distinct()
+
+
+def with_assignment(df: DataFrame, assignment: DataFrame) -> DataFrame:
+    """The consultant assigned to (document, name) of the customer: of the
+    fixed line, else of the mobile one; what the row has comes first."""
+    a = assignment.select("nit", "razon_social",
+                          F.coalesce("consultor_fijo", "consultor_movil").alias("__nombre_consultor"),
+                          F.coalesce("cedula_fijo", "cedula_movil").alias("__documento_consultor")).distinct()
+    out = spread_join(df, a, ["nit", "razon_social"], "left")
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) for c in ("nombre_consultor", "documento_consultor")}).select(*DATA).distinct()
+
+
+def build(inp: ReportInputs, params: ReportParams) -> DataFrame:
+    """The report's stages: sales, installed orders with staff, fiber and cloud
+    rows, both coalesced, assignment, cloud again, staff again, numbers."""
     keep = exclude_with_exception(F.col("cargo_actual") == F.lit(params.excluded_role),
                                   ~F.col("nombre_consultor").eqNullSafe(F.lit(params.exempt_person)))
-    staff_ok = staff.filter(keep)                                                           # F14
-    # The staffing join fans out (one order row meets every consultant of its
-    # document): repeated staff rows would only be repeated results, and are
-    # dropped first.  Adaptive execution sizes partitions by the small input;
-    # dealing the input out round-robin keeps every core busy with the fan-out.
-    spark = merged.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    joined = resolve_twins(merged.repartition(tasks), staff_ok.distinct(), "documento_consultor",
-                           how="left", prefer="left").distinct()                           # N18 J12 A1
+    staff = inp.staff.filter(keep)                                                          # F14
+    hfc = with_staff(_placed(inp.hfc).drop("pos"), staff, {"ciudad": "left", "nombre_consultor": "right", "cargo_actual": "left"})
+    installed = [hfc] + ([preferred_fiber_rows(inp.fiber).drop("fecha_inicio")] if inp.fiber is not None else [])
+    rows = stage(stage(inp.new, inp.upsell), stage(stage(*installed), inp.cloud))
+    rows = stage(with_assignment(rows, inp.assignment), inp.cloud)
+    joined = with_staff(rows, staff, {"ciudad": "left", "nombre_consultor": "left", "cargo_actual": "left"})
     out = joined.withColumns({
         "nombre_consultor": F.when(F.coalesce(F.col("nombre_consultor"), F.lit("")) == "", F.lit(UNASSIGNED))
                              .otherwise(F.col("nombre_consultor")),                        # X22
@@ -66,8 +115,7 @@ def build(sources: list[DataFrame], staff: DataFrame, params: ReportParams,
     })
     out = out.withColumn("estado_consultor", consultant_state("nombre_consultor", "documento_consultor",
                                                               F.lit("ACTIVO")))             # X28
-    order = ["ot", "fecha", "producto", "valor", "ciudad", "documento_consultor", "nombre_consultor", "cargo_actual"]
-    numbered = number_rows(out, order, None, "__n")                                         # W5
+    numbered = number_rows(out, DATA, None, "__n")                                          # W5
     prefix = f"ALT-{MONTH_ABBREVIATIONS[params.run_date.month - 1]}{params.run_date:%y}-"
     numbered = numbered.withColumn("nuv", F.concat(F.lit(prefix), F.format_string("%08d", "__n")))
     types = dict(numbered.dtypes)
@@ -86,22 +134,27 @@ def demo_fiber(t) -> DataFrame:
                     F.col("l_shipdate").alias("fecha_inicio"))
 
 
-def demo_inputs(t) -> tuple[list[DataFrame], DataFrame]:
-    new = t.orders.filter(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("ot"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"),
-        F.when(F.col("o_orderpriority").like("5%"), F.lit(None)).otherwise(F.col("o_totalprice")).alias("valor"),
-        F.col("o_orderpriority").alias("producto"), F.lit(None).cast("string").alias("ciudad"),
-        F.lit(None).cast("int").alias("documento_consultor"))
-    up = t.customer.select(
-        F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("ot"), F.lit(None).cast("string").alias("fecha"),
-        F.lit(None).cast("double").alias("valor"), F.lit(None).cast("string").alias("producto"),
-        F.col("c_mktsegment").alias("ciudad"), F.col("c_nationkey").alias("documento_consultor"))
+def demo_inputs(t) -> ReportInputs:
+    o, c = t.orders, t.customer
+    sales = lambda state: o.filter(F.col("o_orderstatus") == state).select(
+        F.col("o_orderkey").alias("pos"), F.col("o_custkey").alias("ot"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("fecha"),
+        F.when(~F.col("o_orderpriority").like("5%"), F.col("o_totalprice")).alias("valor"), F.col("o_orderpriority").alias("producto"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey") % 50).alias("nit"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("RS "), (F.col("o_custkey") % 50).cast("string"))).alias("razon_social"))
+    hfc = c.select(F.col("c_custkey").alias("ot"), F.when(F.col("c_acctbal") > 0, F.col("c_mktsegment")).alias("ciudad"),
+                   F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") % 60).alias("documento_consultor"),
+                   F.when(F.col("c_custkey") % 5 == 0, F.lit("DE ALTA")).alias("nombre_consultor"))
+    cloud = c.filter("c_custkey % 6 = 0").select(F.col("c_custkey").alias("pos"), F.col("c_custkey").alias("ot"), F.lit("2024-02-02").alias("fecha"),
+                                                 F.lit("CLOUD").alias("producto"), (F.col("c_custkey") % 50).alias("nit"))
     staff = t.supplier.select(
-        F.col("s_nationkey").alias("documento_consultor"), F.col("s_name").alias("nombre_consultor"),
+        F.floor(F.col("s_suppkey") / 2).alias("documento_consultor"), F.col("s_name").alias("nombre_consultor"),
         F.when(F.col("s_acctbal") < 0, F.lit("CONSULTOR IT")).otherwise(F.lit("CONSULTOR")).alias("cargo_actual"),
         F.when(F.col("s_acctbal") > 5000, F.lit("BOGOTA")).alias("ciudad"))
-    return [new, up], staff
+    assignment = t.nation.select(
+        F.col("n_nationkey").cast("bigint").alias("nit"), F.concat(F.lit("RS "), F.col("n_nationkey").cast("string")).alias("razon_social"),
+        F.when(F.col("n_regionkey") != 1, F.concat(F.lit("FIJO "), "n_name")).alias("consultor_fijo"), F.concat(F.lit("MOVIL "), "n_name").alias("consultor_movil"),
+        F.when(F.col("n_regionkey") != 1, F.col("n_nationkey").cast("bigint") + 20).alias("cedula_fijo"), (F.col("n_nationkey").cast("bigint") + 30).alias("cedula_movil"))
+    return ReportInputs(sales("F"), sales("P"), hfc, cloud, staff, assignment, demo_fiber(t))
 
 
 DEMO_PARAMS = ReportParams(run_date=_dt.date(2024, 3, 15), exempt_person="Supplier#000000003")

@@ -42,7 +42,8 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
     local = chunks.withColumns({
         **{f"__f_{i}": F.last(F.col(c), ignorenulls=True).over(fwd) for i, c in enumerate(cols)},
         **{f"__b_{i}": F.last(F.col(c), ignorenulls=True).over(rev) for i, c in enumerate(cols)}})
-    pos = F.struct(*[F.col(c) for c in order])
+    # Struct order puts nulls first, the windows last: the null flag leads.
+    pos = F.struct(*[x.alias(f"p{i}") for i, x in enumerate(y for c in order for y in (F.col(c).isNull(), F.col(c)))])
     summary = chunks.groupBy(key, "__pid").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__l_{i}") for i, c in enumerate(cols)],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__h_{i}") for i, c in enumerate(cols)])

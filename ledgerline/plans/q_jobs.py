@@ -212,66 +212,74 @@ def job_fiber(spark, sf_dir):
     return g12.consolidate(g12.demo_inputs(spark, Tables(spark, sf_dir)), g12.DEMO_RUN).drop("id_macrofo")
 
 
-@query("job_segment_report", "G13 W4 W1 A2 A1 F14 N18 J12 X22 X18 X28 W5 J7", sql="""
-WITH src AS (
-  SELECT 0 AS s, o_orderkey AS pos, o_custkey AS ot, strftime(o_orderdate, '%Y-%m-%d') AS fecha,
-         CASE WHEN o_orderpriority LIKE '5%' THEN NULL ELSE o_totalprice END AS valor, o_orderpriority AS producto,
-         CAST(NULL AS VARCHAR) AS ciudad, CAST(NULL AS INTEGER) AS documento_consultor
-  FROM orders WHERE o_orderstatus = 'F'
-  UNION ALL
-  SELECT 1, c_custkey, c_custkey, NULL, NULL, NULL, c_mktsegment, c_nationkey FROM customer
-  UNION ALL
-  SELECT 2, pos, ot, NULL, NULL, NULL, ciudad, NULL FROM (
-    SELECT *, row_number() OVER (PARTITION BY ot ORDER BY CASE WHEN ciudad LIKE 'SIN CIUDA%' THEN 2 ELSE 1 END,
-                                 fecha_inicio DESC, pos, ciudad, fecha_inicio) AS rn
-    FROM (SELECT o.o_custkey AS ot, l.l_orderkey * 10 + l.l_linenumber AS pos,
-                 CASE WHEN l.l_returnflag = 'N' THEN 'SIN CIUDAD' ELSE 'CIUDAD ' || l.l_linestatus END AS ciudad,
-                 l.l_shipdate AS fecha_inicio
-          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'F'))
-  WHERE rn = 1),
-firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ot, fecha, valor, producto, ciudad, documento_consultor
-                                                       ORDER BY s, pos) AS rn FROM src) WHERE rn = 1),
-filled AS (
-  SELECT DISTINCT ot,
-    coalesce(last_value(fecha IGNORE NULLS) OVER w1, first_value(fecha IGNORE NULLS) OVER w2) AS fecha,
-    coalesce(last_value(valor IGNORE NULLS) OVER w1, first_value(valor IGNORE NULLS) OVER w2) AS valor,
-    coalesce(last_value(producto IGNORE NULLS) OVER w1, first_value(producto IGNORE NULLS) OVER w2) AS producto,
-    coalesce(last_value(ciudad IGNORE NULLS) OVER w1, first_value(ciudad IGNORE NULLS) OVER w2) AS ciudad,
-    coalesce(last_value(documento_consultor IGNORE NULLS) OVER w1,
-             first_value(documento_consultor IGNORE NULLS) OVER w2) AS documento_consultor
-  FROM firsts WHERE ot IS NOT NULL
-  WINDOW w1 AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-         w2 AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
-staff AS (
-  SELECT s_nationkey AS documento_consultor, s_name AS nombre_consultor,
-         CASE WHEN s_acctbal < 0 THEN 'CONSULTOR IT' ELSE 'CONSULTOR' END AS cargo_actual,
-         CASE WHEN s_acctbal > 5000 THEN 'BOGOTA' END AS ciudad
-  FROM supplier),
-staff_ok AS (SELECT * FROM staff WHERE NOT coalesce(cargo_actual = 'CONSULTOR IT'
-                                                    AND nombre_consultor IS DISTINCT FROM 'Supplier#000000003', false)),
-joined AS (
-  SELECT DISTINCT f.documento_consultor, f.ot, f.fecha, f.valor, f.producto, coalesce(f.ciudad, s.ciudad) AS ciudad,
-         s.nombre_consultor, s.cargo_actual
-  FROM filled f LEFT JOIN staff_ok s ON s.documento_consultor = f.documento_consultor),
-norm AS (
-  SELECT documento_consultor, ot, fecha, producto, ciudad, cargo_actual,
-         CASE WHEN coalesce(nombre_consultor, '') = '' THEN 'SIN ASIGNACION' ELSE nombre_consultor END AS nombre_consultor,
-         round_even(coalesce(valor, 0.0) / 1000.0, 2) AS valor
-  FROM joined)
-SELECT 'ALT-MAR24-' || printf('%08d', row_number() OVER (ORDER BY ot, fecha, producto, valor, ciudad, documento_consultor,
-                                                    nombre_consultor, cargo_actual)) AS nuv,
-       ot, fecha, producto, CAST(valor AS DOUBLE) AS valor, ciudad, documento_consultor, nombre_consultor, cargo_actual,
-       coalesce(nullif(CASE WHEN contains(nombre_consultor, '(VACANTE)') OR documento_consultor IS NULL
-                                 OR CAST(documento_consultor AS VARCHAR) = 'None' THEN 'INACTIVO' ELSE 'ACTIVO' END, ''),
-                'PENDIENTE_ESTADO') AS estado_consultor,
+_SEG = ["ot", "fecha", "producto", "valor", "ciudad", "nit", "razon_social", "documento_consultor", "nombre_consultor", "cargo_actual"]
+_SEG_TYPES = {"ot": "BIGINT", "valor": "DOUBLE", "nit": "BIGINT", "documento_consultor": "BIGINT"}
+
+
+def _seg_source(name: str, cols: dict[str, str], rest: str, pos: str | None = None) -> str:
+    """A CTE with all data columns and the row's place."""
+    data = ", ".join(f"CAST({cols.get(c, 'NULL')} AS {_SEG_TYPES.get(c, 'VARCHAR')}) AS {c}" for c in _SEG)
+    text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _SEG) + ")"
+    if pos:
+        return f"{name} AS (SELECT {data}, printf('%020d', {pos}) AS pos {rest})"
+    return f"{name} AS (SELECT *, {text} AS pos FROM (SELECT DISTINCT {data} {rest}))"
+
+
+def _seg_stage(name: str, *sources: str) -> str:
+    """CTEs that coalesce sources per work order: repeats go, values are
+    carried forward, then backward."""
+    union = " UNION ALL ".join(f"SELECT {k} AS s, * FROM {x}" for k, x in enumerate(sources))
+    fill = ", ".join(f"coalesce(last_value({c} IGNORE NULLS) OVER f, first_value({c} IGNORE NULLS) OVER b) AS {c}" for c in _SEG[1:])
+    text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _SEG) + ")"
+    return f"""{name}_u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {", ".join(_SEG)} ORDER BY s, pos) AS rn FROM ({union})) WHERE rn = 1 AND ot IS NOT NULL),
+{name} AS (SELECT *, {text} AS pos FROM (SELECT DISTINCT ot, {fill} FROM {name}_u
+  WINDOW f AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+         b AS (PARTITION BY ot ORDER BY s, pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)))"""
+
+
+def _segment_sql() -> str:
+    sales = {"ot": "o_custkey", "fecha": "strftime(o_orderdate, '%Y-%m-%d')", "valor": "CASE WHEN o_orderpriority NOT LIKE '5%' THEN o_totalprice END",
+             "producto": "o_orderpriority", "nit": "CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey % 50 END",
+             "razon_social": "CASE WHEN o_orderkey % 3 <> 0 THEN 'RS ' || CAST(o_custkey % 50 AS VARCHAR) END"}
+    own = {c: f"x.{c}" for c in _SEG}
+    parts = [
+        _seg_source("nuevas", sales, "FROM orders WHERE o_orderstatus = 'F'", "o_orderkey"),
+        _seg_source("up", sales, "FROM orders WHERE o_orderstatus = 'P'", "o_orderkey"),
+        _seg_source("nube", {"ot": "c_custkey", "fecha": "'2024-02-02'", "producto": "'CLOUD'", "nit": "c_custkey % 50"}, "FROM customer WHERE c_custkey % 6 = 0", "c_custkey"),
+        """equipo AS (SELECT DISTINCT documento, nombre, cargo, ciudad FROM (
+  SELECT CAST(s_suppkey // 2 AS BIGINT) AS documento, s_name AS nombre, CASE WHEN s_acctbal < 0 THEN 'CONSULTOR IT' ELSE 'CONSULTOR' END AS cargo,
+         CASE WHEN s_acctbal > 5000 THEN 'BOGOTA' END AS ciudad FROM supplier)
+  WHERE cargo <> 'CONSULTOR IT' OR nombre = 'Supplier#000000003')""",
+        _seg_source("hfc", {"ot": "c_custkey", "ciudad": "coalesce(CASE WHEN c_acctbal > 0 THEN c_mktsegment END, e.ciudad)",
+                            "documento_consultor": "d", "nombre_consultor": "coalesce(e.nombre, CASE WHEN c_custkey % 5 = 0 THEN 'DE ALTA' END)", "cargo_actual": "e.cargo"},
+                    "FROM (SELECT *, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 60 END AS d FROM customer) LEFT JOIN equipo e ON e.documento = d"),
+        _seg_source("fibra", {"ot": "ot", "ciudad": "ciudad"}, """FROM (SELECT *, row_number() OVER (PARTITION BY ot
+      ORDER BY CASE WHEN ciudad LIKE 'SIN CIUDA%' THEN 2 ELSE 1 END, fecha_inicio DESC, place, ciudad) AS rn
+    FROM (SELECT o.o_custkey AS ot, l.l_orderkey * 10 + l.l_linenumber AS place, l.l_shipdate AS fecha_inicio,
+                 CASE WHEN l.l_returnflag = 'N' THEN 'SIN CIUDAD' ELSE 'CIUDAD ' || l.l_linestatus END AS ciudad
+          FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey WHERE o.o_orderstatus = 'F')) WHERE rn = 1""", "place"),
+        _seg_stage("ventas", "nuevas", "up"), _seg_stage("instaladas", "hfc", "fibra"), _seg_stage("con_nube", "instaladas", "nube"),
+        _seg_stage("todas", "ventas", "con_nube"),
+        """asignacion AS (SELECT n_nationkey AS nit, 'RS ' || CAST(n_nationkey AS VARCHAR) AS razon_social,
+  CASE WHEN n_regionkey <> 1 THEN 'FIJO ' ELSE 'MOVIL ' END || n_name AS nombre, n_nationkey + CASE WHEN n_regionkey <> 1 THEN 20 ELSE 30 END AS cedula FROM nation)""",
+        _seg_source("asignadas", {**own, "nombre_consultor": "coalesce(x.nombre_consultor, a.nombre)", "documento_consultor": "coalesce(x.documento_consultor, a.cedula)"},
+                    "FROM todas x LEFT JOIN asignacion a ON a.nit = x.nit AND a.razon_social = x.razon_social"),
+        _seg_stage("final", "asignadas", "nube"),
+        _seg_source("unidas", {**own, "ciudad": "coalesce(x.ciudad, e.ciudad)", "nombre_consultor": "coalesce(x.nombre_consultor, e.nombre)", "cargo_actual": "coalesce(x.cargo_actual, e.cargo)"},
+                    "FROM final x LEFT JOIN equipo e ON e.documento = x.documento_consultor"),
+        """norm AS (SELECT * REPLACE (CASE WHEN coalesce(nombre_consultor, '') = '' THEN 'SIN ASIGNACION' ELSE nombre_consultor END AS nombre_consultor,
+  CAST(round_even(coalesce(valor, 0.0) / 1000.0, 2) AS DOUBLE) AS valor) FROM unidas)"""]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT 'ALT-MAR24-' || printf('%08d', row_number() OVER (ORDER BY {", ".join(_SEG)})) AS nuv, {", ".join(_SEG)},
+       CASE WHEN contains(nombre_consultor, '(VACANTE)') OR documento_consultor IS NULL THEN 'INACTIVO' ELSE 'ACTIVO' END AS estado_consultor,
        CAST(NULL AS VARCHAR) AS ot_reemplazada
-FROM norm
-""")
+FROM norm"""
+
+
+@query("job_segment_report", "G13 W4 W1 A2 A1 F14 N17 N18 J12 X22 X18 X28 W5 J7", sql=_segment_sql())
 def job_segment_report(spark, sf_dir):
     from ledgerline.jobs import segment_report as g13
-    t = Tables(spark, sf_dir)
-    sources, staff = g13.demo_inputs(t)
-    return g13.build(sources, staff, g13.DEMO_PARAMS, fiber=g13.demo_fiber(t))
+    return g13.build(g13.demo_inputs(Tables(spark, sf_dir)), g13.DEMO_PARAMS)
 
 
 TARGET_SHEET_SQL = """

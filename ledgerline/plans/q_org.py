@@ -14,7 +14,8 @@ from ledgerline.jobs import org_layouts as G
 from ledgerline.jobs.org_chart import commit
 from ledgerline.operators.lifecycle import Run
 from ledgerline.plans.catalog import Tables
-from ledgerline.plans.registry import query
+from ledgerline.plans import q_jobs, q_loaders  # noqa: F401  (registered first)
+from ledgerline.plans.registry import REGISTRY, query
 
 NUMBERS = {"red_maestra": 1, "retiro": 2, "retail": 3, "directos": 4, "cavs": 5, "tmk": 6}
 
@@ -126,3 +127,24 @@ def _run_sheet(spark, sf_dir, sheet: str):
 for _name in G.LAYOUTS:
     query(f"job_org_{_name}", "G14 A4 N6 W6 N7 N14 A3 N11 N12 X8 X13 X14 X15 C1 C10" + (" N16" if G.LAYOUTS[_name].assign else "")
           + (" C11" if G.LAYOUTS[_name].retired else ""), sql=_oracle(_name))(lambda spark, sf_dir, sheet=_name: _run_sheet(spark, sf_dir, sheet))
+
+
+#: Loaders whose rows are counted against their ids.
+ID_LOADERS = ["job_order_loader", "job_value_added", "job_targets"]
+
+
+def _ids_sql() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{n}' AS cargador, count(*) AS filas, count(*) AS ids FROM ({REGISTRY[n].sql})" for n in ID_LOADERS)
+
+
+@query("row_ids", "X44 W7 C1", sql=_ids_sql())
+def row_ids(spark, sf_dir):
+    """Rows and distinct ids of loaders, also where keys and rows repeat."""
+    from ledgerline.operators.lifecycle import with_row_ids
+    from ledgerline.operators.setops import union_all
+    counts = []
+    for name in ID_LOADERS:
+        rows = with_row_ids(REGISTRY[name].build(spark, sf_dir), "RUN-IDS")
+        counts.append(rows.groupBy(F.lit(name).alias("cargador"), "id").agg(F.count(F.lit(1)).alias("n"))
+                      .groupBy("cargador").agg(F.sum("n").alias("filas"), F.count(F.lit(1)).alias("ids")))
+    return union_all(counts)
