@@ -49,7 +49,7 @@ IMPL = {
     "N13": f"{DM} `lookup(default=)`, inline map", "N14": "left joins to first-by-key lookups + `coalesce`",
     "N15": f"{DM} `keep_if_known`", "N16": f"{DM} `contains_first_match` (substring equi-join)",
     "N17": "null-safe two-key join", "N18": "left join, fan-out kept", "N19": "inner join",
-    "N20": f"{DM} `lookup` chain / Spark SQL", "N21": "Spark SQL over views (jobs/warehouse.py)",
+    "N20": "jobs/warehouse.py `star` (inner roles)", "N21": "jobs/warehouse.py `star`, one dimension in several roles",
     "N22": f"{PV} `guarded_bigint`", "N23": "inner join + filter", "N24": f"{LC} `latest_version`",
     "N25": "calendar from data + left join",
     "A1": "`distinct`", "A2": f"{DD} `keep_first`", "A3": f"{DD} `keep_first`", "A4": f"{DM} `domain_candidates`",
@@ -57,7 +57,7 @@ IMPL = {
     "A8": f"{PR} `column_profile`", "A9": f"{PV} `eav_pivot`", "A10": "`agg(max)` of the top-n",
     "W1": f"{DD} `keep_first`", "W2": f"{DD} `duplicate_ordinal` ({NB})", "W3": f"{DD} `duplicate_flag`",
     "W4": f"{FL} `group_fill` (two-level scan)", "W5": f"{NB} `number_rows`", "W6": f"{DM} `assign_ids`",
-    "W7": f"{LC} `assert_unique` (ids are deterministic; check, no repair loop)", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
+    "W7": f"{LC} `with_row_ids`, `assert_unique`", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
     "O3": "`orderBy().limit()`", "O4": f"{DD} `keep_first`", "U1": f"{SO} `union_all`",
     "U2": f"{SO} `union_distinct`", "U3": f"{SO} `key_difference`", "U4": f"{SO} `key_intersection`",
     "X1": f"{T} `strip_upper`, `clean_all_strings`", "X2": f"{T} `deep_clean`", "X3": f"{T} `remove_special`",
@@ -74,19 +74,19 @@ IMPL = {
     "X34": f"{D} `excel_serial_to_date`, `date_to_excel_serial`", "X35": f"{D} `iso_date_text`",
     "X36": f"{D} `date_from_parts`", "X37": f"{D} `date_text_two_digit_year`", "X38": "`date_format`",
     "X39": f"{D} `fill_null_timestamp`", "X40": "`year`", "X41": f"{K} `concat_blank_nulls`, `concat_strict`",
-    "X42": f"{K} `int_text`", "X43": f"{K} `id_text`", "X44": f"{K} `row_id` (deterministic)",
+    "X42": f"{K} `int_text`", "X43": f"{K} `id_text`", "X44": f"{LC} `with_row_ids`, {K} `row_id`",
     "X45": f"{V} `list_literal_to_array`", "X46": f"{N} `coerce_by_type_map`", "X47": f"{N} `fill_blank_then_zero`",
     "X48": f"{V} `fill_from`", "X49": "`upper`", "X50": f"{C} `add_constants`", "X51": f"{V} `fill_not_applicable`",
     "C1": f"{LC} `stamp`", "C2": f"{LC} `audit_row`, `audit_counts`; {SK} `append_table` (observed count)",
     "C3": f"{LC} `audit_row` (written once with both times)", "C4": f"{LC} `error_row`",
-    "C5": f"{LC} `soft_delete_append`", "C6": f"{LC} `targeted_state_update`", "C7": f"{LC} `targeted_state_update`",
+    "C5": f"{LC} `current_state`, `soft_delete_append`", "C6": f"{LC} `targeted_state_update`", "C7": f"{LC} `targeted_state_update`",
     "C8": f"{LC} `next_version`", "C9": f"{INC} `watermark_increment`", "C10": "jobs/org_chart.py `materialise`",
     "C11": f"{LC} `retire`, org chart `retired_sheet`",
     "G1": "jobs/order_loader.py", "G2": "jobs/loaders.py `upsell_csv`", "G3": "jobs/loaders.py `sales_csv`",
     "G4": "jobs/loaders.py `cloud_sales`", "G5": "jobs/loaders.py `code_master`, `network_nodes`",
     "G6": "jobs/loaders.py `reference_list`", "G7": "jobs/loaders.py `legalised`",
     "G8": "jobs/loaders.py `virtual_db_orders`", "G9": "jobs/warehouse.py", "G10": "jobs/white_label.py",
-    "G11": "jobs/transfers.py", "G12": "jobs/fiber.py", "G13": "jobs/segment_report.py", "G14": "jobs/org_chart.py",
+    "G11": "jobs/transfers.py", "G12": "jobs/fiber.py", "G13": "jobs/segment_report.py", "G14": "jobs/org_layouts.py, jobs/org_chart.py",
     "G15": "jobs/targets.py", "G16": "jobs/loaders.py `value_added`", "G17": "jobs/loaders.py `dashboard_csv`",
     "G18": "jobs/fixed_sales.py",
 }
