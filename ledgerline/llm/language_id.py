@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code
+from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code, tidied
 
 UNDETERMINED = "und"
 PER_LANG = 1500
@@ -55,10 +55,13 @@ class Model:
     floor: np.ndarray
 
     def start(self) -> None:
-        """Room for the words met while scoring, kept by each worker."""
+        """Room for the words met while scoring, for the time of a task."""
         self.rows = np.concatenate([self.word_logs, np.zeros((REMEMBERED, len(self.langs)))])
         self.met: dict[str, int] = {}
 
+    def stop(self) -> None:
+        del self.rows, self.met
+
     def backed_off(self, word: str) -> np.ndarray:
         """Mean over the positions of the longest known n-gram from there."""
         padded = f"^{word}$"
@@ -138,17 +141,6 @@ def fit(spark: SparkSession, train: DataFrame, per_lang: int = PER_LANG, min_cou
     return Model(langs, word_at, word_logs, gram_at, gram_logs, floor)
 
 
-_MODELS: dict[int, Model] = {}
-
-
-def _of_worker(handle) -> Model:
-    """The broadcast model with its worker's memory, made once per worker."""
-    if handle.value is not _MODELS.get(0):
-        handle.value.start()
-        _MODELS[0] = handle.value
-    return _MODELS[0]
-
-
 def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
     """Add ``pred`` and ``score`` of the whole text."""
     spark = df.sparkSession
@@ -157,11 +149,13 @@ def identify(df: DataFrame, model: Model, text: str = "text", pred: str = "lang_
 
     @F.arrow_udf("lang_pred string, score double")
     def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = _of_worker(handle)
-        for texts in batches:
+        own = handle.value
+        own.start()
+        for texts in tidied(batches):
             found = [own.predict(t) for t in texts.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                                              ["lang_pred", "score"])
+        own.stop()
 
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (pred, score)]
     found = df.select(*kept, predict(F.col(text)).alias("_found"))

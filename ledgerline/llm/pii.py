@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import pii_model as net
-from ledgerline.llm.runtime import ship_code
+from ledgerline.llm.runtime import ship_code, tidied
 
 KINDS = net.KINDS
 WINDOW, STRIDE, CONTEXT = 96, 64, 24
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) ->
         return None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in tidied(batches):
             rows = [(h, w, bytes(g)) for t, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for w, g in labelled_windows(t)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()),
                                               pa.array([r[2] for r in rows], pa.binary())], names=["h", "window", "tags"])
@@ -275,7 +275,7 @@ def find(df: DataFrame, model: dict[str, np.ndarray] | None, text: str = "text",
 
     @F.arrow_udf("array<struct<kind: string, start: int, end: int, base: boolean>>")
     def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in tidied(batches):
             found = all_spans(handle.value, [t or "" for t in texts.to_pylist()])
             yield pa.array([[{"kind": KINDS[k], "start": s, "end": e, "base": b} for s, k, e, b in row] for row in found], _SPANS)
 
@@ -290,7 +290,7 @@ def redact(df: DataFrame, model: dict[str, np.ndarray] | None, text: str = "text
 
     @F.arrow_udf("string")
     def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in tidied(batches):
             rows = texts.to_pylist()
             found = all_spans(handle.value, [t or "" for t in rows])
             yield pa.array([redacted(t, s) if t else t for t, s in zip(rows, found)], pa.string())

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +40,19 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+def tidied(batches: Iterator) -> Iterator:
+    """The batches of a task; at their end the memory they took goes back to
+    the machine.  Workers serve many tasks, and what one has freed would else
+    stay with it."""
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # a C library without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder (URI) under the checkpoint folder that all machines share."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)

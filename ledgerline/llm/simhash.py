@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.components import components
-from ledgerline.llm.runtime import broadcast_if_small, saved, ship_code
+from ledgerline.llm.runtime import broadcast_if_small, saved, ship_code, tidied
 
 BITS = 64
 FAN = 16
@@ -77,7 +77,7 @@ def fingerprints(df: DataFrame, text: str = "text", out: str = "fp", shingle: in
 
     @F.arrow_udf("long")
     def fp(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
+        for texts in tidied(batches):
             yield pa.array([simhash(t, shingle) for t in texts.to_pylist()], pa.int64())
 
     return df.withColumn(out, fp(F.col(text).cast("binary")))
@@ -175,7 +175,7 @@ class GrayIndex:
         while k < len(self.x):
             q = np.arange(k, min(len(self.x), k + step))
             grown = False
-            for a, b in self._search(q, distance, 1 << 14):
+            for a, b in self._search(q, distance, 1 << 12):
                 grown |= self._unite(a, b)
             if grown:
                 self._sum_labels()
@@ -249,7 +249,7 @@ def links(spark: SparkSession, fps: DataFrame, distance: int = 4, bucket_rows: i
             out_v.clear()
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], schema=schema)
 
-        for batch in batches:
+        for batch in tidied(batches):
             b = np.concatenate([held_b, batch.column(0).to_numpy()])
             f = np.concatenate([held_f, batch.column(1).to_numpy()])
             cut = int(np.searchsorted(b, b[-1])) if len(b) else 0  # the last bucket may go on
