@@ -43,6 +43,7 @@ from ledgerline.llm.runtime import doc_crc, saved, ship_code
 PER_CLASS = 1500
 TERMS = 4096
 MIN_SHARE = 0.01
+SPARE = 3
 NEIGHBOURS = 15
 BLOCK = 64
 
@@ -152,8 +153,19 @@ def examples(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(doc_crc() % 5 != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     train = saved(spark, own.join(marked.distinct(), "doc_id").distinct(), "labelled")
     shares = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}  # two labels
-    ranked = train.groupBy("h", "toxic").agg(F.min("doc_id").alias("doc_id")).withColumn("k", F.row_number().over(Window.partitionBy("toxic").orderBy("h", "doc_id")))
-    return saved(spark, ranked.filter(F.col("k") <= per_class).select("doc_id", "toxic", "h"), "examples"), shares
+    # The lowest share of the hashes holds some more rows than are wanted: copies go.
+    upto = {c: int(min(2 ** 63 - 1, -2 ** 63 + min(1.0, SPARE * per_class / n) * 2 ** 64)) for c, n in shares.items()}
+    picked = F.lit(False)
+    for c, bound in upto.items():
+        picked = picked | ((F.col("toxic") == c) & (F.col("h") <= F.lit(bound)))
+    drawn = saved(spark, train.filter(picked), "drawn")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).join(F.broadcast(drawn), ["doc_id", "h"])
+    texts = texts.withColumn("words", words(F.col("text")))
+    runs = F.expr("array_min(transform(sequence(1, greatest(1, size(words) - 2)), i -> xxhash64(slice(words, i, 3))))")
+    one = texts.select("doc_id", "h", "toxic", runs.alias("sketch")).groupBy("toxic", "sketch").agg(F.min(F.struct("h", "doc_id")).alias("low"))
+    rows = sorted((r["toxic"], r["low"]["h"], r["low"]["doc_id"]) for r in one.collect())  # SPARE x per_class a class at most
+    kept = [x for c in shares for x in [r for r in rows if r[0] == c][:per_class]]
+    return spark.createDataFrame([(i, t, h) for t, h, i in kept], "doc_id long, toxic int, h long"), shares
 
 
 def fit_terms(docs: DataFrame, chosen: DataFrame, most: int = TERMS) -> list[str]:
