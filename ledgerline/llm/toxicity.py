@@ -12,9 +12,10 @@ scores the blocks in falling order of their bounds, and stops once the next
 bound is below its k-th best cosine, so the k nearest are exact.
 
 Score: the neighbours vote for their labels, weighted by the inverse of their
-distance; a logistic curve over vote and best cosine, fitted to the examples'
-own leave-one-out votes and weighted to the classes' shares in all training
-rows, makes it a probability.  A text without any vocabulary term has no
+distance; a logistic curve over vote, best cosine and how many of the text's
+words are vocabulary terms (a cosine doesn't tell one from many), fitted to the
+examples' own leave-one-out votes and weighted to the classes' shares in all
+training rows, makes it a probability.  A text without any vocabulary term has no
 neighbour; it scores the toxic share among such examples.  The neighbours are
 returned as evidence.
 
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.runtime import doc_crc, saved, ship_code
+from ledgerline.llm.runtime import doc_crc, saved, ship_code, tidied
 
 PER_CLASS = 1500
 TERMS = 4096
@@ -119,16 +120,16 @@ class Model:
     curve: np.ndarray
     empty: float
 
-    def features(self, found: list[tuple[float, int]]) -> list[float]:
+    def features(self, found: list[tuple[float, int]], hits: int, size: int) -> list[float]:
         w = [1 / (1 - min(s, 1.0) + 0.05) for s, _ in found]
         vote = (sum(a * self.labels[i] for a, (_, i) in zip(w, found)) + 0.1) / (sum(w) + 0.2)
-        return [1.0, math.log(vote / (1 - vote)), found[0][0]]
+        return [1.0, math.log(vote / (1 - vote)), found[0][0], math.log(hits), math.log(hits / size)]
 
-    def score(self, terms: list[int], counts: list[int]) -> tuple[float, list[int]]:
+    def score(self, terms: list[int], counts: list[int], size: int) -> tuple[float, list[int]]:
         found = self.index.search(*unit(terms, counts, self.idf), NEIGHBOURS)
         if not found:
             return self.empty, []
-        z = float(np.dot(self.curve, self.features(found)))
+        z = float(np.dot(self.curve, self.features(found, sum(counts), size)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), [self.ids[i] for _, i in found]
 
 
@@ -190,24 +191,27 @@ def fit_terms(docs: DataFrame, chosen: DataFrame, most: int = TERMS) -> list[str
 
 
 def term_counts(docs: DataFrame, terms: list[str], keep: list[str]) -> DataFrame:
-    """(keep..., terms, counts): the vocabulary terms of each whole text."""
+    """(keep..., terms, counts, size): the vocabulary terms of each whole text,
+    and its words."""
     spark = docs.sparkSession
     ship_code(spark)
     at = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
-    @F.arrow_udf("terms array<int>, counts array<int>")
+    @F.arrow_udf("terms array<int>, counts array<int>, size int")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         where = at.value
-        for texts in batches:
-            ids, ns = [], []
+        for texts in tidied(batches):
+            ids, ns, sizes = [], [], []
             for t in texts.to_pylist():
-                own = Counter(i for i in map(where.get, _words(t.lower())) if i is not None) if t else {}
+                found = _words(t.lower()) if t else []
+                own = Counter(i for i in map(where.get, found) if i is not None)
                 ids.append(sorted(own))
                 ns.append([own[i] for i in ids[-1]])
+                sizes.append(len(found))
             kind = pa.list_(pa.int32())
-            yield pa.StructArray.from_arrays([pa.array(ids, kind), pa.array(ns, kind)], ["terms", "counts"])
+            yield pa.StructArray.from_arrays([pa.array(ids, kind), pa.array(ns, kind), pa.array(sizes, pa.int32())], ["terms", "counts", "size"])
 
-    return docs.select(*keep, count(F.col("text")).alias("c")).select(*keep, "c.terms", "c.counts")
+    return docs.select(*keep, count(F.col("text")).alias("c")).select(*keep, "c.terms", "c.counts", "c.size")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
@@ -226,14 +230,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
     labels_of = np.array([r["toxic"] for r in rows], float)
     share = shares.get(1, 0) / max(1, sum(shares.values()))
     index = BlockMaxIndex([(np.array(t, int), np.array(w, float)) for t, w in vectors])
-    model = Model({t: i for i, t in enumerate(terms)}, idf, index, labels_of, [r["doc_id"] for r in rows], np.zeros(3), share)
+    model = Model({t: i for i, t in enumerate(terms)}, idf, index, labels_of, [r["doc_id"] for r in rows], np.zeros(5), share)
     weight = {c: shares[c] / max(1, int((labels_of == c).sum())) for c in shares}
     x, y, w, none = [], [], [], {0: 0.0, 1: 0.0}
     for i, (t, v) in enumerate(vectors):
         found = index.search(t, v, NEIGHBOURS, skip=i)
         c = int(labels_of[i])
         if found:
-            x.append(model.features(found))
+            x.append(model.features(found, sum(rows[i]["counts"]), rows[i]["size"]))
             y.append(c)
             w.append(weight[c])
         else:
@@ -256,22 +260,15 @@ def score(counted: DataFrame, model: Model) -> DataFrame:
     handle = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("score double, evidence array<long>")
-    def scored(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        own, known = handle.value, {}
-        for terms, counts in batches:
-            out = []
-            for t, c in zip(terms.to_pylist(), counts.to_pylist()):
-                key = (tuple(t), tuple(c))
-                if key not in known:
-                    if len(known) > 100_000:
-                        known.clear()
-                    known[key] = own.score(t, c)
-                out.append(known[key])
+    def scored(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        own = handle.value
+        for terms, counts, sizes in tidied(batches):
+            out = [own.score(t, c, n) for t, c, n in zip(terms.to_pylist(), counts.to_pylist(), sizes.to_pylist())]
             yield pa.StructArray.from_arrays([pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()))],
                                              ["score", "evidence"])
 
-    rest = [c for c in counted.columns if c not in ("terms", "counts")]
-    return counted.select(*rest, scored("terms", "counts").alias("s")).select(*rest, "s.score", "s.evidence")
+    rest = [c for c in counted.columns if c not in ("terms", "counts", "size")]
+    return counted.select(*rest, scored("terms", "counts", "size").alias("s")).select(*rest, "s.score", "s.evidence")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
