@@ -2,9 +2,10 @@
 
 Fit (Spark aggregations over a bounded sample): per language the log frequency
 of words seen at least ``min_count`` times, and of character 1- to 4-grams of
-all sample words, padded at both ends.  The sample is the ``per_lang`` training
-documents of each language whose text has the smallest hash: a documented
-bound, so the model's size does not grow with the corpus.
+all sample words, padded at both ends.  The sample is the distinct training
+texts of each language whose hash is in the lowest share that holds
+``per_lang`` of its rows: a documented bound, so the model's size does not grow
+with the corpus.
 
 Score: a known word adds its log frequency under each language; an unknown one
 adds, from each of its positions, the longest known n-gram that starts there,
@@ -30,7 +31,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code, tidied
 
@@ -108,8 +108,9 @@ class Model:
 def fit(spark: SparkSession, train: DataFrame, per_lang: int = PER_LANG, min_count: int = 2) -> Model:
     """``train`` (text, lang) -> the model."""
     own = train.select("text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    ranked = own.select("lang", "h").withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= per_lang)
-    upto = saved(spark, ranked.groupBy("lang").agg(F.max("h").alias("upto")), "sample-bounds")
+    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.count(F.lit(1)))
+    upto = own.groupBy("lang").agg(share.alias("share")).withColumn("upto", (F.lit(-2.0 ** 63) + F.col("share") * F.lit(2.0 ** 64)).try_cast("long"))
+    upto = saved(spark, upto.select("lang", F.coalesce("upto", F.lit(2 ** 63 - 1)).alias("upto")), "sample-bounds")
     sample = own.join(broadcast_if_small(upto), "lang").filter("h <= upto").dropDuplicates(["lang", "h"])
     words = sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("word <> ''")
     counts = saved(spark, words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "word-counts")
