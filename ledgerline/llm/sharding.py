@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from ledgerline.llm.runtime import saved, shared_folder
 
 SLOTS = 4096
-SUB_SLOTS = 64
+SUB_SLOTS = 8
 SHARDS = 16
 
 
