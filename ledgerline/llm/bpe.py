@@ -66,7 +66,7 @@ class Codec:
         self.made: list[int] = []
         for r, pair in enumerate(model["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.rank.setdefault(vocab[a] << 32 | vocab[b], r)
+            self.rank.setdefault(vocab[a] << 32 | vocab[b], r << _POS)
             self.made.append(vocab[a + b])
         self.added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         for content, i in self.added.items():
@@ -78,53 +78,48 @@ class Codec:
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece, by the segment tree."""
-        sym = [self.base[b] for b in data]
+        base, rank, made = self.base, self.rank.get, self.made
+        sym = [base[b] for b in data]
         n = len(sym)
         if n < 2:
             return sym
-        rank, made = self.rank.get, self.made
         size = 1 << (n - 2).bit_length() if n > 2 else 1
-        tree = [_NONE] * (2 * size)
-        for i in range(n - 1):
-            r = rank(sym[i] << 32 | sym[i + 1])
-            if r is not None:
-                tree[size + i] = r << _POS | i
+        tree = [_NONE] * size
+        a = sym[0]
+        for i in range(1, n):
+            b = sym[i]
+            tree.append(rank(a << 32 | b, _NONE) | i - 1)
+            a = b
+        tree += [_NONE] * (2 * size - len(tree))
         for i in range(size - 1, 0, -1):
             a, b = tree[2 * i], tree[2 * i + 1]
             tree[i] = a if a < b else b
         nxt = list(range(1, n + 1))
         prev = list(range(-1, n - 1))
-
-        def put(leaf: int, value: int) -> None:
-            p = size + leaf
-            tree[p] = value
-            p >>= 1
-            while p:
-                a, b = tree[2 * p], tree[2 * p + 1]
-                low = a if a < b else b
-                if tree[p] == low:
-                    break
-                tree[p] = low
-                p >>= 1
-
-        while (top := tree[1]) != _NONE:
+        while (top := tree[1]) < _NONE:
             i = top & _POS_MASK
             j = nxt[i]
             k = nxt[j]
-            sym[i] = made[top >> _POS]
+            sym[i] = new = made[top >> _POS]
             nxt[i] = k
-            if j < n - 1:
-                put(j, _NONE)
-            if k < n:
+            if k < n:  # the pair to the right now starts at i, none at j
                 prev[k] = i
-                r = rank(sym[i] << 32 | sym[k])
-                put(i, _NONE if r is None else r << _POS | i)
+                changed = [(size + i, rank(new << 32 | sym[k], _NONE) | i), (size + j, _NONE)]
             else:
-                put(i, _NONE)
+                changed = [(size + i, _NONE)]
             h = prev[i]
             if h >= 0:
-                r = rank(sym[h] << 32 | sym[i])
-                put(h, _NONE if r is None else r << _POS | h)
+                changed.append((size + h, rank(sym[h] << 32 | new, _NONE) | h))
+            for p, low in changed:
+                tree[p] = low
+                while p > 1:  # up to the root, as far as a minimum changes
+                    other = tree[p ^ 1]
+                    p >>= 1
+                    if other < low:
+                        low = other
+                    if tree[p] == low:
+                        break
+                    tree[p] = low
         out, i = [], 0
         while i < n:
             out.append(sym[i])

@@ -44,7 +44,7 @@ def test_root_is_the_leftmost_lowest_rank():
             if not ranks or min(ranks)[0] == 1 << 60:
                 return sym
             r, i = min(ranks)
-            sym[i:i + 2] = [CODEC.made[r]]
+            sym[i:i + 2] = [CODEC.made[r >> 32]]
 
     for word in (b"internationalisation", b"aaaaaaa", b"thethethe", b"x", b"", b"zqzqzq" * 9):
         assert CODEC.merge(word) == naive(word)
