@@ -19,12 +19,20 @@ from ledgerline.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
 
+#: Rows of an Arrow batch: whole texts are wide rows, and the default of 10,000
+#: would hold tens of MB several times over on either side of a worker's pipe.
+BATCH_ROWS = 1000
+
 
 def ship_code(spark: SparkSession) -> None:
     """Make this package importable in the Python workers of every executor.
 
     The package (source files only) is sent once per application through
-    Spark's own file distribution, as ``--py-files`` would."""
+    Spark's own file distribution, as ``--py-files`` would.  Arrow batches are
+    kept to ``BATCH_ROWS`` unless the session asks for still fewer."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
