@@ -45,9 +45,9 @@ def summarise(text: str) -> dict:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[4]", shuffle_partitions=16)
     reg = load_all()
-    print(f"# Physical plans ({sf_dir}, local[8], adaptive execution, final plans)\n")
+    print(f"# Physical plans ({sf_dir}, local[4], adaptive execution, final plans)\n")
     print("Shuffle exchanges exclude broadcasts and reused exchanges. `pushed` = scans with "
           "pushed-down filters other than not-null / all scans that show filters. `WGL` = partial `WindowGroupLimit` before the shuffle. "
           "Generated by `tools/plan_report.py`.\n")
