@@ -50,6 +50,7 @@ def sales_csv(spark: SparkSession, path: str, history: DataFrame, run: Run, sour
 
 
 # ---- G4: cloud sales --------------------------------------------------------
+# --- fixed values: numeric columns of the cloud sheet ---------------------------
 CLOUD_NUMERIC = ["id_cliente", "valor_unitario_sin_iva", "cedula_comercial"]
 
 
@@ -185,6 +186,7 @@ def virtual_db_orders(df: DataFrame, history: DataFrame, run: Run, source: str,
 
 
 # ---- G16: value-added services ----------------------------------------------
+# --- fixed values: roles named in the value-added sheet ------------------------
 VALUE_ADDED_ROLES = ["coordinador", "especialista", "jefe", "director", "gerente"]
 
 
