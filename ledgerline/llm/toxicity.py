@@ -1,28 +1,32 @@
 """Operator 5: toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
 Fit: of the labelled training rows the ``PER_CLASS`` of either class whose text
-has the smallest hash are the examples, and the terms that tell the classes
-apart (chi-square, corrected for the number of words tried) the vocabulary,
-``TERMS`` at most: documented bounds.  Document frequencies are counted over
-all documents.
+has the smallest hash are the examples, and all their words the vocabulary of
+the search: the number of examples is its bound.  Document frequencies are
+counted over all documents, those of words that no example has too: they are
+part of a text's norm.
 
-Search: the examples lie in an inverted index cut into blocks; each term keeps
-its largest weight per block.  A query adds these up to a bound per block,
-scores the blocks in falling order of their bounds, and stops once the next
-bound is below its k-th best cosine, so the k nearest are exact.
+Search: the examples lie in an inverted index.  Short lists are added up in
+full; words that many examples have are cut into blocks with their largest
+weight in each.  A query adds these up to a bound per block, scores the blocks
+in falling order of their bounds, and stops once the next bound is below its
+k-th best cosine, so the k nearest are exact.
 
 Score: the neighbours vote for their labels, weighted by the inverse of their
-distance; a logistic curve over vote, best cosine and how many of the text's
-words are vocabulary terms (a cosine doesn't tell one from many), fitted to the
-examples' own leave-one-out votes and weighted to the classes' shares in all
-training rows, makes it a probability.  A text without any vocabulary term has no
-neighbour; it scores the toxic share among such examples.  The neighbours are
-returned as evidence.
+distance; a logistic curve over vote, best cosine and what the telling words
+say (their number, their share and the sum of their log odds), fitted to the
+examples' own leave-one-out features and weighted to the classes' shares in
+all training rows, makes it a probability.  Telling words are those that tell
+the classes apart (chi-square, corrected for the number of words tried),
+``TERMS`` at most: a feature beside the cosine, which is over all words.  A
+text that shares no word with any example has no neighbour; it scores the
+toxic share among such examples.  The neighbours are returned as evidence.
 
 Defined cases: null text is empty; repeated rows are scored alike; rows with a
 null label or id teach nothing; neighbours that tie are taken in the order of
-their text's hash; without labelled rows of both classes every score is the
-share of toxic training rows (0 without any); extra columns are ignored.
+their text's hash; a word that all documents have weighs nothing; without
+labelled rows of both classes every score is the share of toxic training rows
+(0 without any); extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerline.llm.runtime import doc_crc, saved, ship_code, tidied
+from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code, tidied
 
 PER_CLASS = 1500
 TERMS = 4096
@@ -47,6 +51,10 @@ MIN_SHARE = 0.01
 SPARE = 3
 NEIGHBOURS = 15
 BLOCK = 64
+#: A word that more than 1 / OFTEN of the examples have is kept in blocks.
+OFTEN = 16
+#: Texts that are searched at once.
+QUERIES = 64
 
 _words = regex.compile(r"[\p{L}\p{N}]+").findall
 
@@ -56,81 +64,118 @@ def words(text: Column) -> Column:
 
 
 class BlockMaxIndex:
-    """Exact top-k cosine over unit vectors given as (terms, weights)."""
+    """Exact top-k dot products with unit vectors given as (terms, weights)."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], block: int = BLOCK):
         self.size, self.block = len(vectors), block
         self.blocks = -(-self.size // block)
-        lists: dict[int, tuple[list[int], list[float]]] = {}
-        for i, (terms, weights) in enumerate(vectors):
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                ids, ws = lists.setdefault(t, ([], []))
-                ids.append(i)
-                ws.append(w)
-        self.ids = {t: np.array(i) for t, (i, _) in lists.items()}
-        self.weights = {t: np.array(w) for t, (_, w) in lists.items()}
-        self.at, self.most = {}, {}
-        for t, ids in self.ids.items():
-            first = np.searchsorted(ids, np.arange(self.blocks + 1) * block)
-            self.at[t] = first
-            top = np.zeros(self.blocks)
-            some = first[:-1] < first[1:]
-            top[some] = np.maximum.reduceat(self.weights[t], first[:-1][some])
-            self.most[t] = top
+        terms = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)]).astype(np.int64)
+        weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        ids = np.repeat(np.arange(self.size, dtype=np.int32), [len(t) for t, _ in vectors])
+        order = np.argsort(terms, kind="stable")
+        width = int(terms.max()) + 1 if len(terms) else 0
+        self.first = np.searchsorted(terms[order], np.arange(width + 1))
+        self.ids, self.weights = ids[order], weights[order]
+        often = np.flatnonzero(np.diff(self.first) * OFTEN > self.size)
+        self.row = np.full(width, -1)
+        self.row[often] = np.arange(len(often))
+        self.often = np.zeros((self.blocks * block, len(often)))
+        for r, t in enumerate(often.tolist()):
+            own = slice(self.first[t], self.first[t + 1])
+            self.often[self.ids[own], r] = self.weights[own]
+        self.most = self.often.reshape(self.blocks, block, len(often)).max(1) if self.blocks else np.zeros((0, len(often)))
+
+    def short_lists(self, terms: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(products over the short lists, columns and weights of the long ones)."""
+        t, w = np.asarray(terms, np.int64), np.asarray(weights, float)
+        inside = t < len(self.row)
+        t, w = t[inside], w[inside]
+        rows = self.row[t]
+        few, many = rows < 0, rows >= 0
+        at = self.first[t[few]]
+        n = self.first[t[few] + 1] - at
+        where = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(self.ids[where], self.weights[where] * np.repeat(w[few], n), self.blocks * self.block), rows[many], w[many]
 
     def search(self, terms: list[int], weights: list[float], k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k largest (cosine, example), ties by example; zero cosines are none."""
-        known = [(t, w) for t, w in zip(terms, weights) if t in self.ids]
-        if not known:
+        """The k largest (product, example), ties by example; zeros are none."""
+        if not self.size:
             return []
-        bound = np.zeros(self.blocks)
-        for t, w in known:
-            bound += w * self.most[t]
+        score, rows, w = self.short_lists(terms, weights)
+        bound = score.reshape(self.blocks, self.block).max(1) + self.most[:, rows] @ w
         best: list[tuple[float, int]] = []
         for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) >= k and bound[b] < -best[k - 1][0] - 1e-9:
+            full = len(best) >= k
+            if bound[b] <= 0 or full and bound[b] < -best[k - 1][0] - 1e-9 * bound[b]:
                 break
-            score = np.zeros(self.block)
-            for t, w in known:
-                i, j = self.at[t][b], self.at[t][b + 1]
-                if i < j:
-                    score[self.ids[t][i:j] - b * self.block] += w * self.weights[t][i:j]
-            for i in np.flatnonzero(score > 0).tolist():
-                if b * self.block + i != skip:
-                    best.append((-float(score[i]), b * self.block + i))
+            part = slice(b * self.block, (b + 1) * self.block)
+            own = score[part] + self.often[part][:, rows] @ w
+            for i in np.flatnonzero(own >= -best[k - 1][0] if full else own > 0).tolist():
+                if own[i] > 0 and b * self.block + i != skip:
+                    best.append((-float(own[i]), b * self.block + i))
             best.sort()
             del best[k:]
         return [(-s, i) for s, i in best]
 
-
-def unit(terms: list[int], counts: list[int], idf: np.ndarray) -> tuple[list[int], list[float]]:
-    """TF-IDF weights (1 + log tf) of unit length; terms without weight drop out."""
-    w = [(t, (1 + math.log(c)) * idf[t]) for t, c in zip(terms, counts) if idf[t] > 0]
-    size = math.sqrt(sum(x * x for _, x in w))
-    return ([t for t, _ in w], [x / size for _, x in w]) if size else ([], [])
+    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
+        """``search`` of each query.  Whole texts share common words with nearly
+        every block, so the long lists of all queries are one matrix product;
+        it names the candidates, whose products are then summed in fixed order."""
+        if not self.size:
+            return [[] for _ in queries]
+        parts = [self.short_lists(*q) for q in queries]
+        asked = np.zeros((len(parts), self.often.shape[1]))
+        for own, (_, rows, w) in zip(asked, parts):
+            own[rows] = w
+        out = []
+        for long, (score, rows, w) in zip(asked @ self.often.T, parts):
+            total = score + long
+            least = np.partition(total, -k)[-k] if k < len(total) else 0.0
+            near = np.flatnonzero((total > 0) & (total >= least * (1 - 1e-9)))
+            exact = score[near] + (np.ascontiguousarray(self.often[near[:, None], rows]) * w).sum(1)
+            out.append([(-s, i) for s, i in sorted(zip((-exact).tolist(), near.tolist()))[:k]])
+        return out
+
+
+def weighed(terms: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """TF-IDF weights (1 + log tf) idf; terms without weight drop out."""
+    t = np.array(terms, np.int64)
+    w = (1 + np.log(np.array(counts, float))) * idf[t]
+    return t[w > 0], w[w > 0]
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]
+    terms: dict[str, int]  # the telling words
+    words: dict[str, int]  # the words of the examples
     idf: np.ndarray
+    seen: np.ndarray  # examples that hold each telling word, by class
     index: BlockMaxIndex
     labels: np.ndarray
     ids: list[int]
     curve: np.ndarray
     empty: float
 
-    def features(self, found: list[tuple[float, int]], hits: int, size: int) -> list[float]:
+    def tell(self, own: list[int], without: int | None = None) -> float:
+        """Sum of the log odds of the telling words in a text, as seen in the
+        examples (but for the text itself, if it is one of that class)."""
+        seen = self.seen[own]
+        if without is not None:
+            seen[:, without] -= 1
+        size = np.array([(self.labels == c).sum() for c in (0, 1)]) + 1.0
+        odds = np.log((seen + 0.5) / size)
+        return float((odds[:, 1] - odds[:, 0]).sum())
+
+    def features(self, found: list[tuple[float, int]], hits: int, size: int, tell: float) -> list[float]:
         w = [1 / (1 - min(s, 1.0) + 0.05) for s, _ in found]
         vote = (sum(a * self.labels[i] for a, (_, i) in zip(w, found)) + 0.1) / (sum(w) + 0.2)
-        return [1.0, math.log(vote / (1 - vote)), found[0][0], math.log(hits), math.log(hits / size)]
+        return [1.0, math.log(vote / (1 - vote)), found[0][0], math.log(hits + 0.5), math.log((hits + 0.5) / (size + 1)), tell]
 
-    def score(self, terms: list[int], counts: list[int], size: int) -> tuple[float, list[int]]:
-        found = self.index.search(*unit(terms, counts, self.idf), NEIGHBOURS)
+    def score(self, found: list[tuple[float, int]], hits: int, size: int, tell: float) -> float:
         if not found:
-            return self.empty, []
-        z = float(np.dot(self.curve, self.features(found, sum(counts), size)))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), [self.ids[i] for _, i in found]
+            return self.empty
+        z = float(np.dot(self.curve, self.features(found, hits, size, tell)))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -190,54 +235,119 @@ def fit_terms(docs: DataFrame, chosen: DataFrame, most: int = TERMS) -> list[str
     return sorted(r["word"] for r in kept.collect())
 
 
-def term_counts(docs: DataFrame, terms: list[str], keep: list[str]) -> DataFrame:
-    """(keep..., terms, counts, size): the vocabulary terms of each whole text,
-    and its words."""
-    spark = docs.sparkSession
-    ship_code(spark)
-    at = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+def bags(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """(keep..., words, counts): the words of each text and how often it has them."""
+    ship_code(docs.sparkSession)
 
-    @F.arrow_udf("terms array<int>, counts array<int>, size int")
+    @F.arrow_udf("words array<string>, counts array<int>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        where = at.value
         for texts in tidied(batches):
-            ids, ns, sizes = [], [], []
-            for t in texts.to_pylist():
-                found = _words(t.lower()) if t else []
-                own = Counter(i for i in map(where.get, found) if i is not None)
-                ids.append(sorted(own))
-                ns.append([own[i] for i in ids[-1]])
-                sizes.append(len(found))
-            kind = pa.list_(pa.int32())
-            yield pa.StructArray.from_arrays([pa.array(ids, kind), pa.array(ns, kind), pa.array(sizes, pa.int32())], ["terms", "counts", "size"])
+            own = [Counter(_words(t.lower())) if t else {} for t in texts.to_pylist()]
+            yield pa.StructArray.from_arrays([pa.array([list(c) for c in own], pa.list_(pa.string())),
+                                              pa.array([list(c.values()) for c in own], pa.list_(pa.int32()))], ["words", "counts"])
 
-    return docs.select(*keep, count(F.col("text")).alias("c")).select(*keep, "c.terms", "c.counts", "c.size")
+    return docs.select(*keep, count(F.col("text")).alias("c")).select(*keep, "c.words", "c.counts")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
-    """(model, term counts of all documents)."""
+def frequencies(docs: DataFrame, words_of: dict[str, int]) -> tuple[np.ndarray, int]:
+    """(documents that hold each of the words, all documents)."""
+    spark = docs.sparkSession
+    ship_code(spark)
+    handle = spark.sparkContext.broadcast(words_of)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, n = handle.value, 0
+        df = np.zeros(len(where), np.int64)
+        for batch in tidied(batches):
+            n += batch.num_rows
+            for t in batch.column(0).to_pylist():
+                own = [i for i in map(where.get, set(_words(t.lower()))) if i is not None] if t and where else []
+                df[own] += 1
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(df[some], n), pa.int64())], names=["t", "n"])
+
+    # A row a word of the examples.
+    rows = docs.select("text").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()
+    df, n = np.zeros(len(words_of), np.int64), 0
+    for t, k in rows:
+        if t < 0:
+            n = k
+        else:
+            df[t] = k
+    return df, n
+
+
+def search(docs: DataFrame, model: Model, n: int, keep: list[str]) -> DataFrame:
+    """(keep..., cosines, near, hits, size, tell): the nearest examples of each
+    whole text, and what its telling words say."""
     spark = docs.sparkSession
+    ship_code(spark)
+    handle = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("products array<double>, near array<int>, known double, hits int, size int, tell double, rest array<string>, tf array<int>")
+    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = handle.value
+        kinds = [pa.list_(pa.float64()), pa.list_(pa.int32()), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int32())]
+        names = ["products", "near", "known", "hits", "size", "tell", "rest", "tf"]
+        for texts in tidied(batches):
+            rows, out = texts.to_pylist(), []
+            for k in range(0, len(rows), QUERIES):
+                bags = [Counter(_words(text.lower())) if text else Counter() for text in rows[k:k + QUERIES]]
+                asked = []
+                for bag in bags:
+                    here = [(own.words[w], c) for w, c in bag.items() if w in own.words]
+                    asked.append(weighed([i for i, _ in here], [c for _, c in here], own.idf))
+                for bag, (_, w), found in zip(bags, asked, own.index.search_many(asked, NEIGHBOURS)):
+                    telling = [x for x in bag if x in own.terms]
+                    rest = [x for x in bag if x not in own.words] if found else []
+                    out.append(([s for s, _ in found], [i for _, i in found], float((w * w).sum()), sum(bag[x] for x in telling), bag.total(),
+                                own.tell([own.terms[x] for x in telling]), rest, [bag[x] for x in rest]))
+            yield pa.StructArray.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], names)
+
+    found = docs.select(*keep, nearest(F.col("text")).alias("s")).select(*keep, F.monotonically_increasing_id().alias("row"), "s.*")
+    found = saved(spark, found, "nearest")
+    # The words that no example has belong to the norm: all their occurrences are here.
+    rest = found.select("row", F.explode(F.arrays_zip("rest", "tf")).alias("w")).select("row", F.xxhash64("w.rest").alias("word"), F.col("w.tf").alias("tf"))
+    idf = F.log(F.lit(1.0 + n) / (1 + F.count(F.lit(1)).over(Window.partitionBy("word"))))
+    squares = rest.select("row", F.pow((1 + F.log("tf")) * idf, 2).alias("x"))
+    # Whole numbers, so that the order of the sum does not show.
+    norms = squares.groupBy("row").agg(F.sum((F.col("x") * 1e9).cast("long")).alias("rest_norm"))
+    norms = broadcast_if_small(saved(spark, norms, "norms"))
+    size = F.sqrt(F.col("known") + F.coalesce(F.col("rest_norm") / 1e9, F.lit(0.0)))
+    return (found.drop("rest", "tf").join(norms, "row", "left").withColumn("length", size)
+            .select(*keep, F.transform("products", lambda x: x / F.col("length")).alias("cosines"), "near", "hits", "size", "tell"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
+    """(model, nearest examples of all documents)."""
     chosen, shares = examples(docs, labels, per_class)
     terms = fit_terms(docs, chosen)
     counted = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    counted = saved(spark, term_counts(counted, terms, ["doc_id", "h"]), "term-counts")
-    n = counted.count()
-    df = {r["t"]: r["count"] for r in counted.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}  # a row a term
-    idf = np.array([math.log((1 + n) / (1 + df.get(i, 0))) for i in range(len(terms))])
-    rows = (counted.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"])
-            .orderBy("h", "doc_id", "toxic").collect())  # 2 x per_class at most
-    vectors = [unit(r["terms"], r["counts"], idf) for r in rows]
-    labels_of = np.array([r["toxic"] for r in rows], float)
+    drawn = counted.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"])
+    rows = bags(drawn, ["doc_id", "h", "toxic"]).orderBy("h", "doc_id", "toxic").collect() if len(shares) > 1 else []  # 2 x per_class at most
+    vocabulary = {w: i for i, w in enumerate(sorted({w for r in rows for w in r["words"]}))}
+    df, n = frequencies(docs, vocabulary)
+    idf = np.log((1 + n) / (1 + df))
+    vectors = []
+    for r in rows:
+        t, w = weighed([vocabulary[x] for x in r["words"]], r["counts"], idf)
+        vectors.append((t, w / math.sqrt((w * w).sum()) if len(w) else w))
+    labels_of = np.array([r["toxic"] for r in rows], int)
+    where = {t: i for i, t in enumerate(terms)}
+    told = [sorted(where[x] for x in r["words"] if x in where) for r in rows]
+    seen = np.zeros((len(terms), 2))
+    for own, c in zip(told, labels_of):
+        seen[own, c] += 1
     share = shares.get(1, 0) / max(1, sum(shares.values()))
-    index = BlockMaxIndex([(np.array(t, int), np.array(w, float)) for t, w in vectors])
-    model = Model({t: i for i, t in enumerate(terms)}, idf, index, labels_of, [r["doc_id"] for r in rows], np.zeros(5), share)
+    model = Model(where, vocabulary, idf, seen, BlockMaxIndex(vectors), labels_of, [r["doc_id"] for r in rows], np.zeros(6), share)
     weight = {c: shares[c] / max(1, int((labels_of == c).sum())) for c in shares}
     x, y, w, none = [], [], [], {0: 0.0, 1: 0.0}
-    for i, (t, v) in enumerate(vectors):
-        found = index.search(t, v, NEIGHBOURS, skip=i)
+    for i, (r, (t, v)) in enumerate(zip(rows, vectors)):
+        found = model.index.search(t, v, NEIGHBOURS, skip=i)
         c = int(labels_of[i])
         if found:
-            x.append(model.features(found, sum(rows[i]["counts"]), rows[i]["size"]))
+            hits = sum(k for word, k in zip(r["words"], r["counts"]) if word in where)
+            x.append(model.features(found, hits, sum(r["counts"]), model.tell(told[i], c)))
             y.append(c)
             w.append(weight[c])
         else:
@@ -246,34 +356,35 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
         model.curve = _logistic(np.array(x), np.array(y, float), np.array(w))
     if sum(none.values()):
         model.empty = none[1] / sum(none.values())
-    return model, counted
+    return model, search(docs, model, n, ["doc_id"])
 
 
 def held_out() -> Column:
     return doc_crc() % 5 == 0
 
 
-def score(counted: DataFrame, model: Model) -> DataFrame:
-    """Add score and evidence (ids of the nearest examples) to term counts."""
-    spark = counted.sparkSession
+def score(found: DataFrame, model: Model) -> DataFrame:
+    """Add score and evidence (ids of the nearest examples) to searched rows."""
+    spark = found.sparkSession
     ship_code(spark)
     handle = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf("score double, evidence array<long>")
-    def scored(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def scored(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         own = handle.value
-        for terms, counts, sizes in tidied(batches):
-            out = [own.score(t, c, n) for t, c, n in zip(terms.to_pylist(), counts.to_pylist(), sizes.to_pylist())]
-            yield pa.StructArray.from_arrays([pa.array([s for s, _ in out], pa.float64()), pa.array([e for _, e in out], pa.list_(pa.int64()))],
-                                             ["score", "evidence"])
+        for columns in tidied(batches):
+            rows = [(list(zip(s, i)), h, n, t) for s, i, h, n, t in zip(*(c.to_pylist() for c in columns))]
+            yield pa.StructArray.from_arrays([pa.array([own.score(*r) for r in rows], pa.float64()),
+                                              pa.array([[own.ids[i] for _, i in r[0]] for r in rows], pa.list_(pa.int64()))], ["score", "evidence"])
 
-    rest = [c for c in counted.columns if c not in ("terms", "counts", "size")]
-    return counted.select(*rest, scored("terms", "counts", "size").alias("s")).select(*rest, "s.score", "s.evidence")
+    parts = ["cosines", "near", "hits", "size", "tell"]
+    rest = [c for c in found.columns if c not in parts]
+    return found.select(*rest, scored(*parts).alias("s")).select(*rest, "s.score", "s.evidence")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
-    model, counted = fit(docs, labels)
-    return score(counted, model).select("doc_id", held_out().alias("held_out"), "score",
+    model, found = fit(docs, labels)
+    return score(found, model).select("doc_id", held_out().alias("held_out"), "score",
                                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")

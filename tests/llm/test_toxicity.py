@@ -68,3 +68,39 @@ def test_no_labels_and_no_rows(spark):
     assert T.score(counted, model).count() == 0
     model, counted = T.fit(df.select("doc_id", "text"), labels.filter("toxic = 1"))
     assert {r["score"] for r in T.score(counted, model).collect()} == {1.0}
+
+
+def test_rare_words_count_in_the_cosine(spark):
+    """A near copy of a toxic example finds it by words that no other text has,
+    and cosines are over all words of either text."""
+    df, labels, docs = planted(spark, n=200)
+    rare = " ".join(f"vex{k}" for k in range(20))
+    ids = [i for i in range(5000, 5040) if zlib.crc32(str(i).encode()) % 5][:2]
+    own = [(ids[0], rare + " alpha", "x"), (8001, rare + " beta gamma gamma", "x")]
+    labels = labels.unionByName(spark.createDataFrame([(ids[0], 0, 1)], labels.schema))
+    texts = df.union(spark.createDataFrame(own, df.schema)).select("doc_id", "text")
+    model, found = T.fit(texts, labels)
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert T.score(found, model).filter("doc_id = 8001").head()["evidence"][0] == ids[0]
+
+    rows = [(T._words((r["text"] or "").lower())) for r in texts.collect()]
+    n = len(rows)
+    idf = {w: np.log((1 + n) / (1 + sum(w in set(x) for x in rows))) for w in {*own[0][1].split(), *own[1][1].split()}}
+    a, b = ({w: (1 + np.log(t.split().count(w))) * idf[w] for w in t.split()} for _, t, _ in own)
+    dot = sum(x * b.get(w, 0) for w, x in a.items())
+    want = dot / np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    assert abs(got[8001]["cosines"][0] - want) < 1e-6
+
+
+def test_search_of_many_is_the_search_of_each():
+    r = np.random.default_rng(2)
+    for n in (0, 1, 5, 90):
+        def some(size):
+            t = np.sort(r.choice(40, size, replace=False))
+            w = r.random(size) + 0.1
+            return t, w / np.sqrt((w * w).sum()) if size else w
+        index = T.BlockMaxIndex([some(int(r.integers(0, 9))) for _ in range(n)], block=16)
+        queries = [some(int(r.integers(0, 20))) for _ in range(30)]
+        for q, got in zip(queries, index.search_many(queries, 7)):
+            want = index.search(*q, 7)
+            assert [i for _, i in got] == [i for _, i in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
