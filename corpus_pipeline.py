@@ -14,15 +14,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm import bpe, decontaminate, language_id, pii, simhash
 from ledgerline.llm.runtime import broadcast_if_small, saved
 
-#: A document whose best language has a smaller share than this is rejected.
-LEAST_LANGUAGE_SCORE = 0.4
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; ``und`` and unsure ones go."""
+    """Documents in a learned language; ``und`` ones go."""
     model = language_id.fit(spark, docs.filter(~language_id.held_out()))
     known = language_id.identify(docs, model, pred="_lang_pred", score="_lang_score")
-    return known.filter((F.col("_lang_pred") != language_id.UNDETERMINED) & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+    return known.filter(F.col("_lang_pred") != language_id.UNDETERMINED).select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,6 +57,15 @@ def test_language_stage(spark, folder):
     assert kept == sorted(map(repr, (r for r in rows if r[1] and any(c.isalpha() for c in r[1]))))
 
 
+def test_the_number_of_languages_rejects_nothing(spark, folder):
+    """Names and codes that five languages share lie near a tie, however long."""
+    r = random.Random(9)
+    shared = [a + b for a in EN for b in FR]
+    rows = [(i, make_text(r, shared, 400), f"l{i % 5}", "s", None) for i in range(60)]
+    out = stage("language_id")(spark, spark.createDataFrame(rows, COLUMNS), folder[0])
+    assert sorted(x["doc_id"] for x in out.collect()) == list(range(60))
+
+
 def test_near_duplicate_stage(spark, folder):
     path, rows, _ = folder
     docs = spark.read.parquet(f"{path}/documents.parquet")
