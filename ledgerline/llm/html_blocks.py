@@ -12,7 +12,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search
 section select summary table tbody td template tfoot th thead tr ul""".split())
-HIDDEN = frozenset("script style textarea title iframe noembed noframes xmp svg math template object".split())
+HIDDEN = frozenset("script style textarea title iframe noembed noframes svg template".split())
+#: Of these, the elements that hold other elements, not raw text.
+NESTED = frozenset("svg template".split())
 SECTIONS = frozenset("article main nav aside footer header form section".split())
 #: An element that opens closes an open one of these kinds (up to the stop).
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}),
@@ -40,7 +42,9 @@ class Block:
 
 def blocks(html: str) -> list[Block]:
     """The leaf blocks of a page in order; scripts, styles, comments and form
-    fields are no text.  Text after a tag that never ends is part of the tag."""
+    fields are no text, formulas, objects and listings (xmp) are.  Text after a
+    tag that never ends is part of the tag; of an svg or template that never
+    ends, the tag alone is left out."""
     out: list[Block] = []
     root = ("", frozenset(), ())
     stack: list[tuple[str, frozenset, tuple]] = [root]
@@ -98,7 +102,17 @@ def blocks(html: str) -> list[Block]:
             if name in HIDDEN:
                 if not m[2].endswith("/") or name in ("script", "style", "textarea", "title"):
                     close = re.compile(f"</{name}[^>]*>", re.I).search(html, p)
-                    p = close.end() if close else n
+                    if close:
+                        p = close.end()
+                    elif name not in NESTED:
+                        p = n
+                continue
+            if name == "xmp":  # raw text: its tags and references are written out
+                close = re.compile("</xmp[^>]*>", re.I).search(html, p)
+                parts.append(html[p:close.start() if close else n])
+                if in_link:
+                    linked += len(parts[-1])
+                p = close.end() if close else n
                 continue
             if name == "br":
                 parts.append(" ")

@@ -97,3 +97,13 @@ def test_table(spark, model):
     assert of[2] == of[None] == "" and of[1].startswith("Title here")
     none = X.extract(df.limit(0), X.fit(df.limit(0)))
     assert none.count() == 0
+
+
+def test_formulas_listings_and_elements_that_never_end():
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert texts("<p>see</p><xmp>if a<b: &amp; <p>c</xmp><p>end</p>") == ["see", "if a<b: &amp; <p>c", "end"]
+    assert texts("<p>a <object data=x>a chart of it</object></p>") == ["a a chart of it"]
+    assert texts("<p>a <svg><text>icon</text></svg> b</p>") == ["a b"]
+    for name in ("svg", "template", "object", "math"):
+        assert texts(f"<p>one <{name}></p><p>two</p>") == ["one", "two"]
+    assert texts("<p>one</p><script>x = 1 <p>two</p>") == ["one"]
