@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe, decontaminate, edit_fingerprint, html_extract, language_id, pii, sharding, simhash, toxicity, warc
+from ledgerline.llm import bpe, cover_tree, decontaminate, edit_fingerprint, html_extract, language_id, lexical_search, lloyd, pii, sharding, simhash, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_edit_embedding": edit_fingerprint.op1_edit_embedding,
@@ -19,9 +19,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": simhash.op8_simhash,
     "op9_sharding": sharding.op9_sharding,
     "op10_bpe": bpe.op10_bpe,
+    "op11_rmq_search": lexical_search.op11_rmq_search,
+    "op12_cover_tree": cover_tree.op12_cover_tree,
+    "op13_sharded_lloyd": lloyd.op13_sharded_lloyd,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_winnowing": decontaminate.OP2_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op11_rmq_search": lexical_search.OP11_SQL,
+    "op12_cover_tree": cover_tree.OP12_SQL,
+    "op13_sharded_lloyd": lloyd.OP13_SQL,
 }
