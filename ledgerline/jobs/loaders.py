@@ -17,7 +17,7 @@ from ledgerline.functions import values as V
 from ledgerline.functions.constants import NOT_RECORDED, VACANCY_DOCUMENT
 from ledgerline.operators import columns as C
 from ledgerline.operators.dedupe import keep_first
-from ledgerline.operators.dims import lookup
+from ledgerline.operators.dims import lookup_many
 from ledgerline.operators.incremental import new_rows, new_rows_by_day
 from ledgerline.operators.lifecycle import Run, stamp
 from ledgerline.operators.setops import union_all
@@ -168,7 +168,7 @@ def legalised(a: DataFrame, b: DataFrame, c: DataFrame, history: DataFrame, run:
     rows = union_all([f.withColumn("layout", F.lit(i + 1)) for i, f in enumerate((la, lb, lc))])
     rows = rows.dropna(subset=["ot"])                            # F4: also text that is no number
     rows = keep_first(rows, ["layout", "ot"], ["_ingest_pos"]).drop("_ingest_pos")
-    return stamp(new_rows(rows, history, ["ot"]), run, source)  # one read of history for all layouts
+    return stamp(new_rows(rows, history, ["ot"]), run, source, unique=True)  # one read of history for all layouts
 
 
 # ---- G8: virtual-database order extracts ------------------------------------
@@ -200,10 +200,10 @@ def value_added(df: DataFrame, people: dict[str, DataFrame], run: Run, numbers:
     read time (``lifecycle.current_state``)."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     df = df.withColumns({c: F.coalesce(T.deep_clean(c), F.lit("")) for c in text if c not in dates})
-    for role in VALUE_ADDED_ROLES:
-        names = people[role]
-        order = "orden" if "orden" in names.columns else None
-        df = lookup(df, names, T.remove_vacancy_marker(role), "nombre", {"id": f"id_{role}"}, order_col=order).drop(role)
+    # One dimension of all roles; the last of a repeated name by its order.
+    named = union_all([people[r].select(F.lit(r).alias("rol"), "nombre", "id", (F.col("orden") if "orden" in people[r].columns else F.lit(None)).cast("bigint").alias("orden"))
+                       for r in VALUE_ADDED_ROLES])
+    df = lookup_many(df, named, [(T.remove_vacancy_marker(r), r, f"id_{r}") for r in VALUE_ADDED_ROLES], "rol", "nombre", "id", "orden").drop(*VALUE_ADDED_ROLES)
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in numbers})
     df = df.withColumns({c: F.date_format(F.col(c).try_cast("date"), "yyyy-MM-dd") for c in dates})
     return stamp(df, run, source)

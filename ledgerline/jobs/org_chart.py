@@ -48,7 +48,7 @@ def person_updates(sheet: DataFrame, existing: DataFrame, run: Run, role: str =
                             fix_document("No DOCUMENTO").alias("identificacion"),
                             state.alias("id_estado_registro"))
     people = keep_first(people, ["nombre"], ["id_estado_registro", "identificacion"])          # A3
-    fresh = new_rows(people, existing, ["nombre"]).withColumns({                              # N7
+    fresh = new_rows(people, existing, ["nombre"], small_history=True).withColumns({                              # N7
         "rol": F.lit(role), "id_persona": row_id(F.lit(role), "nombre", run_id="PERSONA")})
     vacated = people.filter(F.col("id_estado_registro") == STATE_INACTIVE).select("nombre")
     updated = targeted_state_update(existing, vacated, ["nombre"], STATE_INACTIVE,

@@ -21,9 +21,9 @@ from ledgerline.functions.text import deep_clean, fix_document, remove_vacancy_m
 from ledgerline.jobs.org_chart import assign_by_name
 from ledgerline.operators.columns import rename_map
 from ledgerline.operators.dedupe import keep_first
-from ledgerline.operators.dims import assign_ids, domain_candidates, lookup, new_domain_values
+from ledgerline.operators.dims import assign_ids, domain_candidates, lookup, lookup_many, new_domain_values
 from ledgerline.operators.incremental import new_rows
-from ledgerline.operators.lifecycle import Run, with_row_ids
+from ledgerline.operators.lifecycle import Run, targeted_state_update, with_row_ids
 from ledgerline.operators.setops import union_all
 
 # --- fixed values: domain column -> id column of the fact ---------------------------
@@ -66,7 +66,9 @@ TMK_HEADERS = {
     "ESPECIALISTA": "especialista", "DIRECCION COMERCIAL": "direccion_comercial", "NOMBRE DIRECTOR": "director",
     "OBSERVACION": "observacion", "FUENTE": "fuente",
 }
-# What stands in for columns that a sheet lacks; other domains and roles are 'NO APLICA'.
+# --- fixed values: role -> word in the job title of a post that can be vacated --------------
+VACANCY_TITLES = {"jefe": "jefe", "coordinador_directo": "coordinador", "gerente": "gerente"}
+# --- fixed values: what stands in for columns that a sheet lacks; other domains and roles are 'NO APLICA'.
 ABSENT = {"celular": "0", "correo": "0", "nacionalidad": "0", "codigo_ventas_movil": "0", "departamento": "0", "municipio": "0",
           "identificacion": "0", "nombre_completo": NOT_APPLICABLE, "fecha_ingreso": SENTINEL_DATE}
 FACT = ["tipo_documento", "identificacion", "nombre_completo", "celular", "correo", "nacionalidad", "codigo_ventas_movil",
@@ -144,16 +146,29 @@ def people(sheets: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     named = keep_first(named, ["rol", "nombre"], ["id_estado_registro"])
     found = lookup(named, union_all(rows), "nombre", "nombre", {"identificacion": "identificacion"}, {"identificacion": UNKNOWN_DOCUMENT})
     ident = row_id("rol", "nombre", run_id="PERSONA")
-    return new_rows(found, existing, ["rol", "nombre"]).select("rol", ident.alias("id_persona"), "nombre", "identificacion", "id_estado_registro")
+    return new_rows(found, existing, ["rol", "nombre"], small_history=True).select("rol", ident.alias("id_persona"), "nombre", "identificacion", "id_estado_registro")
+
+
+def vacated(sheets: dict[str, DataFrame]) -> DataFrame:
+    """(rol, nombre) of the posts that the sheets show as vacant: rows whose
+    job title names the role and whose name carries the vacancy marker."""
+    rows = union_all([s.select("cargo_actual", "nombre_completo") for s in sheets.values()])
+    title = F.coalesce(F.lower("cargo_actual"), F.lit(""))
+    roles = F.array_compact(F.array(*[F.when(title.contains(word), F.lit(role)) for role, word in VACANCY_TITLES.items()]))
+    vacant = rows.filter(F.contains(F.upper("nombre_completo"), F.lit("VACANTE")))
+    return vacant.select(F.explode(roles).alias("rol"), remove_vacancy_marker("nombre_completo").alias("nombre")).distinct()
+
+
+def retire_vacated(existing: DataFrame, sheets: dict[str, DataFrame]) -> DataFrame:
+    """Stored persons of a vacated post are inactive; all others stay."""
+    return targeted_state_update(existing, vacated(sheets), ["rol", "nombre"], STATE_INACTIVE,
+                                 state_col="id_estado_registro", skip_if=STATE_INACTIVE)
 
 
 def fact(sheet: DataFrame, layout: Layout, domains: DataFrame, persons: DataFrame, version: int, run: Run) -> DataFrame:
     """The sheet's fact rows: domain and person ids, state, document, dealer, version."""
-    df = sheet
-    for column, out in DOMAINS.items():
-        df = lookup(df, domains.filter(F.col("dominio") == column), column, "valor", {"id": out})                      # N11
-    for role in ROLES:
-        df = lookup(df, persons.filter(F.col("rol") == role), remove_vacancy_marker(role), "nombre", {"id_persona": f"id_{role}"})  # N12
+    df = lookup_many(sheet, domains, [(c, c, out) for c, out in DOMAINS.items()])                                     # N11
+    df = lookup_many(df, persons, [(remove_vacancy_marker(r), r, f"id_{r}") for r in ROLES], "rol", "nombre", "id_persona")  # N12
     state = F.lit(STATE_INACTIVE) if layout.retired else vacancy_state("nombre_completo", F.lit(STATE_ACTIVE))    # X14, C11
     ident: Column = fix_document("identificacion")                                                                  # X15
     dealer = F.col("dealer") if "dealer" in layout.extra else rightmost(ident, 8)                                   # X8

@@ -1,12 +1,17 @@
 """Incremental loading: keep only rows history does not already hold.
 
 N1-N9 are all the same Spark plan: a left anti (or semi) join on typed key
-columns with null-safe equality.  History is pruned to its key columns and
-de-duplicated with a partial (map-side) aggregation before the shuffle, so
-a key repeated millions of times in history costs one row per map task and
-cannot skew the join.  Nothing is counted while the plan is built: whether
-history's keys are broadcast, and where a hot batch key is cut, is decided
-by adaptive execution on measured bytes (``joins.spread_join``).
+columns with null-safe equality.  A daily batch is small and history is not,
+so the batch's own keys are staged first and measured: where they are few they
+are sent to the scan of history, only matching keys leave it, and no row of
+history is shuffled (``matched_keys``).  Only a batch of many keys shuffles
+history's keys, made distinct map-side so that a key repeated millions of
+times costs one row per map task.  A hot batch key is cut by adaptive execution
+(``joins.spread_join``).
+
+History that is a small table by nature (domain tables) is better compared as
+it is: ``small_history=True`` leaves the choice to Spark and stages nothing.
+``key_index`` keeps history's keys in buckets, for history too large to scan.
 """
 
 from __future__ import annotations
@@ -15,29 +20,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import normalised_keys, spread_join
+from ledgerline.operators.staging import broadcast_if_small, staged
+
+
+def matched_keys(history: DataFrame, batch_keys: DataFrame, names: list[str]) -> DataFrame:
+    """Distinct keys of ``history`` that the staged, distinct ``batch_keys`` hold."""
+    few, small = broadcast_if_small(batch_keys)
+    if small:
+        return history.join(few, names, "left_semi").distinct()
+    return history.distinct()
 
 
 def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
-                history_keys=None, null_safe: bool = True) -> DataFrame:
+                history_keys=None, null_safe: bool = True, small_history: bool = False) -> DataFrame:
     history_keys = list(history_keys or keys)
     if len(history_keys) != len(keys):
         raise ValueError("batch and history key lists differ in length")
     b, names = normalised_keys(batch, list(keys), "__k", null_safe)
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
-    return spread_join(b, h.select(*names).distinct(), names, how).drop(*names)
+    h = h.select(*names)
+    known = h.distinct() if small_history else matched_keys(h, staged(b.select(*names).distinct(), "batch-keys"), names)
+    return spread_join(b, known, names, how).drop(*names)
 
 
-def new_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-             history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
+def new_rows(batch: DataFrame, history: DataFrame, keys: list[str], history_keys: list[str] | None = None,
+             null_safe: bool = True, small_history: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is absent from ``history``."""
-    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe)
+    return _keyed_join(batch, history, keys, "left_anti", history_keys, null_safe, small_history)
 
 
-def existing_rows(batch: DataFrame, history: DataFrame, keys: list[str],
-                  history_keys: list[str] | None = None, null_safe: bool = True) -> DataFrame:
+def existing_rows(batch: DataFrame, history: DataFrame, keys: list[str], history_keys: list[str] | None = None,
+                  null_safe: bool = True, small_history: bool = False) -> DataFrame:
     """Rows of ``batch`` whose key is present in ``history``."""
-    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe)
+    return _keyed_join(batch, history, keys, "left_semi", history_keys, null_safe, small_history)
 
 
 def split_new_existing(batch: DataFrame, history: DataFrame, keys: list[str],
@@ -64,10 +80,10 @@ def membership_flag(df: DataFrame, keys_df: DataFrame, keys: list[str], flag: st
     """Label each row by whether its key appears in ``keys_df``
     (one left join to the distinct keys)."""
     kcols = key_df_cols or keys
-    marks = keys_df.select(*[F.col(a).alias(b) for a, b in zip(kcols, keys)]).withColumn("__hit", F.lit(True))
+    marks = keys_df.select(*[F.col(a).alias(b) for a, b in zip(kcols, keys)])
     b, names = normalised_keys(df, keys, "__m")
     m, _ = normalised_keys(marks, keys, "__m")
-    m = m.select(*names, "__hit").distinct()
+    m = matched_keys(m.select(*names), staged(b.select(*names).distinct(), "row-keys"), names).withColumn("__hit", F.lit(True))
     out = spread_join(b, m, names, "left")
     return (out.withColumn(flag, F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no)))
                .drop("__hit", *names))

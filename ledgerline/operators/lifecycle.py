@@ -30,27 +30,54 @@ class Run:
     started: _dt.datetime = field(default_factory=lambda: _dt.datetime.now().replace(microsecond=0))
 
 
-def with_row_ids(df: DataFrame, run_id: str, name: str = "id") -> DataFrame:
+#: Equal rows that one task numbers at a time.
+CHUNK = 1 << 16
+
+
+def numbered_copies(counted: DataFrame, count_col: str = "__n", name: str = "__ordinal", chunk: int = CHUNK) -> DataFrame:
+    """Each row once per its count, numbered from 1.
+
+    Rows of up to ``chunk`` copies are written out where they are.  Larger
+    counts are cut into chunks, and the chunks are dealt out to all tasks and
+    written out one by one: no task holds more than a chunk's numbers, however
+    many copies a row has."""
+    n = F.col(count_col)
+    few = counted.filter(n <= chunk).withColumn(name, F.explode(F.sequence(F.lit(1).cast("bigint"), n)))
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The starts of one row are cut in two steps, so that they are bounded too.
+    wide = F.sequence(F.lit(1).cast("bigint"), n, F.lit(chunk * chunk).cast("bigint"))
+    blocks = counted.filter(n > chunk).withColumn("__wide", F.explode(wide))
+    starts = F.sequence(F.col("__wide"), F.least(n, F.col("__wide") + chunk * chunk - 1), F.lit(chunk).cast("bigint"))
+    dealt = blocks.withColumn("__start", F.explode(starts)).drop("__wide").repartition(parts)
+    many = dealt.withColumn(name, F.explode(F.sequence(F.col("__start"), F.least(n, F.col("__start") + chunk - 1)))).drop("__start")
+    return few.unionByName(many)
+
+
+def with_row_ids(df: DataFrame, run_id: str, name: str = "id", unique: bool = False) -> DataFrame:
     """A unique, deterministic id for every row, also of equal rows.
 
     The id is taken from all of the row's values and its ordinal among rows
     equal in all of them.  Equal rows are counted (map-side combined: a row
     repeated millions of times is one partial count per task) and written out
-    again with 1..n, so no window gathers them.  Map columns can't be grouped
-    and are refused."""
+    again with 1..n in chunks, so neither a window nor an array gathers them.
+    ``unique=True`` says that no two rows are equal (a key was made unique
+    before): each has the ordinal 1, and nothing is shuffled to find out.  Map
+    columns can't be grouped and are refused."""
     maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType)]
     if maps:
         raise TypeError(f"map columns have no row identity: {maps}")
-    counted = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
-    each = counted.withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
     ident = row_id(*df.columns, "__ordinal", run_id=run_id)
+    if unique:
+        each = df.withColumn("__ordinal", F.lit(1).cast("bigint"))
+    else:
+        each = numbered_copies(df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n")))
     return each.select(ident.alias(name), *[c for c in df.columns if c != name])
 
 
-def stamp(df: DataFrame, run: Run, source: str | None,
-          state: int | str = STATE_ACTIVE, processed_col: str = "fecha_procesamiento") -> DataFrame:
+def stamp(df: DataFrame, run: Run, source: str | None, state: int | str = STATE_ACTIVE,
+          processed_col: str = "fecha_procesamiento", unique: bool = False) -> DataFrame:
     """C1 + J10: id, run id, processed-at, source, state; control columns first."""
-    out = with_row_ids(df, run.run_id).withColumns({
+    out = with_row_ids(df, run.run_id, unique=unique).withColumns({
         "id_ejecucion": F.lit(run.run_id),
         processed_col: F.lit(run.started.isoformat(sep=" ")).cast("timestamp_ntz"),
         "id_estado": F.lit(str(state)),

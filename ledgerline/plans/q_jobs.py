@@ -37,9 +37,12 @@ SELECT 'RUN-ORDERS-0001' AS id_ejecucion,
 FROM fresh
 """)
 def job_order_loader(spark, sf_dir):
-    li = Tables(spark, sf_dir).lineitem
-    batch = g1.demo_landed(li.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
-    return g1.transform(batch, g1.demo_history(li), g1.DEMO_CONFIG, g1.DEMO_RUN).drop("id")
+    return order_loader_rows(Tables(spark, sf_dir)).drop("id")
+
+
+def order_loader_rows(t):
+    batch = g1.demo_landed(t.lineitem.filter(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")))
+    return g1.transform(batch, g1.demo_history(t.lineitem), g1.DEMO_CONFIG, g1.DEMO_RUN)
 
 
 WL_PACKAGES_SQL = """
@@ -319,9 +322,13 @@ SELECT 'RUN-TARGETS-0001' AS id_ejecucion,
 FROM docs d LEFT JOIN roles r ON r.identificacion = d.ident
 """)
 def job_targets(spark, sf_dir):
+    return targets_rows(Tables(spark, sf_dir)).drop("id")
+
+
+def targets_rows(t):
     from ledgerline.jobs import targets as g15
-    sheets, org = g15.demo_inputs(Tables(spark, sf_dir))
-    return g15.build(sheets, org, g15.DEMO_RUN, "METAS").drop("id")
+    sheets, org = g15.demo_inputs(t)
+    return g15.build(sheets, org, g15.DEMO_RUN, "METAS")
 
 
 def _g18_sql() -> str:

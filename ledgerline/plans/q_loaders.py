@@ -224,7 +224,10 @@ SELECT {STAMP_SQL}, o_orderkey, {_deep('producto')} AS producto, coalesce({_deep
 FROM b
 """)
 def job_value_added(spark, sf_dir):
-    t = Tables(spark, sf_dir)
+    return value_added_rows(Tables(spark, sf_dir)).drop("id")
+
+
+def value_added_rows(t):
     k = F.col("o_custkey")
 
     def name(m):
@@ -239,7 +242,7 @@ def job_value_added(spark, sf_dir):
     people = {role: t.supplier.filter(F.col("s_nationkey") % 5 != len(role) % 5)
               .select(F.upper("s_name").alias("nombre"), F.col("s_suppkey").alias("id"), F.col("s_suppkey").alias("orden"))
               for role in ROLE_MODULI}
-    return L.value_added(df, people, RUN, ["cfm_act"], ["fecha_activacion"]).drop("id")
+    return L.value_added(df, people, RUN, ["cfm_act"], ["fecha_activacion"])
 
 
 @query("job_cloud_sales_manual", "G4 J2 J4 X34 N3 C1", sql=f"""

@@ -129,6 +129,29 @@ for _name in G.LAYOUTS:
           + (" C11" if G.LAYOUTS[_name].retired else ""), sql=_oracle(_name))(lambda spark, sf_dir, sheet=_name: _run_sheet(spark, sf_dir, sheet))
 
 
+_TITLES = "concat('x ', CASE s_suppkey % 4 WHEN 0 THEN 'JEFE' WHEN 1 THEN 'Coordinador Directo' WHEN 2 THEN 'gerente' ELSE 'consultor' END)"
+_NAMES = "CASE WHEN s_acctbal < 2000 THEN concat(s_name, ' (VACANTE)') ELSE s_name END"
+
+
+@query("org_vacancies_retired", "C7 G14", sql=f"""
+WITH stored AS (SELECT rol, s_name AS nombre, CASE WHEN s_suppkey % 9 = 0 THEN 4 ELSE 1 END AS id_estado_registro
+                FROM supplier, (VALUES ('jefe'), ('coordinador_directo'), ('gerente'), ('director')) r(rol)),
+sheet AS (SELECT {_TITLES} AS cargo, s_name AS nombre FROM supplier WHERE s_acctbal < 2000),
+gone AS (SELECT 'jefe' AS rol, nombre FROM sheet WHERE lower(cargo) LIKE '%jefe%'
+         UNION SELECT 'coordinador_directo', nombre FROM sheet WHERE lower(cargo) LIKE '%coordinador%'
+         UNION SELECT 'gerente', nombre FROM sheet WHERE lower(cargo) LIKE '%gerente%')
+SELECT rol, nombre, CASE WHEN EXISTS (SELECT 1 FROM gone g WHERE g.rol = s.rol AND g.nombre = s.nombre) THEN 4 ELSE id_estado_registro END AS id_estado_registro
+FROM stored s
+""")
+def org_vacancies_retired(spark, sf_dir):
+    """Stored persons of three roles whose post a sheet shows as vacant."""
+    s = Tables(spark, sf_dir).supplier
+    roles = F.explode(F.array(*[F.lit(r) for r in ("jefe", "coordinador_directo", "gerente", "director")]))
+    stored = s.select(roles.alias("rol"), F.col("s_name").alias("nombre"), F.when(F.col("s_suppkey") % 9 == 0, 4).otherwise(1).alias("id_estado_registro"))
+    sheet = s.select(F.expr(_TITLES).alias("cargo_actual"), F.expr(_NAMES).alias("nombre_completo"))
+    return G.retire_vacated(stored, {"red_maestra": sheet.filter("s_suppkey % 2 = 0"), "cavs": sheet.filter("s_suppkey % 2 = 1")})
+
+
 #: Loaders whose rows are counted against their ids.
 ID_LOADERS = ["job_order_loader", "job_value_added", "job_targets"]
 
@@ -139,12 +162,14 @@ def _ids_sql() -> str:
 
 @query("row_ids", "X44 W7 C1", sql=_ids_sql())
 def row_ids(spark, sf_dir):
-    """Rows and distinct ids of loaders, also where keys and rows repeat."""
-    from ledgerline.operators.lifecycle import with_row_ids
+    """Rows and distinct ids as the loaders return them, also where keys and
+    rows repeat."""
     from ledgerline.operators.setops import union_all
+    from ledgerline.plans import q_jobs as jobs, q_loaders as single
+    t = Tables(spark, sf_dir)
+    built = {"job_order_loader": jobs.order_loader_rows(t), "job_value_added": single.value_added_rows(t), "job_targets": jobs.targets_rows(t)}
     counts = []
     for name in ID_LOADERS:
-        rows = with_row_ids(REGISTRY[name].build(spark, sf_dir), "RUN-IDS")
-        counts.append(rows.groupBy(F.lit(name).alias("cargador"), "id").agg(F.count(F.lit(1)).alias("n"))
+        counts.append(built[name].groupBy(F.lit(name).alias("cargador"), "id").agg(F.count(F.lit(1)).alias("n"))
                       .groupBy("cargador").agg(F.sum("n").alias("filas"), F.count(F.lit(1)).alias("ids")))
     return union_all(counts)

@@ -32,5 +32,6 @@ def query(name: str, operators: str = "", sql: str | None = None):
 def load_all() -> dict[str, Registered]:
     # Import for side effects: each module registers its queries.
     from ledgerline.plans import (q_incremental, q_dedupe, q_joins, q_text,  # noqa: F401
-                                  q_dates, q_lifecycle, q_columns, q_jobs, q_loaders, q_org)
+                                  q_dates, q_lifecycle, q_columns, q_jobs, q_loaders, q_org,
+                                  q_storage)
     return REGISTRY

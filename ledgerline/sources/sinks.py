@@ -41,6 +41,10 @@ def write_audit(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str, version: int) -> None:
-    """Immutable versioned snapshot directory ``version=N``."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
+    """A new immutable snapshot folder ``version=N``; returns N.
+
+    Without a number the next free one is claimed; a number that is taken is an
+    error, as another run's snapshot stands there (``commits.claim_version``)."""
+    from ledgerline.sources.commits import claim_version
+    return claim_version(df, path, version)

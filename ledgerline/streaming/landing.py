@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from ledgerline.jobs.order_loader import LoaderConfig, transform
 from ledgerline.operators.columns import rename_map
 from ledgerline.operators.lifecycle import Run
+from ledgerline.operators.staging import staged
 from ledgerline.sources.readers import read_existing
 
 
@@ -42,6 +43,7 @@ def start_landing_loader(spark: SparkSession, landing_dir: str, schema: StructTy
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         from ledgerline.sources.sinks import append_table
+        batch = staged(batch, "micro-batch")  # it is read for its keys and for its rows
         stored = read_existing(spark, target_path)
         history = None if stored is None else stored.select(*cfg.key)
         if history is None:  # first load: an empty history with the key's types
