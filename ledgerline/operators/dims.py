@@ -10,7 +10,7 @@ from ledgerline.functions.text import deep_clean
 from ledgerline.operators.incremental import new_rows
 from ledgerline.operators.joins import spread_join
 from ledgerline.operators.numbering import number_rows
-from ledgerline.operators.staging import broadcast_if_small, staged
+from ledgerline.operators.staging import broadcast_if_small, staged_measured
 
 
 def domain_candidates(df: DataFrame, cols: list[str], clean=deep_clean,
@@ -88,14 +88,14 @@ def lookup_many(fact: DataFrame, dim: DataFrame, slots: list[tuple], group_col:
     row = F.col(take) if order_col is None else F.struct(order_col, take)
     one = dim.filter(F.col(group_col).isin(sorted({g for _, g, _ in slots})) & F.col(value_col).isNotNull())
     one = one.groupBy(F.col(group_col).alias("__group"), F.col(value_col).alias("__value")).agg(F.max(row).alias("__row"))
-    one = staged(one.select("__group", "__value", (F.col("__row") if order_col is None else F.col(f"__row.{take}")).alias("__id")), "dimension")
+    one, size = staged_measured(one.select("__group", "__value", (F.col("__row") if order_col is None else F.col(f"__row.{take}")).alias("__id")), "dimension")
     values = {f"__v{i}": F.col(c) if isinstance(c, str) else c for i, (c, _, _) in enumerate(slots)}
-    out, (few, small) = fact.withColumns(values), broadcast_if_small(one)
+    out, (few, small) = fact.withColumns(values), broadcast_if_small(one, size)
     if not small:
         held = out.select(F.explode(F.array(*[F.struct(F.lit(g).alias("__group"), F.col(f"__v{i}").cast("string").alias("__value"))
                                               for i, (_, g, _) in enumerate(slots)])).alias("s")).select("s.*").filter("__value IS NOT NULL").distinct()
-        one = staged(spread_join(one, held, ["__group", "__value"], "left_semi"), "dimension-held")
-        few, small = broadcast_if_small(one)
+        one, size = staged_measured(spread_join(one, held, ["__group", "__value"], "left_semi"), "dimension-held")
+        few, small = broadcast_if_small(one, size)
     for i, (_, group, name) in enumerate(slots):
         own = (few if small else one).filter(F.col("__group") == group).select(F.col("__value").alias(f"__v{i}"), F.col("__id").alias(name))
         # A filter would lose the hint.

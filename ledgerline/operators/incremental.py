@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import normalised_keys, spread_join
-from ledgerline.operators.staging import broadcast_if_small, staged
+from ledgerline.operators.staging import broadcast_if_small, staged_measured
 
 
-def matched_keys(history: DataFrame, batch_keys: DataFrame, names: list[str]) -> DataFrame:
-    """Distinct keys of ``history`` that the staged, distinct ``batch_keys`` hold."""
-    few, small = broadcast_if_small(batch_keys)
+def matched_keys(history: DataFrame, batch_keys: tuple[DataFrame, int], names: list[str]) -> DataFrame:
+    """Distinct keys of ``history`` that the staged, distinct ``batch_keys``
+    (with their measured bytes) hold; all of them if the batch has too many."""
+    few, small = broadcast_if_small(*batch_keys)
     if small:
         return history.join(few, names, "left_semi").distinct()
     return history.distinct()
@@ -40,7 +41,7 @@ def _keyed_join(batch: DataFrame, history: DataFrame, keys, how: str,
     h = history.select(*[F.col(hk).alias(k) for hk, k in zip(history_keys, keys)])
     h, _ = normalised_keys(h, list(keys), "__k", null_safe)
     h = h.select(*names)
-    known = h.distinct() if small_history else matched_keys(h, staged(b.select(*names).distinct(), "batch-keys"), names)
+    known = h.distinct() if small_history else matched_keys(h, staged_measured(b.select(*names).distinct(), "batch-keys"), names)
     return spread_join(b, known, names, how).drop(*names)
 
 
@@ -83,7 +84,7 @@ def membership_flag(df: DataFrame, keys_df: DataFrame, keys: list[str], flag: st
     marks = keys_df.select(*[F.col(a).alias(b) for a, b in zip(kcols, keys)])
     b, names = normalised_keys(df, keys, "__m")
     m, _ = normalised_keys(marks, keys, "__m")
-    m = matched_keys(m.select(*names), staged(b.select(*names).distinct(), "row-keys"), names).withColumn("__hit", F.lit(True))
+    m = matched_keys(m.select(*names), staged_measured(b.select(*names).distinct(), "row-keys"), names).withColumn("__hit", F.lit(True))
     out = spread_join(b, m, names, "left")
     return (out.withColumn(flag, F.when(F.col("__hit"), F.lit(yes)).otherwise(F.lit(no)))
                .drop("__hit", *names))

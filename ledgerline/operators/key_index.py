@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators.incremental import matched_keys
 from ledgerline.operators.joins import normalised_keys, spread_join
 from ledgerline.operators.lifecycle import Run
-from ledgerline.operators.staging import staged
+from ledgerline.operators.staging import staged_measured
 from ledgerline.sources.commits import Commit, append_committed, read_committed
 
 BUCKETS = 256
@@ -57,9 +57,9 @@ class KeyIndex:
     def _joined(self, batch: DataFrame, how: str, keys: list[str] | None) -> DataFrame:
         own = keys or self.keys
         keyed, names = _keyed(batch, own, dict(zip(own, self.types.values())), self.buckets)
-        few = staged(keyed.select(*names, "__bucket").distinct(), "batch-keys")
+        few, size = staged_measured(keyed.select(*names, "__bucket").distinct(), "batch-keys")
         wanted = sorted(r["__bucket"] for r in few.select("__bucket").distinct().collect())  # ``buckets`` at most
-        known = matched_keys(self._read(wanted, names), few.select(*names), names)
+        known = matched_keys(self._read(wanted, names), (few.select(*names), size), names)
         return spread_join(keyed, known, names, how).select(*batch.columns)
 
     def new_rows(self, batch: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.joins import normalised_keys, spread_join
-from ledgerline.operators.staging import broadcast_if_small, staged
+from ledgerline.operators.staging import broadcast_if_small, staged, staged_measured
 from ledgerline.sources.commits import claim_version, versions
 
 
@@ -58,8 +58,9 @@ def with_states(table: DataFrame, log: str, keys: list[str], state_col: str = "i
     kind = dict(table.dtypes)[state_col]
     keyed, names = normalised_keys(table, keys, "__s")
     marks, _ = normalised_keys(found, keys, "__s")
-    marks = staged(marks.select(*names, F.col("new_state").alias("__new"), F.col("unless").alias("__unless"), F.lit(True).alias("__hit")), "states")
-    few, small = broadcast_if_small(marks)
+    marks = marks.select(*names, F.col("new_state").alias("__new"), F.col("unless").alias("__unless"), F.lit(True).alias("__hit"))
+    marks, size = staged_measured(marks, "states")
+    few, small = broadcast_if_small(marks, size)
     joined = keyed.join(few, names, "left") if small else spread_join(keyed, marks, names, "left")
     stays = F.col("__hit").isNull() | F.col(state_col).cast("string").eqNullSafe(F.col("__unless")) & F.col("__unless").isNotNull()
     return joined.withColumn(state_col, F.when(stays, F.col(state_col)).otherwise(F.col("__new").cast(kind))).select(*table.columns)

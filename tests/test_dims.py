@@ -26,7 +26,7 @@ def test_one_dimension_for_all_slots(spark, monkeypatch):
     slots = [("a", "one", "ia"), (F.lower("b"), "two", "ib"), ("c", "three", "ic")]
     for sizes in ([True], [False, True], [False, False]):
         answers = iter(sizes)
-        monkeypatch.setattr(dims, "broadcast_if_small", lambda df: (df, next(answers)))
+        monkeypatch.setattr(dims, "broadcast_if_small", lambda df, size: (df, next(answers)))
         out = dims.lookup_many(fact, dim, slots)
         assert {r["i"]: (r["ia"], r["ib"], r["ic"]) for r in out.collect()} == want
         assert out.columns == ["i", "a", "b", "c", "ia", "ib", "ic"]

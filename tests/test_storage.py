@@ -12,7 +12,7 @@ from ledgerline.operators import state_log
 from ledgerline.operators.incremental import new_rows
 from ledgerline.operators.key_index import KeyIndex
 from ledgerline.operators.lifecycle import Run, numbered_copies, with_row_ids
-from ledgerline.operators.staging import broadcast_if_small, staged
+from ledgerline.operators.staging import broadcast_if_small, staged_measured
 from ledgerline.sources import commits, ledger, sinks
 from tests.test_plans import formatted
 
@@ -187,7 +187,7 @@ def test_a_batch_of_many_keys_gives_the_same_rows(spark, monkeypatch):
     from ledgerline.operators import incremental
     history, batch = spark.range(1000).selectExpr("id AS k"), spark.range(500, 1500).selectExpr("id AS k", "id % 3 AS v")
     few = values(new_rows(batch, history, ["k"]), "k")
-    monkeypatch.setattr(incremental, "broadcast_if_small", lambda df: broadcast_if_small(df, limit=0))
+    monkeypatch.setattr(incremental, "broadcast_if_small", lambda df, size: broadcast_if_small(df, size, limit=0))
     assert values(new_rows(batch, history, ["k"]), "k") == few == [(k,) for k in range(1000, 1500)]
 
 
@@ -262,10 +262,11 @@ def test_null_keys_and_a_large_log(spark, tmp_dir, monkeypatch):
     want = [("1", 1), ("4", -1), ("4", 2)]
     show = lambda: sorted((r["id_estado"], -1 if r["k"] is None else r["k"]) for r in state_log.with_states(table, log, ["k"]).collect())
     assert show() == want
-    monkeypatch.setattr(state_log, "broadcast_if_small", lambda df: (df, False))
+    monkeypatch.setattr(state_log, "broadcast_if_small", lambda df, size: (df, False))
     assert show() == want
 
 
 def test_measured_broadcast(spark):
-    df = staged(spark.range(100).selectExpr("id", "repeat('x', 100) AS s", "array(id) AS a"), "m")
-    assert broadcast_if_small(df)[1] and not broadcast_if_small(df, limit=5000)[1]
+    df, size = staged_measured(spark.range(100).selectExpr("id", "repeat('x', 100) AS s", "array(id) AS a"), "m")
+    assert size > 100 * 132 and broadcast_if_small(df, size)[1] and not broadcast_if_small(df, size, limit=5000)[1]
+    assert staged_measured(df.limit(0), "m")[1] == 0
