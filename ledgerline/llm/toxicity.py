@@ -1,70 +1,69 @@
 """Operator 5: toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Fit: of the labelled training rows the ``PER_CLASS`` of either class whose text
-has the smallest hash are the examples, and all their words the vocabulary of
-the search: the number of examples is its bound.  Document frequencies are
-counted over all documents, those of words that no example has too: they are
-part of a text's norm.
+Fit: of the labelled training texts the ``PER_CLASS`` of either class with the
+smallest hash are the examples, each distinct text once and near copies (most
+of their sketch's minima equal) once; texts of more than ``EXAMPLE_CHARS``
+characters are none, so what is collected is bounded.  A word weighs
+(1 + log tf) idf (1 + r^2): idf over all documents, and r the log of how much
+likelier one class's examples hold it, drawn towards 0 by ``PRIOR`` examples.
+Words that no example has weigh their TF-IDF (r is 0) and count in the norms.
 
 Search: the examples lie in an inverted index.  Short lists are added up in
 full; words that many examples have are cut into blocks with their largest
 weight in each.  A query adds these up to a bound per block, scores the blocks
-in falling order of their bounds, and stops once the next bound is below its
-k-th best cosine, so the k nearest are exact.
+in falling order of their bounds, some at a time, and drops all whose bound is
+below its k-th best cosine, so the k nearest are exact.  All documents are
+searched this way.
 
 Score: the neighbours vote for their labels, weighted by the inverse of their
-distance; a logistic curve over vote, best cosine and what the telling words
-say (their number, their share and the sum of their log odds), fitted to the
-examples' own leave-one-out features and weighted to the classes' shares in
-all training rows, makes it a probability.  Telling words are those that tell
-the classes apart (chi-square, corrected for the number of words tried),
-``TERMS`` at most: a feature beside the cosine, which is over all words.  A
-text that shares no word with any example has no neighbour; it scores the
-toxic share among such examples.  The neighbours are returned as evidence.
+distance; a logistic curve of the vote, fitted to the examples' own
+leave-one-out votes and weighted to the classes' shares in all training rows,
+makes it a probability.  A text that shares no word with any example has no
+neighbour; it scores the toxic share among such examples.  The neighbours and
+their cosines are returned as evidence.
 
 Defined cases: null text is empty; repeated rows are scored alike; rows with a
-null label or id teach nothing; neighbours that tie are taken in the order of
-their text's hash; a word that all documents have weighs nothing; without
-labelled rows of both classes every score is the share of toxic training rows
-(0 without any); extra columns are ignored.
+null label or id teach nothing; a text with both labels is an example of
+either; neighbours that tie are taken in the order of their text's hash; a word
+that all documents have weighs nothing; without labelled rows of both classes
+every score is the share of toxic training rows (0 without any); extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code, tidied
+from ledgerline.operators.joins import spread_join
 
 PER_CLASS = 1500
-TERMS = 4096
-MIN_SHARE = 0.01
-SPARE = 3
+EXAMPLE_CHARS = 100_000
+PRIOR = 5
 NEIGHBOURS = 15
 BLOCK = 64
 #: A word that more than 1 / OFTEN of the examples have is kept in blocks.
 OFTEN = 16
-#: Texts that are searched at once.
-QUERIES = 64
+#: Blocks that are scored at once.
+AT_ONCE = 6
+#: Minima of an example's sketch, and how many near copies share.
+MINIMA, SHARED = 16, 13
 
-_words = regex.compile(r"[\p{L}\p{N}]+").findall
-
-
-def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+#: Runs of letters and digits.
+_words = re.compile(r"[^\W_]+").findall
 
 
 class BlockMaxIndex:
-    """Exact top-k dot products with unit vectors given as (terms, weights)."""
+    """Exact top-k dot products with vectors given as (terms, weights)."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], block: int = BLOCK):
         self.size, self.block = len(vectors), block
@@ -79,17 +78,17 @@ class BlockMaxIndex:
         often = np.flatnonzero(np.diff(self.first) * OFTEN > self.size)
         self.row = np.full(width, -1)
         self.row[often] = np.arange(len(often))
-        self.often = np.zeros((self.blocks * block, len(often)))
+        #: the long lists, block by block, and their largest weight in each block
+        self.often = np.zeros((self.blocks, len(often), block))
         for r, t in enumerate(often.tolist()):
             own = slice(self.first[t], self.first[t + 1])
-            self.often[self.ids[own], r] = self.weights[own]
-        self.most = self.often.reshape(self.blocks, block, len(often)).max(1) if self.blocks else np.zeros((0, len(often)))
-
-    def short_lists(self, terms: list[int], weights: list[float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(products over the short lists, columns and weights of the long ones)."""
-        t, w = np.asarray(terms, np.int64), np.asarray(weights, float)
-        inside = t < len(self.row)
-        t, w = t[inside], w[inside]
+            self.often[self.ids[own] // block, r, self.ids[own] % block] = self.weights[own]
+        self.most = np.ascontiguousarray(self.often.max(2).T) if self.blocks else np.zeros((len(often), 0))
+
+    def short_lists(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(products over the short lists, rows and weights of the long ones)."""
+        inside = terms < len(self.row)
+        t, w = terms[inside], weights[inside]
         rows = self.row[t]
         few, many = rows < 0, rows >= 0
         at = self.first[t[few]]
@@ -97,84 +96,61 @@ class BlockMaxIndex:
         where = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
         return np.bincount(self.ids[where], self.weights[where] * np.repeat(w[few], n), self.blocks * self.block), rows[many], w[many]
 
-    def search(self, terms: list[int], weights: list[float], k: int, skip: int = -1) -> list[tuple[float, int]]:
+    def search(self, terms, weights, k: int, skip: int = -1) -> list[tuple[float, int]]:
         """The k largest (product, example), ties by example; zeros are none."""
         if not self.size:
             return []
-        score, rows, w = self.short_lists(terms, weights)
-        bound = score.reshape(self.blocks, self.block).max(1) + self.most[:, rows] @ w
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            full = len(best) >= k
-            if bound[b] <= 0 or full and bound[b] < -best[k - 1][0] - 1e-9 * bound[b]:
-                break
-            part = slice(b * self.block, (b + 1) * self.block)
-            own = score[part] + self.often[part][:, rows] @ w
-            for i in np.flatnonzero(own >= -best[k - 1][0] if full else own > 0).tolist():
-                if own[i] > 0 and b * self.block + i != skip:
-                    best.append((-float(own[i]), b * self.block + i))
-            best.sort()
-            del best[k:]
-        return [(-s, i) for s, i in best]
-
-    def search_many(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[list[tuple[float, int]]]:
-        """``search`` of each query.  Whole texts share common words with nearly
-        every block, so the long lists of all queries are one matrix product;
-        it names the candidates, whose products are then summed in fixed order."""
-        if not self.size:
-            return [[] for _ in queries]
-        parts = [self.short_lists(*q) for q in queries]
-        asked = np.zeros((len(parts), self.often.shape[1]))
-        for own, (_, rows, w) in zip(asked, parts):
-            own[rows] = w
-        out = []
-        for long, (score, rows, w) in zip(asked @ self.often.T, parts):
-            total = score + long
-            least = np.partition(total, -k)[-k] if k < len(total) else 0.0
-            near = np.flatnonzero((total > 0) & (total >= least * (1 - 1e-9)))
-            exact = score[near] + (np.ascontiguousarray(self.often[near[:, None], rows]) * w).sum(1)
-            out.append([(-s, i) for s, i in sorted(zip((-exact).tolist(), near.tolist()))[:k]])
-        return out
-
-
-def weighed(terms: list[int], counts: list[int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """TF-IDF weights (1 + log tf) idf; terms without weight drop out."""
-    t = np.array(terms, np.int64)
-    w = (1 + np.log(np.array(counts, float))) * idf[t]
-    return t[w > 0], w[w > 0]
+        score, rows, w = self.short_lists(np.asarray(terms, np.int64), np.asarray(weights, float))
+        score = score.reshape(self.blocks, self.block)
+        bound = score.max(1) + w @ self.most[rows]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        best, who = np.empty(0), np.empty(0, np.int64)
+        least, at = 0.0, 0
+        while at < len(order):
+            part = order[at:at + AT_ONCE]
+            part = part[bound[part] >= least * (1 - 1e-9)]
+            if not len(part):
+                break  # so are all bounds that follow
+            own = score[part] + np.einsum("t,btj->bj", w, self.often[part[:, None], rows])
+            ids = (part[:, None] * self.block + np.arange(self.block)).ravel()
+            own = own.ravel()
+            good = (own > 0) & (own >= least) & (ids != skip)
+            best, who = np.concatenate([best, own[good]]), np.concatenate([who, ids[good]])
+            if len(best) > k:
+                keep = np.lexsort((who, -best))[:k]
+                best, who = best[keep], who[keep]
+            if len(best) == k:
+                least = float(best.min())
+            at += AT_ONCE
+        order = np.lexsort((who, -best))
+        return list(zip(best[order].tolist(), who[order].tolist()))
 
 
 @dataclass
 class Model:
-    terms: dict[str, int]  # the telling words
     words: dict[str, int]  # the words of the examples
-    idf: np.ndarray
-    seen: np.ndarray  # examples that hold each telling word, by class
+    scale: np.ndarray  # idf (1 + r^2) of each
     index: BlockMaxIndex
     labels: np.ndarray
     ids: list[int]
     curve: np.ndarray
     empty: float
 
-    def tell(self, own: list[int], without: int | None = None) -> float:
-        """Sum of the log odds of the telling words in a text, as seen in the
-        examples (but for the text itself, if it is one of that class)."""
-        seen = self.seen[own]
-        if without is not None:
-            seen[:, without] -= 1
-        size = np.array([(self.labels == c).sum() for c in (0, 1)]) + 1.0
-        odds = np.log((seen + 0.5) / size)
-        return float((odds[:, 1] - odds[:, 0]).sum())
-
-    def features(self, found: list[tuple[float, int]], hits: int, size: int, tell: float) -> list[float]:
-        w = [1 / (1 - min(s, 1.0) + 0.05) for s, _ in found]
-        vote = (sum(a * self.labels[i] for a, (_, i) in zip(w, found)) + 0.1) / (sum(w) + 0.2)
-        return [1.0, math.log(vote / (1 - vote)), found[0][0], math.log(hits + 0.5), math.log((hits + 0.5) / (size + 1)), tell]
-
-    def score(self, found: list[tuple[float, int]], hits: int, size: int, tell: float) -> float:
-        if not found:
+    def weighed(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(counts)) * self.scale[terms]
+        return terms[w > 0], w[w > 0]
+
+    def vote(self, cosines: list[float], near: list[int]) -> float:
+        """Log odds of label 1 among the neighbours, the nearer the more."""
+        w = 1 / (1 - np.minimum(np.array(cosines), 1.0) + 0.05)
+        share = ((w * self.labels[near]).sum() + 0.1) / (w.sum() + 0.2)
+        return math.log(share / (1 - share))
+
+    def score(self, cosines: list[float], near: list[int]) -> float:
+        if not near:
             return self.empty
-        z = float(np.dot(self.curve, self.features(found, hits, size, tell)))
+        z = self.curve[0] + self.curve[1] * self.vote(cosines, near)
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
@@ -192,162 +168,186 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
     return b
 
 
+def relevance(toxic: np.ndarray, clean: np.ndarray, size: dict[int, int], prior: float = PRIOR) -> np.ndarray:
+    """Size of the log odds that a word, held by so many examples of either
+    class, gives for one of them; 0 for a word that no example has."""
+    n = size[0] + size[1]
+    a, b = toxic + prior * size[1] / n, clean + prior * size[0] / n
+    return np.abs(np.log(a / b * size[0] / size[1]))
+
+
+def _distinct_texts(sketches: np.ndarray) -> list[int]:
+    """Rows that share fewer than ``SHARED`` minima with every row kept before."""
+    kept: list[int] = []
+    held = np.zeros((0, sketches.shape[1]), np.int64)
+    for i, x in enumerate(sketches):
+        if not len(held) or (held == x).sum(1).max() < SHARED:
+            kept.append(i)
+            held = sketches[kept]
+    return kept
+
+
 def examples(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, dict[int, int]]:
-    """((doc_id, toxic, h) of the examples, training rows per class)."""
+    """((doc_id, toxic, h) of the examples, training rows per class).
+
+    Texts are drawn by the smallest hashes of distinct texts, so that copies
+    neither take a place nor thin a class out; while near copies leave fewer
+    than ``per_class``, twice as many are drawn, up to all."""
     spark = docs.sparkSession
-    own = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
+    text = F.coalesce("text", F.lit(""))
+    own = docs.select("doc_id", F.xxhash64(text).alias("h"), F.length(text).alias("n"))
     marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").filter(doc_crc() % 5 != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     train = saved(spark, own.join(marked.distinct(), "doc_id").distinct(), "labelled")
     shares = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}  # two labels
-    # The lowest share of the hashes holds some more rows than are wanted: copies go.
-    upto = {c: int(min(2 ** 63 - 1, -2 ** 63 + min(1.0, SPARE * per_class / n) * 2 ** 64)) for c, n in shares.items()}
-    picked = F.lit(False)
-    for c, bound in upto.items():
-        picked = picked | ((F.col("toxic") == c) & (F.col("h") <= F.lit(bound)))
-    drawn = saved(spark, train.filter(picked), "drawn")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).join(F.broadcast(drawn), ["doc_id", "h"])
-    texts = texts.withColumn("words", words(F.col("text")))
-    runs = F.expr("array_min(transform(sequence(1, greatest(1, size(words) - 2)), i -> xxhash64(slice(words, i, 3))))")
-    one = texts.select("doc_id", "h", "toxic", runs.alias("sketch")).groupBy("toxic", "sketch").agg(F.min(F.struct("h", "doc_id")).alias("low"))
-    rows = sorted((r["toxic"], r["low"]["h"], r["low"]["doc_id"]) for r in one.collect())  # SPARE x per_class a class at most
-    kept = [x for c in shares for x in [r for r in rows if r[0] == c][:per_class]]
-    return spark.createDataFrame([(i, t, h) for t, h, i in kept], "doc_id long, toxic int, h long"), shares
-
-
-def fit_terms(docs: DataFrame, chosen: DataFrame, most: int = TERMS) -> list[str]:
-    """The words that tell the examples' classes apart."""
-    texts = (docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"))
-             .join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"]))
-    seen = texts.select("toxic", F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    per_word = seen.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).filter(F.col("a") + F.col("b") > 1)
-    size = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    pos, neg = size.get(1, 0), size.get(0, 0)
-    if not pos or not neg:
-        return []
-    per_word = saved(docs.sparkSession, per_word, "word-classes")
-    tried = per_word.count()
-    # p < 0.05 / tried for one degree of freedom
-    least = 2 * math.log(max(tried, 1) / 0.05) - math.log(math.pi * math.log(max(tried, 2) / 0.05))
-    n, a, b = pos + neg, F.col("a"), F.col("b")
-    chi = n * (a * neg - b * pos) ** 2 / (pos * neg * (a + b) * (n - a - b + F.lit(1e-9)))
-    often = (a >= max(3, MIN_SHARE * pos)) | (b >= max(3, MIN_SHARE * neg))
-    kept = per_word.filter(often).select("word", chi.alias("chi")).filter(F.col("chi") >= least).orderBy(F.desc("chi"), "word").limit(most)
-    return sorted(r["word"] for r in kept.collect())
-
-
-def bags(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """(keep..., words, counts): the words of each text and how often it has them."""
+    texts = saved(spark, train.filter(F.col("n") <= EXAMPLE_CHARS).groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id")), "labelled-texts")
+    sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    kept: list[tuple] = []
+    for c, n in sorted(sizes.items()):
+        spare = 1.5
+        while True:
+            upto = int(min(2 ** 63 - 1, -2 ** 63 + min(1.0, spare * per_class / n) * 2 ** 64))
+            drawn = saved(spark, texts.filter((F.col("toxic") == c) & (F.col("h") <= F.lit(upto))).select("h", "doc_id"), "drawn")
+            rows = sorted((r for r in _sketched(docs, drawn).collect()), key=lambda r: (r["h"], r["doc_id"]))  # about spare x per_class
+            mine = _distinct_texts(np.array([r["sketch"] for r in rows], np.int64).reshape(-1, MINIMA))
+            if len(mine) >= per_class or spare * per_class >= n:
+                break
+            spare *= 2
+        kept += [(rows[i]["doc_id"], c, rows[i]["h"]) for i in mine[:per_class]]
+    return spark.createDataFrame(kept, "doc_id long, toxic int, h long"), shares
+
+
+def _sketched(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """(h, doc_id, sketch): minima of the drawn texts' runs of three words."""
     ship_code(docs.sparkSession)
 
-    @F.arrow_udf("words array<string>, counts array<int>")
-    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("array<long>")
+    def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import xxhash
+        salts = np.random.default_rng(7).integers(1, 2 ** 62, MINIMA).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         for texts in tidied(batches):
-            own = [Counter(_words(t.lower())) if t else {} for t in texts.to_pylist()]
-            yield pa.StructArray.from_arrays([pa.array([list(c) for c in own], pa.list_(pa.string())),
-                                              pa.array([list(c.values()) for c in own], pa.list_(pa.int32()))], ["words", "counts"])
+            out = []
+            for t in texts.to_pylist():
+                own = _words(t.lower())
+                runs = {" ".join(own[i:i + 3]) for i in range(max(1, len(own) - 2))}
+                h = np.array([xxhash.xxh64_intdigest(x) for x in runs], np.uint64)
+                mixed = h[:, None] * salts
+                out.append((mixed ^ (mixed >> np.uint64(29))).min(0).view(np.int64).tolist())
+            yield pa.array(out, pa.list_(pa.int64()))
+
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    return own.join(broadcast_if_small(drawn), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"]).select("h", "doc_id", sketch("text").alias("sketch"))
 
-    return docs.select(*keep, count(F.col("text")).alias("c")).select(*keep, "c.words", "c.counts")
 
+def _counted(text: str | None) -> Counter:
+    return Counter(_words(text.lower())) if text else Counter()
 
-def frequencies(docs: DataFrame, words_of: dict[str, int]) -> tuple[np.ndarray, int]:
-    """(documents that hold each of the words, all documents)."""
+
+def bags(docs: DataFrame, words: dict[str, int], keep: list[str]) -> DataFrame:
+    """(keep..., row, ids, counts, rest, rest_counts): the words of each whole
+    text, those of the examples by number, the others by hash.  Every text is
+    read here once."""
     spark = docs.sparkSession
     ship_code(spark)
-    handle = spark.sparkContext.broadcast(words_of)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, n = handle.value, 0
-        df = np.zeros(len(where), np.int64)
-        for batch in tidied(batches):
-            n += batch.num_rows
-            for t in batch.column(0).to_pylist():
-                own = [i for i in map(where.get, set(_words(t.lower()))) if i is not None] if t and where else []
-                df[own] += 1
-        some = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()), pa.array(np.append(df[some], n), pa.int64())], names=["t", "n"])
-
-    # A row a word of the examples.
-    rows = docs.select("text").mapInArrow(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).collect()
-    df, n = np.zeros(len(words_of), np.int64), 0
-    for t, k in rows:
-        if t < 0:
-            n = k
-        else:
-            df[t] = k
-    return df, n
+    handle = spark.sparkContext.broadcast(words)
 
+    @F.arrow_udf("ids array<int>, counts array<int>, rest array<string>, rest_counts array<int>")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        number = handle.value.get
+        for texts in tidied(batches):
+            parts: list[list] = [[], [], [], []]
+            at: list[list[int]] = [[0], [0]]
+            for t in texts.to_pylist():
+                for w, n in _counted(t).items():
+                    i = number(w)
+                    parts[0 if i is not None else 2].append(i if i is not None else w)
+                    parts[1 if i is not None else 3].append(n)
+                at[0].append(len(parts[0]))
+                at[1].append(len(parts[2]))
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int32())
+            lists = [pa.ListArray.from_arrays(pa.array(at[j // 2], pa.int32()), pa.array(parts[j], kinds[j])) for j in range(4)]
+            yield pa.StructArray.from_arrays(lists, ["ids", "counts", "rest", "rest_counts"])
+
+    out = docs.select(*keep, count(F.col("text")).alias("b")).select(*keep, F.monotonically_increasing_id().alias("row"), "b.*")
+    return out.withColumn("rest", F.transform("rest", lambda w: F.xxhash64(w)))
+
+
+def _rest_norms(counted: DataFrame, documents: int) -> DataFrame:
+    """(row, rest_norm): squares of the weights of the words that no example has."""
+    rest = counted.select("row", F.explode(F.arrays_zip("rest", "rest_counts")).alias("w")).select("row", F.col("w.rest").alias("word"), F.col("w.rest_counts").alias("tf"))
+    # All occurrences of such a word are here; a common one is counted map-side, and its rows are spread.
+    found = rest.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0 + documents) / (1 + F.col("df")))
+    squares = spread_join(rest, found, ["word"], "inner").select("row", F.pow((1 + F.log("tf")) * idf, 2).alias("x"))
+    # Whole numbers, so that the order of the sum does not show.
+    return squares.groupBy("row").agg(F.sum((F.col("x") * 1e9).cast("long")).alias("rest_norm"))
 
-def search(docs: DataFrame, model: Model, n: int, keep: list[str]) -> DataFrame:
-    """(keep..., cosines, near, hits, size, tell): the nearest examples of each
-    whole text, and what its telling words say."""
-    spark = docs.sparkSession
+
+def search(counted: DataFrame, model: Model, documents: int, keep: list[str]) -> DataFrame:
+    """(keep..., cosines, near): the nearest examples of each text."""
+    spark = counted.sparkSession
     ship_code(spark)
     handle = spark.sparkContext.broadcast(model)
 
-    @F.arrow_udf("products array<double>, near array<int>, known double, hits int, size int, tell double, rest array<string>, tf array<int>")
-    def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("products array<double>, near array<int>, known double")
+    def nearest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         own = handle.value
-        kinds = [pa.list_(pa.float64()), pa.list_(pa.int32()), pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int32())]
-        names = ["products", "near", "known", "hits", "size", "tell", "rest", "tf"]
-        for texts in tidied(batches):
-            rows, out = texts.to_pylist(), []
-            for k in range(0, len(rows), QUERIES):
-                bags = [Counter(_words(text.lower())) if text else Counter() for text in rows[k:k + QUERIES]]
-                asked = []
-                for bag in bags:
-                    here = [(own.words[w], c) for w, c in bag.items() if w in own.words]
-                    asked.append(weighed([i for i, _ in here], [c for _, c in here], own.idf))
-                for bag, (_, w), found in zip(bags, asked, own.index.search_many(asked, NEIGHBOURS)):
-                    telling = [x for x in bag if x in own.terms]
-                    rest = [x for x in bag if x not in own.words] if found else []
-                    out.append(([s for s, _ in found], [i for _, i in found], float((w * w).sum()), sum(bag[x] for x in telling), bag.total(),
-                                own.tell([own.terms[x] for x in telling]), rest, [bag[x] for x in rest]))
-            yield pa.StructArray.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], names)
-
-    found = docs.select(*keep, nearest(F.col("text")).alias("s")).select(*keep, F.monotonically_increasing_id().alias("row"), "s.*")
-    found = saved(spark, found, "nearest")
-    # The words that no example has belong to the norm: all their occurrences are here.
-    rest = found.select("row", F.explode(F.arrays_zip("rest", "tf")).alias("w")).select("row", F.xxhash64("w.rest").alias("word"), F.col("w.tf").alias("tf"))
-    idf = F.log(F.lit(1.0 + n) / (1 + F.count(F.lit(1)).over(Window.partitionBy("word"))))
-    squares = rest.select("row", F.pow((1 + F.log("tf")) * idf, 2).alias("x"))
-    # Whole numbers, so that the order of the sum does not show.
-    norms = squares.groupBy("row").agg(F.sum((F.col("x") * 1e9).cast("long")).alias("rest_norm"))
-    norms = broadcast_if_small(saved(spark, norms, "norms"))
+        for ids, counts in tidied(batches):
+            terms, tf = ids.flatten().to_numpy(), counts.flatten().to_numpy()
+            at = np.append(0, np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False)))
+            out = []
+            for a, b in zip(at.tolist(), at[1:].tolist()):
+                t, w = own.weighed(terms[a:b], tf[a:b])
+                found = own.index.search(t, w, NEIGHBOURS)
+                out.append(([s for s, _ in found], [i for _, i in found], float((w * w).sum())))
+            kinds = [pa.list_(pa.float64()), pa.list_(pa.int32()), pa.float64()]
+            yield pa.StructArray.from_arrays([pa.array([r[j] for r in out], kind) for j, kind in enumerate(kinds)], ["products", "near", "known"])
+
+    found = saved(spark, counted.select(*keep, "row", nearest("ids", "counts").alias("s")).select(*keep, "row", "s.*"), "nearest")
+    norms = broadcast_if_small(saved(spark, _rest_norms(counted, documents), "norms"))
     size = F.sqrt(F.col("known") + F.coalesce(F.col("rest_norm") / 1e9, F.lit(0.0)))
-    return (found.drop("rest", "tf").join(norms, "row", "left").withColumn("length", size)
-            .select(*keep, F.transform("products", lambda x: x / F.col("length")).alias("cosines"), "near", "hits", "size", "tell"))
+    return (found.join(norms, "row", "left").withColumn("length", size)
+            .select(*keep, F.transform("products", lambda x: x / F.col("length")).alias("cosines"), "near"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[Model, DataFrame]:
     """(model, nearest examples of all documents)."""
+    spark = docs.sparkSession
+    ship_code(spark)
     chosen, shares = examples(docs, labels, per_class)
-    terms = fit_terms(docs, chosen)
-    counted = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    drawn = counted.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"])
-    rows = bags(drawn, ["doc_id", "h", "toxic"]).orderBy("h", "doc_id", "toxic").collect() if len(shares) > 1 else []  # 2 x per_class at most
-    vocabulary = {w: i for i, w in enumerate(sorted({w for r in rows for w in r["words"]}))}
-    df, n = frequencies(docs, vocabulary)
-    idf = np.log((1 + n) / (1 + df))
+    hashed = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    # 2 x per_class rows at most, of EXAMPLE_CHARS at most.
+    drawn = hashed.join(F.broadcast(chosen), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"]) if len(shares) > 1 else hashed.limit(0).withColumn("toxic", F.lit(0))
+    rows = [(r["doc_id"], r["toxic"], _counted(r["text"])) for r in drawn.select("doc_id", "toxic", "h", "text").orderBy("h", "doc_id", "toxic").toLocalIterator()]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for _, _, bag in rows for w in bag}))}
+    counted = saved(spark, bags(docs, vocabulary, ["doc_id"]), "bags")
+    documents = counted.count()
+    df = np.zeros(len(vocabulary), np.int64)
+    for r in counted.select(F.explode("ids").alias("i")).groupBy("i").count().collect():  # a row a word of the examples
+        df[r["i"]] = r["count"]
+    labels_of = np.array([t for _, t, _ in rows], int)
+    held = np.zeros((2, len(vocabulary)))
+    plain = []
+    for _, t, bag in rows:
+        terms = np.array([vocabulary[w] for w in bag], np.int64)
+        held[t, terms] += 1
+        plain.append((terms, np.array(list(bag.values()), float)))
+    size = {c: int((labels_of == c).sum()) for c in (0, 1)}
+    scale = np.log((1 + documents) / (1 + df))
+    if size[0] and size[1]:
+        scale = scale * (1 + relevance(held[1], held[0], size) ** 2)
+    share = shares.get(1, 0) / max(1, sum(shares.values()))
+    model = Model(vocabulary, scale, BlockMaxIndex([]), labels_of, [i for i, _, _ in rows], np.zeros(2), share)
     vectors = []
-    for r in rows:
-        t, w = weighed([vocabulary[x] for x in r["words"]], r["counts"], idf)
+    for terms, counts in plain:
+        t, w = model.weighed(terms, counts)
         vectors.append((t, w / math.sqrt((w * w).sum()) if len(w) else w))
-    labels_of = np.array([r["toxic"] for r in rows], int)
-    where = {t: i for i, t in enumerate(terms)}
-    told = [sorted(where[x] for x in r["words"] if x in where) for r in rows]
-    seen = np.zeros((len(terms), 2))
-    for own, c in zip(told, labels_of):
-        seen[own, c] += 1
-    share = shares.get(1, 0) / max(1, sum(shares.values()))
-    model = Model(where, vocabulary, idf, seen, BlockMaxIndex(vectors), labels_of, [r["doc_id"] for r in rows], np.zeros(6), share)
-    weight = {c: shares[c] / max(1, int((labels_of == c).sum())) for c in shares}
+    model.index = BlockMaxIndex(vectors)
+    weight = {c: shares[c] / max(1, size[c]) for c in shares}
     x, y, w, none = [], [], [], {0: 0.0, 1: 0.0}
-    for i, (r, (t, v)) in enumerate(zip(rows, vectors)):
-        found = model.index.search(t, v, NEIGHBOURS, skip=i)
-        c = int(labels_of[i])
+    for i, (t, v) in enumerate(vectors):
+        found, c = model.index.search(t, v, NEIGHBOURS, skip=i), int(labels_of[i])
         if found:
-            hits = sum(k for word, k in zip(r["words"], r["counts"]) if word in where)
-            x.append(model.features(found, hits, sum(r["counts"]), model.tell(told[i], c)))
+            x.append([1.0, model.vote([s for s, _ in found], [j for _, j in found])])
             y.append(c)
             w.append(weight[c])
         else:
@@ -356,7 +356,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
         model.curve = _logistic(np.array(x), np.array(y, float), np.array(w))
     if sum(none.values()):
         model.empty = none[1] / sum(none.values())
-    return model, search(docs, model, n, ["doc_id"])
+    return model, search(counted, model, documents, ["doc_id"])
 
 
 def held_out() -> Column:
@@ -372,14 +372,13 @@ def score(found: DataFrame, model: Model) -> DataFrame:
     @F.arrow_udf("score double, evidence array<long>")
     def scored(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         own = handle.value
-        for columns in tidied(batches):
-            rows = [(list(zip(s, i)), h, n, t) for s, i, h, n, t in zip(*(c.to_pylist() for c in columns))]
+        for cosines, near in tidied(batches):
+            rows = list(zip(cosines.to_pylist(), near.to_pylist()))
             yield pa.StructArray.from_arrays([pa.array([own.score(*r) for r in rows], pa.float64()),
-                                              pa.array([[own.ids[i] for _, i in r[0]] for r in rows], pa.list_(pa.int64()))], ["score", "evidence"])
+                                              pa.array([[own.ids[i] for i in n] for _, n in rows], pa.list_(pa.int64()))], ["score", "evidence"])
 
-    parts = ["cosines", "near", "hits", "size", "tell"]
-    rest = [c for c in found.columns if c not in parts]
-    return found.select(*rest, scored(*parts).alias("s")).select(*rest, "s.score", "s.evidence")
+    rest = [c for c in found.columns if c != "near"]
+    return found.select(*rest, scored("cosines", "near").alias("s")).select(*rest, "s.score", "s.evidence")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,4 +386,4 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model, found = fit(docs, labels)
     return score(found, model).select("doc_id", held_out().alias("held_out"), "score",
-                                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+                                        (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence", "cosines")

@@ -1,5 +1,8 @@
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -48,7 +51,8 @@ def planted(spark, seed=3, n=600):
 def test_planted_words_are_found_on_held_out_rows(spark):
     df, labels, docs = planted(spark)
     model, counted = T.fit(df.select("doc_id", "text"), labels)
-    assert set(model.terms) == {"grobble", "fnarg", "zwick", "plonker"}
+    heaviest = sorted(model.words, key=lambda w: -model.scale[model.words[w]])[:4]
+    assert set(heaviest) == {"grobble", "fnarg", "zwick", "plonker"}
     got = T.score(counted, model).collect()
     assert len(got) == len(docs) + 7
     held = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 600 and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
@@ -87,20 +91,127 @@ def test_rare_words_count_in_the_cosine(spark):
     n = len(rows)
     idf = {w: np.log((1 + n) / (1 + sum(w in set(x) for x in rows))) for w in {*own[0][1].split(), *own[1][1].split()}}
     a, b = ({w: (1 + np.log(t.split().count(w))) * idf[w] for w in t.split()} for _, t, _ in own)
+    # A word of the examples weighs more where it tells the classes apart.
+    scale = {w: model.scale[model.words[w]] / idf[w] if w in model.words else 1.0 for w in idf}
+    assert all(v >= 1 for v in scale.values()) and scale["beta"] == scale["gamma"] == 1.0
+    a, b = ({w: x * scale[w] for w, x in v.items()} for v in (a, b))
     dot = sum(x * b.get(w, 0) for w, x in a.items())
     want = dot / np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
     assert abs(got[8001]["cosines"][0] - want) < 1e-6
 
 
-def test_search_of_many_is_the_search_of_each():
+def test_many_blocks_are_dropped_by_their_bounds():
+    """Vectors of one topic stand together; a query of a topic scores few blocks."""
     r = np.random.default_rng(2)
-    for n in (0, 1, 5, 90):
-        def some(size):
-            t = np.sort(r.choice(40, size, replace=False))
-            w = r.random(size) + 0.1
-            return t, w / np.sqrt((w * w).sum()) if size else w
-        index = T.BlockMaxIndex([some(int(r.integers(0, 9))) for _ in range(n)], block=16)
-        queries = [some(int(r.integers(0, 20))) for _ in range(30)]
-        for q, got in zip(queries, index.search_many(queries, 7)):
-            want = index.search(*q, 7)
-            assert [i for _, i in got] == [i for _, i in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
+    vectors = []
+    for i in range(1280):
+        t = np.array(sorted({i // 128 * 3, i // 128 * 3 + 1, 30 + int(r.integers(0, 5))}))
+        w = r.random(len(t)) * 0.1 + np.where(t < 30, 1.0, 0.01)
+        vectors.append((t, w / np.sqrt((w * w).sum())))
+    index = T.BlockMaxIndex(vectors)
+    full = np.zeros((1280, 35))
+    for i, (t, w) in enumerate(vectors):
+        full[i, t] = w
+    seen = []
+    real = np.einsum
+    for q in range(0, 1280, 100):
+        t, w = vectors[q]
+        try:
+            np.einsum = lambda *a: seen.append(a[2].shape[0]) or real(*a)
+            got = index.search(t, w, 7, skip=q)
+        finally:
+            np.einsum = real
+        scores = full[:, t] @ w
+        want = sorted((-s, i) for i, s in enumerate(scores) if s > 0 and i != q)[:7]
+        assert np.allclose([s for s, _ in got], [-s for s, _ in want])
+    assert sum(seen) <= 13 * 12  # of 20 blocks a query
+
+
+def counted(docs, labels):
+    """Words of each text, document frequencies, and the training rows."""
+    bag = {t: Counter(re.findall(r"[^\W_]+", (t or "").lower())) for _, t in docs}
+    n = len(docs)
+    df = Counter(w for _, t in docs for w in bag[t])
+    marked = {(i, y) for i, y in labels if i is not None and y is not None and zlib.crc32(str(i).encode()) % 5}
+    train = {(i, t or "", y) for i, t in docs for j, y in marked if i == j}
+    shares = Counter(y for _, _, y in train)
+    return bag, n, df, train, shares
+
+
+def test_scores_and_evidence_of_all_cosines(spark):
+    """Every document against every example, in plain Python."""
+    df_, labels_, docs = planted(spark, n=260)
+    rows = [(r["doc_id"], r["text"]) for r in df_.collect()]
+    labels = [(r["doc_id"], r["toxic"]) for r in labels_.collect()]
+    model, found = T.fit(df_.select("doc_id", "text"), labels_)
+    bag, n, df, train, shares = counted(rows, labels)
+    # The examples: each distinct text of a class once, by its smallest id.
+    chosen = {}
+    for i, t, y in train:
+        chosen[t, y] = min(chosen.get((t, y), i), i)
+    assert sorted(zip(model.ids, model.labels.tolist())) == sorted((i, y) for (_, y), i in chosen.items())
+    text_of = {(i, y): t for (t, y), i in chosen.items()}
+    ex = [(i, int(y), bag[text_of[i, y]] if text_of[i, y] in bag else bag[None]) for i, y in zip(model.ids, model.labels.tolist())]
+    size = Counter(y for _, y, _ in ex)
+    held = [Counter(w for _, y, b in ex if y == c for w in b) for c in (0, 1)]
+
+    def scale(w):
+        idf = math.log((1 + n) / (1 + df[w]))
+        a, b = (held[c][w] + T.PRIOR * size[c] / len(ex) for c in (1, 0))
+        return idf * (1 + math.log(a / b * size[0] / size[1]) ** 2)
+
+    def vector(b):
+        return {w: (1 + math.log(c)) * scale(w) for w, c in b.items()}
+    vectors = [vector(b) for _, _, b in ex]
+    norms = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
+
+    def nearest(v, skip=-1):
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        s = [(-sum(x * e.get(w, 0) for w, x in v.items()) / (norm * m), j) for j, (e, m) in enumerate(zip(vectors, norms)) if m and norm and j != skip]
+        return [(-c, j) for c, j in sorted(x for x in s if x[0] < 0)[:T.NEIGHBOURS]]
+
+    def vote(f):
+        w = [1 / (1 - min(c, 1) + 0.05) for c, _ in f]
+        p = (sum(a * ex[j][1] for a, (_, j) in zip(w, f)) + 0.1) / (sum(w) + 0.2)
+        return math.log(p / (1 - p))
+    curve = T._logistic(np.array([[1, vote(nearest(v, j))] for j, v in enumerate(vectors) if nearest(v, j)]),
+                        np.array([ex[j][1] for j, v in enumerate(vectors) if nearest(v, j)], float),
+                        np.array([shares[ex[j][1]] / size[ex[j][1]] for j, v in enumerate(vectors) if nearest(v, j)]))
+    got = {}
+    for r in T.score(found, model).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for i, t in rows:
+        f = nearest(vector(bag[t]))
+        want = model.empty if not f else 1 / (1 + math.exp(-max(-30, min(30, curve[0] + curve[1] * vote(f)))))
+        near = min(got[i], key=lambda r: abs(r["score"] - want))
+        assert abs(near["score"] - want) < 1e-6, (i, near, want)
+        assert np.allclose(near["cosines"], [c for c, _ in f], atol=1e-6)
+
+
+def test_copies_and_near_copies_take_one_place(spark):
+    """Texts in thousands of copies leave room for all others of their class."""
+    r = random.Random(2)
+    base = make_text(r, EN, 120)
+    docs = [(i, base) for i in range(3000)]
+    docs += [(3000 + i, base + f" end{i}") for i in range(40)]
+    docs += [(4000 + i, make_text(r, [f"{w}{i}" for w in EN], 60)) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 4025)) for i, _ in docs], "doc_id long, toxic int")
+    chosen, shares = T.examples(df, labels, per_class=20)
+    rows = chosen.collect()
+    train = [i for i, _ in docs if zlib.crc32(str(i).encode()) % 5]
+    assert shares[0] == sum(i < 4025 for i in train)
+    clean = [x["doc_id"] for x in rows if x["toxic"] == 0]
+    assert sum(i < 4000 for i in clean) <= 1 and len(clean) == min(20, 1 + sum(4000 <= i < 4025 for i in train))
+    assert len({x["h"] for x in rows}) == len(rows)
+
+
+def test_shared_passages_do_not_make_near_copies(spark):
+    """Different texts with one common passage stay examples of their own."""
+    r = random.Random(4)
+    passage = make_text(r, EN, 30)
+    docs = [(i, passage + " " + " ".join(f"u{i}x{k}" for k in range(90))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    chosen, _ = T.examples(df, labels)
+    assert chosen.count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i, _ in docs)
