@@ -29,25 +29,91 @@ _TOKEN = re.compile(r"[a-z]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+class Place:
+    """Where blocks stand: the names that an element adds to its ancestors'."""
+
+    __slots__ = ("up", "name", "new", "sections")
+
+    def __init__(self, up: Place | None, name: str, new: frozenset, sections: tuple):
+        self.up, self.name, self.new, self.sections = up, name, new, sections
+
+
 @dataclass
 class Block:
     """A leaf block: its text, the characters of it in links, and where it stands."""
 
     text: str
     linked: int
-    parent: str
-    around: frozenset  # t=<tag> and c=<class, id or role token> of all ancestors
-    sections: tuple  # the two nearest sectioning ancestors, innermost first
+    place: Place
+
+    @property
+    def parent(self) -> str:
+        return self.place.name
+
+    @property
+    def sections(self) -> tuple:
+        """The two nearest sectioning ancestors, innermost first."""
+        return self.place.sections
+
+    @property
+    def around(self) -> frozenset:
+        """t=<tag> and c=<class, id or role token> of all ancestors."""
+        out: set = set()
+        at = self.place
+        while at is not None:
+            out |= at.new
+            at = at.up
+        return frozenset(out)
+
+
+class Open:
+    """The open elements.  Names are counted and found by position, so neither
+    depth nor stray tags cost more than their own number."""
+
+    def __init__(self) -> None:
+        self.stack = [Place(None, "", frozenset(), ())]
+        self.at: dict[str, list[int]] = {}  # positions of the open elements of a name
+        self.held: set[str] = set()  # names around the innermost element
+
+    def nearest(self, names) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=0)
+
+    def push(self, name: str, names: set[str]) -> None:
+        up = self.stack[-1]
+        new = frozenset(names - self.held)
+        self.held |= new
+        self.at.setdefault(name, []).append(len(self.stack))
+        self.stack.append(Place(up, name, new, (name, *up.sections[:1]) if name in SECTIONS else up.sections))
+
+    def cut(self, to: int) -> None:
+        """Close the element at position ``to`` and all in it."""
+        while to and len(self.stack) > to:
+            last = self.stack.pop()
+            self.held -= last.new
+            self.at[last.name].pop()
+
+
+def _ends(html: str, name: str) -> dict[int, int]:
+    """Of each ``name`` element that is closed: where its tag starts -> its end."""
+    out, waiting = {}, []
+    for m in re.compile(f"<(/?){name}(?=[\\s/>])[^>]*>", re.I).finditer(html):
+        if not m[1]:
+            if not m[0].endswith("/>"):
+                waiting.append(m.start())
+        elif waiting:
+            out[waiting.pop()] = m.end()
+    return out
 
 
 def blocks(html: str) -> list[Block]:
     """The leaf blocks of a page in order; scripts, styles, comments and form
     fields are no text, formulas, objects and listings (xmp) are.  Text after a
-    tag that never ends is part of the tag; of an svg or template that never
-    ends, the tag alone is left out."""
+    tag that never ends is part of the tag.  An svg or template goes with all
+    that is nested in it; of one that never ends, the tag alone is left out.
+    Time and memory grow with the page's length, however deep it is."""
     out: list[Block] = []
-    root = ("", frozenset(), ())
-    stack: list[tuple[str, frozenset, tuple]] = [root]
+    opened = Open()
+    ends: dict[str, dict[int, int]] = {}
     parts: list[str] = []
     linked, in_link, p, n = 0, False, 0, len(html)
 
@@ -56,8 +122,7 @@ def blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                name, around, sections = stack[-1]
-                out.append(Block(text, linked, name, around, sections))
+                out.append(Block(text, linked, opened.stack[-1]))
             parts.clear()
             linked = 0
 
@@ -90,22 +155,22 @@ def blocks(html: str) -> list[Block]:
                 in_link = False
             elif name in BLOCK:
                 end_block()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] == name:
-                        del stack[k:]
-                        break
+                opened.cut(opened.nearest((name,)))
         elif after.isascii() and after.isalpha():
             m = _OPEN.match(html, lt) or _OPEN_LOOSE.match(html, lt)
             if not m:
                 break
             name, p = m[1].lower(), m.end()
+            if name in NESTED:
+                if not m[2].endswith("/"):
+                    if name not in ends:
+                        ends[name] = _ends(html, name)
+                    p = max(p, ends[name].get(lt, p))
+                continue
             if name in HIDDEN:
                 if not m[2].endswith("/") or name in ("script", "style", "textarea", "title"):
                     close = re.compile(f"</{name}[^>]*>", re.I).search(html, p)
-                    if close:
-                        p = close.end()
-                    elif name not in NESTED:
-                        p = n
+                    p = close.end() if close else n
                 continue
             if name == "xmp":  # raw text: its tags and references are written out
                 close = re.compile("</xmp[^>]*>", re.I).search(html, p)
@@ -123,24 +188,15 @@ def blocks(html: str) -> list[Block]:
                 in_link = False
                 if name == "hr":
                     continue
-                if stack[-1][0] == "p":
-                    stack.pop()
+                if opened.stack[-1].name == "p":
+                    opened.cut(len(opened.stack) - 1)
                 own, stop = CLOSES.get(name, ((), ()))
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in own:
-                        del stack[k:]
-                        break
-                    if not own or stack[k][0] in stop:
-                        break
-                _, around, sections = stack[-1]
-                new = {f"t={name}"}
+                if (k := opened.nearest(own)) > opened.nearest(stop):
+                    opened.cut(k)
+                names = {f"t={name}"}
                 for a, b, c in _NAMES.findall(m[2]) if m[2] else ():
-                    new.update(f"c={t}" for t in _TOKEN.findall(_HUMP.sub(" ", a or b or c).lower()) if len(t) <= 20)
-                if not new <= around:
-                    around = around | new
-                if name in SECTIONS:
-                    sections = (name, *sections[:1])
-                stack.append((name, around, sections))
+                    names.update(f"c={t}" for t in _TOKEN.findall(_HUMP.sub(" ", a or b or c).lower()) if len(t) <= 20)
+                opened.push(name, names)
         elif html.startswith("<!--", lt):
             end = html.find("-->", lt + 4)
             p = end + 3 if end >= 0 else n

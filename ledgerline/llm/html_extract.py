@@ -42,16 +42,15 @@ def _bucket(x: float, edges: tuple) -> int:
     return sum(x >= e for e in edges)
 
 
-def features(page: list[Block]) -> list[set[str]]:
-    """The binary features of each block of a page."""
+def own_features(page: list[Block]) -> list[set[str]]:
+    """The binary features of each block of a page, but for its ancestors' names."""
     out = []
     n = len(page)
     for k, b in enumerate(page):
         size = b.text.count(" ") + 1
         link = min(1.0, b.linked / max(1, len(b.text)))
-        f = set(b.around)
         near = (*b.sections, "", "")[:2]
-        f |= {"bias", f"p={b.parent}", f"s={near[0]}", f"ss={near[0]}<{near[1]}", f"words={_bucket(size, (3, 6, 11, 21, 51))}",
+        f = {"bias", f"p={b.parent}", f"s={near[0]}", f"ss={near[0]}<{near[1]}", f"words={_bucket(size, (3, 6, 11, 21, 51))}",
               f"link={_bucket(link, (0.01, 0.34, 0.67))}", f"at={_bucket(k / n, (0.1, 0.3, 0.7, 0.9))}", f"end={b.text[-1] if b.text[-1] in '.!?:…' else ''}"}
         if any(c in b.text for c in "©®|»›·"):
             f.add("sign")
@@ -59,19 +58,42 @@ def features(page: list[Block]) -> list[set[str]]:
     return out
 
 
+def features(page: list[Block]) -> list[set[str]]:
+    """All binary features of each block."""
+    return [f | b.around for f, b in zip(own_features(page), page)]
+
+
 class Crf:
     """Two labels; emission weights are those of "keep" against "leave"."""
 
     def __init__(self, weights: dict[str, float], trans: list[list[float]], start: list[float]):
         self.weights, self.trans, self.start = weights, trans, start
 
+    def around(self, page: list[Block]) -> list[float]:
+        """Of each block, the sum of its ancestors' weights: each element's own
+        are added to its parent's sum once."""
+        get = self.weights.get
+        sums: dict[int, float] = {}
+        out = []
+        for b in page:
+            at, way = b.place, []
+            while at is not None and id(at) not in sums:
+                way.append(at)
+                at = at.up
+            total = sums[id(at)] if at is not None else 0.0
+            for at in reversed(way):
+                total += sum(get(x, 0.0) for x in at.new)
+                sums[id(at)] = total
+            out.append(sums[id(b.place)])
+        return out
+
     def decode(self, page: list[Block]) -> list[int]:
         if not page:
             return []
         get, t = self.weights.get, self.trans
         back, a, b = [], 0.0, 0.0
-        for k, f in enumerate(features(page)):
-            e = sum(get(x, 0.0) for x in f)
+        for k, (f, e) in enumerate(zip(own_features(page), self.around(page))):
+            e += sum(get(x, 0.0) for x in f)
             if k:
                 from0, from1 = (a + t[0][0], b + t[1][0]), (a + t[0][1], b + t[1][1])
                 back.append((from0[1] > from0[0], from1[1] > from1[0]))

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -107,3 +108,43 @@ def test_formulas_listings_and_elements_that_never_end():
     for name in ("svg", "template", "object", "math"):
         assert texts(f"<p>one <{name}></p><p>two</p>") == ["one", "two"]
     assert texts("<p>one</p><script>x = 1 <p>two</p>") == ["one"]
+
+
+def test_deep_pages_take_linear_memory_and_time():
+    """50,000 nested elements of distinct classes, and tags that never end."""
+    import time
+    import tracemalloc
+    names = ["".join(chr(97 + i // 26 ** k % 26) for k in range(4)) for i in range(50_000)]
+    deep = "".join(f'<div class="{c}">t{i}' for i, c in enumerate(names))
+    crf = X.Crf({"t=div": 0.5, f"c={names[0]}": 1.0, f"c={names[-1]}": 2.0}, [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
+    tracemalloc.start()
+    page = blocks(deep)
+    sums = crf.around(page)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(page) == 50_000 and peak < 500e6
+    assert sums[0] == sums[-2] == 1.5 and sums[-1] == 3.5
+    for bad in ("<svg>" * 100_000 + "text", "<template>" * 50_000 + "text", "<div>" * 50_000 + "</section>" * 50_000, "<li><ul>" + "<div>" * 50_000 + "<li></li>" * 50_000):
+        at = time.monotonic()
+        blocks(bad)
+        assert time.monotonic() - at < 20
+
+
+def test_nested_svg_and_template_leak_nothing():
+    page = ("<p>a</p><svg><svg></svg><text>LEAK</text></svg><template><template><p>x</p></template><p>LEAK</p></template>"
+            "<p>b</p><svg/><p>c</p><SVG><g></g></SVG ><p>d</p>")
+    assert [b.text for b in blocks(page)] == ["a", "b", "c", "d"]
+    assert [b.text for b in blocks("<svg><p>in</p><svg><text>x</text></svg><p>out</p>")] == ["in", "out"]
+
+
+def test_weights_of_ancestors_are_those_of_all_features():
+    """The running sums against the features of each block, added up."""
+    from ledgerline.llm.html_blocks import PageMaker
+    maker = PageMaker(["some words of a paragraph that goes on for a while."], ["home", "news"], seed=3)
+    r = random.Random(1)
+    for _ in range(40):
+        page = blocks(maker.page())
+        every = {x for f in X.features(page) for x in f}
+        crf = X.Crf({x: r.uniform(-1, 1) for x in sorted(every)}, [[0.0, 0.0], [0.0, 0.0]], [0.0, 0.0])
+        for b, s in zip(page, crf.around(page)):
+            assert abs(s - sum(crf.weights[x] for x in b.around)) < 1e-9
