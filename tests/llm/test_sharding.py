@@ -39,6 +39,54 @@ def test_one_id_on_a_third_of_the_rows(spark):
     assert len(rows) == 3000 and all(sorted(p) == list(range(len(p))) for p in by.values())
 
 
+def shard_sizes(rows):
+    own = Counter()
+    for r in rows:
+        own[r["shard"]] += r["size"]
+    return own
+
+
+def test_the_law_holds_where_ids_and_rows_repeat(spark):
+    """A third of the ids null, a sixth of the rows under one id, a third of the
+    rows equal in all: no shard is far from the mean."""
+    i = F.col("id")
+    kind = F.when(i % 3 == 0, None).when(i % 6 == 1, F.lit(7)).otherwise(i)
+    mixed = spark.range(30000).select(kind.alias("doc_id"), F.repeat(F.lit("y"), (i % 50 + 1).cast("int")).alias("text"))
+    equal = spark.range(30000).select(F.when(i % 3 == 0, F.lit(5)).otherwise(i).alias("doc_id"),
+                                      F.when(i % 3 == 0, F.lit("the same text in a third of all rows")).otherwise(F.concat(F.lit("text "), i.cast("string"))).alias("text"))
+    for df in (mixed, equal):
+        rows = S.assign(spark, df.repartition(4)).collect()
+        sizes = shard_sizes(rows)
+        mean = sum(sizes.values()) / 16
+        assert len(sizes) == 16 and max(sizes.values()) <= 1.05 * mean and min(sizes.values()) >= 0.95 * mean
+        by = defaultdict(list)
+        for r in rows:
+            by[r["shard"]].append(r["slot"])
+        assert all(sorted(p) == list(range(len(p))) for p in by.values()) and len(rows) == 30000
+
+
+def test_rows_keep_their_slot_whatever_else_is_there(spark):
+    """Slots of rows that aren't heavy depend on the row alone; heavy slots stay
+    marked when the map is rebalanced."""
+    i = F.col("id")
+    df = spark.range(9000).select(i.alias("doc_id"), F.concat(F.lit("t"), i.cast("string")).alias("text"))
+    hot = df.limit(0).unionByName(spark.range(9000).select(F.lit(-1).cast("long").alias("doc_id"), F.lit("hot").alias("text")))
+    alone = {r["doc_id"]: r["virtual_slot"] for r in S.assign(spark, df).collect()}
+    both = S.assign(spark, df.unionByName(hot)).collect()
+    assert all(alone[r["doc_id"]] == r["virtual_slot"] or r["virtual_slot"] >= S.SLOTS for r in both if r["doc_id"] >= 0)
+    assert sum(alone.get(r["doc_id"]) == r["virtual_slot"] for r in both) > 8900
+    path = shared_folder(spark, "test-map")
+    rec = S.records(df.unionByName(hot))
+    heavy = S.heavy_slots(rec)
+    weights = S.slot_bytes(S.dealt(rec, heavy), 2 * S.SLOTS)
+    one = S.first_map(weights, 4).join(heavy.withColumn("h", F.lit(1)), "vslot", "left")
+    S.store_map(one.select("version", "vslot", F.when(F.col("h").isNull(), F.col("shard")).alias("shard"), "bytes"), path)
+    S.store_map(S.rebalanced_map(spark.read.parquet(path), weights, 5), path)
+    marked = [{r["vslot"] for r in S.load_map(spark, path, v).filter("shard IS NULL").collect()} for v in (1, 2)]
+    assert marked[0] == marked[1] and len(marked[0]) == 1
+    assert max(shard_sizes(S.assign(spark, df.unionByName(hot), shards=5, map_path=path).collect()).values()) < 1.1 * sum(shard_sizes(both).values()) / 5
+
+
 def test_versions_and_rebalancing(spark):
     weights = spark.createDataFrame([(i, 100 + i % 7) for i in range(256)], "vslot int, bytes long")
     path = shared_folder(spark, "test-map")
