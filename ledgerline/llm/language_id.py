@@ -4,8 +4,10 @@ Fit (Spark aggregations over a bounded sample): per language the log frequency
 of words seen at least ``min_count`` times, and of character 1- to 4-grams of
 all sample words, padded at both ends.  The sample is the distinct training
 texts of each language whose hash is in the lowest share that holds
-``per_lang`` of its rows: a documented bound, so the model's size does not grow
-with the corpus.
+``per_lang`` of its distinct texts: a documented bound, so the model's size
+does not grow with the corpus, and copies don't thin a language out.
+Frequencies are mixed with an even share, so a language of few texts neither
+gains nor loses by its size.
 
 Score: a known word adds its log frequency under each language; an unknown one
 adds, from each of its positions, the longest known n-gram that starts there,
@@ -38,6 +40,8 @@ UNDETERMINED = "und"
 PER_LANG = 1500
 LONGEST = 4
 EVIDENCE = 20
+#: Weight of the even share in a word's or n-gram's frequency.
+EVEN = 0.05
 REMEMBERED = 1 << 18
 
 _letters = regex.compile(r"\p{L}+").findall
@@ -108,7 +112,8 @@ class Model:
 def fit(spark: SparkSession, train: DataFrame, per_lang: int = PER_LANG, min_count: int = 2) -> Model:
     """``train`` (text, lang) -> the model."""
     own = train.select("text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
-    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.count(F.lit(1)))
+    # Distinct texts are counted: copies neither fill the sample nor thin a language out.
+    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.count_distinct("h"))
     upto = own.groupBy("lang").agg(share.alias("share")).withColumn("upto", (F.lit(-2.0 ** 63) + F.col("share") * F.lit(2.0 ** 64)).try_cast("long"))
     upto = saved(spark, upto.select("lang", F.coalesce("upto", F.lit(2 ** 63 - 1)).alias("upto")), "sample-bounds")
     sample = own.join(broadcast_if_small(upto), "lang").filter("h <= upto").dropDuplicates(["lang", "h"])
@@ -133,8 +138,10 @@ def fit(spark: SparkSession, train: DataFrame, per_lang: int = PER_LANG, min_cou
         logs, floor = np.zeros_like(c), np.full(len(langs), math.log(1e-7))
         for g in set(of.tolist()):
             own_rows = of == g
-            total = c[own_rows].sum(0) + 0.5 * own_rows.sum()
-            logs[own_rows] = np.log((c[own_rows] + 0.5) / np.maximum(total, 1))
+            # Mixed with an even share that is the same in every language: what a
+            # language lacks can't count for it because its sample is small.
+            seen = c[own_rows] / np.maximum(c[own_rows].sum(0), 1)
+            logs[own_rows] = np.log((1 - EVEN) * seen + EVEN / own_rows.sum())
         return where, logs, floor
 
     word_at, word_logs, _ = table(word_rows, "word", lambda x: 0)

@@ -61,3 +61,43 @@ def test_the_sample_is_bounded(spark):
     rows = [(f"word{i} here", "en") for i in range(50)] + [("same text", "en")] * 200
     model = L.fit(spark, spark.createDataFrame(rows, "text string, lang string"), per_lang=10, min_count=1)
     assert len(model.words) <= 12
+
+
+def test_small_languages_in_many_copies_beside_a_large_one(spark):
+    """Two languages of 15 texts, each in 2,000 copies, beside 10,000 distinct
+    English texts: fresh texts of all three are told apart."""
+    r = random.Random(9)
+    de = "der die das und ist nicht mit auf für von den dem eine auch sich werden wurde über nach bei".split()
+    def grown(words):  # a large vocabulary of compounds
+        return words + [a + b for a in words for b in words]
+    vocab = {"en": grown(EN), "fr": grown(FR), "de": grown(de)}
+    rows = [(make_text(r, vocab["en"], 40), "en") for _ in range(10_000)]
+    few = [(make_text(r, vocab[x], 40), x) for x in ("fr", "de") for _ in range(15)]
+    small = spark.createDataFrame(few, "text string, lang string").crossJoin(spark.range(2000)).drop("id")
+    model = L.fit(spark, spark.createDataFrame(rows, "text string, lang string").unionByName(small))
+    model.start()
+    for x, words in vocab.items():
+        fresh = [model.predict(make_text(r, words, 40))[0] for _ in range(200)]
+        assert sum(p == x for p in fresh) / 200 >= 0.97, x
+    assert set(model.langs) == {"en", "fr", "de"}
+
+
+def test_predictions_are_the_largest_plain_sums(spark):
+    """Every word's row added up one by one, in plain Python."""
+    import math
+    r = random.Random(6)
+    rows = [(make_text(r, EN, 40), "en") for _ in range(30)] + [(make_text(r, FR, 40), "fr") for _ in range(30)]
+    model = L.fit(spark, spark.createDataFrame(rows, "text string, lang string"))
+    model.start()
+    for _ in range(60):
+        text = make_text(r, EN + FR + ["thwith", "unedes", "zz", "12", "ê"], r.randint(1, 30))
+        words = [w for w in L._letters(text.lower())]
+        if not words:
+            assert model.predict(text) == ("und", 0.0)
+            continue
+        total = [sum(float((model.word_logs[model.words[w]] if w in model.words else model.backed_off(w))[k]) for w in words) for k in range(2)]
+        mean = [t / len(words) for t in total]
+        best = max(range(2), key=lambda k: mean[k])
+        share = sum(math.exp((m - mean[best]) * min(len(words), L.EVIDENCE)) for m in mean)
+        lang, score = model.predict(text)
+        assert abs(score - 1 / share) < 1e-9 and (lang == model.langs[best] or abs(mean[0] - mean[1]) < 1e-12)
