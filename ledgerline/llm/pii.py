@@ -8,24 +8,31 @@ adds spans that the patterns miss.
 
 Every span of these kinds holds a digit or an ``@``.  Windows of ``WINDOW``
 characters, ``STRIDE`` apart, cover each stretch of text within ``CONTEXT``
-characters of one; elsewhere no span can be.  Windows overlap: each
-character's scores are averaged over its windows, weighted towards their
-middle, and one Viterbi pass over the whole stretch reconciles them.  A found
-span is added if it meets no base span, has the parts its kind needs, and
-beats the reading without it by ``MARGIN`` in log score; base spans stay.
+characters of one and on to the next white space; elsewhere no span can be.
+Windows overlap: each character's scores are averaged over its windows,
+weighted towards their middle, and one Viterbi pass over the whole stretch
+reconciles them.  Stretches of more than ``SEGMENT`` characters are read in
+parts that end at white space and overlap by ``LAP``; only a run of more than
+``SEGMENT`` characters without any is cut inside, and of spans that two parts
+read differently the longer counts.  A found span is added if it has the parts
+its kind needs, beats the reading without it by ``MARGIN`` in log score, and
+meets no base span; or if it beats it at all and holds the base spans that it
+meets (an address around the part of it that the pattern takes).  Base spans
+stay.
 
 Fit: the windows of the ``SAMPLE_DOCS`` documents with a digit or ``@`` whose
 text has the smallest hash, ``WINDOWS_PER_DOC`` each at most: a documented
 bound.
 
 Defined cases: null text is empty and has no spans; repeated rows get equal
-spans; spans of different kinds may overlap, those of one kind don't; extra
-columns pass through; with nothing to learn from, the base spans alone remain.
+spans; spans of different kinds may overlap, and an added one may hold a base
+one; else those of one kind don't; extra columns pass through; with nothing to learn from, the base spans alone remain.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +47,7 @@ KINDS = net.KINDS
 WINDOW, STRIDE, CONTEXT = 96, 64, 24
 SAMPLE_DOCS, WINDOWS_PER_DOC = 600, 4
 MARGIN = 4.0
-SEGMENT = 1 << 14
+SEGMENT, LAP = 1 << 14, 1 << 10
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -50,6 +57,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
 _RUN = re.compile(r"[0-9@]+")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
+_SPACE = re.compile(r"\s")
 
 
 def luhn(digits: str) -> bool:
@@ -96,17 +104,39 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # -- labelled windows -------------------------------------------------------------
 
 def stretches(text: str) -> list[tuple[int, int]]:
-    """The parts of a text within CONTEXT characters of a digit or @."""
+    """The parts of a text within CONTEXT characters of a digit or @, on either
+    side up to white space."""
     out: list[tuple[int, int]] = []
     for m in _RUN.finditer(text):
         a, b = max(0, m.start() - CONTEXT), min(len(text), m.end() + CONTEXT)
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], b)
+        before = out[-1][1] if out else 0
+        while a > before and not text[a - 1].isspace():
+            a -= 1
+        if b > before and (found := _SPACE.search(text, b)):
+            b = found.start()
+        elif b > before:
+            b = len(text)
+        if out and a <= before:
+            out[-1] = (out[-1][0], max(before, b))
         else:
             out.append((a, b))
     return out
 
 
+def segments(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """The parts in which a stretch is read: they end at white space where there
+    is any, and begin LAP characters before the end of the last."""
+    while b - a > SEGMENT + LAP:
+        cut = a + SEGMENT
+        spaces = [m.end() for m in _SPACE.finditer(text, cut - SEGMENT // 2, cut)]
+        cut = spaces[-1] if spaces else cut
+        yield a, cut + (0 if spaces else LAP)
+        a = cut - LAP if spaces else cut
+        start = _SPACE.search(text, a, cut) if spaces else None
+        a = start.end() if start else a
+    yield a, b
+
+
 def tag_window(spans: list[tuple[int, int, int]], a: int, b: int) -> list[int]:
     """Tags of the characters a..b; of spans that overlap, the first counts."""
     tags, upto = [0] * (b - a), -1
@@ -117,6 +147,16 @@ def tag_window(spans: list[tuple[int, int, int]], a: int, b: int) -> list[int]:
     return tags
 
 
+_PLAIN, _ACCENTED = "abcdefghijklmnopqrstuvwxyz", "áéíóúñüöäçèêàßøå"
+
+
+def _name(r: np.random.Generator) -> str:
+    """A made-up local part: some words, letters of which may have accents."""
+    def word() -> str:
+        return "".join(r.choice(list(_ACCENTED if r.random() < 0.15 else _PLAIN)) for _ in range(int(r.integers(2, 10))))
+    return str(r.choice([".", "_", "-", ""])).join(word() for _ in range(int(r.integers(1, 5))))
+
+
 def variants(text: str, tags: list[int], seed: int) -> list[tuple[str, list[int]]]:
     """The window, and rewritten ones that the patterns miss."""
     out = [(text, tags)]
@@ -125,6 +165,8 @@ def variants(text: str, tags: list[int], seed: int) -> list[tuple[str, list[int]
                        (3, lambda s: re.sub(r"[^0-9]+", ".", s.lstrip("+"))),
                        (2, lambda s: ".".join(re.sub(r"\D", "", s)[i:i + 4] for i in range(0, 16, 4))),
                        (0, lambda s: s.replace("mail", "máil").replace("o", "ó", 1)),
+                       (0, lambda s: _name(r) + s[s.index("@"):]),
+                       (0, lambda s: _name(r) + s[s.index("@"):]),
                        (0, lambda s: chr(97 + int(r.integers(26))) + "ñ" + s)):
         if 1 + 2 * k in tags:
             s = tags.index(1 + 2 * k)
@@ -210,12 +252,14 @@ def _plausible(kind: int, s: str) -> bool:
     return 12 <= digits <= 19 if kind == 2 else 7 <= digits <= 15
 
 
-def added_spans(p: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """Spans (start, kind, end) that the tagger reads in each text."""
+def added_spans(p: dict[str, np.ndarray], texts: list[str], base: list | None = None) -> list[list[tuple[int, int, int]]]:
+    """Spans (start, kind, end) that the tagger reads in each text; one around a
+    base span needs no margin, as something is there."""
     where = []
+    base = base or [[] for _ in texts]
     for i, t in enumerate(texts):
         for a, b in stretches(t) if t else ():
-            where += [(i, k, min(b, k + SEGMENT + WINDOW)) for k in range(a, b, SEGMENT)]  # very long stretches in parts
+            where += [(i, *part) for part in segments(t, a, b)]
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     where.sort(key=lambda x: x[2] - x[1])
     tr = p["trans"] + net.allowed()
@@ -244,7 +288,9 @@ def added_spans(p: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[i
                     if left >= 0 and right < len(e):
                         own += tr[g[left], g[right]]
                         none += tr[0 if s <= left else g[left], 0 if right < end else g[right]]
-                if own - none >= MARGIN and _plausible(kind, texts[i][a + s:a + end]):
+                at = bisect_left(base[i], (a + s, -1, 0))
+                holds = at < len(base[i]) and base[i][at][2] <= a + end
+                if own - none >= (0.0 if holds else MARGIN) and _plausible(kind, texts[i][a + s:a + end]):
                     out[i].append((a + s, kind, a + end))
     return [sorted(set(x)) for x in out]
 
@@ -252,15 +298,50 @@ def added_spans(p: dict[str, np.ndarray], texts: list[str]) -> list[list[tuple[i
 def all_spans(p: dict[str, np.ndarray] | None, texts: list[str]) -> list[list[tuple[int, int, int, bool]]]:
     """(start, kind, end, base) of each text: the base spans and those added."""
     base = [base_spans(t) for t in texts]
-    more = added_spans(p, texts) if p else [[] for _ in texts]
+    more = added_spans(p, texts, base) if p else [[] for _ in texts]
     out = []
     for own, new in zip(base, more):
-        kept, upto = [], {}
-        for s, k, e in new:
-            if s >= upto.get(k, 0) and not any(s < e2 and s2 < e for s2, _, e2 in own):
-                kept.append((s, k, e, False))
-                upto[k] = e
-        out.append(sorted([(s, k, e, True) for s, k, e in own] + kept))
+        kept = reconciled(new)
+        met = _met(own, kept)
+        added = [(s, k, e, False) for (s, k, e), inside in zip(kept, met) if all(s <= s2 and e2 <= e and (s, e) != (s2, e2) for s2, _, e2 in inside)]
+        out.append(sorted([(s, k, e, True) for s, k, e in own] + added))
+    return out
+
+
+def reconciled(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of spans of one kind that overlap, the longest (the first of those that tie)."""
+    out = []
+    for kind in range(len(KINDS)):
+        own = sorted((s, e) for s, k, e in spans if k == kind)
+        at = 0
+        while at < len(own):
+            group, end = [own[at]], own[at][1]
+            at += 1
+            while at < len(own) and own[at][0] < end:
+                end = max(end, own[at][1])
+                group.append(own[at])
+                at += 1
+            taken: list[tuple[int, int]] = []
+            for s, e in sorted(group, key=lambda x: (x[0] - x[1], x[0])):
+                if all(e <= s2 or e2 <= s for s2, e2 in taken):
+                    taken.append((s, e))
+            out += [(s, kind, e) for s, e in taken]
+    return sorted(out)
+
+
+def _met(base: list[tuple[int, int, int]], spans: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """The base spans that each span overlaps; both come sorted by their start."""
+    out, first = [], 0
+    longest = max((e - s for s, _, e in base), default=0)
+    for s, _, e in spans:
+        while first < len(base) and base[first][0] + longest <= s:
+            first += 1
+        own, k = [], first
+        while k < len(base) and base[k][0] < e:
+            if s < base[k][2]:
+                own.append(base[k])
+            k += 1
+        out.append(own)
     return out
 
 

@@ -95,6 +95,43 @@ def test_windows_agree_with_one_long_reading(model):
         assert any(s[:3] == want for s in P.all_spans(model, [text])[0])
 
 
+def test_added_spans_that_hold_a_base_span(model):
+    """The pattern takes a part of the address; the whole one is found and goes."""
+    text = "then write to garcía@example.com or to him"
+    got = P.all_spans(model, [text])[0]
+    assert any(text[s:e] == "garcía@example.com" and not b for s, k, e, b in got)
+    assert any(text[s:e] == "a@example.com" and b for s, k, e, b in got)
+    assert P.redacted(text, got) == "then write to [EMAIL] or to him"
+
+
+def test_long_local_parts_are_whole(model):
+    name = "maría.del.carmen.fernández.garcía.de.los.ríos.y.san.juan.lópez"
+    text = f"then write to {name}@example.com or to him"
+    assert len(name) > 60 and "[EMAIL]" in P.redacted(text, P.all_spans(model, [text])[0])
+    assert not any(x in P.redacted(text, P.all_spans(model, [text])[0]) for x in ("fern", "lópez"))
+
+
+def test_a_span_across_the_border_of_parts(model):
+    """Long stretches are read in parts; what lies across their border is whole."""
+    phone = "+1 (336) 555-3810"
+    for at in (P.SEGMENT - 30, P.SEGMENT - 9, P.SEGMENT, P.SEGMENT + 5, P.SEGMENT + P.LAP - 8):
+        text = ("7 " * (at // 2))[:at] + "the phone is " + phone + " as of now " + "8 " * P.SEGMENT
+        want = (text.index("+1"), 3, text.index("3810") + 4)
+        assert any(s[:3] == want for s in P.all_spans(model, [text])[0])
+        assert any(a <= want[0] and want[2] <= b for part in P.stretches(text) for a, b in P.segments(text, *part))
+    solid = "9" * 50_000 + "é" + "1" * 20_000
+    parts = list(P.segments(solid, *P.stretches(solid)[0]))
+    assert parts[0][0] == 0 and parts[-1][1] == len(solid) and all(b - a <= P.SEGMENT + P.LAP for a, b in parts)
+    assert all(b2 - a2 > 0 and a2 <= b1 for (a1, b1), (a2, b2) in zip(parts, parts[1:]))
+
+
+def test_the_longer_of_two_readings_counts():
+    assert P.reconciled([(5, 0, 9), (5, 0, 20), (12, 0, 16), (30, 0, 31), (5, 1, 9)]) == [(5, 0, 20), (5, 1, 9), (30, 0, 31)]
+    base = [(0, 0, 4), (10, 1, 15), (11, 2, 30), (40, 0, 44)]
+    spans = sorted([(2, 0, 6), (9, 3, 31), (14, 0, 15), (41, 0, 42), (50, 0, 51)])
+    assert P._met(base, spans) == [[b for b in base if b[0] < e and s < b[2]] for s, _, e in spans]
+
+
 def test_redaction():
     text = "a x@y.zz b +1 (336) 555-3810 c"
     spans = [(s, k, e, True) for s, k, e in P.base_spans(text)]

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from tests.llm import test_decontaminate as D
@@ -118,3 +119,36 @@ def test_run_and_an_empty_corpus(spark, folder, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert C.run(spark, str(tmp_path)).count() == 0
+
+
+CLASHING = ["_text_key", "_id", "_key", "_n", "_lang_pred", "_lang_score", "text_key", "fp", "component_id", "lang_pred", "score", "h", "pii", "a.b", "_TEXT_KEY_"]
+
+
+def test_columns_of_the_stages_own_names_pass_through(spark, folder):
+    path, rows, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("?"))).alias(c) for c in CLASHING])
+    plain = docs
+    for name, run in C.STAGES[:-1]:
+        wide, plain = run(spark, wide, path), run(spark, plain, path)
+        assert wide.columns == [*docs.columns, *CLASHING], name
+        got = [tuple(r) for r in wide.collect()]
+        for r in got:
+            own = "?" if r[0] is None else str(r[0])
+            assert list(r[len(docs.columns):]) == [f"{c}:{own}" for c in CLASHING], name
+        assert sorted(repr(r[:len(docs.columns)]) for r in got) == sorted(repr(tuple(r)) for r in plain.collect()), name
+    assert C.STAGES[-1][1](spark, wide, path).count() == len(got)
+
+
+def test_ties_long_texts_and_repeated_rows(spark, folder):
+    path = folder[0]
+    r = random.Random(12)
+    long = make_text(r, [a + b for a in EN for b in EN], 30_000)
+    made = [(1, long, "en", "s", 5), (1, long, "en", "s", 5), (1, long, "en", "t", 6), (1, make_text(r, EN, 60), "en", "s", 1),
+            (None, make_text(r, FR, 60), "fr", None, None), (None, make_text(r, FR, 70), None, None, None)]
+    docs = spark.createDataFrame(made, COLUMNS)
+    kept = stage("simhash_near_dedup")(spark, docs, path).collect()
+    assert sum(x["text"] == long for x in kept) == 1 and len(kept) == 4
+    for name, run in C.STAGES[2:4]:
+        docs = run(spark, docs, path)
+        assert docs.count() == 6, name
