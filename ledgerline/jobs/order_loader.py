@@ -20,6 +20,7 @@ from ledgerline.functions.text import clean_all_strings, strip_upper
 from ledgerline.functions.values import fill_by_map
 from ledgerline.operators.columns import rename_map, require_columns
 from ledgerline.operators.incremental import new_rows
+from ledgerline.operators.key_index import KeyIndex
 from ledgerline.operators.lifecycle import Run, stamp
 
 
@@ -35,8 +36,10 @@ class LoaderConfig:
     required: list[str] | None = None            # S18 contract (landed names)
 
 
-def transform(batch: DataFrame, history: DataFrame, cfg: LoaderConfig, run: Run) -> DataFrame:
-    """New, cleaned and stamped rows of ``batch``; nothing is written."""
+def transform(batch: DataFrame, history: DataFrame | KeyIndex, cfg: LoaderConfig, run: Run) -> DataFrame:
+    """New, cleaned and stamped rows of ``batch``; nothing is written.
+
+    ``history`` is the rows loaded before, or the index of their keys."""
     if cfg.required:
         require_columns(batch, cfg.required, cfg.source)
     df = rename_map(batch, cfg.rename)
@@ -44,7 +47,7 @@ def transform(batch: DataFrame, history: DataFrame, cfg: LoaderConfig, run: Run)
     if cfg.amount:
         df = df.filter(positive_amount(cfg.amount))
     # Typed null-safe key; history is pruned to the key columns.
-    df = new_rows(df, history, cfg.key)
+    df = history.new_rows(df, cfg.key) if isinstance(history, KeyIndex) else new_rows(df, history, cfg.key)
     for c in cfg.time_columns:
         df = df.withColumn(c, fill_null_timestamp(c, SENTINEL_TIME_BASE))
     for c in cfg.date_columns:

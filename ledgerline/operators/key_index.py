@@ -20,7 +20,7 @@ from ledgerline.operators.incremental import matched_keys
 from ledgerline.operators.joins import normalised_keys, spread_join
 from ledgerline.operators.lifecycle import Run
 from ledgerline.operators.staging import staged_measured
-from ledgerline.sources.commits import Commit, append_committed, read_committed
+from ledgerline.sources.commits import Commit, append_committed, commits, read_committed
 
 BUCKETS = 256
 
@@ -68,3 +68,14 @@ class KeyIndex:
 
     def existing_rows(self, batch: DataFrame, keys: list[str] | None = None) -> DataFrame:
         return self._joined(batch, "left_semi", keys)
+
+    def catch_up(self, table: str, run: Run) -> list[str]:
+        """Add the committed loads of ``table`` that the index lacks, as after a
+        run that died between the two commits; returns their names."""
+        have = {r["load"] for r in commits(self.spark, self.path).select("load").collect()}
+        late = sorted(r["load"] for r in commits(self.spark, table).select("load").collect() if r["load"] not in have)
+        for load in late:
+            rows = read_committed(self.spark, table, [load])
+            if rows is not None:
+                self.add(rows, load, run)
+        return late

@@ -61,3 +61,47 @@ def test_an_unreadable_target_stops_the_load(spark, tmp_dir):
     with pytest.raises(Exception):
         run_config(spark, cfg, Run(job="t", run_id="R1", started=dt.datetime(2024, 1, 1)))
     assert os.listdir(target) == ["part-0.parquet"] and not os.path.exists(cfg["audit"])  # nothing was loaded
+
+
+def test_ledgered_loader_takes_each_file_once(spark, tmp_dir, monkeypatch):
+    """Late files, repeated runs, and runs killed before and after the commit."""
+    import pytest
+
+    from ledgerline.jobs import run as R
+    from ledgerline.operators import key_index
+    from ledgerline.sources import commits
+    landing = os.path.join(tmp_dir, "in")
+    os.makedirs(landing)
+
+    def land(name, lines, when):
+        p = os.path.join(landing, name)
+        with open(p, "w", encoding="latin-1") as fh:
+            fh.write("\n".join(["CUENTA;OT;VALOR", *lines]) + "\n")
+        os.utime(p, (when, when))
+    cfg = {"source": "CSV", "input": landing, "format": "csv", "read_options": {"header": "true", "sep": ";"}, "ledger": True, "pattern": "*.csv",
+           "schema": "CUENTA BIGINT, OT BIGINT, VALOR DOUBLE", "rename": {"CUENTA": "cuenta", "OT": "ot", "VALOR": "valor"}, "key": ["cuenta", "ot"],
+           "amount": "valor", "target": os.path.join(tmp_dir, "t"), "buckets": 4}
+
+    def load(k):
+        return run_config(spark, cfg, Run(job="csv", run_id=f"R{k}", started=dt.datetime(2024, 1, k)))
+
+    def rows():
+        return sorted((r["cuenta"], r["ot"], r["id_ejecucion"]) for r in commits.read_committed(spark, cfg["target"]).collect())
+    assert load(1) == 0
+    land("b.csv", ["1;10;5", "1;10;5", "2;20;0"], 1_700_000_000)
+    with monkeypatch.context() as m:  # killed before the commit
+        m.setattr(commits, "claim", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            load(2)
+    assert load(3) == 2 and load(4) == 0
+    land("a.csv", ["1;10;5", "3;30;1"], 1_600_000_000)  # late; one key is known
+    assert load(5) == 1
+    land("c.csv", ["3;30;1", "4;40;1"], 1_700_000_001)
+    with monkeypatch.context() as m:  # the index is written with the next load only, and that one dies
+        m.setattr(key_index.KeyIndex, "catch_up", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            load(6)
+    assert load(7) == 1 and load(8) == 0
+    assert rows() == [(1, 10, "R3"), (1, 10, "R3"), (3, 30, "R5"), (4, 40, "R7")]
+    assert sorted(r["cantidad_registros"] for r in commits.audit(spark, cfg["target"]).collect()) == [1, 1, 2]
+    assert R.run_ledgered(spark, cfg, Run(job="csv", run_id="R9")) == 0
