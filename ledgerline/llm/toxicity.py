@@ -42,9 +42,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerline.llm.runtime import broadcast_if_small, doc_crc, saved, ship_code, tidied
-from ledgerline.operators.joins import spread_join
 
 PER_CLASS = 1500
 EXAMPLE_CHARS = 100_000
@@ -55,6 +55,8 @@ BLOCK = 64
 OFTEN = 16
 #: Blocks that are scored at once.
 AT_ONCE = 6
+#: A word that one in this many texts has is common.
+COMMON = 50
 #: Minima of an example's sketch, and how many near copies share.
 MINIMA, SHARED = 16, 13
 
@@ -243,14 +245,16 @@ def _counted(text: str | None) -> Counter:
 
 
 def bags(docs: DataFrame, words: dict[str, int], keep: list[str]) -> DataFrame:
-    """(keep..., row, ids, counts, rest, rest_counts): the words of each whole
-    text, those of the examples by number, the others by hash.  Every text is
-    read here once."""
+    """(keep..., row, ids, counts, rest, rest_counts, common): the words of each
+    whole text, those of the examples by number, the others by hash.  Every text
+    is read here once.  ``common``, on a batch's first row, are the other words
+    that one in ``COMMON`` of the batch's texts has: a word that one in
+    ``COMMON`` of all texts has is among them in one batch at least."""
     spark = docs.sparkSession
     ship_code(spark)
     handle = spark.sparkContext.broadcast(words)
 
-    @F.arrow_udf("ids array<int>, counts array<int>, rest array<string>, rest_counts array<int>")
+    @F.arrow_udf("ids array<int>, counts array<int>, rest array<string>, rest_counts array<int>, common array<string>")
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         number = handle.value.get
         for texts in tidied(batches):
@@ -265,19 +269,27 @@ def bags(docs: DataFrame, words: dict[str, int], keep: list[str]) -> DataFrame:
                 at[1].append(len(parts[2]))
             kinds = (pa.int32(), pa.int32(), pa.string(), pa.int32())
             lists = [pa.ListArray.from_arrays(pa.array(at[j // 2], pa.int32()), pa.array(parts[j], kinds[j])) for j in range(4)]
-            yield pa.StructArray.from_arrays(lists, ["ids", "counts", "rest", "rest_counts"])
+            n = len(texts)
+            often = [w for w, c in Counter(parts[2]).items() if c * COMMON >= n]
+            common = pa.array([often] + [[]] * (n - 1) if n else [], pa.list_(pa.string()))
+            yield pa.StructArray.from_arrays([*lists, common], ["ids", "counts", "rest", "rest_counts", "common"])
 
     out = docs.select(*keep, count(F.col("text")).alias("b")).select(*keep, F.monotonically_increasing_id().alias("row"), "b.*")
-    return out.withColumn("rest", F.transform("rest", lambda w: F.xxhash64(w)))
+    return out.withColumns({c: F.transform(c, lambda w: F.xxhash64(w)) for c in ("rest", "common")})
 
 
 def _rest_norms(counted: DataFrame, documents: int) -> DataFrame:
     """(row, rest_norm): squares of the weights of the words that no example has."""
+    spark = counted.sparkSession
     rest = counted.select("row", F.explode(F.arrays_zip("rest", "rest_counts")).alias("w")).select("row", F.col("w.rest").alias("word"), F.col("w.rest_counts").alias("tf"))
-    # All occurrences of such a word are here; a common one is counted map-side, and its rows are spread.
-    found = rest.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0 + documents) / (1 + F.col("df")))
-    squares = spread_join(rest, found, ["word"], "inner").select("row", F.pow((1 + F.log("tf")) * idf, 2).alias("x"))
+    # Common words (COMMON times the words of a text at most) are counted map-side and
+    # sent to their rows; of the others no word has more than a COMMON-th of the rows.
+    maybe = broadcast_if_small(saved(spark, counted.select(F.explode("common").alias("word")).distinct(), "maybe-common"))
+    often = rest.join(maybe, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") * COMMON >= documents)
+    often = broadcast_if_small(saved(spark, often, "common"))
+    each = rest.join(often.select("word"), "word", "left_anti").withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("word")))
+    every = each.select("row", "tf", "df").unionByName(rest.join(often, "word").select("row", "tf", "df"))
+    squares = every.select("row", F.pow((1 + F.log("tf")) * F.log(F.lit(1.0 + documents) / (1 + F.col("df"))), 2).alias("x"))
     # Whole numbers, so that the order of the sum does not show.
     return squares.groupBy("row").agg(F.sum((F.col("x") * 1e9).cast("long")).alias("rest_norm"))
 

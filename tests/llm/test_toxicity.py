@@ -215,3 +215,21 @@ def test_shared_passages_do_not_make_near_copies(spark):
     labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
     chosen, _ = T.examples(df, labels)
     assert chosen.count() == sum(zlib.crc32(str(i).encode()) % 5 > 0 for i, _ in docs)
+
+
+def test_common_words_of_texts_without_labels_are_counted(spark):
+    """A word that no example has and most texts have: part of every norm."""
+    docs = [(i, f"alpha{i} beta gamma") for i in range(20)] + [(1000 + i, f"omega tail{i} beta") for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    model, found = T.fit(df, labels)
+    assert "omega" not in model.words
+    n = len(docs)
+    idf = lambda k: math.log((1 + n) / (1 + k))
+    beta = model.scale[model.words["beta"]]
+    for r in found.filter("doc_id >= 1000").collect():
+        size = math.sqrt(beta ** 2 + idf(400) ** 2 + idf(1) ** 2)
+        assert abs(beta - idf(n)) < 1e-9 and (not r["cosines"] or max(r["cosines"]) <= beta / size + 1e-6)
+    counted = T.bags(df, model.words, ["doc_id"])
+    norms = {r["row"]: r["rest_norm"] / 1e9 for r in T._rest_norms(T.saved(spark, counted, "t"), n).collect()}
+    assert {round(v, 5) for v in norms.values()} - {round(idf(1) ** 2, 5)} == {round(idf(400) ** 2 + idf(1) ** 2, 5)}
