@@ -67,13 +67,13 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def saved(spark: SparkSession, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with files every executor can read, so a lost executor
     costs no recomputation of what stands before."""
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
