@@ -23,6 +23,7 @@ from ledgerline.operators.columns import pad_columns
 from ledgerline.operators.fill import fill_across_sources
 from ledgerline.operators.joins import spread_join
 from ledgerline.operators.numbering import number_rows
+from ledgerline.operators.staging import staged
 
 
 @dataclass
@@ -115,7 +116,7 @@ def build(inp: ReportInputs, params: ReportParams) -> DataFrame:
     })
     out = out.withColumn("estado_consultor", consultant_state("nombre_consultor", "documento_consultor",
                                                               F.lit("ACTIVO")))             # X28
-    numbered = number_rows(out, DATA, None, "__n")                                          # W5
+    numbered = number_rows(staged(out, "report"), DATA, None, "__n")                        # W5
     prefix = f"ALT-{MONTH_ABBREVIATIONS[params.run_date.month - 1]}{params.run_date:%y}-"
     numbered = numbered.withColumn("nuv", F.concat(F.lit(prefix), F.format_string("%08d", "__n")))
     types = dict(numbered.dtypes)

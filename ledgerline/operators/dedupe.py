@@ -59,5 +59,9 @@ def keep_first_counted(df: DataFrame, keys: list[str], order: list[str], name: s
 
 def duplicate_ordinal(df: DataFrame, keys: list[str], order: list,
                       name: str = "ordinal") -> DataFrame:
-    """``cumcount() + 1`` after a sort, for every row (skew-safe numbering)."""
+    """``cumcount() + 1`` after a sort, for every row (skew-safe numbering);
+    rows that tie are told apart by their other columns."""
+    if all(isinstance(c, str) for c in order):
+        rest = [c for c in df.columns if c not in order and c not in keys]
+        return number_rows(df, [*order, *rest], group=keys, name=name)
     return number_rows(df, tiebreak(df, order, tuple(keys)), group=keys, name=name)

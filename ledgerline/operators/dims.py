@@ -41,7 +41,7 @@ def assign_ids(new_values: DataFrame, existing: DataFrame, id_col: str = "id",
     per domain when ``group`` is given.  Numbering is range-partitioned, so a
     large domain does not collapse to one task."""
     group = list(group or [])
-    order = [F.col(value_col).asc_nulls_last()]
+    order = [value_col]
     if group:
         maxes = existing.groupBy(*group).agg(F.max(id_col).alias("__max"))
         numbered = number_rows(new_values, order, group, "__rn")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import spread_join
+from ledgerline.operators.joins import normalised_keys, spread_join
+from ledgerline.operators.staging import staged
 
 
 def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None = None,
@@ -15,45 +16,48 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
 
     Null keys are dropped first (pandas ``groupby`` drops them).
 
-    Two-level scan, so a key holding a large share of the rows is neither
-    funnelled into one task nor rescanned per row:
+    A key holding a large share of the rows is neither funnelled into one task
+    nor rescanned per row:
 
-    1. rows are range-partitioned on (key, order) -- a hot key is cut into
-       several ordered chunks -- and checkpointed, so the chunking is fixed
-       even if a task is recomputed;
-    2. inside each (chunk, key) both fills are running windows (the
-       backward fill is a forward fill in reverse order): linear work;
-    3. a summary with one row per (key, chunk) holds each column's last and
-       first non-null value; a window over those few rows per key gives the
-       value carried in from earlier / later chunks;
-    4. filled = coalesce(fill within chunk, carried from before,
-       back-fill within chunk, carried from after).
-    """
-    from ledgerline.operators.numbering import ranges
+    1. the order (key, order) is cut into ranges (``range_index``), a hot key
+       into several of them; a row's range depends on the row alone;
+    2. inside each (range, key) both fills are running windows (the backward
+       fill is a forward fill in reverse order): linear work;
+    3. of the few keys that a bound cuts, a mergeable state per (key, range)
+       holds each column's first and last non-null value, and a window over
+       those few rows gives what earlier and later ranges carry in;
+    4. filled = coalesce(fill within the range, carried from before,
+       back-fill within the range, carried from after).
+
+    ``df`` is read three times (once for the order columns only, once for the
+    cut keys): stage it first if it is costly to make."""
+    from ledgerline.operators.range_index import RangeIndex
     cols = cols or [c for c in df.columns if c != key]
     asc = [F.col(c).asc_nulls_last() for c in order]
     desc = [F.col(c).desc_nulls_first() for c in order]
     base = df.filter(F.col(key).isNotNull())
-    chunks = (ranges(base, [F.col(key).asc(), *asc], num_partitions)
-                  .withColumn("__pid", F.spark_partition_id())
-                  .checkpoint(eager=True))
-    fwd = Window.partitionBy("__pid", key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rev = Window.partitionBy("__pid", key).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = chunks.withColumns({
+    index = RangeIndex(base, [key], order, num_partitions)
+    ranged = base.withColumn("__range", index.range_of())
+    fwd = Window.partitionBy("__range", key).orderBy(*asc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rev = Window.partitionBy("__range", key).orderBy(*desc).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({
         **{f"__f_{i}": F.last(F.col(c), ignorenulls=True).over(fwd) for i, c in enumerate(cols)},
         **{f"__b_{i}": F.last(F.col(c), ignorenulls=True).over(rev) for i, c in enumerate(cols)}})
     # Struct order puts nulls first, the windows last: the null flag leads.
     pos = F.struct(*[x.alias(f"p{i}") for i, x in enumerate(y for c in order for y in (F.col(c).isNull(), F.col(c)))])
-    summary = chunks.groupBy(key, "__pid").agg(
+    keyed, names = normalised_keys(ranged, [key], "__g")
+    cut, _ = index.cut_groups()
+    state = keyed.join(F.broadcast(cut), names, "left_semi").groupBy(key, "__range").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__l_{i}") for i, c in enumerate(cols)],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__h_{i}") for i, c in enumerate(cols)])
-    before = Window.partitionBy(key).orderBy(F.col("__pid").asc()).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(key).orderBy(F.col("__pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        key, "__pid",
+    before = Window.partitionBy(key).orderBy(F.col("__range").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(key).orderBy(F.col("__range").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # Two rows a bound at most.
+    carry = state.select(
+        key, "__range",
         *[F.last(F.col(f"__l_{i}"), ignorenulls=True).over(before).alias(f"__cf_{i}") for i in range(len(cols))],
         *[F.last(F.col(f"__h_{i}"), ignorenulls=True).over(after).alias(f"__cb_{i}") for i in range(len(cols))])
-    joined = spread_join(local, carry, [key, "__pid"], "left")
+    joined = local.join(F.broadcast(carry), [key, "__range"], "left")
     filled = joined.withColumns({
         c: F.coalesce(F.col(f"__f_{i}"), F.col(f"__cf_{i}"), F.col(f"__b_{i}"), F.col(f"__cb_{i}"))
         for i, c in enumerate(cols)})
@@ -88,6 +92,6 @@ def fill_across_sources(frames: list[DataFrame], key: str, order_cols: list[str]
     tagged = [f.withColumn("__src", F.lit(i)) for i, f in enumerate(frames)]
     allf = union_all(tagged)
     data = [c for c in allf.columns if c not in ("__src", *order_cols)]
-    first = keep_first(allf, data, ["__src", *order_cols], total=False)
+    first = staged(keep_first(allf, data, ["__src", *order_cols], total=False), "sources")
     filled = group_fill(first, key, ["__src", *order_cols], [c for c in data if c != key], distinct=False)
     return filled.select(*data).distinct()
