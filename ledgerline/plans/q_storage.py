@@ -175,6 +175,31 @@ def landed_csv_with_rejects(spark, sf_dir):
     return rows.unionByName(lines).groupBy("suppkey", "rechazada", "linea").agg(F.count(F.lit(1)).alias("filas"))
 
 
+@query("load_error_rows", "C4 S18 C2", sql="""
+SELECT 'RUN-STORE-0001' AS id_ejecucion, 'storage' AS proceso, 'PEDIDOS ' || o_orderstatus AS fuente, 'transform' AS funcion, 100 AS largo,
+       count(*) AS filas_leidas, 0 AS filas_cargadas
+FROM orders WHERE o_orderstatus = 'P' GROUP BY o_orderstatus
+""")
+def load_error_rows(spark, sf_dir):
+    """A load whose file lacks a required column leaves an error row, its message
+    cut to 100 characters, and no rows."""
+    from ledgerline.jobs.order_loader import LoaderConfig, run_loader
+    from ledgerline.operators.columns import MissingColumnsError
+    o = Tables(spark, sf_dir).orders.filter(F.col("o_orderstatus") == "P")
+    folder = scratch_folder(spark, "failed-load")
+    wanted = [f"columna_obligatoria_{i:02d}" for i in range(8)]
+    cfg = LoaderConfig(source="PEDIDOS P", rename={}, key=["o_orderkey"], required=wanted)
+    try:
+        run_loader(o, o.select("o_orderkey"), cfg, RUN, f"{folder}/target", f"{folder}/audit", f"{folder}/errors")
+    except MissingColumnsError:
+        pass
+    loaded = readers.read_existing(spark, f"{folder}/target")
+    rows = spark.read.parquet(f"{folder}/errors")
+    kept = 0 if loaded is None else loaded.count()
+    return rows.select("id_ejecucion", "proceso", "fuente", "funcion", F.length("descripcion_error").alias("largo"),
+                       F.lit(o.count()).cast("bigint").alias("filas_leidas"), F.lit(kept).alias("filas_cargadas"))
+
+
 _RUN_SQL = "'RUN-STORE-0001' AS id_ejecucion"
 _TS_SQL = "TIMESTAMP '2024-06-01 00:00:00' AS fecha_procesamiento"
 

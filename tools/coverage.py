@@ -22,13 +22,15 @@ INC, DD, FL, DM, PV, SO, LC, PR, NB, JN = ("operators/incremental.py", "operator
                                            "operators/lifecycle.py", "operators/profile.py",
                                            "operators/numbering.py", "operators/joins.py")
 
+CM = "sources/commits.py"
+
 IMPL = {
-    "S1": f"{R} `read_landed`", "S2": f"{R} `read_landed` + {SO} `union_all`", "S3": f"{C} `select_positions`",
+    "S1": f"{R} `read_landed`; sources/ledger.py (each file once)", "S2": f"{R} `read_landed` + {SO} `union_all`", "S3": f"{C} `select_positions`",
     "S4": f"{R} `read_headerless_csv`", "S5": f"{R} `read_headered_csv`", "S6": f"{R} `read_csv_with_rejects`",
-    "S7": f"{R} `read_landed` / `read_jdbc`", "S8": f"{R} `read_jdbc` (partitioned)", "S9": f"{R} `read_jdbc`",
-    "S10": f"{R} `read_jdbc`", "S11": f"{SK} `append_table`, `append_jdbc`", "S12": f"{SK} `write_csv_copy`",
-    "S13": f"{SK} `write_csv_copy`", "S14": f"{R} `modified_since`", "S15": f"{R} `newest_file`",
-    "S16": f"{INC} `already_loaded`", "S17": f"{R} `read_landed(source_tag=)`", "S18": f"{C} `require_columns`",
+    "S7": f"{R} `read_landed` / `read_jdbc`; {CM} `read_committed`", "S8": f"{R} `read_jdbc` (partitioned)", "S9": f"{R} `read_jdbc`",
+    "S10": f"{R} `read_jdbc`", "S11": f"{CM} `append_committed` (one commit a load); {SK} `append_table`, `append_jdbc`", "S12": f"{SK} `write_csv_copy`",
+    "S13": f"{SK} `write_csv_copy`", "S14": f"sources/ledger.py `pending_files`, `load_pending`; {R} `modified_since`", "S15": f"sources/ledger.py `load_pending(newest_only=)`; {R} `newest_file`",
+    "S16": f"sources/ledger.py `loaded_today`; {INC} `already_loaded`", "S17": f"{R} `read_landed(source_tag=)`", "S18": f"{C} `require_columns`",
     "S19": f"{R} `business_rules`, `rule_value`",
     "J1": f"{C} `rename_map`", "J2": f"{C} `rename_by_rule`", "J3": f"{C} `select_positions`",
     "J4": f"{C} `select_required`", "J5": f"{C} `select_existing`", "J6": f"{C} `drop_columns`",
@@ -42,12 +44,12 @@ IMPL = {
     "F13": "Spark SQL predicates", "F14": f"{P} `exclude_with_exception`", "F15": f"{D} `business_day_window`",
     "F16": f"{D} `month_start`", "F17": f"{P} `watermark`, {INC} `watermark_increment`",
     "F18": "`filter` on sentinels", "F19": "`filter(id != 0)`", "F20": "`filter(id IS NULL OR id = 0)`",
-    "F21": "OR of `like`", "N1": f"{INC} `new_rows`", "N2": f"{INC} `new_rows`", "N3": f"{INC} `new_rows`",
-    "N4": f"{INC} `new_rows`", "N5": f"{INC} `new_rows_by_day`", "N6": f"{DM} `new_domain_values`",
-    "N7": f"{INC} `new_rows` on name", "N8": f"{INC} `split_new_existing`", "N9": f"{INC} `existing_rows`",
-    "N10": f"{INC} `membership_flag`", "N11": f"{DM} `lookup`", "N12": f"{DM} `lookup` on cleaned name",
+    "F21": "OR of `like`", "N1": f"{INC} `new_rows`; operators/key_index.py `KeyIndex`", "N2": f"{INC} `new_rows`; operators/key_index.py `KeyIndex`", "N3": f"{INC} `new_rows`; operators/key_index.py `KeyIndex`",
+    "N4": f"{INC} `new_rows`; operators/key_index.py `KeyIndex`", "N5": f"{INC} `new_rows_by_day`", "N6": f"{DM} `new_domain_values`",
+    "N7": f"{INC} `new_rows` on name", "N8": f"{INC} `split_new_existing`; operators/key_index.py `existing_rows`", "N9": f"{INC} `existing_rows`",
+    "N10": f"{INC} `membership_flag`", "N11": f"{DM} `lookup_many`, `lookup`", "N12": f"{DM} `lookup_many` on cleaned names",
     "N13": f"{DM} `lookup(default=)`, inline map", "N14": "left joins to first-by-key lookups + `coalesce`",
-    "N15": f"{DM} `keep_if_known`", "N16": f"{DM} `contains_first_match` (substring equi-join)",
+    "N15": f"{DM} `keep_if_known`", "N16": f"{DM} `contains_first_match` (q-gram index)",
     "N17": "null-safe two-key join", "N18": "left join, fan-out kept", "N19": "inner join",
     "N20": "jobs/warehouse.py `star` (inner roles)", "N21": "jobs/warehouse.py `star`, one dimension in several roles",
     "N22": f"{PV} `guarded_bigint`", "N23": "inner join + filter", "N24": f"{LC} `latest_version`",
@@ -56,7 +58,7 @@ IMPL = {
     "A5": f"{PR} `column_profile`", "A6": f"{INC} `max_value`", "A7": f"{PR} `count_before_after` / `count_if`",
     "A8": f"{PR} `column_profile`", "A9": f"{PV} `eav_pivot`", "A10": "`agg(max)` of the top-n",
     "W1": f"{DD} `keep_first`", "W2": f"{DD} `duplicate_ordinal` ({NB})", "W3": f"{DD} `duplicate_flag`",
-    "W4": f"{FL} `group_fill` (two-level scan)", "W5": f"{NB} `number_rows`", "W6": f"{DM} `assign_ids`",
+    "W4": f"{FL} `group_fill` (operators/range_index.py)", "W5": f"{NB} `number_rows` (operators/range_index.py)", "W6": f"{DM} `assign_ids`",
     "W7": f"{LC} `with_row_ids`, `assert_unique`", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
     "O3": "`orderBy().limit()`", "O4": f"{DD} `keep_first`", "U1": f"{SO} `union_all`",
     "U2": f"{SO} `union_distinct`", "U3": f"{SO} `key_difference`", "U4": f"{SO} `key_intersection`",
@@ -74,13 +76,13 @@ IMPL = {
     "X34": f"{D} `excel_serial_to_date`, `date_to_excel_serial`", "X35": f"{D} `iso_date_text`",
     "X36": f"{D} `date_from_parts`", "X37": f"{D} `date_text_two_digit_year`", "X38": "`date_format`",
     "X39": f"{D} `fill_null_timestamp`", "X40": "`year`", "X41": f"{K} `concat_blank_nulls`, `concat_strict`",
-    "X42": f"{K} `int_text`", "X43": f"{K} `id_text`", "X44": f"{LC} `with_row_ids`, {K} `row_id`",
+    "X42": f"{K} `int_text`", "X43": f"{K} `id_text`", "X44": f"{LC} `with_row_ids`, `numbered_copies`, {K} `row_id`",
     "X45": f"{V} `list_literal_to_array`", "X46": f"{N} `coerce_by_type_map`", "X47": f"{N} `fill_blank_then_zero`",
     "X48": f"{V} `fill_from`", "X49": "`upper`", "X50": f"{C} `add_constants`", "X51": f"{V} `fill_not_applicable`",
-    "C1": f"{LC} `stamp`", "C2": f"{LC} `audit_row`, `audit_counts`; {SK} `append_table` (observed count)",
-    "C3": f"{LC} `audit_row` (written once with both times)", "C4": f"{LC} `error_row`",
-    "C5": f"{LC} `current_state`, `soft_delete_append`", "C6": f"{LC} `targeted_state_update`", "C7": f"{LC} `targeted_state_update`",
-    "C8": f"{LC} `next_version`", "C9": f"{INC} `watermark_increment`", "C10": "jobs/org_chart.py `materialise`",
+    "C1": f"{LC} `stamp`", "C2": f"{CM} `audit` (from the commit records); {LC} `audit_row`, `audit_counts`",
+    "C3": f"{CM} `audit`; {LC} `audit_row`", "C4": f"{LC} `error_row`",
+    "C5": f"{LC} `current_state`, `soft_delete_append`", "C6": f"operators/state_log.py (rows per update only); {LC} `targeted_state_update`", "C7": f"jobs/org_layouts.py `vacated`, `retire_vacated`; operators/state_log.py",
+    "C8": f"{CM} `claim_version` ({SK} `write_snapshot`); {LC} `next_version`", "C9": f"{INC} `watermark_increment`", "C10": "jobs/org_chart.py `materialise`",
     "C11": f"{LC} `retire`, org chart `retired_sheet`",
     "G1": "jobs/order_loader.py", "G2": "jobs/loaders.py `upsell_csv`", "G3": "jobs/loaders.py `sales_csv`",
     "G4": "jobs/loaders.py `cloud_sales`", "G5": "jobs/loaders.py `code_master`, `network_nodes`",
@@ -92,15 +94,16 @@ IMPL = {
 }
 
 TESTS = {
-    "S1": "test_sources", "S2": "test_sources", "S3": "test_loaders", "S4": "test_loaders", "S5": "test_sources",
-    "S6": "test_loaders", "S7": "test_sources", "S8": "test_sources (options only; no server)", "S9": "as S8",
-    "S10": "as S8", "S11": "test_sources, test_streaming, test_runner", "S12": "test_sources", "S13": "test_sources",
-    "S14": "test_sources", "S15": "test_sources", "S16": "test_properties", "S18": "test_sources",
-    "C4": "test_sources", "C11": "test_org_chart", "W7": "test_properties", "G2": "test_loaders", "G3": "test_loaders",
-    "G17": "test_loaders", "W4": "test_properties (hot key vs pandas), test_bruteforce (vs pandas), test_skew", "W5": "test_properties", "W2": "test_skew, test_bruteforce", "W3": "test_skew, test_bruteforce",
+    "S1": "test_sources, test_storage", "S2": "test_sources", "S3": "test_loaders", "S4": "test_loaders", "S5": "test_sources",
+    "S6": "test_loaders", "S7": "test_sources, test_storage", "S8": "test_sources (options only; no server)", "S9": "as S8",
+    "S10": "as S8", "S11": "test_storage, test_sources, test_streaming, test_runner", "S12": "test_sources", "S13": "test_sources",
+    "S14": "test_storage, test_sources", "S15": "test_storage, test_sources", "S16": "test_storage, test_properties", "S18": "test_sources",
+    "C4": "test_sources", "C11": "test_org_chart", "W7": "test_storage, test_properties", "G2": "test_loaders", "G3": "test_loaders",
+    "G17": "test_loaders", "W4": "test_range_index, test_properties (hot key vs pandas), test_bruteforce (vs pandas), test_skew", "W5": "test_range_index, test_properties", "W2": "test_range_index, test_skew, test_bruteforce", "W3": "test_skew, test_bruteforce",
     "A9": "test_bruteforce", "N24": "test_bruteforce", "A2": "test_bruteforce", "X2": "test_bruteforce",
     "J12": "test_semantics", "N8": "test_bruteforce", "N9": "test_bruteforce",
-    "N1": "test_bruteforce, test_skew", "N16": "test_bruteforce", "C5": "test_properties", "C8": "test_properties",
+    "N1": "test_storage, test_bruteforce, test_skew", "N16": "test_dims, test_bruteforce", "C5": "test_properties", "C8": "test_storage, test_properties",
+    "C2": "test_storage", "C3": "test_storage", "C6": "test_storage", "X44": "test_storage", "N11": "test_dims", "N12": "test_dims",
     "P": "test_semantics",
 }
 
