@@ -1,4 +1,4 @@
-"""The six sheet layouts of the org chart, as configuration.
+"""The eight sheet layouts of the org chart, as configuration.
 
 A layout says which headers a sheet has and what stands in for the columns it
 lacks; ``normalise`` brings every sheet to the same columns, ``people`` takes
@@ -66,6 +66,11 @@ TMK_HEADERS = {
     "ESPECIALISTA": "especialista", "DIRECCION COMERCIAL": "direccion_comercial", "NOMBRE DIRECTOR": "director",
     "OBSERVACION": "observacion", "FUENTE": "fuente",
 }
+# Commercial intelligence: fewer headers, and the head's document beside the name.
+INTELLIGENCE_HEADERS = {h: STAFF_HEADERS[h] for h in (
+    "TIPO DOCUMENTO", "No DOCUMENTO", "NOMBRE", "CELULAR", "CORREO", "CARGO ACTUAL", "TIPO DE CONTRATACION", "GERENCIA COMERCIAL/ O JEFATURA",
+    "NOMBRE JEFE", "PROVEEDOR", "FECHA INGRESO AREA", "SEGMENTO", "DIRECCION COMERCIAL", "CANAL", "FUENTE")}
+INTELLIGENCE_HEADERS |= {"CIUDAD": "ciudad", "DOCUMENTO JEFE": "documento_jefe"}
 # --- fixed values: role -> word in the job title of a post that can be vacated --------------
 VACANCY_TITLES = {"jefe": "jefe", "coordinador_directo": "coordinador", "gerente": "gerente"}
 # --- fixed values: what stands in for columns that a sheet lacks; other domains and roles are 'NO APLICA'.
@@ -95,6 +100,9 @@ LAYOUTS = {
     "cavs": Layout("CAVS", CAVS_HEADERS, {"coordinador_directo": NOT_APPLICABLE}, assign="independent",
                    extra=("cavs", "codigo_padre_cav", "codigo_cvc_consultor", "usuario_red", "ciudad", "dealer")),
     "tmk": Layout("TMK", TMK_HEADERS, extra=("dealer",)),
+    "inteligencia": Layout("INTELIGENCIA COMERCIAL", INTELLIGENCE_HEADERS, extra=("ciudad", "documento_jefe")),
+    "inteligencia_retiro": Layout("INTELIGENCIA COMERCIAL RETIRO", {**INTELLIGENCE_HEADERS, "FECHA RETIRO AREA": "fecha_retiro_area", "MOTIVO": "motivo"},
+                                  retired=True, extra=("ciudad", "documento_jefe", "motivo")),
 }
 
 
@@ -132,19 +140,23 @@ def people(sheets: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     of the persons named in a role whom ``existing`` lacks.
 
     One pass: the role columns of all sheets are unpivoted.  A person who is a
-    row of a sheet too has that row's document, others the unknown one; of a
-    name's states the lowest stays."""
+    row of a sheet too has that row's document, a head whose document stands
+    beside the name that one, others the unknown one; of a name's states the
+    lowest stays."""
     frames, rows = [], []
     for name, s in sheets.items():
         retired = F.lit(LAYOUTS[name].retired)
         frames.append(s.select(*ROLES).withColumn("__retired", retired))
-        rows.append(s.select(remove_vacancy_marker("nombre_completo").alias("nombre"), fix_document("identificacion").alias("identificacion")))
+        rows.append(s.select(remove_vacancy_marker("nombre_completo").alias("nombre"), fix_document("identificacion").alias("identificacion"), F.lit(1).alias("orden")))
+        if "documento_jefe" in s.columns:
+            rows.append(s.select(remove_vacancy_marker("jefe").alias("nombre"), fix_document("documento_jefe").alias("identificacion"), F.lit(0).alias("orden"))
+                        .filter("identificacion IS NOT NULL"))
     named = union_all(frames).unpivot(ids=["__retired"], values=ROLES, variableColumnName="rol", valueColumnName="__raw")
     named = named.filter(F.col("__raw").isNotNull() & ~F.col("__raw").isin("", NOT_APPLICABLE))
     state = F.when(F.col("__retired"), F.lit(STATE_INACTIVE)).otherwise(vacancy_state("__raw", F.lit(STATE_ACTIVE)))
     named = named.select("rol", remove_vacancy_marker("__raw").alias("nombre"), state.alias("id_estado_registro"))
     named = keep_first(named, ["rol", "nombre"], ["id_estado_registro"])
-    found = lookup(named, union_all(rows), "nombre", "nombre", {"identificacion": "identificacion"}, {"identificacion": UNKNOWN_DOCUMENT})
+    found = lookup(named, union_all(rows), "nombre", "nombre", {"identificacion": "identificacion"}, {"identificacion": UNKNOWN_DOCUMENT}, order_col="orden")
     ident = row_id("rol", "nombre", run_id="PERSONA")
     return new_rows(found, existing, ["rol", "nombre"], small_history=True).select("rol", ident.alias("id_persona"), "nombre", "identificacion", "id_estado_registro")
 

@@ -17,7 +17,7 @@ from ledgerline.plans.catalog import Tables
 from ledgerline.plans import q_jobs, q_loaders  # noqa: F401  (registered first)
 from ledgerline.plans.registry import REGISTRY, query
 
-NUMBERS = {"red_maestra": 1, "retiro": 2, "retail": 3, "directos": 4, "cavs": 5, "tmk": 6}
+NUMBERS = {"red_maestra": 1, "retiro": 2, "retail": 3, "directos": 4, "cavs": 5, "tmk": 6, "inteligencia": 7, "inteligencia_retiro": 8}
 
 
 def _values(sheet: str) -> dict[str, str]:

@@ -73,3 +73,17 @@ def test_retail_and_direct_assignment_by_partial_name(spark):
     assert exc[1] == ("maria", "NO APLICA")
     assert exc[2] == ("NO APLICA", "carlos")
     assert exc[3] == exc[5] == ("NO APLICA", "NO APLICA")
+
+
+def test_heads_have_the_document_beside_their_name(spark):
+    """Commercial intelligence: a head without a row of its own."""
+    from ledgerline.jobs import org_layouts as G
+    rows = [("CC", "111222333", "ANA", "JEFE DE ZONA", "LUIS", "900100200"), ("CC", "444", "LUISA", "CONSULTOR", "ANA", "555"), ("CC", "777", "EVA", "CONSULTOR", "SIN DOC", None)]
+    sheet = spark.createDataFrame(rows, "`TIPO DOCUMENTO` string, `No DOCUMENTO` string, NOMBRE string, `CARGO ACTUAL` string, `NOMBRE JEFE` string, `DOCUMENTO JEFE` string")
+    norm = G.normalise(sheet, G.LAYOUTS["inteligencia"])
+    found = {r["nombre"]: r["identificacion"] for r in G.people({"inteligencia": norm}, spark.createDataFrame([], "rol string, nombre string")).collect() if r["rol"] == "jefe"}
+    assert found == {"LUIS": "900100200", "ANA": "11222333", "SIN DOC": G.UNKNOWN_DOCUMENT}
+    gone = {r["nombre"]: r["id_estado_registro"] for r in G.retire_vacated(
+        spark.createDataFrame([("jefe", "ANA", 1), ("jefe", "EVA", 1)], "rol string, nombre string, id_estado_registro int"),
+        {"inteligencia": norm.withColumn("nombre_completo", norm["nombre_completo"])}).collect()}
+    assert gone == {"ANA": 1, "EVA": 1}
