@@ -21,6 +21,7 @@ from ledgerline.operators.dims import lookup_many
 from ledgerline.operators.incremental import new_rows, new_rows_by_day
 from ledgerline.operators.lifecycle import Run, stamp
 from ledgerline.operators.setops import union_all
+from ledgerline.operators.staging import staged
 from ledgerline.sources import contracts, readers
 
 
@@ -167,7 +168,7 @@ def legalised(a: DataFrame, b: DataFrame, c: DataFrame, history: DataFrame, run:
                   "_ingest_pos")
     rows = union_all([f.withColumn("layout", F.lit(i + 1)) for i, f in enumerate((la, lb, lc))])
     rows = rows.dropna(subset=["ot"])                            # F4: also text that is no number
-    rows = keep_first(rows, ["layout", "ot"], ["_ingest_pos"]).drop("_ingest_pos")
+    rows = staged(keep_first(rows, ["layout", "ot"], ["_ingest_pos"]).drop("_ingest_pos"), "layouts")  # read for its keys and its rows
     return stamp(new_rows(rows, history, ["ot"]), run, source, unique=True)  # one read of history for all layouts
 
 

@@ -23,6 +23,7 @@ from ledgerline.functions.values import period_by_type
 from ledgerline.operators.dedupe import keep_first_counted
 from ledgerline.operators.incremental import membership_flag
 from ledgerline.operators.setops import union_all
+from ledgerline.operators.staging import staged
 
 
 @dataclass
@@ -40,7 +41,8 @@ def _side(rows: DataFrame, kind: str, serial: Column, rules: WhiteLabelRules,
           other: DataFrame, companies: DataFrame) -> DataFrame:
     df = rows.withColumn("fecha_excel", serial).withColumn("__paq_txt", int_text("cod_paq_instalado"))
     svc_key = ["co_id", "fecha_excel", "valor_paq", "desc_serv_instalado"]
-    df = keep_first_counted(df, svc_key, SORT, "duplicado_por_servicio")  # W3, W2 keep 1 (A2)
+    # Staged: its keys are asked for twice before its rows are.
+    df = staged(keep_first_counted(df, svc_key, SORT, "duplicado_por_servicio"), "services")  # W3, W2 keep 1 (A2)
     df = membership_flag(df, companies, ["nit"], "segmento", yes="EMPRESAS", no="NEGOCIOS")  # N10
     other_keys = other.withColumn("__paq_txt", int_text("cod_paq_instalado")).select(*MATCH_KEY)
     df = membership_flag(df, other_keys, MATCH_KEY, "cruce_bajas_altas", yes="Cruza", no="No cruza")
@@ -106,6 +108,6 @@ def load(result: DataFrame, history: DataFrame, run, key: list[str] = SERVICE_KE
     rows = (result.filter(F.col("cruce_bajas_altas") == "No cruza")
                   .drop("duplicado_por_servicio", "cruce_bajas_altas")
                   .withColumnRenamed("periodo", "mes_mb"))
-    fresh = new_rows(rows, history, [*key, "mes_mb"])
+    fresh = new_rows(staged(rows, "white-label"), history, [*key, "mes_mb"])
     out = stamp(fresh, run, "MARCA BLANCA")
     return out.withColumn("id_estado_registro", F.lit(1))
