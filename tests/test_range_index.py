@@ -1,4 +1,4 @@
-"""Numbering and filling through a fixed range index."""
+"""Numbering through a fixed range index (W2, W5, W6), and fills over ranges."""
 
 import datetime as dt
 import os
@@ -56,7 +56,7 @@ def test_output_may_have_any_name(spark):
         assert out.agg(F.min(name)).first()[0] == 10 and out.columns[-1] == name
 
 
-def test_nothing_is_checkpointed_for_numbers_and_fills(spark, tmp_dir):
+def test_nothing_is_checkpointed_for_numbers(spark, tmp_dir):
     """Only the sample leaves the tasks; rows are written nowhere."""
     def used():
         root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
@@ -66,7 +66,6 @@ def test_nothing_is_checkpointed_for_numbers_and_fills(spark, tmp_dir):
     df = spark.read.parquet(path)
     before = used()
     assert number_rows(df, ["t", "x", "id"], group=["g"], name="n").count() == 20_000
-    assert group_fill(df, "g", ["id"], ["t", "x"], distinct=False).count() == df.filter("g IS NOT NULL").count()
     assert used() == before
     text = formatted(spark, number_rows(df, ["id"], group=["g"], name="n"))
     assert "ExistingRDD" not in text and "Scan parquet" in text
@@ -80,7 +79,7 @@ def test_an_order_of_expressions_goes_the_longer_way(spark):
     assert [n for _, n in hot] == list(range(len(hot), 0, -1))
 
 
-def test_fill_carries_over_cut_groups(spark):
+def test_fill_carries_over_ranges(spark):
     """One group over all ranges, with values in its first and last rows only."""
     n = 3000
     df = spark.range(n).select(F.lit("k").alias("k"), F.col("id").alias("o"), F.when(F.col("id") == 1500, 7).alias("mid"),

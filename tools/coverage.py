@@ -58,7 +58,7 @@ IMPL = {
     "A5": f"{PR} `column_profile`", "A6": f"{INC} `max_value`", "A7": f"{PR} `count_before_after` / `count_if`",
     "A8": f"{PR} `column_profile`", "A9": f"{PV} `eav_pivot`", "A10": "`agg(max)` of the top-n",
     "W1": f"{DD} `keep_first`", "W2": f"{DD} `duplicate_ordinal` ({NB})", "W3": f"{DD} `duplicate_flag`",
-    "W4": f"{FL} `group_fill` (operators/range_index.py)", "W5": f"{NB} `number_rows` (operators/range_index.py)", "W6": f"{DM} `assign_ids`",
+    "W4": f"{FL} `group_fill` (two-level scan)", "W5": f"{NB} `number_rows` (operators/range_index.py)", "W6": f"{DM} `assign_ids`",
     "W7": f"{LC} `with_row_ids`, `assert_unique`", "O1": "sort inside windows", "O2": f"{DD} `keep_first`",
     "O3": "`orderBy().limit()`", "O4": f"{DD} `keep_first`", "U1": f"{SO} `union_all`",
     "U2": f"{SO} `union_distinct`", "U3": f"{SO} `key_difference`", "U4": f"{SO} `key_intersection`",
