@@ -83,10 +83,23 @@ PLAN_CHANGE_DATES = ["fe_activacion", "fe_creacion", "fe_cambio", "fe_cierre"]
 PLAN_CHANGE_AMOUNTS = ["cfm_plan_origen", "cfm_plan_destino", "vl_cfm_neto", "vl_cfm_neto_contable_voz", "vl_cfm_neto_contable_datos"]
 
 
-def plan_changes(fact: DataFrame, dimensions: dict[str, DataFrame], since: str) -> DataFrame:
-    """Executed plan changes into business plans since a day, dates as text."""
+PLAN_CHANGE_KEY = ["co_id", "cod_plan_origen", "cod_plan_destino"]
+
+
+def plan_changes(fact: DataFrame, dimensions: dict[str, DataFrame], since: str, loaded: DataFrame | None = None) -> DataFrame:
+    """Executed plan changes into business plans since a day, dates as text.
+
+    N3: rows whose ``PLAN_CHANGE_KEY`` the history ``loaded`` holds are left
+    out.  The key, and that of the inner roles, are columns of the fact: both
+    are applied before the other roles, which then widen new rows only."""
     recent = fact.filter(F.col("fe_creacion") >= F.lit(since).cast("timestamp_ntz"))
-    rows = star(recent, dimensions, PLAN_CHANGE_ROLES).drop(*PLAN_CHANGE_KEYS)
+    inner, left = ([r for r in PLAN_CHANGE_ROLES if (r.how == "inner") == kind] for kind in (True, False))
+    rows = star(recent, dimensions, inner)
+    if loaded is not None:
+        rows = extract_new(rows, loaded, PLAN_CHANGE_KEY)
+    last = [name for r in inner for name in r.columns.values()]
+    rows = star(rows, dimensions, left)
+    rows = rows.select(*[c for c in rows.columns if c not in last], *last).drop(*PLAN_CHANGE_KEYS)
     rows = rows.withColumns({c: F.date_format(c, "dd/MM/yyyy") for c in PLAN_CHANGE_DATES if c in rows.columns})
     rows = rows.withColumns({c: F.col(c).cast("double") for c in PLAN_CHANGE_AMOUNTS if c in rows.columns})
     closed = F.when(F.col("no_ejecutado") == 1, F.lit("Cerrado")).otherwise(F.lit("Abierto"))
