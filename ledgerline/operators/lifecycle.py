@@ -53,12 +53,27 @@ def numbered_copies(counted: DataFrame, count_col: str = "__n", name: str = "__o
     return few.unionByName(many)
 
 
+#: Tasks that rows equal in all their values are dealt to.
+SPREAD = 16
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """The rows in as many tasks as a shuffle has partitions, equal ones in up to
+    ``SPREAD`` of them.  Rows that are all distinct don't shrink when they are
+    counted map-side, and a task that reads a large part of a file would hold a
+    table of all its rows; here its share is bounded, whatever the files are."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))
+    return df.withColumn("__share", share).repartition(tasks, "__share", F.xxhash64(*df.columns)).drop("__share")
+
+
 def with_row_ids(df: DataFrame, run_id: str, name: str = "id", unique: bool = False) -> DataFrame:
     """A unique, deterministic id for every row, also of equal rows.
 
     The id is taken from all of the row's values and its ordinal among rows
-    equal in all of them.  Equal rows are counted (map-side combined: a row
-    repeated millions of times is one partial count per task) and written out
+    equal in all of them.  Equal rows are counted (dealt out and combined first:
+    a row repeated millions of times is one partial count per task) and written out
     again with 1..n in chunks, so neither a window nor an array gathers them.
     ``unique=True`` says that no two rows are equal (a key was made unique
     before): each has the ordinal 1, and nothing is shuffled to find out.  Map
@@ -70,7 +85,7 @@ def with_row_ids(df: DataFrame, run_id: str, name: str = "id", unique: bool = Fa
     if unique:
         each = df.withColumn("__ordinal", F.lit(1).cast("bigint"))
     else:
-        each = numbered_copies(df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n")))
+        each = numbered_copies(_dealt(df).groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("__n")))
     return each.select(ident.alias(name), *[c for c in df.columns if c != name])
 
 
