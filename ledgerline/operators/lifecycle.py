@@ -58,14 +58,14 @@ SPREAD = 16
 
 
 def _dealt(df: DataFrame) -> DataFrame:
-    """The rows in as many tasks as a shuffle has partitions, equal ones in up to
-    ``SPREAD`` of them.  Rows that are all distinct don't shrink when they are
-    counted map-side, and a task that reads a large part of a file would hold a
-    table of all its rows; here its share is bounded, whatever the files are."""
-    spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    """The rows dealt out by their values, equal ones to up to ``SPREAD`` tasks.
+
+    Rows that are all distinct don't shrink when they are counted map-side, and a
+    task that reads a large part of a file would hold a table of all its rows.
+    Here adaptive execution bounds a task's share by its advisory size, whatever
+    the files are."""
     share = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))
-    return df.withColumn("__share", share).repartition(tasks, "__share", F.xxhash64(*df.columns)).drop("__share")
+    return df.withColumn("__share", share).repartition("__share", F.xxhash64(*df.columns)).drop("__share")
 
 
 def with_row_ids(df: DataFrame, run_id: str, name: str = "id", unique: bool = False) -> DataFrame:

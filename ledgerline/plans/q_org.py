@@ -169,10 +169,9 @@ def row_ids(spark, sf_dir):
     t = Tables(spark, sf_dir)
     built = {"job_order_loader": jobs.order_loader_rows(t), "job_value_added": single.value_added_rows(t), "job_targets": jobs.targets_rows(t)}
     counts = []
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     for name in ID_LOADERS:
         # Ids hardly repeat, so they are brought together before they are counted.
-        ids = built[name].select("id").repartition(tasks, "id")
+        ids = built[name].select("id").repartition("id")
         counts.append(ids.groupBy(F.lit(name).alias("cargador"), "id").agg(F.count(F.lit(1)).alias("n"))
                       .groupBy("cargador").agg(F.sum("n").alias("filas"), F.count(F.lit(1)).alias("ids")))
     return union_all(counts)
