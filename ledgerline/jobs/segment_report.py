@@ -77,13 +77,12 @@ def stage(*frames: DataFrame) -> DataFrame:
 def with_staff(df: DataFrame, staff: DataFrame, prefer: dict[str, str]) -> DataFrame:
     """N18 + J12 + A1: every staff row of the document (the join may fan out).
 
-    Repeated staff rows would only be repeated results, and are dropped first.
-    Adaptive execution sizes partitions by the small input; dealing the input
-    out round-robin keeps every core busy with the fan-out."""
-    spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    Repeated rows of either side would only be repeated results, and are
+    dropped first, which deals the rows out evenly, to as many tasks as their
+    size asks for: a fixed number of tasks, each writing a block for every
+    partition of the next shuffle, costs the square of that number."""
     renamed = staff.select("documento_consultor", *[F.col(c).alias(f"__{c}") for c in prefer]).distinct()
-    out = spread_join(df.repartition(tasks), renamed, ["documento_consultor"], "left")
+    out = spread_join(df.distinct(), renamed, ["documento_consultor"], "left")
     pick = {c: F.coalesce(F.col(c), F.col(f"__{c}")) if first == "left" else F.coalesce(F.col(f"__{c}"), F.col(c)) for c, first in prefer.items()}
     return out.withColumns(pick).select(*DATA).distinct()
 

@@ -23,9 +23,11 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
        even if a task is recomputed;
     2. inside each (chunk, key) both fills are running windows (the
        backward fill is a forward fill in reverse order): linear work;
-    3. a summary with one row per (key, chunk) holds each column's last and
-       first non-null value; a window over those few rows per key gives the
-       value carried in from earlier / later chunks;
+    3. a key lies in several chunks only if it is the least or the greatest of
+       each: for these few keys a summary with one row per (key, chunk) holds
+       each column's last and first non-null value; a window over those rows
+       gives the value carried in from earlier / later chunks, and goes to
+       every task (two rows a chunk at most);
     4. filled = coalesce(fill within chunk, carried from before,
        back-fill within chunk, carried from after).
     """
@@ -44,7 +46,10 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
         **{f"__b_{i}": F.last(F.col(c), ignorenulls=True).over(rev) for i, c in enumerate(cols)}})
     # Struct order puts nulls first, the windows last: the null flag leads.
     pos = F.struct(*[x.alias(f"p{i}") for i, x in enumerate(y for c in order for y in (F.col(c).isNull(), F.col(c)))])
-    summary = chunks.groupBy(key, "__pid").agg(
+    ends = chunks.groupBy("__pid").agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
+    cut = (ends.select(F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias(key))
+               .groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(key))
+    summary = chunks.join(F.broadcast(cut), key, "left_semi").groupBy(key, "__pid").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__l_{i}") for i, c in enumerate(cols)],
         *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), pos)).alias(f"__h_{i}") for i, c in enumerate(cols)])
     before = Window.partitionBy(key).orderBy(F.col("__pid").asc()).rowsBetween(Window.unboundedPreceding, -1)
@@ -53,7 +58,7 @@ def group_fill(df: DataFrame, key: str, order: list[str], cols: list[str] | None
         key, "__pid",
         *[F.last(F.col(f"__l_{i}"), ignorenulls=True).over(before).alias(f"__cf_{i}") for i in range(len(cols))],
         *[F.last(F.col(f"__h_{i}"), ignorenulls=True).over(after).alias(f"__cb_{i}") for i in range(len(cols))])
-    joined = spread_join(local, carry, [key, "__pid"], "left")
+    joined = local.join(F.broadcast(carry), [key, "__pid"], "left")
     filled = joined.withColumns({
         c: F.coalesce(F.col(f"__f_{i}"), F.col(f"__cf_{i}"), F.col(f"__b_{i}"), F.col(f"__cb_{i}"))
         for i, c in enumerate(cols)})

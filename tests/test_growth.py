@@ -69,3 +69,29 @@ def test_plan_changes_leave_out_loaded_keys_before_the_dimensions_join(spark):
     pick = ["co_id", "cod_plan_origen", "cod_plan_destino", "plan_negocios", "ds_plan_destino", "identificacion"]
     a, b = (sorted((tuple(r) for r in x.select(*pick).collect()), key=str) for x in (got, whole))
     assert a == b and a and {r[0] for r in a} == {1, 3}
+
+
+def test_fill_brings_only_cut_keys_together_again(spark):
+    from ledgerline.operators.fill import group_fill
+    rows = [("HOT" if i % 3 else f"k{i % 40:02d}", i, float(i) if i % 7 == 0 else None) for i in range(600)]
+    got = group_fill(spark.createDataFrame(rows, "k string, o int, v double"), "k", ["o"], ["v"], distinct=False, num_partitions=6)
+    assert "SortMergeJoin" not in _plan(got) and "BroadcastHashJoin" in _plan(got)
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == key]
+        for _, o, _ in own:
+            before, after = [r[2] for r in own if r[1] <= o and r[2] is not None], [r[2] for r in own if r[1] > o and r[2] is not None]
+            want[o] = before[-1] if before else after[0] if after else None
+    assert {r["o"]: r["v"] for r in got.collect()} == want
+
+
+def test_staff_join_has_no_fixed_number_of_tasks(spark):
+    from ledgerline.jobs import segment_report as G13
+    rows = [(1, "a", 5), (1, "a", 5), (2, None, None), (3, "b", 6)]
+    df = G13._placed(spark.createDataFrame(rows, "ot long, ciudad string, documento_consultor long")).drop("pos")
+    staff = spark.createDataFrame([(5, "n1", "c1", "x"), (5, "n2", "c2", None), (5, "n2", "c2", None), (None, "n3", "c3", "y")],
+                                  "documento_consultor long, nombre_consultor string, cargo_actual string, ciudad string")
+    got = G13.with_staff(df, staff, {"ciudad": "left", "nombre_consultor": "right", "cargo_actual": "left"})
+    assert "RoundRobinPartitioning" not in _plan(got)
+    out = sorted(((r["ot"], r["ciudad"], r["nombre_consultor"], r["cargo_actual"]) for r in got.collect()), key=str)
+    assert out == sorted([(1, "a", "n1", "c1"), (1, "a", "n2", "c2"), (2, None, None, None), (3, "b", None, None)], key=str)
