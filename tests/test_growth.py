@@ -1,6 +1,8 @@
 """Steps whose tasks must not grow with the size of a file's parts."""
 
 import datetime as dt
+import glob
+import os
 
 from pyspark.sql import functions as F
 
@@ -26,6 +28,44 @@ def test_fanout_rows_are_dealt_out_before_they_multiply(spark, tmp_dir):
     assert rows == sorted(want, key=str)
 
 
+def test_fanout_is_written_in_a_fraction_of_a_byte_a_row(spark, tmp_dir):
+    orders = spark.range(0, 600, 1, 1).select(F.col("id").alias("o_orderkey"), (F.col("id") % 60).alias("o_custkey"), F.lit("F").alias("o_orderstatus"))
+    names = F.concat(F.lit("name"), F.col("id").cast("string")).alias("c_name")
+    customer = spark.range(60).select(F.col("id").alias("c_custkey"), names, (F.col("id") % 3).cast("int").alias("c_nationkey"), F.lit(9000.0).alias("c_acctbal"))
+    supplier = spark.range(0, 6000, 1, 1).select(F.col("id").alias("s_suppkey"), (F.col("id") % 3).cast("int").alias("s_nationkey"))
+    for name, df in (("orders", orders), ("customer", customer), ("supplier", supplier)):
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    load_all()["left_join_two_keys_fanout"].build(spark, tmp_dir).write.parquet(f"{tmp_dir}/out")
+    got = spark.read.parquet(f"{tmp_dir}/out")
+    assert got.count() == got.distinct().count() == 600 * 2000
+    of = F.expr("c_name = concat('name', o_orderkey % 60) and s_suppkey % 3 = o_orderkey % 3")
+    assert got.filter(~of | of.isNull()).count() == 0
+    assert sum(map(os.path.getsize, glob.glob(f"{tmp_dir}/out/*.parquet"))) < 0.5 * 600 * 2000
+
+
+def test_fan_out_join_is_the_left_join(spark, monkeypatch):
+    from ledgerline.operators import joins
+    monkeypatch.setattr(joins, "BLOCK", 3)
+    monkeypatch.setattr(joins, "CHUNK", 2)
+    rows = [(i % 17 or None, f"n{i % 5}" if i % 4 else None, i % 6 or None) for i in range(200)] + [(None, None, None)] * 9 + [(None, None, 2)] * 30
+    left = spark.createDataFrame(rows, "a long, b string, k int")
+    right = spark.createDataFrame([(k, v if v % 3 else None) for k in (1, 2, 2, 4, 9, None) for v in range(7)], "k int, v long")
+    for some in (right, right.filter("k = 2"), right.filter("false")):
+        got, want = joins.fan_out_join(left, some, "k", 4), left.join(some, "k", "left")
+        assert got.columns == ["k", "a", "b", "v"] == want.columns
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert joins.fan_out_join(left.filter("false"), right, "k", 4).count() == 0
+
+
+def test_equal_rows_are_dealt_out_before_they_multiply(spark, tmp_dir):
+    spark.range(0, 20000, 1, 1).select(F.lit(None).cast("long").alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit("F").alias("o_orderstatus")).write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(1, "a", 5, 9000.0)], "c_custkey long, c_name string, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_dir}/customer.parquet")
+    spark.createDataFrame([(i, 5) for i in range(20)], "s_suppkey long, s_nationkey int").write.parquet(f"{tmp_dir}/supplier.parquet")
+    got = load_all()["left_join_two_keys_fanout"].build(spark, tmp_dir)
+    shares = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 20000 * 20 and max(shares) < 0.5 * sum(shares)
+
+
 def test_rows_are_dealt_out_before_equal_ones_are_counted(spark):
     df = spark.range(0, 3000, 1, 1).select((F.col("id") % 1000).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
     same = spark.range(0, 500, 1, 1).select(F.lit(-1).cast("long").alias("a"), F.lit("s").alias("b"))
